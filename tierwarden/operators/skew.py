@@ -1,0 +1,70 @@
+"""Joins and groupings that stay balanced when one key holds much of the data."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+HOT_KEYS = 64   # size bound of the hot-key list: exactly this many rows at most
+SALTS = 64      # pieces each hot key is cut into
+ROUTED = "_salt"
+
+
+def heaviest_keys(df: DataFrame, key: str, n: int = HOT_KEYS) -> DataFrame:
+    """The ``n`` most frequent values of ``key`` (one column).
+
+    Counting is combined on the map side, and top-n keeps n rows per task, so a
+    key holding a third of the rows costs no more than any other.  The order is
+    total, so the list is the same however often it is recomputed.
+    """
+    return (df.where(F.col(key).isNotNull()).groupBy(key).count()
+            .orderBy(F.col("count").desc(), F.col(key)).limit(n).select(key))
+
+
+def salted_join(fact: DataFrame, dim: DataFrame, on: str, spread: Column | str,
+                how: str = "inner", hot_keys: int = HOT_KEYS, salts: int = SALTS) -> DataFrame:
+    """Equi-join ``fact`` with ``dim`` on ``on`` with the heaviest keys cut up.
+
+    Each of the heaviest keys of ``fact`` is cut into ``salts`` pieces by a hash
+    of ``spread`` (a column that varies within a key), and the ``dim`` rows of
+    those keys - and of no others - are copied once per piece.  Every fact row
+    meets exactly the dim rows it meets in the plain join, so inner, left,
+    left_semi and left_anti results are unchanged.  The hot list has at most
+    ``hot_keys`` rows by construction, which is what makes its broadcast safe;
+    which keys are on it affects balance only, never the result.  NULL keys match
+    nothing, so they are spread as well.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"salted_join does not keep the meaning of a {how} join")
+    spread = F.col(spread) if isinstance(spread, str) else spread
+    hot = F.broadcast(heaviest_keys(fact, on, hot_keys).withColumn("_hot", F.lit(True)))
+    cut = (fact.join(hot, on, "left")
+           .withColumn(ROUTED, F.when(F.col("_hot") | F.col(on).isNull(),
+                                      F.pmod(F.xxhash64(spread), F.lit(salts)))
+                       .otherwise(F.lit(0)).cast("int"))
+           .drop("_hot"))
+    copies = (dim.join(hot, on, "left")
+              .withColumn(ROUTED, F.explode(
+                  F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                  .otherwise(F.array(F.lit(0)))))
+              .drop("_hot"))
+    return cut.join(copies, [on, ROUTED], how).drop(ROUTED)
+
+
+def list_pages(df: DataFrame, group: str, item: Column, page_size: int,
+               spread: Column | None = None) -> DataFrame:
+    """Collected lists per (non-null) group, continued on further pages when long.
+
+    A group of at most ``page_size`` rows gives one row, exactly as a plain
+    ``collect``.  A longer one is spread by a hash over ``ceil(n / page_size)``
+    pages, so no task ever gathers an unbounded group and nothing is dropped.
+    Output: group, ``page``, ``items`` (sorted), ``group_rows`` (rows of the group).
+    """
+    spread = F.xxhash64(item) if spread is None else spread
+    rows = df.select(group, item.alias("_item"), spread.cast("long").alias("_spread"))
+    counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("group_rows"))
+    pages = F.ceil(F.col("group_rows") / F.lit(page_size))
+    paged = (salted_join(rows, counts, group, "_spread")
+             .withColumn("page", F.pmod(F.col("_spread"), pages).cast("long")))
+    return (paged.groupBy(group, "page", "group_rows")
+            .agg(F.sort_array(F.collect_list("_item")).alias("items")))
