@@ -205,7 +205,11 @@ def build_graph(spark: SparkSession, catalog: DataFrame, entities: dict[str, Dat
                 database: str = DATABASE, schema: str = SCHEMA,
                 can_access: DataFrame | None = None, inherits: DataFrame | None = None,
                 tiers: dict[str, dict[str, str]] | None = None) -> Graph:
-    """Whole governance graph as one lazy plan; write it partitioned by label / type."""
+    """Whole governance graph as one lazy plan; write it partitioned by label / type.
+
+    The catalog feeds two vertex labels and four edge types, so hand in a stored
+    one rather than one still to be pivoted.
+    """
     tier_rows = tiers_df(spark)
     columns = columns_frame(catalog, run_ts, database, schema)
     policies = policies_df(spark)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tierwarden.operators.catalog import union_all
 from tierwarden.operators.durable import cut_lineage
-from tierwarden.operators.skew import salted_join
+from tierwarden.operators.skew import heaviest_keys, salted_join
 
 
 def catalog_paths(catalog: DataFrame, database: str, schema: str) -> DataFrame:
@@ -22,62 +22,43 @@ def catalog_paths(catalog: DataFrame, database: str, schema: str) -> DataFrame:
 def paths_to_root(nodes: DataFrame, edges: DataFrame, max_hops: int) -> DataFrame:
     """(start, path, hops): paths of 0..max_hops edges ending in a vertex without outgoing edge.
 
-    ``nodes(id)``, ``edges(src, dst)`` without duplicates.  A chain of left joins
-    carries each start upwards; a path that runs out of edges has reached a root,
-    and one that still has edges after ``max_hops`` is no result.  A path may not
-    use an edge twice, so cycles end.  The vertex reached is the join key and may
-    be shared by many starts (one manager for a third of the staff), so heavy
-    keys are cut up by the start.
+    ``nodes(id)``, ``edges(src, dst)`` without duplicates.  Such a path is a walk
+    from its root against the edges, read backwards, so only vertices that do
+    reach a root within the bound are ever touched.
     """
-    walk = nodes.select(F.col("id").alias("start"), F.col("id").alias("at"),
-                        F.array("id").alias("path"), F.array().cast(f"array<struct<s:{_type(nodes)},"
-                                                                   f"d:{_type(nodes)}>>").alias("used"))
-    step = edges.select(F.col("src").alias("at"), F.col("dst").alias("_next"))
-    for _ in range(max_hops):
-        ahead = salted_join(walk, step, "at", "start", "left")
-        edge = F.struct(F.col("at").alias("s"), F.col("_next").alias("d"))
-        # A finished walk has at = NULL, meets no edge and is carried along as it is.
-        ahead = ahead.where(F.col("_next").isNull() | ~F.array_contains("used", edge))
-        moved = F.col("_next").isNotNull()
-        walk = ahead.select(
-            "start", F.col("_next").alias("at"),
-            F.when(moved, F.array_append("path", F.col("_next"))).otherwise(F.col("path")).alias("path"),
-            F.when(moved, F.array_append("used", edge)).otherwise(F.col("used")).alias("used"))
-    # Walks still at a vertex (at is set) end in a root only if it has no edge.
-    parents = step.select("at").distinct()
-    done = salted_join(walk, parents, "at", "start", "left_anti")
-    return done.select("start", "path", (F.size("path") - 1).alias("hops"))
-
-
-def _type(nodes: DataFrame) -> str:
-    return nodes.schema["id"].dataType.simpleString()
+    roots = nodes.select("id").join(edges.select(F.col("src").alias("id")).distinct(), "id", "left_anti")
+    against = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    alone = roots.select(F.col("id").alias("start"), F.array("id").alias("path"), F.lit(0).alias("hops"))
+    longer = descend(against, roots, max_hops).select(
+        F.element_at("path", -1).alias("start"), F.reverse("path").alias("path"), "hops")
+    return alone.unionByName(longer)
 
 
 def descend(edges: DataFrame, roots: DataFrame, max_hops: int | None = None) -> DataFrame:
-    """(start, path, hops) for every path of at least one edge going down from ``roots(id)``.
+    """(start, path, hops) for every path of at least one edge leading down from ``roots(id)``.
 
     One level per step.  Each level is written to reliable storage before the
-    next is planned, so the plan stays one join deep however deep the tree is
+    next is planned, so the plan stays one join deep however deep the tree is,
     and a lost executor costs one level at most.  An edge is used once per path,
-    so a cyclic graph ends too.
+    so a cyclic graph ends too.  The edges are the big side of each join and one
+    parent may own a third of them; the list of such parents is made once.
     """
     kind = edges.schema["src"].dataType.simpleString()
     links = edges.select(F.col("src").alias("at"), F.col("dst").alias("_next"))
+    hot = cut_lineage(heaviest_keys(links, "at"))
     front = roots.select(
         F.col("id").alias("start"), F.col("id").alias("at"), F.array("id").alias("path"),
         F.array().cast(f"array<struct<s:{kind},d:{kind}>>").alias("used"))
     levels: list[DataFrame] = []
     while max_hops is None or len(levels) < max_hops:
-        # The edges are the big side: one parent may own a third of them.
-        ahead = salted_join(links, front, "at", "_next")
+        ahead = salted_join(links, front, "at", "_next", hot=hot)
         edge = F.struct(F.col("at").alias("s"), F.col("_next").alias("d"))
         level = (ahead.where(~F.array_contains("used", edge))
                  .select("start", F.col("_next").alias("at"),
                          F.array_append("path", F.col("_next")).alias("path"),
                          F.array_append("used", edge).alias("used")))
         front = cut_lineage(level)
+        levels.append(front)
         if front.isEmpty():
             break
-        levels.append(front)
-    found = union_all(levels) if levels else front
-    return found.select("start", "path", (F.size("path") - 1).alias("hops"))
+    return union_all(levels).select("start", "path", (F.size("path") - 1).alias("hops"))

@@ -22,7 +22,7 @@ def heaviest_keys(df: DataFrame, key: str, n: int = HOT_KEYS) -> DataFrame:
 
 
 def salted_join(fact: DataFrame, dim: DataFrame, on: str, spread: Column | str,
-                how: str = "inner", hot_keys: int = HOT_KEYS, salts: int = SALTS) -> DataFrame:
+                how: str = "inner", hot: DataFrame | None = None, salts: int = SALTS) -> DataFrame:
     """Equi-join ``fact`` with ``dim`` on ``on`` with the heaviest keys cut up.
 
     Each of the heaviest keys of ``fact`` is cut into ``salts`` pieces by a hash
@@ -30,14 +30,18 @@ def salted_join(fact: DataFrame, dim: DataFrame, on: str, spread: Column | str,
     those keys - and of no others - are copied once per piece.  Every fact row
     meets exactly the dim rows it meets in the plain join, so inner, left,
     left_semi and left_anti results are unchanged.  The hot list has at most
-    ``hot_keys`` rows by construction, which is what makes its broadcast safe;
+    ``HOT_KEYS`` rows by construction, which is what makes its broadcast safe;
     which keys are on it affects balance only, never the result.  NULL keys match
     nothing, so they are spread as well.
+
+    ``hot`` hands in a list from ``heaviest_keys`` when several joins share it, or
+    when counting ``fact`` itself would repeat a long computation.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join does not keep the meaning of a {how} join")
     spread = F.col(spread) if isinstance(spread, str) else spread
-    hot = F.broadcast(heaviest_keys(fact, on, hot_keys).withColumn("_hot", F.lit(True)))
+    found = heaviest_keys(fact, on) if hot is None else hot.toDF(on)
+    hot = F.broadcast(found.limit(HOT_KEYS).withColumn("_hot", F.lit(True)))
     cut = (fact.join(hot, on, "left")
            .withColumn(ROUTED, F.when(F.col("_hot") | F.col(on).isNull(),
                                       F.pmod(F.xxhash64(spread), F.lit(salts)))

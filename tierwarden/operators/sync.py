@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierwarden.model import (
-    CATALOG_SCHEMA, CHANGE_LOG_SCHEMA, EDGE_SCHEMA, SYNC_RUN_SCHEMA, TAG_FIELDS, TAG_SNAPSHOT_SCHEMA, tiers_df,
+    CATALOG_SCHEMA, CHANGE_LOG_SCHEMA, EDGE_SCHEMA, SYNC_RUN_SCHEMA, TAG_FIELDS, TAG_SNAPSHOT_SCHEMA, local_df,
+    tiers_df,
 )
 from tierwarden.operators import drift
 from tierwarden.operators.catalog import fill_tag_defaults
@@ -82,7 +83,7 @@ def sync_tags(source: DataFrame, store: CatalogStore, dry_run: bool = False, cha
     if written:
         done = store.catalog.commit(merge_catalog(stored, rows, run_ts), version)
         store.edges.commit(classified_as(store.catalog.read(before=done + 1), tiers_df(spark)), done)
-        store.runs.append(spark.createDataFrame([summary], SYNC_RUN_SCHEMA), done)
+        store.runs.append(local_df(spark, [tuple(summary)], SYNC_RUN_SCHEMA), done)
     return summary
 
 

@@ -17,6 +17,7 @@ from tierwarden.model import DATABASE, RANKS, SCHEMA, TAG_FIELDS
 from tierwarden.operators import graph as G
 from tierwarden.operators import paths as P
 from tierwarden.operators.catalog import pivot_tags, tier_rank, union_all
+from tierwarden.operators.durable import cut_lineage
 from tierwarden.operators.secure import gate_records, project_for_role
 from tierwarden.operators.skew import list_pages, salted_join
 
@@ -210,9 +211,12 @@ def visible_subgraph(records: dict[str, DataFrame], keys: dict[str, str], can_ac
 
 
 def management_paths(employees: DataFrame, max_hops: int = 3) -> DataFrame:
-    """Reporting paths of at most ``max_hops`` steps from each employee up to the top."""
-    edges = G.reports_to_pairs(employees).select(F.col("employee_id").alias("src"),
-                                                 F.col("manager_id").alias("dst"))
+    """Reporting paths of at most ``max_hops`` steps from each employee up to the top.
+
+    The pairs are stored once, since every step of the walk reads them.
+    """
+    edges = cut_lineage(G.reports_to_pairs(employees).select(F.col("employee_id").alias("src"),
+                                                             F.col("manager_id").alias("dst")))
     return P.paths_to_root(employees.select(F.col("employee_id").alias("id")), edges, max_hops)
 
 

@@ -16,7 +16,7 @@ from tierwarden.operators import catalog as C
 from tierwarden.operators import drift as D
 from tierwarden.operators import graph as G
 from tierwarden.operators import paths as P
-from tierwarden.operators.durable import scratch_path
+from tierwarden.operators.durable import scratch_path, write_through
 from tierwarden.operators.secure import apply_masks_by_role_column, secure
 from tierwarden.operators.sync import CatalogStore, DriftStore, sync_tags
 from tierwarden.plans import access as A
@@ -46,9 +46,11 @@ def joined(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.array_join(c, ",") for c in columns})
 
 
-def records(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """Record frames by label, each with its table's tier."""
-    return {LABEL_OF[t]: G.records(df, t, field_lists=False) for t, df in Entities(spark, sf).all().items()}
+def records(spark: SparkSession, sf: str, *labels: str) -> dict[str, DataFrame]:
+    """Record frames by label (all five, or the named ones), each with its table's tier."""
+    e = Entities(spark, sf)
+    return {label: G.records(e.table(t), t, field_lists=False)
+            for t, label in LABEL_OF.items() if not labels or label in labels}
 
 
 def row_tier_records(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -57,6 +59,12 @@ def row_tier_records(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
             for t, df in Entities(spark, sf).all().items()}
 
 
+def whole_graph(spark: SparkSession, sf: str) -> G.Graph:
+    e, s = Entities(spark, sf), Estate(spark, sf)
+    catalog = write_through(s.catalog, scratch_path(spark, "catalog"))
+    return G.build_graph(spark, catalog, e.all(), s.policy_refs, RUN_TS)
+
+
 KEYS = {LABEL_OF[t]: k for t, k in KEY_OF.items()}
 
 
@@ -93,11 +101,10 @@ def _(spark, sf):
 
 @query("a12_snapshot_round_trip")
 def _(spark, sf):
-    """Whole graph exported as JSON Lines, imported again, and counted."""
-    e, s = Entities(spark, sf), Estate(spark, sf)
-    g = G.build_graph(spark, s.catalog, e.all(), s.policy_refs, RUN_TS)
+    """Whole graph stored, exported as JSON Lines, imported again, and counted."""
+    g = whole_graph(spark, sf)
     path = scratch_path(spark, "snapshot")
-    S.export_snapshot(g.vertices, g.edges, path)
+    S.export_snapshot(*S.replace_graph(g.vertices, g.edges, f"{path}/graph"), path)
     return G.graph_summary(*S.import_snapshot(spark, path))
 
 
@@ -371,8 +378,7 @@ def _(spark, sf):
 
 @query("k11_graph_summary")
 def _(spark, sf):
-    e, s = Entities(spark, sf), Estate(spark, sf)
-    g = G.build_graph(spark, s.catalog, e.all(), s.policy_refs, RUN_TS)
+    g = whole_graph(spark, sf)
     return G.graph_summary(g.vertices, g.edges)
 
 
@@ -411,7 +417,7 @@ def _(spark, sf):
 
 @query("k08_has_classification")
 def _(spark, sf):
-    recs = records(spark, sf)["Transaction"]
+    recs = records(spark, sf, "Transaction")["Transaction"]
     return G.has_classification(recs, "Transaction", "transaction_id", tiers_df(spark)).select("src", "dst", "type")
 
 
@@ -457,19 +463,19 @@ def _(spark, sf):
 
 @query("m06_customer_list")
 def _(spark, sf):
-    return A.accessible_records(records(spark, sf)["Customer"], can_access_df(spark), "FINANCE_ANALYST",
+    return A.accessible_records(records(spark, sf, "Customer")["Customer"], can_access_df(spark), "FINANCE_ANALYST",
                                 A.CUSTOMER_LIST)
 
 
 @query("m06_customer_list_denied")
 def _(spark, sf):
-    return A.accessible_records(records(spark, sf)["Customer"], can_access_df(spark), "DATA_ANALYST",
+    return A.accessible_records(records(spark, sf, "Customer")["Customer"], can_access_df(spark), "DATA_ANALYST",
                                 A.CUSTOMER_LIST)
 
 
 @query("m07_transaction_list")
 def _(spark, sf):
-    return A.accessible_records(records(spark, sf)["Transaction"], can_access_df(spark), "FINANCE_ANALYST",
+    return A.accessible_records(records(spark, sf, "Transaction")["Transaction"], can_access_df(spark), "FINANCE_ANALYST",
                                 A.TRANSACTION_LIST)
 
 
@@ -501,12 +507,12 @@ def _(spark, sf):
 
 @query("m11_hr_employees")
 def _(spark, sf):
-    return A.hr_employees(records(spark, sf)["Employee"], can_access_df(spark))
+    return A.hr_employees(records(spark, sf, "Employee")["Employee"], can_access_df(spark))
 
 
 @query("m11_engineer_employees")
 def _(spark, sf):
-    return A.engineer_employees(records(spark, sf)["Employee"], can_access_df(spark))
+    return A.engineer_employees(records(spark, sf, "Employee")["Employee"], can_access_df(spark))
 
 
 @query("m12_column_decisions")
@@ -570,14 +576,13 @@ QUERIES["m19_owners_with_empty"] = _owners(False)
 
 @query("m20_customer_access_audit")
 def _(spark, sf):
-    r = records(spark, sf)
+    r = records(spark, sf, "Customer", "Transaction")
     return A.customer_access_audit(r["Customer"], r["Transaction"], can_access_df(spark), "FINANCE_ANALYST")
 
 
 @query("m21_visible_subgraph")
 def _(spark, sf):
-    r = records(spark, sf)
-    return A.visible_subgraph({k: r[k] for k in ("Customer", "Employee")}, KEYS, can_access_df(spark))
+    return A.visible_subgraph(records(spark, sf, "Customer", "Employee"), KEYS, can_access_df(spark))
 
 
 @query("m21_column_tier_pairs")
@@ -631,7 +636,7 @@ def _(spark, sf):
 
 @query("m30_reachable_transactions")
 def _(spark, sf):
-    return A.reachable_transactions(records(spark, sf)["Transaction"], can_access_df(spark), "FINANCE_ANALYST")
+    return A.reachable_transactions(records(spark, sf, "Transaction")["Transaction"], can_access_df(spark), "FINANCE_ANALYST")
 
 
 @query("m31_policy_lineage")

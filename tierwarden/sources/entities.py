@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tierwarden.model import KEPT_COLUMNS, LABEL_OF
 from tierwarden.functions.text import or_false
+from tierwarden.sources.raw import read_raw
 
 
 def _pad(col: Column | str, width: int) -> Column:
@@ -56,7 +57,7 @@ class Entities:
         self.dir = sf_dir
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return read_raw(self.spark, self.dir, name)
 
     @cached_property
     def places(self) -> DataFrame:

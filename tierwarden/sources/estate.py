@@ -17,6 +17,7 @@ from tierwarden.model import (
     MASK_BINDINGS, RANKS, ROLE_NAMES, ROLE_TIERS, ROLES, SCHEMA, local_df,
 )
 from tierwarden.operators import catalog as C
+from tierwarden.sources.raw import read_raw
 
 WIDTH = 16                       # columns per derived table
 SNAPSHOT_CUT = "2000-01-01"      # the stored snapshot knows assignments before this day
@@ -46,7 +47,7 @@ class Estate:
         self.dir = sf_dir
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return read_raw(self.spark, self.dir, name)
 
     @cached_property
     def inventory(self) -> DataFrame:

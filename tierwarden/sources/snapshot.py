@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierwarden.model import EDGE_SCHEMA, PROPS, VERTEX_SCHEMA
+from tierwarden.operators.durable import scratch_path, write_through
 from tierwarden.operators.graph import distinct_edges, graph_summary, merge_edges, merge_vertices
-from tierwarden.operators.skew import salted_join
+from tierwarden.operators.skew import heaviest_keys, salted_join
 
 NODE_FILE = T.StructType([T.StructField("id", T.StringType()),
                           T.StructField("labels", T.ArrayType(T.StringType())),
@@ -26,13 +27,9 @@ def edge_id() -> Column:
     return F.sha2(F.concat_ws("\u0001", "src", "type", "dst"), 256)
 
 
-def _end_labels(edges: DataFrame, vertices: DataFrame, end: str, spread: str, out: str) -> DataFrame:
-    """Labels of one end.  An id begins with its first label, so only vertices with
-    further labels - usually none - are joined; their edges may pile up on one id."""
-    more = vertices.where(F.size("labels") > 1).select(F.col("id").alias(end), F.col("labels").alias("_more"))
-    return (salted_join(edges, more, end, spread, "left")
-            .withColumn(out, F.coalesce("_more", F.array(F.split_part(F.col(end), F.lit(":"), F.lit(1)))))
-            .drop("_more"))
+def _first_label(end: str) -> Column:
+    """An id begins with its vertex's first label."""
+    return F.array(F.split_part(F.col(end), F.lit(":"), F.lit(1)))
 
 
 def snapshot_nodes(vertices: DataFrame) -> DataFrame:
@@ -40,17 +37,31 @@ def snapshot_nodes(vertices: DataFrame) -> DataFrame:
 
 
 def snapshot_edges(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    named = _end_labels(edges, vertices, "src", "dst", "from_labels")
-    named = _end_labels(named, vertices, "dst", "src", "to_labels")
-    return named.select(edge_id().alias("id"), "type", F.col("src").alias("from_id"), "from_labels",
-                        F.col("dst").alias("to_id"), "to_labels", F.col("props").alias("properties"))
+    """Edges with the labels of both ends.
+
+    Only vertices with further labels need a join, and usually there are none,
+    so that is looked up first.  Their edges may pile up on few ids, so the
+    heavy ids are cut up.
+    """
+    more = vertices.where(F.size("labels") > 1).select("id", F.col("labels").alias("_more"))
+    labels = {"src": _first_label("src"), "dst": _first_label("dst")}
+    if not more.isEmpty():
+        for end, spread in (("src", "dst"), ("dst", "src")):
+            other = more.select(F.col("id").alias(end), F.col("_more").alias(f"_{end}"))
+            edges = salted_join(edges, other, end, spread, "left")
+            labels[end] = F.coalesce(f"_{end}", labels[end])
+    return edges.select(edge_id().alias("id"), "type", F.col("src").alias("from_id"),
+                        labels["src"].alias("from_labels"), F.col("dst").alias("to_id"),
+                        labels["dst"].alias("to_labels"), F.col("props").alias("properties"))
 
 
 def export_snapshot(vertices: DataFrame, edges: DataFrame, path: str) -> None:
     """Write nodes by label and edges by type as JSON Lines, each in id order.
 
     Range partitioning on (label, id) cuts a label holding most of the graph
-    into many tasks and files; the files together are in order.
+    into many tasks and files; the files together are in order.  The split points
+    are sampled in a pass of their own, so hand in a stored graph
+    (``replace_graph``), not one still to be computed.
     """
     nodes = snapshot_nodes(vertices).withColumn("label", F.element_at("labels", 1))
     (nodes.repartitionByRange("label", "id").sortWithinPartitions("label", "id")
@@ -114,10 +125,11 @@ def read_snapshot(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
 def keep_connected(edges: DataFrame, ids: DataFrame) -> DataFrame:
     """Edges whose two ends are both known.  Ends pile up on few ids (a tier holds
     every record), so each side is joined with its heavy ids cut up."""
-    src = ids.select(F.col("id").alias("src"))
-    dst = ids.select(F.col("id").alias("dst"))
-    kept = salted_join(edges, src, "src", "dst", "left_semi")
-    return salted_join(kept, dst, "dst", "src", "left_semi").select(edges.columns)
+    kept = edges
+    for end, spread in (("src", "dst"), ("dst", "src")):
+        kept = salted_join(kept, ids.select(F.col("id").alias(end)), end, spread, "left_semi",
+                           hot=heaviest_keys(edges, end))
+    return kept.select(edges.columns)
 
 
 def import_snapshot(spark: SparkSession, path: str,
@@ -129,15 +141,20 @@ def import_snapshot(spark: SparkSession, path: str,
     with an end outside the snapshot is left out.
     """
     nodes, links = read_snapshot(spark, path)
+    # Parsed once: counting heavy ids and joining both ends read the edges again.
+    links = write_through(links, scratch_path(spark, "edges"))
     links = distinct_edges(keep_connected(links, nodes.select("id")))
     if existing is None or wipe:
         return nodes.select(VERTEX_SCHEMA.names), links.select(EDGE_SCHEMA.names)
     return merge_vertices(existing[0], nodes), merge_edges(existing[1], links)
 
 
-def replace_graph(vertices: DataFrame, edges: DataFrame, path: str) -> None:
-    """Replace-all load of the generic graph, stored by label and type."""
+def replace_graph(vertices: DataFrame, edges: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Replace-all load of the generic graph, stored by label and type; returns the stored frames."""
     (vertices.withColumn("label", F.element_at("labels", 1))
      .write.mode("overwrite").partitionBy("label").parquet(f"{path}/vertices"))
     (edges.withColumn("edge_type", F.col("type"))
      .write.mode("overwrite").partitionBy("edge_type").parquet(f"{path}/edges"))
+    spark = vertices.sparkSession
+    return (spark.read.schema(VERTEX_SCHEMA).parquet(f"{path}/vertices").select(VERTEX_SCHEMA.names),
+            spark.read.schema(EDGE_SCHEMA).parquet(f"{path}/edges").select(EDGE_SCHEMA.names))

@@ -57,7 +57,7 @@ class VersionedTable:
             last = self.version()
             version = 0 if last is None else last + 1
         df.select(self.schema.names).write.mode("overwrite").parquet(f"{self.path}/rows/{version}")
-        (self.spark.range(1).select(F.lit(version).cast("long").alias("version"),
+        (self.spark.range(0, 1, 1, 1).select(F.lit(version).cast("long").alias("version"),
                                     F.current_timestamp().alias("committed_at"))
          .write.mode("append").json(f"{self.path}/commits"))
         return version
