@@ -296,6 +296,22 @@ def replace_edges(edges: DataFrame, kind: str, rebuilt: DataFrame) -> DataFrame:
     return edges.where(F.col("type") != kind).unionByName(rebuilt)
 
 
+def ensure_chain(vertices: DataFrame, edges: DataFrame, columns: DataFrame, platform: str, run_ts,
+                 database: str = DATABASE, schema: str = SCHEMA) -> tuple[DataFrame, DataFrame]:
+    """Add the missing Database -> Schema -> Table chain above ``columns(table_name, ...)``.
+
+    What exists keeps its properties; only absent vertices and edges are added.
+    """
+    spark = vertices.sparkSession
+    chain = union_all([
+        as_vertices(databases_frame(spark, platform, run_ts, database), "Database"),
+        as_vertices(schemas_frame(spark, database, schema), "Schema"),
+        as_vertices(tables_frame(columns, run_ts, platform, database, schema), "Table")])
+    links = catalog_edges(spark, columns, database, schema).where(F.col("type") != "HAS_COLUMN")
+    absent = chain.join(vertices.select("id"), "id", "left_anti")
+    return vertices.unionByName(absent), merge_edges(edges, links)
+
+
 def label_counts(vertices: DataFrame) -> DataFrame:
     """Vertices per label; a vertex with two labels counts under both."""
     return (vertices.select(F.explode("labels").alias("label"))
