@@ -96,12 +96,15 @@ def decide(requests: DataFrame, roles: DataFrame, can_access: DataFrame,
 # -- records -------------------------------------------------------------------
 
 def record_counts(records: dict[str, DataFrame]) -> DataFrame:
-    """(node_type, classification, node_count): at most four rows per record type."""
-    return union_all([
-        df.groupBy(F.col("data_classification").alias("classification"))
-          .agg(F.count(F.lit(1)).alias("node_count"))
-          .select(F.lit(label).alias("node_type"), "classification", "node_count")
-        for label, df in records.items()])
+    """(node_type, classification, node_count): at most four rows per record type.
+
+    One aggregation over all types: every task leaves a few partial counts, so
+    the shuffle stays tiny however many records there are.
+    """
+    tiers = union_all([df.select(F.lit(label).alias("node_type"),
+                                 F.col("data_classification").alias("classification"))
+                       for label, df in records.items()])
+    return tiers.groupBy("node_type", "classification").agg(F.count(F.lit(1)).alias("node_count"))
 
 
 def records_by_tier(records: dict[str, DataFrame]) -> DataFrame:
