@@ -93,6 +93,9 @@ def test_decisions(spark, fixture):
                                   "role string, classification string")
     found = {r.role: r.access_decision for r in A.decide(asked, fixture.roles, fixture.access).collect()}
     assert found == {"DATA_ANALYST": "ACCESS DENIED: Role does not have permission", "DATA_ENGINEER": "ACCESS GRANTED"}
+    one = A.decide_one(fixture.roles, fixture.access, "PUBLIC_USER", "Restricted", "GRANTED", "DENIED").collect()
+    assert [r.access_decision for r in one] == ["DENIED"]
+    assert A.decide_one(fixture.roles, fixture.access, "GHOST", "Public").count() == 0
     short = A.decide(asked, fixture.roles, fixture.access, "GRANTED", "DENIED")
     assert {r.access_decision for r in short.collect()} == {"GRANTED", "DENIED"}
 
@@ -108,6 +111,8 @@ def test_lineage(fixture):
 def test_audits(fixture):
     assert [(r.table_name, r.pii_column_count) for r in A.pii_exposure(fixture.catalog).collect()] == [
         ("CUSTOMERS", 7), ("EMPLOYEES", 6), ("AUDIT_LOGS", 1)]
+    known = fixture.spark.createDataFrame([("SECURITY_DEMO_DB.DEMO_SCHEMA.CUSTOMERS",)], "fqn string")
+    assert [r.table_name for r in A.pii_exposure(fixture.catalog, known).collect()] == ["CUSTOMERS"]
     gaps = A.encryption_gaps(fixture.catalog)
     assert dict(rows(gaps.groupBy("table_name").count())) == {
         "CUSTOMERS": 5, "FINANCIAL_TRANSACTIONS": 6, "EMPLOYEES": 8, "PRODUCTS": 2, "AUDIT_LOGS": 4}

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tierwarden.functions.text import column_fqn, or_default, strip
 from tierwarden.model import (
-    RANKS, TAG_FIELDS, grants_df, policy_refs_df, sheet_assignments, taxonomy_df,
+    RANKS, TAG_FIELDS, policy_refs_df, sheet_assignments, taxonomy_df,
 )
 from tierwarden.operators import catalog as C
 from tierwarden.operators.graph import sheet_tiers, table_tier
@@ -136,7 +136,7 @@ def test_sources(spark, fixture, tmp_path):
     empty = policy_refs_df(spark, ["nowhere"])
     assert empty.count() == 0 and "policy_kind" in empty.columns
     assert policy_refs_df(spark).count() == 15
-    held = {r.object for r in grants_df(spark, "DATA_ANALYST").collect()}
+    held = {r.object for r in I.grants_for(spark, "DATA_ANALYST").collect()}
     assert "ROLE PUBLIC_USER" in held and len(held) == 6
     assert I.list_policies(spark, "ROW_ACCESS").count() == 3
     assert I.list_policies(spark, name="ssn_masking_policy").count() == 1

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tierwarden.functions.policies import MASKS, ROW_RULES, Policy, register_mask
 from tierwarden.model import MASK_BINDINGS, ROLE_NAMES
 from tierwarden.operators.secure import apply_masks, apply_masks_by_role_column, apply_row_policy, secure, secure_view
+from tierwarden.plans.access import masked_sample
 
 READERS = ROLE_NAMES + ["ACCOUNTADMIN", "NOBODY"]
 PRIV = {"DATA_ENGINEER", "DATA_GOVERNANCE_ADMIN", "ACCOUNTADMIN"}
@@ -158,8 +159,8 @@ def test_role_column_and_view_and_custom_mask(spark, fixture):
 
 
 def test_masking_in_action_sample(fixture):
-    first = secure(fixture.entities["EMPLOYEES"], "EMPLOYEES", "DATA_ANALYST").select(
-        "employee_id", "email", "ssn", "salary").orderBy("employee_id").limit(5).collect()
+    first = masked_sample(fixture.entities["EMPLOYEES"], "EMPLOYEES", "DATA_ANALYST",
+                          ["employee_id", "email", "ssn", "salary"], "employee_id").collect()
     assert len(first) == 5
     assert {(r.email, r.ssn, r.salary) for r in first} == {("***@company.example", "***-**-****", Decimal("-1.00"))}
 

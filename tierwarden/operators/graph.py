@@ -36,6 +36,16 @@ def edges_of(df: DataFrame, src: Column, dst: Column, kind: str) -> DataFrame:
     return df.select(src.alias("src"), dst.alias("dst"), F.lit(kind).alias("type"), _no_props().alias("props"))
 
 
+@dataclass
+class Graph:
+    typed: dict[str, DataFrame]
+    edges: DataFrame
+
+    @property
+    def vertices(self) -> DataFrame:
+        return union_all([as_vertices(df, label) for label, df in self.typed.items()])
+
+
 # -- catalog part ------------------------------------------------------------
 
 def columns_frame(catalog: DataFrame, run_ts, database: str = DATABASE, schema: str = SCHEMA) -> DataFrame:
@@ -80,6 +90,16 @@ def catalog_edges(spark: SparkSession, catalog: DataFrame,
     ])
 
 
+def build_catalog_graph(spark: SparkSession, catalog: DataFrame, run_ts, platform: str = "warehouse",
+                        database: str = DATABASE, schema: str = SCHEMA) -> Graph:
+    """Database, Schema, Table and Column vertices with the edges between them."""
+    typed = {"Database": databases_frame(spark, platform, run_ts, database),
+             "Schema": schemas_frame(spark, database, schema),
+             "Table": tables_frame(catalog, run_ts, platform, database, schema),
+             "Column": columns_frame(catalog, run_ts, database, schema)}
+    return Graph(typed, catalog_edges(spark, catalog, database, schema))
+
+
 def classified_as(columns: DataFrame, tiers: DataFrame) -> DataFrame:
     """Column -> Classification, re-derived from the column's tag."""
     known = columns.where(F.col("data_classification").isNotNull()
@@ -190,16 +210,6 @@ def from_vertices(vertices: DataFrame, label: str, schema: T.StructType) -> Data
     return vertices.where(F.array_contains("labels", label)).select([value(f) for f in schema.fields])
 
 
-@dataclass
-class Graph:
-    typed: dict[str, DataFrame]
-    edges: DataFrame
-
-    @property
-    def vertices(self) -> DataFrame:
-        return union_all([as_vertices(df, label) for label, df in self.typed.items()])
-
-
 def build_graph(spark: SparkSession, catalog: DataFrame, entities: dict[str, DataFrame],
                 policy_refs: DataFrame, run_ts, platform: str = "warehouse",
                 database: str = DATABASE, schema: str = SCHEMA,
@@ -211,23 +221,21 @@ def build_graph(spark: SparkSession, catalog: DataFrame, entities: dict[str, Dat
     one rather than one still to be pivoted.
     """
     tier_rows = tiers_df(spark)
-    columns = columns_frame(catalog, run_ts, database, schema)
+    base = build_catalog_graph(spark, catalog, run_ts, platform, database, schema)
+    columns = base.typed["Column"]
     policies = policies_df(spark)
     can_access = can_access_df(spark) if can_access is None else can_access
     inherits = inherits_df(spark) if inherits is None else inherits
     typed = {
-        "Database": databases_frame(spark, platform, run_ts, database),
-        "Schema": schemas_frame(spark, database, schema),
-        "Table": tables_frame(catalog, run_ts, platform, database, schema),
+        **base.typed,
         "Classification": tier_rows,
         "Role": roles_df(spark),
-        "Column": columns,
         "Policy": policies.withColumn("source_platform", F.lit(platform)),
         "AccessControlConfig": local_df(
             spark, [("DEFAULT", "role -> CAN_ACCESS -> Classification <- HAS_CLASSIFICATION <- record", "1.0")],
             "name string, check_pattern string, version string").withColumn("created_at", F.lit(run_ts)),
     }
-    edges = [catalog_edges(spark, catalog, database, schema), classified_as(columns, tier_rows),
+    edges = [base.edges, classified_as(columns, tier_rows),
              role_edges(can_access, inherits), masks(policy_refs, columns, policies)]
     for table, df in entities.items():
         label, key = LABEL_OF[table.upper()], KEY_OF[table.upper()]

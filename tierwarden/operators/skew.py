@@ -68,7 +68,9 @@ def list_pages(df: DataFrame, group: str, item: Column, page_size: int,
     rows = df.select(group, item.alias("_item"), spread.cast("long").alias("_spread"))
     counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("group_rows"))
     pages = F.ceil(F.col("group_rows") / F.lit(page_size))
-    paged = (salted_join(rows, counts, group, "_spread")
+    # The counts name the heavy groups too, so the rows are not counted again.
+    hot = counts.orderBy(F.col("group_rows").desc(), F.col(group)).limit(HOT_KEYS).select(group)
+    paged = (salted_join(rows, counts, group, "_spread", hot=hot)
              .withColumn("page", F.pmod(F.col("_spread"), pages).cast("long")))
     return (paged.groupBy(group, "page", "group_rows")
             .agg(F.sort_array(F.collect_list("_item")).alias("items")))

@@ -13,12 +13,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierwarden.model import DATABASE, RANKS, SCHEMA, TAG_FIELDS
+from tierwarden.functions.text import table_fqn
+from tierwarden.model import DATABASE, RANKS, SCHEMA, TAG_FIELDS, local_df
 from tierwarden.operators import graph as G
 from tierwarden.operators import paths as P
 from tierwarden.operators.catalog import pivot_tags, tier_rank, union_all
 from tierwarden.operators.durable import cut_lineage
-from tierwarden.operators.secure import gate_records, project_for_role
+from tierwarden.operators.secure import gate_records, project_for_role, secure
 from tierwarden.operators.skew import list_pages, salted_join
 
 DENIED = "ACCESS DENIED: Role does not have permission"
@@ -93,6 +94,13 @@ def decide(requests: DataFrame, roles: DataFrame, can_access: DataFrame,
             .withColumnRenamed("classification", "classification_requested"))
 
 
+def decide_one(roles: DataFrame, can_access: DataFrame, role: str, classification: str,
+               granted: str = GRANTED, denied: str = DENIED) -> DataFrame:
+    """Decision for one role and tier; no row for an unknown role."""
+    asked = local_df(roles.sparkSession, [(role, classification)], "role string, classification string")
+    return decide(asked, roles, can_access, granted, denied)
+
+
 # -- records -------------------------------------------------------------------
 
 def record_counts(records: dict[str, DataFrame]) -> DataFrame:
@@ -148,6 +156,11 @@ def denied_sample(records: dict[str, DataFrame], keys: dict[str, str], can_acces
     return _first(rows, limit, "node_type", "node_id")
 
 
+def masked_sample(df: DataFrame, table: str, role: str, columns: list[str], key: str, limit: int = 5) -> DataFrame:
+    """The first rows of a table as a role sees them: masking in action."""
+    return secure(df, table, role).select(columns).orderBy(key).limit(limit)
+
+
 HR_FIELDS = {"id": "employee_id", "first_name": "first_name", "last_name": "last_name", "email": "email",
              "department": "department", "job_title": "job_title", "location": "location_office"}
 HR_NOTES = {"salary": "[MASKED - Restricted]", "ssn": "[MASKED - Restricted]"}
@@ -292,10 +305,17 @@ def column_decisions(catalog: DataFrame, can_access: DataFrame, role: str, table
             .withColumn("access_decision", verdict))
 
 
-def pii_exposure(catalog: DataFrame) -> DataFrame:
-    """PII columns per table (a list is bounded by the width of its table)."""
-    return (catalog.where(F.col("data_classification") == "PII")
-            .groupBy("table_name")
+def pii_exposure(catalog: DataFrame, tables: DataFrame | None = None,
+                 database: str = DATABASE, schema: str = SCHEMA) -> DataFrame:
+    """PII columns per table (a list is bounded by the width of its table).
+
+    With ``tables(fqn, ...)`` only tables known there count; they are matched on
+    the name built from the column's table.
+    """
+    pii = catalog.where(F.col("data_classification") == "PII")
+    if tables is not None:
+        pii = pii.withColumn("fqn", table_fqn("table_name", database, schema)).join(tables, "fqn", "left_semi")
+    return (pii.groupBy("table_name")
             .agg(F.sort_array(F.collect_list("column_name")).alias("pii_columns"),
                  F.count(F.lit(1)).alias("pii_column_count"))
             .orderBy(F.col("pii_column_count").desc(), "table_name"))

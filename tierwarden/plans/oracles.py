@@ -261,6 +261,8 @@ TABLE_ID = f"'Table:'||{FQN}||table_name"
 TIER_IN = "('Restricted','PII','Internal','Public')"
 
 SQL: dict[str, str] = {}
+SQL["a01_capped_read"] = ("SELECT o_orderkey, o_custkey, o_orderstatus FROM "
+                          "(SELECT * FROM orders ORDER BY o_orderkey LIMIT 1000)")
 SQL["a02_tag_refs"] = _with(
     f"SELECT '{DATABASE}' AS tag_database, '{SCHEMA}' AS tag_schema, upper(tag_name) AS tag_name, tag_value, "
     f"'{DATABASE}' AS object_database, '{SCHEMA}' AS object_schema, table_name AS object_name, column_name, "
@@ -308,7 +310,7 @@ SQL["b01_tag_violations"] = _with(
 SQL["b02_assigned_tags"] = _with("SELECT * FROM assigned", "assigned")
 SQL["b03_defaults"] = _with(
     "SELECT customer_id, CASE WHEN customer_id%7<>0 THEN country ELSE 'USA' END AS country, "
-    "CASE WHEN customer_id%3<>0 THEN created_at ELSE TIMESTAMP '2024-07-01' END AS created_at, "
+    "CAST(CASE WHEN customer_id%3<>0 THEN created_at ELSE TIMESTAMP '2024-07-01' END AS VARCHAR) AS created_at, "
     "CASE WHEN customer_id%5<>0 THEN is_active ELSE true END AS is_active FROM customers", "customers")
 SQL["b04_duplicate_keys"] = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, CAST({k} AS VARCHAR) AS key_value, count(*) AS rows FROM {s} "
@@ -585,6 +587,14 @@ SQL["m16_sensitive_lineage_row_tier"] = _with(_LINEAGE.format(c="row_counts", t=
 SQL["m17_pii_exposure"] = _with(
     "SELECT table_name, string_agg(column_name, ',' ORDER BY column_name) AS pii_columns, count(*) AS pii_column_count "
     "FROM catalog WHERE data_classification='PII' GROUP BY table_name", "catalog")
+SQL["m17_pii_exposure_known_tables"] = _with(
+    "SELECT table_name, string_agg(column_name, ',' ORDER BY column_name) AS pii_columns, count(*) AS pii_column_count "
+    "FROM catalog WHERE data_classification='PII' AND table_name IN "
+    "(SELECT table_name FROM policy_refs WHERE policy_status='ACTIVE') GROUP BY table_name", "catalog", "policy_refs")
+for _r in ("DATA_ENGINEER", "HR_MANAGER", "DATA_ANALYST"):
+    SQL[f"m35_masked_sample_{_r.lower()}"] = (
+        f"SELECT employee_id, first_name, last_name, email, ssn, salary FROM ({_secured('EMPLOYEES', _r)}) "
+        "ORDER BY employee_id LIMIT 5")
 _RISK = "SELECT table_name, column_name, data_classification AS classification, '{w}' AS warning FROM {s} WHERE " \
         "data_classification IN ('Restricted','PII') AND {c}"
 SQL["m18_encryption_gaps"] = _with(_RISK.format(

@@ -70,6 +70,12 @@ KEYS = {LABEL_OF[t]: k for t, k in KEY_OF.items()}
 
 # -- A: sources and sinks ------------------------------------------------------
 
+@query("a01_capped_read")
+def _(spark, sf):
+    return I.read_entity(spark, f"{sf}/orders.parquet", cap=1000, key="o_orderkey") \
+            .select("o_orderkey", "o_custkey", "o_orderstatus")
+
+
 @query("a02_tag_refs")
 def _(spark, sf):
     return I.tag_refs(Estate(spark, sf).assigned)
@@ -138,7 +144,7 @@ def _(spark, sf):
         k, F.when(k % 7 != 0, F.col("country")).alias("country"),
         F.when(k % 3 != 0, F.col("created_at")).alias("created_at"),
         F.when(k % 5 != 0, F.col("is_active")).alias("is_active"))
-    return C.apply_defaults(given, "CUSTOMERS", RUN_TS)
+    return C.apply_defaults(given, "CUSTOMERS", RUN_TS).withColumn("created_at", F.col("created_at").cast("string"))
 
 
 @query("b04_duplicate_keys")
@@ -666,6 +672,24 @@ def _(spark, sf):
     return A.tag_listing(I.short_refs(I.tag_refs(Estate(spark, sf).assigned)))
 
 
+def _sample(role: str) -> Query:
+    columns = ["employee_id", "first_name", "last_name", "email", "ssn", "salary"]
+    return lambda spark, sf: A.masked_sample(Entities(spark, sf).employees, "EMPLOYEES", role, columns, "employee_id")
+
+
+for _r in ("DATA_ENGINEER", "HR_MANAGER", "DATA_ANALYST"):
+    QUERIES[f"m35_masked_sample_{_r.lower()}"] = _sample(_r)
+
+
+@query("m17_pii_exposure_known_tables")
+def _(spark, sf):
+    """Exposure of the tables that carry an active policy, matched on their qualified name."""
+    s = Estate(spark, sf)
+    known = s.policy_refs.where(F.col("policy_status") == "ACTIVE").select(
+        F.concat(F.lit(f"{DATABASE}.{SCHEMA}."), "table_name").alias("fqn")).distinct()
+    return joined(A.pii_exposure(s.catalog, known), "pii_columns")
+
+
 # -- N: streaming --------------------------------------------------------------
 
 @query("n01_stream_sync")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierwarden.model import (
-    DATABASE, KEY_OF, SCHEMA, local_df, policies_df, taxonomy_df,
+    DATABASE, SCHEMA, grants_df, local_df, policies_df, taxonomy_df,
 )
 
 
@@ -103,5 +103,6 @@ def list_policies(spark: SparkSession, kind: str | None = None, name: str | None
     return out
 
 
-def key_of(table: str) -> str:
-    return KEY_OF[table.upper()]
+def grants_for(spark: SparkSession, role: str) -> DataFrame:
+    """Grants held by one role."""
+    return grants_df(spark, role)
