@@ -11,7 +11,11 @@ from datetime import date, datetime
 from decimal import Decimal
 from functools import cached_property
 
-from tierwarden.model import can_access_df, policies_df, policy_refs_df, roles_df, sheet_tag_refs
+from pyspark.sql import functions as F
+
+from tierwarden.model import (
+    CATALOG_SCHEMA, TIER_SHEET, can_access_df, local_df, policies_df, policy_refs_df, roles_df, sheet_tag_refs,
+)
 from tierwarden.operators import catalog as C
 from tierwarden.operators import graph as G
 from tierwarden.sources.inventory import catalog_from_schemas
@@ -91,6 +95,56 @@ ROWS = {"CUSTOMERS": _customer, "FINANCIAL_TRANSACTIONS": _transaction, "EMPLOYE
         "PRODUCTS": _product, "AUDIT_LOGS": _log}
 
 
+# The reduced data set - its 42 columns and the rows it keeps.
+SMALL_COLUMNS = {
+    "CUSTOMERS": "CUSTOMER_ID FIRST_NAME LAST_NAME EMAIL PHONE SSN CITY COUNTRY CUSTOMER_TIER IS_ACTIVE",
+    "EMPLOYEES": "EMPLOYEE_ID FIRST_NAME LAST_NAME EMAIL SSN SALARY BONUS DEPARTMENT LOCATION_OFFICE CLEARANCE_LEVEL",
+    "FINANCIAL_TRANSACTIONS": "TRANSACTION_ID ACCOUNT_NUMBER TRANSACTION_AMOUNT FRAUD_FLAG MERCHANT_CATEGORY "
+                              "CURRENCY IP_ADDRESS",
+    "PRODUCTS": "PRODUCT_ID PRODUCT_SKU PRODUCT_NAME PRODUCT_DESCRIPTION CATEGORY SUBCATEGORY LAUNCH_DATE "
+                "COST_PRICE PROFIT_MARGIN UNIT_PRICE",
+    "AUDIT_LOGS": "LOG_ID USER_EMAIL SOURCE_IP ACTION_TYPE SUCCESS_FLAG",
+}
+SMALL_ROWS = {"CUSTOMERS": [1, 2, 3, 4, 5], "EMPLOYEES": [1, 2, 10, 8], "PRODUCTS": [1, 2, 3],
+              "FINANCIAL_TRANSACTIONS": [1, 2, 10], "AUDIT_LOGS": [1, 2, 8]}
+SMALL_MANAGERS = {5001: 5010, 5002: 5010, 5008: 5002}
+
+
+class SmallFixture:
+    """Few columns and rows; sources lack most of the columns a record could have."""
+
+    def __init__(self, spark):
+        self.spark = spark
+        self.policy_refs = policy_refs_df(spark)
+
+    @cached_property
+    def entities(self):
+        out = {}
+        for table, picked in SMALL_ROWS.items():
+            df = self.spark.createDataFrame([ROWS[table](i) for i in picked], DDL[table])
+            if table == "EMPLOYEES":
+                links = F.create_map(*[F.lit(x) for pair in SMALL_MANAGERS.items() for x in pair])
+                df = df.withColumn("manager_id", links[F.col("employee_id").cast("int")].cast("long"))
+            drop = {"CUSTOMERS": ["ssn", "phone"], "EMPLOYEES": ["ssn", "salary", "bonus"],
+                    "PRODUCTS": ["cost_price"], "FINANCIAL_TRANSACTIONS": ["transaction_amount"],
+                    "AUDIT_LOGS": ["source_ip"]}[table]
+            out[table] = df.drop(*drop)
+        return out
+
+    @cached_property
+    def catalog(self):
+        tiers = {(t, c): tier for t, by in TIER_SHEET.items() for tier, names in by.items() for c in names.split()}
+        rows = []
+        for table, names in SMALL_COLUMNS.items():
+            for i, c in enumerate(names.split(), 1):
+                tier = tiers[(table, c)]
+                rows.append((table, c, "VARCHAR", "YES", i, tier, None,
+                             "Yes" if tier in ("Restricted", "PII") else "No",
+                             "7_years" if tier == "Restricted" else None,
+                             "Compliance Team" if tier == "Restricted" else None))
+        return C.fill_tag_defaults(local_df(self.spark, rows, CATALOG_SCHEMA))
+
+
 class Fixture:
     def __init__(self, spark):
         self.spark = spark

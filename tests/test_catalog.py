@@ -116,7 +116,8 @@ def test_minimised_columns(fixture):
     assert "data_classification_accessed" in minimise(e["AUDIT_LOGS"], "AUDIT_LOGS").columns
     narrow = e["CUSTOMERS"].select("customer_id", F.lit(None).cast("boolean").alias("is_active"))
     row = minimise(narrow, "CUSTOMERS").first()
-    assert row.is_active is False and row.city is None
+    assert row.is_active is False and row.city is None and row.country == "USA"
+    assert minimise(e["CUSTOMERS"].select("customer_id"), "CUSTOMERS").first().is_active is True
     out = with_provenance(minimise(e["PRODUCTS"], "PRODUCTS"), "products", "warehouse", datetime(2024, 1, 1))
     assert out.select("source_table", "ingested_at").distinct().count() == 1
 

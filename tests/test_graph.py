@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tierwarden.model import EDGE_SCHEMA, UNIQUE_KEYS, VERTEX_SCHEMA, local_df
 from tierwarden.operators import catalog as C
 from tierwarden.operators import graph as G
+from tierwarden.plans import access as A
 from tierwarden.sources import snapshot as S
 
 TS = datetime(2024, 7, 1)
@@ -40,6 +41,20 @@ def test_counts(graph):
     assert found[("total", "vertices")] == 159 and found[("total", "edges")] == 271
 
 
+def test_reduced_data_set(spark):
+    from fixture import SmallFixture
+    small = SmallFixture(spark)
+    g = G.build_graph(spark, small.catalog, small.entities, small.policy_refs, TS)
+    assert dict(tuple(r) for r in C.tier_coverage(small.catalog).collect()) == {
+        "Internal": 12, "PII": 8, "Restricted": 12, "Public": 10}
+    found = {(r.kind, r.name): r.n for r in G.graph_summary(g.vertices, g.edges).collect()}
+    assert found[("total", "vertices")] == 88 and found[("total", "edges")] == 150
+    assert {k[1]: n for k, n in found.items() if k[0] == "type"} == {
+        "HAS_COLUMN": 42, "CLASSIFIED_AS": 42, "CAN_ACCESS": 19, "HAS_CLASSIFICATION": 18, "MASKS": 11,
+        "INHERITS_FROM": 6, "CONTAINS_TABLE": 5, "MADE_TRANSACTION": 3, "REPORTS_TO": 3, "CONTAINS_SCHEMA": 1}
+    assert A.encryption_gaps(small.catalog).count() == 0
+
+
 def test_keys_unique_and_edges_connected(graph):
     g, vertices, edges = graph
     assert vertices.select("id").distinct().count() == 159

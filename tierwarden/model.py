@@ -11,6 +11,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 DATABASE = "SECURITY_DEMO_DB"
 SCHEMA = "DEMO_SCHEMA"
@@ -225,6 +226,9 @@ KEPT_COLUMNS = {
     "AUDIT_LOGS": "log_id user_id action_type resource_accessed data_classification_accessed "
                   "success_flag failure_reason",
 }
+# Values of kept columns that a source does not have at all.
+ABSENT_DEFAULTS = {"is_active": True, "success_flag": True, "remote_work": False, "fraud_flag": False,
+                   "country": "USA", "currency": "USD"}
 UNIQUE_KEYS = {
     "Database": "fqn", "Schema": "fqn", "Table": "fqn", "Column": "fqn",
     "Classification": "name", "Role": "name", "Policy": "name",
@@ -290,9 +294,8 @@ EDGE_SCHEMA = T.StructType([
 # --------------------------------------------------------------------------
 def local_df(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
     """Rows as a local relation (exact size known to the planner)."""
-    target = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    target = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     columns = list(zip(*rows)) if rows else [[] for _ in target.fields]
-    from pyspark.sql.pandas.types import to_arrow_type
     arrays = [pa.array(list(c), type=to_arrow_type(f.dataType)) for c, f in zip(columns, target.fields)]
     return spark.createDataFrame(pa.table(dict(zip(target.names, arrays))), schema=target)
 

@@ -54,7 +54,7 @@ def diff_tags(source: DataFrame, stored: DataFrame, fields: tuple[str, ...] = TA
             .select("fqn", "status", "d.field", "d.old_value", "d.new_value"))
 
 
-def diff_summary(diff: DataFrame, source_columns: Column | None = None) -> DataFrame:
+def diff_summary(diff: DataFrame) -> DataFrame:
     """Counts of a diff; ``changed`` counts fields, the others count columns."""
     return diff.agg(*[F.count_if(F.col("status") == s).alias(s)
                       for s in ("new", "changed", "unchanged", "removed")])

@@ -19,6 +19,8 @@ def shared_dir(spark: SparkSession) -> str:
     if named:
         return named
     sc = spark.sparkContext
+    if sc.getCheckpointDir() is not None:
+        return sc.getCheckpointDir()
     if not sc.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     named = tempfile.mkdtemp(prefix="tierwarden-")

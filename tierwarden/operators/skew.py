@@ -40,8 +40,9 @@ def salted_join(fact: DataFrame, dim: DataFrame, on: str, spread: Column | str,
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join does not keep the meaning of a {how} join")
     spread = F.col(spread) if isinstance(spread, str) else spread
-    found = heaviest_keys(fact, on) if hot is None else hot.toDF(on)
-    hot = F.broadcast(found.limit(HOT_KEYS).withColumn("_hot", F.lit(True)))
+    # Both sides read the list, so a list handed in is cut to size in a fixed order.
+    found = heaviest_keys(fact, on) if hot is None else hot.toDF(on).orderBy(on).limit(HOT_KEYS)
+    hot = F.broadcast(found.withColumn("_hot", F.lit(True)))
     cut = (fact.join(hot, on, "left")
            .withColumn(ROUTED, F.when(F.col("_hot") | F.col(on).isNull(),
                                       F.pmod(F.xxhash64(spread), F.lit(salts)))

@@ -24,6 +24,7 @@ from tierwarden.operators.skew import list_pages, salted_join
 
 DENIED = "ACCESS DENIED: Role does not have permission"
 GRANTED = "ACCESS GRANTED"
+PAGE = 10000  # longest list in one row; longer ones continue on further rows
 
 
 def _allowed(can_access: DataFrame, role: str, tier: str = "classification") -> DataFrame:
@@ -274,12 +275,11 @@ def accessible_columns(catalog: DataFrame, can_access: DataFrame, role: str, tab
 
 
 def accessible_column_lists(catalog: DataFrame, can_access: DataFrame, role: str,
-                            table: str | None = None) -> DataFrame:
-    """The same as one list per table (bounded by the width of a table)."""
+                            table: str | None = None, page_size: int = PAGE) -> DataFrame:
+    """The same as one list per table; a table of more columns continues on further pages."""
     label = F.concat("column_name", F.lit(" ("), "classification", F.lit(")"))
-    return (accessible_columns(catalog, can_access, role, table)
-            .groupBy("table_name").agg(F.sort_array(F.collect_list(label)).alias("accessible_columns"))
-            .select(F.lit(role).alias("role"), "table_name", "accessible_columns"))
+    return (list_pages(accessible_columns(catalog, can_access, role, table), "table_name", label, page_size)
+            .select(F.lit(role).alias("role"), "table_name", "page", F.col("items").alias("accessible_columns")))
 
 
 def column_visibility(catalog: DataFrame, can_access: DataFrame, role: str, table: str | None = None) -> DataFrame:
@@ -306,8 +306,8 @@ def column_decisions(catalog: DataFrame, can_access: DataFrame, role: str, table
 
 
 def pii_exposure(catalog: DataFrame, tables: DataFrame | None = None,
-                 database: str = DATABASE, schema: str = SCHEMA) -> DataFrame:
-    """PII columns per table (a list is bounded by the width of its table).
+                 database: str = DATABASE, schema: str = SCHEMA, page_size: int = PAGE) -> DataFrame:
+    """PII columns per table; a table of more columns continues on further pages.
 
     With ``tables(fqn, ...)`` only tables known there count; they are matched on
     the name built from the column's table.
@@ -315,10 +315,10 @@ def pii_exposure(catalog: DataFrame, tables: DataFrame | None = None,
     pii = catalog.where(F.col("data_classification") == "PII")
     if tables is not None:
         pii = pii.withColumn("fqn", table_fqn("table_name", database, schema)).join(tables, "fqn", "left_semi")
-    return (pii.groupBy("table_name")
-            .agg(F.sort_array(F.collect_list("column_name")).alias("pii_columns"),
-                 F.count(F.lit(1)).alias("pii_column_count"))
-            .orderBy(F.col("pii_column_count").desc(), "table_name"))
+    return (list_pages(pii, "table_name", F.col("column_name"), page_size)
+            .select("table_name", "page", F.col("items").alias("pii_columns"),
+                    F.col("group_rows").alias("pii_column_count"))
+            .orderBy(F.col("pii_column_count").desc(), "table_name", "page"))
 
 
 def encryption_gaps(catalog: DataFrame, null_is_gap: bool = False) -> DataFrame:
@@ -333,7 +333,7 @@ def encryption_gaps(catalog: DataFrame, null_is_gap: bool = False) -> DataFrame:
                     F.lit(text).alias("warning")))
 
 
-def owners(catalog: DataFrame, exclude_empty: bool = True, page_size: int = 10000,
+def owners(catalog: DataFrame, exclude_empty: bool = True, page_size: int = PAGE,
            spread: Column | None = None) -> DataFrame:
     """Columns per owner.  An owner of more than ``page_size`` columns continues on further pages."""
     owned = catalog.where(F.col("data_owner").isNotNull())

@@ -554,7 +554,7 @@ _HR = f"FROM catalog WHERE data_classification IN {_REACH.format(r='HR_MANAGER')
 SQL["m09_accessible_columns"] = _with(
     f"SELECT table_name, column_name, data_classification AS classification, data_owner {_HR}", "catalog", "access")
 SQL["m09_accessible_column_lists"] = _with(
-    "SELECT 'HR_MANAGER' AS role, table_name, string_agg(column_name||' ('||data_classification||')', ',' "
+    "SELECT 'HR_MANAGER' AS role, table_name, 0 AS page, string_agg(column_name||' ('||data_classification||')', ',' "
     f"ORDER BY column_name) AS accessible_columns {_HR} GROUP BY table_name", "catalog", "access")
 SQL["m10_column_visibility"] = _with(
     "SELECT table_name, column_name, data_classification AS classification, CASE WHEN data_classification IN "
@@ -585,10 +585,10 @@ SQL["m16_sensitive_lineage"] = _with(_LINEAGE.format(c="counts", t="'Restricted'
 SQL["m16_sensitive_lineage_row_tier"] = _with(_LINEAGE.format(c="row_counts", t="'Restricted','PII'"),
                                               "row_counts", "access")
 SQL["m17_pii_exposure"] = _with(
-    "SELECT table_name, string_agg(column_name, ',' ORDER BY column_name) AS pii_columns, count(*) AS pii_column_count "
+    "SELECT table_name, 0 AS page, string_agg(column_name, ',' ORDER BY column_name) AS pii_columns, count(*) AS pii_column_count "
     "FROM catalog WHERE data_classification='PII' GROUP BY table_name", "catalog")
 SQL["m17_pii_exposure_known_tables"] = _with(
-    "SELECT table_name, string_agg(column_name, ',' ORDER BY column_name) AS pii_columns, count(*) AS pii_column_count "
+    "SELECT table_name, 0 AS page, string_agg(column_name, ',' ORDER BY column_name) AS pii_columns, count(*) AS pii_column_count "
     "FROM catalog WHERE data_classification='PII' AND table_name IN "
     "(SELECT table_name FROM policy_refs WHERE policy_status='ACTIVE') GROUP BY table_name", "catalog", "policy_refs")
 for _r in ("DATA_ENGINEER", "HR_MANAGER", "DATA_ANALYST"):

@@ -23,7 +23,7 @@ from tierwarden.plans import access as A
 from tierwarden.sources import inventory as I
 from tierwarden.sources import snapshot as S
 from tierwarden.sources.entities import Entities, minimise
-from tierwarden.sources.estate import ORDER, Estate, _pick
+from tierwarden.sources.estate import ORDER, Estate, pick
 from tierwarden.streaming import streams as W
 
 RUN_TS = datetime(2024, 7, 1)
@@ -206,7 +206,7 @@ for _t, _r in SECURED_READS:
 def _(spark, sf):
     """Audit rows, each masked for the role of its own reader."""
     with_role = Entities(spark, sf).audit_logs.withColumn(
-        "reader_role", _pick(F.col("records_accessed") % len(READERS), READERS))
+        "reader_role", pick(F.col("records_accessed") % len(READERS), READERS))
     return (apply_masks_by_role_column(with_role, "AUDIT_LOGS", "reader_role")
             .select("log_id", "reader_role", "user_email", "source_ip"))
 

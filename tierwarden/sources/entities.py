@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwarden.model import KEPT_COLUMNS, LABEL_OF
+from tierwarden.model import ABSENT_DEFAULTS, KEPT_COLUMNS, LABEL_OF
 from tierwarden.functions.text import or_false
 from tierwarden.sources.raw import read_raw
 
@@ -210,11 +210,12 @@ class Entities:
 def minimise(df: DataFrame, table: str) -> DataFrame:
     """The data-minimising projection of an entity: its safe subset of columns.
 
-    Missing columns are added as typed NULLs; the employee's active flag and the
-    audit record's renamed tier are derived first.  Missing booleans become false.
+    The employee's active flag and the audit record's renamed tier are derived
+    first.  A column the source lacks takes its default, else NULL; a NULL boolean
+    becomes false.
     """
     name = table.upper()
-    if name == "EMPLOYEES" and "is_active" not in df.columns:
+    if name == "EMPLOYEES" and "termination_date" in df.columns:
         df = df.withColumn("is_active", F.col("termination_date").isNull())
     if name == "AUDIT_LOGS":
         df = df.withColumnRenamed("data_classification", "data_classification_accessed")
@@ -222,7 +223,8 @@ def minimise(df: DataFrame, table: str) -> DataFrame:
 
     def kept(column: str) -> Column:
         if column not in have:
-            return F.lit(None).cast("string").alias(column)
+            value = ABSENT_DEFAULTS.get(column)
+            return (F.lit(None).cast("string") if value is None else F.lit(value)).alias(column)
         return or_false(column).alias(column) if have[column] == "boolean" else F.col(column)
 
     return df.select([kept(c) for c in KEPT_COLUMNS[name].split()])

@@ -25,7 +25,7 @@ ORDER = ["assigned_at", "statement_id", "line"]
 TEAMS = ["Compliance Team", "Finance Team", "HR Team", "Security Team", "Risk & Fraud Team"]
 
 
-def _pick(index: Column, values: list[str | None]) -> Column:
+def pick(index: Column, values: list[str | None]) -> Column:
     """values[index] as a CASE expression (stays inside generated code)."""
     out = F.when(index == 0, F.lit(values[0]))
     for i, v in enumerate(values[1:], 1):
@@ -83,12 +83,12 @@ class Estate:
         tag = (F.when(n <= 3, "data_classification").when(n == 4, "data_category")
                .when(n == 5, "encryption_required").when(n == 6, "retention_policy")
                .otherwise("data_owner"))
-        value = (F.when(n <= 3, _pick(qty % 10, ["Restricted", "Restricted", "PII", "PII", "Internal",
+        value = (F.when(n <= 3, pick(qty % 10, ["Restricted", "Restricted", "PII", "PII", "Internal",
                                                  " Internal ", "Internal", "Public", "", "Secret"]))
-                 .when(n == 4, _pick(qty % 4, ["Personal", "Financial", "Operational", ""]))
-                 .when(n == 5, _pick(qty % 3, ["Yes", "No", ""]))
-                 .when(n == 6, _pick(qty % 5, ["30_days", "1_year", "7_years", "Indefinite", ""]))
-                 .otherwise(_pick(qty % 7, TEAMS + ["", None])))
+                 .when(n == 4, pick(qty % 4, ["Personal", "Financial", "Operational", ""]))
+                 .when(n == 5, pick(qty % 3, ["Yes", "No", ""]))
+                 .when(n == 6, pick(qty % 5, ["30_days", "1_year", "7_years", "Indefinite", ""]))
+                 .otherwise(pick(qty % 7, TEAMS + ["", None])))
         return lineitem.select(
             _table_of("l_partkey").alias("table_name"), _column_of("l_partkey").alias("column_name"),
             tag.alias("tag_name"), value.alias("tag_value"),
@@ -134,7 +134,7 @@ class Estate:
         size = F.col("p_size")
         return self.raw("part").where(size <= 27).select(
             _table_of("p_partkey").alias("table_name"), _column_of("p_partkey").alias("column_name"),
-            F.when(size <= 24, _pick(size % 6, names)).otherwise(_pick(size - 25, rules)).alias("policy_name"),
+            F.when(size <= 24, pick(size % 6, names)).otherwise(pick(size - 25, rules)).alias("policy_name"),
             F.when(size <= 24, "MASKING_POLICY").otherwise("ROW_ACCESS_POLICY").alias("policy_kind"),
             F.when(size % 8 == 0, "INACTIVE").otherwise("ACTIVE").alias("policy_status"))
 
@@ -142,7 +142,7 @@ class Estate:
 
     @cached_property
     def _base_role(self) -> Column:
-        return _pick(F.col("s_suppkey") % len(ROLE_NAMES), ROLE_NAMES)
+        return pick(F.col("s_suppkey") % len(ROLE_NAMES), ROLE_NAMES)
 
     @cached_property
     def teams(self) -> DataFrame:
@@ -177,8 +177,8 @@ class Estate:
     @cached_property
     def requests(self) -> DataFrame:
         """One access request per event; one reader in eight holds no known role."""
-        tier = _pick(F.col("event_id") % 4, list(RANKS))
+        tier = pick(F.col("event_id") % 4, list(RANKS))
         return self.raw("events").select(
             F.col("event_id").alias("request_id"),
-            _pick(F.col("user_id") % 8, ROLE_NAMES + ["GUEST"]).alias("role"),
+            pick(F.col("user_id") % 8, ROLE_NAMES + ["GUEST"]).alias("role"),
             tier.alias("classification"))
