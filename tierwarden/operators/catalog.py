@@ -19,7 +19,7 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def _group(df: DataFrame, keys: list[str]):
+def grouped(df: DataFrame, keys: list[str]):
     """Group by ``keys`` led by their hash.
 
     Text and struct results make Spark aggregate by sorting; table and column
@@ -44,14 +44,14 @@ def assign_tags(assignments: DataFrame, order: list[str]) -> DataFrame:
     any other, and nothing is sorted within a group.
     """
     last = F.max(F.struct(*order, "tag_value"))
-    return (_group(assignments, KEY + ["tag_name"]).agg(last.alias("_last"))
+    return (grouped(assignments, KEY + ["tag_name"]).agg(last.alias("_last"))
             .select(*KEY, "tag_name", F.col("_last.tag_value").alias("tag_value")))
 
 
 def pivot_tags(refs: DataFrame, keys: list[str] = KEY, fields: tuple[str, ...] = TAG_FIELDS) -> DataFrame:
     """One row per column, one field per tag (NULL where the tag is not set)."""
     tag = F.upper("tag_name")
-    return _group(refs, keys).agg(*[
+    return grouped(refs, keys).agg(*[
         F.max(F.when(tag == f.upper(), F.col("tag_value"))).alias(f) for f in fields]).drop("_hash")
 
 
@@ -61,7 +61,7 @@ def current_tags(assignments: DataFrame, order: list[str], keys: list[str] = KEY
     tag = F.upper("tag_name")
     entry = F.struct(*order, "tag_value")
     last = [F.max(F.when(tag == f.upper(), entry)).alias(f"_{f}") for f in fields]
-    return (_group(assignments, keys).agg(*last)
+    return (grouped(assignments, keys).agg(*last)
             .select(*keys, *[F.col(f"_{f}.tag_value").alias(f) for f in fields]))
 
 

@@ -18,10 +18,12 @@ from tierwarden.model import (
     DATABASE, EDGE_SCHEMA, KEY_OF, LABEL_OF, PROPS, RANKS, SCHEMA, TIER_OVERRIDES, TIER_SHEET,
     UNCLASSIFIED, UNIQUE_KEYS, can_access_df, inherits_df, local_df, policies_df, roles_df, tiers_df,
 )
-from tierwarden.operators.catalog import union_all
+from tierwarden.operators.catalog import grouped, union_all
 from tierwarden.operators.skew import salted_join
 from tierwarden.sources.entities import minimise, with_provenance
 
+EDGE_KEY = ["src", "dst", "type"]
+
 
 def _no_props() -> Column:
     return F.create_map().cast(PROPS)
@@ -286,7 +288,7 @@ def merge_edges(existing: DataFrame, incoming: DataFrame) -> DataFrame:
         return df.select("src", "dst", "type", F.map_entries("props").alias("entries"), F.lit(age).alias("age"))
 
     both = tagged(existing, 0).unionByName(tagged(incoming, 1))
-    merged = both.groupBy("src", "dst", "type").agg(
+    merged = grouped(both, EDGE_KEY).agg(
         F.max(F.when(F.col("age") == 0, F.col("entries"))).alias("a"),
         F.max(F.when(F.col("age") == 1, F.col("entries"))).alias("b"))
     none = _no_props()
@@ -296,7 +298,8 @@ def merge_edges(existing: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def distinct_edges(edges: DataFrame) -> DataFrame:
-    return edges.dropDuplicates(["src", "dst", "type"])
+    """One edge per (src, dst, type)."""
+    return grouped(edges, EDGE_KEY).agg(F.any_value("props").alias("props")).select(*EDGE_KEY, "props")
 
 
 def replace_edges(edges: DataFrame, kind: str, rebuilt: DataFrame) -> DataFrame:
