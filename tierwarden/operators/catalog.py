@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +14,11 @@ KEY = ["table_name", "column_name"]
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    """Union by name, built in pairs: every step is analysed anew, so a chain would cost n squared."""
+    while len(frames) > 1:
+        pairs = [frames[i:i + 2] for i in range(0, len(frames), 2)]
+        frames = [p[0].unionByName(p[1]) if len(p) == 2 else p[0] for p in pairs]
+    return frames[0]
 
 
 def grouped(df: DataFrame, keys: list[str]):
