@@ -15,6 +15,7 @@ import corpus_pipeline
 from tierwarden.llm import (byte_bpe, chat, circulant_minhash, decontamination, embedding_dedup, line_dedup, quality, toxicity,
                             url_filter, warc)
 from tierwarden.llm.labels import held_out
+from tierwarden.llm.oracles import SQL  # noqa: F401
 from tierwarden.operators.durable import scratch_path
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -109,5 +110,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_chat_formatting, op2_url_filters, op3_warc, op4_embedding_near_dedup, op5_line_dedup,
                             op6_minhash_near_dedup, op7_toxicity, op8_byte_bpe, op9_decontamination, op10_quality)
 } | {"pipeline": corpus_pipeline.run}
-
-SQL: dict[str, str] = {}
