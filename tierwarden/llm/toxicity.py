@@ -58,12 +58,12 @@ class FactorizationMachine:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def fit(rows: list[tuple[np.ndarray, int]], min_df: int = 5, epochs: int = 16, rate: float = 0.4, sparse: float = 0.5,
+def fit(rows: list[tuple[np.ndarray, int]], min_df: int = 5, epochs: int = 16, rate: float = 0.4, sparse: float = 0.5, decay: float = 1.0,
         start: float = 30.0, seed: int = 3) -> FactorizationMachine:
     """Adagrad on the logistic loss in batches of 64 rows; both classes weigh the same.
 
-    ``start`` keeps terms with small gradients slow, and ``sparse`` pulls every weight towards zero, so
-    that the many terms of a long harmless text do not add up.
+    ``start`` keeps terms with small gradients slow, and ``sparse`` pulls every weight (and ``decay``
+    every factor) towards zero, so that the many terms of a long harmless text do not add up.
     """
     y = np.array([r[1] for r in rows], np.float32)
     slots = np.zeros(1 << HASH_BITS, np.int32)
@@ -78,7 +78,7 @@ def fit(rows: list[tuple[np.ndarray, int]], min_df: int = 5, epochs: int = 16, r
     slots[used] = np.arange(1, len(used) + 1)
     rng = np.random.default_rng(seed)
     w = np.zeros(len(used) + 1, np.float32)
-    v = rng.normal(0, 0.01, (len(used) + 1, FACTORS)).astype(np.float32)
+    v = rng.normal(0, 0.05, (len(used) + 1, FACTORS)).astype(np.float32)
     v[0] = 0
     gw, gv, bias, gb = np.full(len(w), start, np.float32), np.full(v.shape, start, np.float32), 0.0, start
     weight = np.where(y > 0, 0.5 / share, 0.5 / (1 - share))
@@ -108,7 +108,7 @@ def fit(rows: list[tuple[np.ndarray, int]], min_df: int = 5, epochs: int = 16, r
             pace = rate / np.sqrt(gw[seen])
             moved = w[seen] - pace * dw
             w[seen] = np.sign(moved) * np.maximum(0, np.abs(moved) - pace * sparse)
-            v[seen] -= rate * (dv + sparse * v[seen]) / np.sqrt(gv[seen])
+            v[seen] -= rate * (dv + decay * v[seen]) / np.sqrt(gv[seen])
             gb += float(err.sum()) ** 2
             bias -= rate * float(err.sum()) / gb**0.5
     return FactorizationMachine(slots, bias, w, v)
