@@ -5,11 +5,15 @@ coordinate is the least rank of the scattered values shifted by k around the 2**
 coordinates come from these two permutations, without one hash function for each.
 
 Texts of equal shingle sets form a class and only its smallest id goes on. Bands of coordinates
-are bucket keys. In a bucket, each representative is first compared with the bucket's smallest
-only; the verified links are closed to components. Whoever shares a bucket across two components
-is then compared pair by pair, so a group of near copies costs one comparison for each member and
-bucket instead of all pairs, and no link that would join two components is left out. Every link is
-confirmed on the full sets: 100 * intersection >= percent * union.
+are bucket keys. Every bucket has a centre, its member with the most bucket mates over all bands, and members are
+first compared with the centre only; verified links are closed to components. Buckets whose
+members are then of one component are done. In the others, let A(x) be what x has and the centre
+lacks, R(x) the reverse. |x ^ y| = |A(x) ^ A(y)| + |R(x) ^ R(y)| (symmetric differences), so two members can be linked only
+if they share an element of A, or if |A(x)| + |A(y)| + ||R(x)| - |R(y)|| is within the difference that the
+threshold allows. The first kind is found by an equi-join on the elements of A (a prefix of it, as long
+as the threshold asks for), the second by their sizes alone. So a group of near copies costs one comparison
+for each member instead of all pairs, and no link that joins two components is left out. Every
+link is confirmed on the full sets: 100 * intersection >= percent * union.
 
 Defined results: null and empty texts have no shingles and link with nothing; fewer words than
 ``width`` make one shingle; repeated rows belong to one class and each keeps its row; rows of one id with
@@ -98,14 +102,49 @@ def sets_of(df: DataFrame, width: int, text: str = "text", doc_id: str = "doc_id
             .mapInPandas(each, "doc_id long, name binary, shingles array<long>"))
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The ``pairs`` (a, b) whose full sets overlap enough. Each pair moves one set; the other side's set moves once."""
+def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The ``pairs`` (a, b) with sizes n_a, n_b and n_shared. A pair moves one set; the other side's set moves once."""
     big = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b")), "b")
     both = big.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a")), "a")
-    shared = F.size(F.array_intersect("of_a", "of_b"))
-    return (both.withColumn("shared", shared)
-            .filter(F.col("shared") * 100 >= percent * (F.size("of_a") + F.size("of_b") - F.col("shared")))
-            .select("a", "b"))
+    return both.select("a", "b", F.size("of_a").alias("n_a"), F.size("of_b").alias("n_b"),
+                       F.size(F.array_intersect("of_a", "of_b")).alias("n_shared"))
+
+
+def linked(measured: DataFrame, percent: int) -> DataFrame:
+    return measured.filter(F.col("n_shared") * 100 >= percent * (F.col("n_a") + F.col("n_b") - F.col("n_shared"))).select("a", "b")
+
+
+def across(star: DataFrame, measured: DataFrame, sets: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of two components that share a centre and may be linked."""
+    of = grouped.select(F.col("node").alias("doc_id"), "component")
+    placed = star.join(of, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+    members = (placed.join(mixed.select("bucket"), "bucket", "left_semi").filter("doc_id <> centre")
+               .select("centre", "doc_id", "component").distinct())
+    home = of.select(F.col("doc_id").alias("centre"), F.col("component").alias("home"))
+    # symmetric difference d of a linked pair of sizes m, n: (100 + percent) d <= (100 - percent) (m + n)
+    most = F.floor((100 - percent) * (F.col("n_b") + F.floor(F.col("n_b") * 100 / percent)) / (100 + percent)).cast("int")
+    rest = (members.join(measured, (F.col("a") == F.col("centre")) & (F.col("b") == F.col("doc_id")))
+            .select("centre", "doc_id", "component", F.col("n_b").alias("n"), (F.col("n_b") - F.col("n_shared")).alias("added"),
+                    (F.col("n_a") - F.col("n_shared")).alias("removed"), most.alias("most"))
+            .join(home, "centre", "left")
+            .withColumn("outside", F.col("component") != F.coalesce("home", "centre")).drop("home"))
+    rest = stored(rest, "rest")
+    x, y = rest.filter("outside").alias("x"), rest.alias("y")
+    other = F.col("x.component") != F.col("y.component")
+    room = (100 - percent) * (F.col("x.n") + F.col("y.n"))
+    apart = F.abs(F.col("x.removed") - F.col("y.removed"))
+    pair = (F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
+    by_size = (x.filter("added <= most").join(y.filter("added <= most"), (F.col("x.centre") == F.col("y.centre")) & other
+               & ((100 + percent) * (F.col("x.added") + F.col("y.added") + apart) <= room)).select(*pair))
+    own = sets.select("doc_id", "shingles")
+    elements = (rest.join(own, "doc_id").join(own.select(F.col("doc_id").alias("centre"), F.col("shingles").alias("of_centre")), "centre")
+                .select(*rest.columns, F.explode(F.slice(F.array_except("shingles", "of_centre"), 1, F.col("most") + 1)).alias("element")))
+    elements = stored(elements, "elements")
+    x, y = elements.filter("outside").alias("x"), elements.alias("y")
+    by_element = (x.join(y, (F.col("x.element") == F.col("y.element")) & (F.col("x.centre") == F.col("y.centre")) & other
+                         & ((100 + percent) * (F.abs(F.col("x.added") - F.col("y.added")) + apart) <= room)).select(*pair))
+    return by_size.union(by_element).distinct()
 
 
 def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
@@ -114,31 +153,25 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, bands: int
     docs = stored(signed(df, width, bands, rows, text, doc_id), "signed")
     # one representative for each shingle set; the minimum is combined before the shuffle
     classes = stored(docs.filter("n_shingles > 0").groupBy("name").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = (docs.select("doc_id", "name", "n_shingles", "bands")
+    reps = (docs.select("doc_id", "name", "bands")
             .join(classes.select(F.col("rep").alias("doc_id"), "name"), ["doc_id", "name"])
-            .select("doc_id", "name", "n_shingles", "bands").dropDuplicates(["doc_id", "name"]))
-    buckets = stored(reps.select("doc_id", "n_shingles", F.explode("bands").alias("bucket")), "buckets")
-    shared = stored(buckets.join(buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min("doc_id").alias("a"))
-                                 .filter("n > 1").drop("n"), "bucket"), "shared")
-    wanted = shared.select("doc_id").distinct()
+            .select("doc_id", "name", "bands").dropDuplicates(["doc_id", "name"]))
+    buckets = stored(reps.select("doc_id", F.explode("bands").alias("bucket")).distinct(), "buckets")
+    shared = stored(buckets.join(buckets.groupBy("bucket").agg(F.count("*").alias("mates")).filter("mates > 1"), "bucket"), "shared")
+    weight = shared.groupBy("doc_id").agg(F.sum("mates").alias("weight"))
+    centres = (shared.join(weight, "doc_id").groupBy("bucket")
+               .agg(F.max(F.struct("weight", (-F.col("doc_id")).alias("id"))).alias("top"))
+               .select("bucket", (-F.col("top.id")).alias("centre")))
+    star = stored(shared.select("bucket", "doc_id").join(centres, "bucket"), "star")
     source = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    candidates = source.join(wanted, "doc_id", "left_semi")
+    candidates = source.join(star.select("doc_id").distinct(), "doc_id", "left_semi")
     sets = stored(sets_of(candidates, width).dropDuplicates(["doc_id", "name"]), "sets")
 
-    first = shared.filter("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
-    links = stored(confirmed(first, sets, percent), "confirmed")
-    grouped = components(links)
-    placed = (shared.join(grouped, shared.doc_id == grouped.node, "left")
-              .select("bucket", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component")))
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    rest = stored(placed.join(mixed.select("bucket"), "bucket"), "rest")
-    x, y = rest.alias("x"), rest.alias("y")
-    across = (x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component"))
-                     & (F.col("x.n_shingles") * 100 >= F.col("y.n_shingles") * percent)
-                     & (F.col("y.n_shingles") * 100 >= F.col("x.n_shingles") * percent))
-              .select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
-              .join(first, ["a", "b"], "left_anti"))
-    more = confirmed(across, sets, percent)
+    first = star.filter("doc_id <> centre").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
+    measured = stored(overlaps(first, sets), "measured")
+    links = linked(measured, percent)
+    grouped = stored(components(links), "grouped")
+    more = linked(overlaps(across(star, measured, sets, grouped, percent), sets), percent)
     final = components(links.union(more))
     named = (classes.join(final, classes.rep == final.node, "left")
              .select(F.col("name"), F.coalesce("component", "rep").alias("component")))
