@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tierwarden.functions.policies import MASKS, ROW_RULES, Policy, register_mask
 from tierwarden.model import MASK_BINDINGS, ROLE_NAMES
-from tierwarden.operators.secure import apply_masks, apply_masks_by_role_column, apply_row_policy, secure, secure_view
+from tierwarden.operators.secure import (
+    apply_masks, apply_masks_by_role_column, apply_row_policy, declare_free, secure, secure_view,
+)
 from tierwarden.plans.access import masked_sample
 
 READERS = ROLE_NAMES + ["ACCOUNTADMIN", "NOBODY"]
@@ -161,10 +163,33 @@ def test_role_column_and_view_and_custom_mask(spark, fixture):
 def test_masking_in_action_sample(fixture):
     first = masked_sample(fixture.entities["EMPLOYEES"], "EMPLOYEES", "DATA_ANALYST",
                           ["employee_id", "email", "ssn", "salary"], "employee_id").collect()
-    assert len(first) == 5
+    assert len(first) == secure(fixture.entities["EMPLOYEES"], "EMPLOYEES", "DATA_ANALYST").count()
     assert {(r.email, r.ssn, r.salary) for r in first} == {("***@company.example", "***-**-****", Decimal("-1.00"))}
 
 
 def test_table_without_row_rule_is_unfiltered(fixture):
     df = fixture.entities["PRODUCTS"]
     assert apply_row_policy(df, "PRODUCTS", "PUBLIC_USER").count() == 10
+
+
+def test_reads_fail_closed(spark, fixture):
+    customers = fixture.entities["CUSTOMERS"]
+    for read in (secure, apply_masks, apply_row_policy):
+        with pytest.raises(ValueError):
+            read(customers, "CUSTOMER", "PUBLIC_USER")
+    with pytest.raises(ValueError):
+        apply_masks(customers.drop("ssn"), "CUSTOMERS", "DATA_ENGINEER")
+    with pytest.raises(ValueError):
+        apply_row_policy(customers.drop("is_active"), "CUSTOMERS", "DATA_ENGINEER")
+    assert secure(customers, "CUSTOMERS", "PUBLIC_USER").count() == 0
+    declare_free("weather")
+    assert secure(spark.range(3), "WEATHER", "PUBLIC_USER").count() == 3
+
+
+def test_largest_amounts_are_masked_without_an_error(spark):
+    rows = [(Decimal(x),) for x in ("9999999949.99", "9999999950.00", "9999999999.99", "-9999999999.99", "149.99")]
+    df = spark.createDataFrame(rows, "transaction_amount decimal(12,2)")
+    bound = {"FINANCIAL_TRANSACTIONS": {"TRANSACTION_AMOUNT": "AMOUNT_MASKING_POLICY"}}
+    seen = [r[0] for r in apply_masks(df, "FINANCIAL_TRANSACTIONS", "DATA_ANALYST", bound).collect()]
+    assert seen == [Decimal("9999999900.00"), None, None, None, Decimal("100.00")]
+    assert [r[0] for r in apply_masks(df, "FINANCIAL_TRANSACTIONS", "DATA_ENGINEER", bound).collect()] == [r[0] for r in rows]
