@@ -6,7 +6,11 @@ from pyspark.sql import functions as F
 from tierwarden.model import CATALOG_SCHEMA, TAG_FIELDS, TAG_SNAPSHOT_SCHEMA, local_df
 from tierwarden.operators import catalog as C
 from tierwarden.operators import drift as D
+from pyspark.sql import types as T
+
+from tierwarden.operators import sync
 from tierwarden.operators.sync import CatalogStore, DriftStore, record_drift, sync_tags
+from tierwarden.sources.state import VersionedTable
 
 QUIET = {"data_classification": "Unclassified", "encryption_required": "No"}
 T1, T2, T3 = datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 1, 3)
@@ -128,7 +132,7 @@ def test_quiet_sync_writes_nothing(fixture, loaded):
     store, _ = loaded
     out = sync_tags(fixture.raw_catalog, store, empty_equivalents=QUIET, run_ts=T2)
     assert (out.new, out.changed, out.unchanged, out.written) == (0, 0, 81, 0)
-    assert store.catalog.version() == 0 and store.runs.read().count() == 1
+    assert store.catalog.version() == 0 and store.runs().count() == 1
 
 
 def test_changed_only(fixture, loaded):
@@ -139,7 +143,7 @@ def test_changed_only(fixture, loaded):
     assert (out.changed, out.written) == (1, 1)
     stored = {r.fqn: r for r in store.catalog.read().collect()}
     assert len(stored) == 81 and sorted(r.sync_version for r in stored.values())[-2:] == [1, 2]
-    edges = {(r.src, r.dst) for r in store.edges.read().collect()}
+    edges = {(r.src, r.dst) for r in store.edges.read().where("type = 'CLASSIFIED_AS'").collect()}
     country = "Column:SECURITY_DEMO_DB.DEMO_SCHEMA.CUSTOMERS.COUNTRY"
     assert (country, "Classification:Internal") in edges and len(edges) == 81
     assert (country, "Classification:Public") not in edges
@@ -155,4 +159,43 @@ def test_no_governed_table(spark, loaded):
 def test_sync_runs_are_listed(fixture, loaded):
     store, _ = loaded
     sync_tags(fixture.raw_catalog, store, run_ts=T2)
-    assert [r.written for r in store.runs.read().orderBy("sync_ts").collect()] == [81, 81]
+    assert [r.written for r in store.runs().orderBy("sync_ts").collect()] == [81, 81]
+
+
+def test_sync_stores_the_chain(loaded):
+    store, _ = loaded
+    counts = dict(store.edges.read().groupBy("type").count().collect())
+    assert counts == {"CONTAINS_SCHEMA": 1, "CONTAINS_TABLE": 5, "HAS_COLUMN": 81, "CLASSIFIED_AS": 81}
+    assert dict(store.vertices.read().groupBy(F.col("labels")[0]).count().collect()) == {"Database": 1, "Schema": 1, "Table": 5}
+
+
+def test_a_crash_publishes_nothing_and_the_next_run_writes_all(spark, fixture, tmp_path, monkeypatch):
+    store = CatalogStore(spark, str(tmp_path / "store"))
+
+    def crash(*_):
+        raise RuntimeError("lost")
+    with monkeypatch.context() as broken:
+        broken.setattr(sync, "classified_as", crash)
+        with pytest.raises(RuntimeError):
+            sync_tags(fixture.raw_catalog, store, run_ts=T1)
+    assert store.catalog.version() is None and store.catalog.read().count() == 0 and store.runs().count() == 0
+    again = sync_tags(fixture.raw_catalog, store, run_ts=T1)
+    assert again.written == 81 and store.edges.read().count() == 168 and store.runs().count() == 1
+
+
+def test_two_writers_of_one_version(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), T.StructType([T.StructField("x", T.LongType())]))
+    table.commit(spark.range(3).toDF("x"))
+    table.store.version = lambda before=None: None      # a second writer that saw no commit yet
+    with pytest.raises(Exception):
+        table.commit(spark.range(5).toDF("x"))
+    assert table.read().count() == 3
+    table.commit(spark.range(4).toDF("x"), 0)           # a replay names its version
+    assert table.read().count() == 4
+
+
+def test_dry_run_writes_nowhere(spark, fixture, tmp_path, monkeypatch):
+    store = CatalogStore(spark, str(tmp_path / "store"))
+    monkeypatch.setattr(sync, "write_through", None)
+    assert sync_tags(fixture.raw_catalog, store, dry_run=True, run_ts=T1).new == 81
+    assert not (tmp_path / "store").exists()

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierwarden.model import (
-    CATALOG_SCHEMA, CHANGE_LOG_SCHEMA, EDGE_SCHEMA, SYNC_RUN_SCHEMA, TAG_FIELDS, TAG_SNAPSHOT_SCHEMA, local_df,
-    tiers_df,
+    CATALOG_SCHEMA, CHANGE_LOG_SCHEMA, EDGE_SCHEMA, SYNC_RUN_SCHEMA, TAG_FIELDS, TAG_SNAPSHOT_SCHEMA, VERTEX_SCHEMA,
+    local_df, tiers_df,
 )
 from tierwarden.operators import drift
 from tierwarden.operators.catalog import fill_tag_defaults
 from tierwarden.operators.durable import scratch_path, write_through
-from tierwarden.operators.graph import classified_as
-from tierwarden.sources.state import BatchLog, VersionedTable
+from tierwarden.operators.graph import catalog_edges, classified_as, ensure_chain, merge_edges, replace_edges
+from tierwarden.sources.state import BatchLog, VersionedStore, VersionedTable
 
 STORED_SCHEMA = T.StructType(
     [T.StructField("fqn", T.StringType())] + CATALOG_SCHEMA.fields
@@ -26,15 +26,30 @@ STORED_SCHEMA = T.StructType(
 
 @dataclass
 class CatalogStore:
-    """Stored catalog, its CLASSIFIED_AS edges, and the list of applied syncs."""
+    """Stored catalog with its graph (chain vertices and edges) and sync runs, published together."""
 
     spark: SparkSession
     path: str
 
     def __post_init__(self):
-        self.catalog = VersionedTable(self.spark, f"{self.path}/catalog", STORED_SCHEMA)
-        self.edges = VersionedTable(self.spark, f"{self.path}/classified_as", EDGE_SCHEMA)
-        self.runs = BatchLog(self.spark, f"{self.path}/sync_runs", SYNC_RUN_SCHEMA)
+        schemas = {"catalog": STORED_SCHEMA, "vertices": VERTEX_SCHEMA, "edges": EDGE_SCHEMA, "sync_run": SYNC_RUN_SCHEMA}
+        self.store = VersionedStore(self.spark, self.path, schemas)
+        self.catalog, self.vertices, self.edges = (
+            VersionedTable(self.spark, self.path, schemas[n], self.store, n) for n in ("catalog", "vertices", "edges"))
+
+    def runs(self) -> DataFrame:
+        """One row for each published sync."""
+        return self.store.read_all("sync_run")
+
+
+def catalog_graph(catalog: DataFrame, vertices: DataFrame, edges: DataFrame, run_ts,
+                  platform: str = "warehouse") -> tuple[DataFrame, DataFrame]:
+    """Stored chain and edges brought up to ``catalog``: missing Database, Schema and Table vertices and
+    CONTAINS_* / HAS_COLUMN edges are added, CLASSIFIED_AS is derived anew."""
+    spark = catalog.sparkSession
+    vertices, edges = ensure_chain(vertices, edges, catalog, platform, run_ts)
+    columns = catalog_edges(spark, catalog).where(F.col("type") == "HAS_COLUMN")
+    return vertices, replace_edges(merge_edges(edges, columns), "CLASSIFIED_AS", classified_as(catalog, tiers_df(spark)))
 
 
 def merge_catalog(stored: DataFrame, written: DataFrame, run_ts) -> DataFrame:
@@ -55,19 +70,23 @@ def sync_tags(source: DataFrame, store: CatalogStore, dry_run: bool = False, cha
     """One sync cycle: diff ``source`` against the store, apply it, return the counts.
 
     ``source`` is a column catalog as pivoted from tag references (an empty one
-    is fine).  Nothing is written on a dry run or when nothing differs.  When
-    something differs all source columns are rewritten, or with ``changed_only``
-    just the new and changed ones.  ``version`` makes a replay overwrite its own
-    earlier attempt.
+    is fine).  Nothing is written on a dry run, not even working copies, or when nothing
+    differs.  When something differs all source columns are rewritten, or with
+    ``changed_only`` just the new and changed ones.  Catalog, graph and run are
+    published by one commit, so a crash leaves all of them as they were.
+    ``version`` makes a replay take the place of its own earlier attempt.
     """
     run_ts = run_ts or datetime.now(timezone.utc)
     spark = source.sparkSession
     stored = store.catalog.read(before=version)
-    # Both are stored once: diff, counts and rewrite must see the same source, and
-    # none of them should pivot the tag references again.
-    source = write_through(drift.with_fqn(source), scratch_path(spark, "source"))
-    diff = write_through(drift.diff_tags(source, stored, TAG_FIELDS, empty_equivalents),
-                         scratch_path(spark, "diff"))
+    source = drift.with_fqn(source)
+    if not dry_run:
+        # Both are stored once: diff, counts and rewrite must see the same source, and
+        # none of them should pivot the tag references again.
+        source = write_through(source, scratch_path(spark, "source"))
+    diff = drift.diff_tags(source, stored, TAG_FIELDS, empty_equivalents)
+    if not dry_run:
+        diff = write_through(diff, scratch_path(spark, "diff"))
     counts = diff.agg(*[F.count_if(F.col("status") == s).alias(s) for s in ("new", "changed", "unchanged")],
                       F.count_distinct(F.when(F.col("status") == "changed", F.col("fqn"))).alias("touched")).first()
     source_columns = counts["new"] + counts["touched"] + counts["unchanged"]
@@ -81,9 +100,12 @@ def sync_tags(source: DataFrame, store: CatalogStore, dry_run: bool = False, cha
     summary = Row(sync_ts=run_ts, source_columns=source_columns, catalog_columns=stored.count(),
                   new=counts["new"], changed=counts["changed"], unchanged=counts["unchanged"], written=written)
     if written:
-        done = store.catalog.commit(merge_catalog(stored, rows, run_ts), version)
-        store.edges.commit(classified_as(store.catalog.read(before=done + 1), tiers_df(spark)), done)
-        store.runs.append(local_df(spark, [tuple(summary)], SYNC_RUN_SCHEMA), done)
+        old = store.vertices.read(before=version), store.edges.read(before=version)
+        store.store.commit({
+            "catalog": merge_catalog(stored, rows, run_ts),
+            "vertices": lambda done: catalog_graph(done["catalog"], *old, run_ts)[0],
+            "edges": lambda done: catalog_graph(done["catalog"], *old, run_ts)[1],
+            "sync_run": local_df(spark, [tuple(summary)], SYNC_RUN_SCHEMA)}, version)
     return summary
 
 
