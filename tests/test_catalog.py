@@ -130,7 +130,7 @@ def test_coerce_makes_bad_values_null(spark):
 def test_sources(spark, fixture, tmp_path):
     path = str(tmp_path / "p")
     fixture.entities["PRODUCTS"].repartition(3).write.parquet(path)
-    assert [r.product_id for r in I.read_entity(spark, path, cap=3, key="product_id").collect()] == [101, 102, 103]
+    assert I.read_entity(spark, path).count() == 10
     row = I.table_inventory(spark, {"PRODUCTS": path}).first()
     assert row.table_name == "PRODUCTS" and row.row_count == 10 and row.bytes > 0 and row.created is not None
     assert policy_refs_df(spark, ["customers"]).count() == 3

@@ -114,6 +114,8 @@ def test_snapshot_cases(spark, tmp_path):
     S.export_snapshot(vertices, edges, path)
     stored = spark.read.schema(S.EDGE_FILE).json(f"{path}/relationships").where("to_id = 'Column:A.EMAIL'").first()
     assert stored.to_labels == ["Column", "Sensitive"] and stored.from_labels == ["Table"]
+    gone = spark.read.schema(S.EDGE_FILE).json(f"{path}/relationships").where("to_id = 'Column:GONE'").first()
+    assert gone.to_labels is None
     v, e = S.import_snapshot(spark, path)
     assert v.count() == 4 and e.count() == 1
     existing = local_df(spark, [("Column:A.EMAIL", ["Column", "Old"], {"owner": "y", "kept": "1"})], VERTEX_SCHEMA)
@@ -171,3 +173,24 @@ def test_replace_all_load(spark, graph, tmp_path):
     assert same(vertices, v) and same(edges, e)
     v, _ = S.replace_graph(vertices.limit(3), edges, str(tmp_path / "other"))
     assert v.count() == 3
+
+
+def test_import_folds_ids_and_keeps_foreign_labels(spark, tmp_path):
+    vertices = local_df(spark, [
+        ("17", ["Customer"], {"customer_id": "5", "name": "a"}), ("17", ["Vip"], {"name": "b"}),
+        ("18", ["Transaction"], {"transaction_id": "t"}), ("19", ["Role"], {})], VERTEX_SCHEMA)
+    edges = local_df(spark, [("17", "18", "MADE_TRANSACTION", {"k": "1"}), ("17", "18", "MADE_TRANSACTION", {"k": "2"})], EDGE_SCHEMA)
+    path = str(tmp_path)
+    S.export_snapshot(vertices, edges, path)
+    row = spark.read.schema(S.EDGE_FILE).json(f"{path}/relationships").where("to_labels is not null").first()
+    assert row.to_labels == ["Transaction"] and row.from_labels in (["Customer"], ["Vip"])
+    v, e = S.import_snapshot(spark, path)
+    folded = {r.id: (r.labels, r.props) for r in v.collect()}
+    assert len(folded) == v.count() == 3 and folded["17"] == (["Customer", "Vip"], {"customer_id": "5", "name": "b"})
+    assert [r.props for r in e.collect()] == [{"k": "2"}]
+    existing = (local_df(spark, [("Customer:5", ["Customer"], {"customer_id": "5", "old": "1"}), ("19", ["Role"], {"x": "y"})], VERTEX_SCHEMA),
+                local_df(spark, [("Customer:5", "19", "KNOWS", {})], EDGE_SCHEMA))
+    v, e = S.import_snapshot(spark, path, existing=existing, keys={"Customer": "customer_id", "Transaction": "transaction_id"})
+    merged = {r.id: r.props for r in v.collect()}
+    assert merged == {"Customer:5": {"customer_id": "5", "old": "1", "name": "b"}, "18": {"transaction_id": "t"}, "19": {"x": "y"}}
+    assert {(r.src, r.dst, r.type) for r in e.collect()} == {("Customer:5", "18", "MADE_TRANSACTION"), ("Customer:5", "19", "KNOWS")}

@@ -1,68 +1,11 @@
-"""Hot-key joins, paged lists and paths against plain joins and brute force."""
+"""Paths against brute force, and keys that hold much of the data."""
 
-import random
-
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tierwarden.operators import paths as P
-from tierwarden.operators.skew import HOT_KEYS, SALTS, heaviest_keys, list_pages, salted_join
-
-
-def rows(df):
-    return sorted((tuple(r) for r in df.collect()), key=str)
-
-
-@pytest.fixture(scope="module")
-def sides(spark):
-    """A third of the fact rows on one key, some on NULL, the rest spread out."""
-    rnd = random.Random(7)
-    fact = [(1 if i % 3 == 0 else None if i % 11 == 0 else rnd.randint(2, 400), i) for i in range(6000)]
-    dim = [(k, f"v{k}") for k in range(0, 400, 2)] + [(1, "one"), (1, "uno"), (None, "none")]
-    return (spark.createDataFrame(fact, "k long, id long"), spark.createDataFrame(dim, "k long, v string"))
-
-
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain(sides, how):
-    fact, dim = sides
-    plain = fact.join(dim, "k", how)
-    assert rows(salted_join(fact, dim, "k", "id", how)) == rows(plain.select(
-        salted_join(fact, dim, "k", "id", how).columns))
-
-
-def test_salted_join_refuses_other_kinds(sides):
-    with pytest.raises(ValueError):
-        salted_join(*sides, "k", "id", "full_outer")
-
-
-def test_hot_list_is_bounded_and_stable(sides):
-    fact, _ = sides
-    hot = rows(heaviest_keys(fact, "k"))
-    assert len(hot) == HOT_KEYS and (1,) in hot
-    assert hot == rows(heaviest_keys(fact.repartition(7), "k"))
-
-
-def test_hot_key_is_spread(sides):
-    fact, dim = sides
-    cut = fact.where("k = 1").select(F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("s")).groupBy("s").count()
-    assert cut.count() > SALTS / 2 and cut.agg(F.max("count")).first()[0] < 2000 / 8
-
-
-def test_pages_lose_nothing_and_are_bounded(spark):
-    df = spark.createDataFrame([("big" if i % 3 else "small" if i % 50 == 0 else "mid", f"x{i:05d}")
-                                for i in range(3000)], "g string, x string")
-    out = list_pages(df, "g", F.col("x"), 100).collect()
-    want = {}
-    for g, x in rows(df):
-        want.setdefault(g, []).append(x)
-    got = {}
-    for r in out:
-        assert r.group_rows == len(want[r.g]) and len(r["items"]) < 200
-        got.setdefault(r.g, []).extend(r["items"])
-    assert {g: sorted(v) for g, v in got.items()} == {g: sorted(v) for g, v in want.items()}
-    assert sum(r.g == "small" for r in out) == 1
+from tierwarden.operators import graph as G
 
 
 def brute(nodes, edges, max_hops):
@@ -105,3 +48,14 @@ def test_descend_ends_on_a_cycle(spark):
 def test_flat_tree_with_one_hot_parent(spark):
     edges = spark.range(1, 2001).select(F.lit(0).cast("long").alias("src"), F.col("id").alias("dst"))
     assert P.descend(edges, spark.range(1)).count() == 2000
+
+
+def test_a_customer_with_a_third_of_all_transactions(spark):
+    made = spark.range(30000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 500).cast("long").alias("customer_id"),
+                                     F.col("id").alias("transaction_id"))
+    known = spark.range(1, 400).select(F.col("id").alias("customer_id"))
+    want = made.where("customer_id between 1 and 399").count()
+    edges = G.made_transaction(made, known)
+    assert edges.count() == want and edges.where("src = 'Customer:1'").count() > 10000
+    # the transactions are read once: nothing is counted beforehand
+    assert edges._jdf.queryExecution().optimizedPlan().toString().count("Range (0, 30000") == 1

@@ -19,7 +19,6 @@ from tierwarden.model import (
     UNCLASSIFIED, UNIQUE_KEYS, can_access_df, inherits_df, local_df, policies_df, roles_df, tiers_df,
 )
 from tierwarden.operators.catalog import grouped, union_all
-from tierwarden.operators.skew import salted_join
 from tierwarden.sources.entities import minimise, with_provenance
 
 EDGE_KEY = ["src", "dst", "type"]
@@ -165,12 +164,11 @@ def has_classification(recs: DataFrame, label: str, key: str, tiers: DataFrame)
 def reports_to_pairs(employees: DataFrame) -> DataFrame:
     """(employee_id, manager_id) where the manager exists.
 
-    One manager may have a third of all employees: that key is cut up.
+    One manager may have a third of all employees: adaptive execution splits that key.
     """
     reports = employees.select("employee_id", "manager_id").where(F.col("manager_id").isNotNull())
     managers = employees.select(F.col("employee_id").alias("manager_id"))
-    return salted_join(reports, managers, "manager_id", "employee_id", "left_semi") \
-        .select("employee_id", "manager_id")
+    return reports.join(managers, "manager_id", "left_semi").select("employee_id", "manager_id")
 
 
 def reports_to(employees: DataFrame) -> DataFrame:
@@ -179,9 +177,9 @@ def reports_to(employees: DataFrame) -> DataFrame:
 
 
 def made_transaction(transactions: DataFrame, customers: DataFrame) -> DataFrame:
-    """Customer -> Transaction for known customers; a dominant customer is cut up."""
-    pairs = salted_join(transactions.select("customer_id", "transaction_id"),
-                        customers.select("customer_id"), "customer_id", "transaction_id", "left_semi")
+    """Customer -> Transaction for known customers; a dominant customer's partition is split adaptively."""
+    pairs = (transactions.select("customer_id", "transaction_id")
+             .join(customers.select("customer_id"), "customer_id", "left_semi"))
     return edges_of(pairs, vertex_id("Customer", "customer_id"), vertex_id("Transaction", "transaction_id"),
                     "MADE_TRANSACTION")
 
@@ -298,8 +296,24 @@ def merge_edges(existing: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def distinct_edges(edges: DataFrame) -> DataFrame:
-    """One edge per (src, dst, type)."""
-    return grouped(edges, EDGE_KEY).agg(F.any_value("props").alias("props")).select(*EDGE_KEY, "props")
+    """One edge per (src, dst, type); of several property maps, the largest by its sorted entries."""
+    rows = edges.select(*EDGE_KEY, F.array_sort(F.map_entries("props")).alias("_entries"))
+    return (grouped(rows, EDGE_KEY).agg(F.max("_entries").alias("_entries"))
+            .select(*EDGE_KEY, F.coalesce(F.map_from_entries("_entries"), _no_props()).alias("props")))
+
+
+def distinct_vertices(vertices: DataFrame) -> DataFrame:
+    """One vertex per id: labels united, and of several values of a property the largest."""
+    folded = grouped(vertices.select("id", F.explode_outer("labels").alias("_label")), ["id"]).agg(
+        F.sort_array(F.collect_set("_label")).alias("labels"))
+    repeated = vertices.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("id")
+    many = vertices.join(repeated, "id", "left_semi")
+    values = (many.select("id", F.explode("props").alias("_key", "_value")).groupBy("id", "_key")
+              .agg(F.max("_value").alias("_value")).groupBy("id")
+              .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("_key", "_value")))).alias("props")))
+    merged = (folded.join(repeated, "id", "left_semi").join(values, "id", "left")
+              .select("id", "labels", F.coalesce("props", _no_props()).alias("props")))
+    return vertices.join(repeated, "id", "left_anti").select("id", "labels", "props").unionByName(merged)
 
 
 def replace_edges(edges: DataFrame, kind: str, rebuilt: DataFrame) -> DataFrame:
@@ -335,13 +349,18 @@ def type_counts(edges: DataFrame) -> DataFrame:
 
 def graph_summary(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """(kind, name, n): counts per label and per edge type, plus both totals."""
-    per_label = label_counts(vertices).select(F.lit("label").alias("kind"), F.col("label").alias("name"), "n")
-    per_type = type_counts(edges).select(F.lit("type").alias("kind"), F.col("type").alias("name"), "n")
-    totals = [vertices.agg(F.count(F.lit(1)).alias("n")).select(
-                  F.lit("total").alias("kind"), F.lit("vertices").alias("name"), "n"),
-              per_type.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(
-                  F.lit("total").alias("kind"), F.lit("edges").alias("name"), "n")]
-    return union_all([per_label, per_type, *totals])
+    def entry(kind: str, name: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), name.alias("name"))
+
+    # each side is read once: a few rows per label set or type feed both their own count and the total
+    by_labels = vertices.groupBy("labels").agg(F.count(F.lit(1)).alias("n"))
+    of_vertices = by_labels.select("n", F.explode(F.array_append(
+        F.transform("labels", lambda x: entry("label", x)), entry("total", F.lit("vertices")))).alias("e"))
+    of_edges = type_counts(edges).select("n", F.explode(F.array(
+        entry("type", F.col("type")), entry("total", F.lit("edges")))).alias("e"))
+    none = local_df(vertices.sparkSession, [("total", "vertices", 0), ("total", "edges", 0)], "kind string, name string, n long")
+    rows = of_vertices.unionByName(of_edges).select("e.kind", "e.name", "n").unionByName(none)
+    return rows.groupBy("kind", "name").agg(F.sum("n").alias("n"))
 
 
 def empty_edges(spark: SparkSession) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tierwarden.operators.catalog import union_all
 from tierwarden.operators.durable import cut_lineage
-from tierwarden.operators.skew import heaviest_keys, salted_join
 
 
 def catalog_paths(catalog: DataFrame, database: str, schema: str) -> DataFrame:
@@ -41,17 +40,16 @@ def descend(edges: DataFrame, roots: DataFrame, max_hops: int | None = None) ->
     next is planned, so the plan stays one join deep however deep the tree is,
     and a lost executor costs one level at most.  An edge is used once per path,
     so a cyclic graph ends too.  The edges are the big side of each join and one
-    parent may own a third of them; the list of such parents is made once.
+    parent may own a third of them: adaptive execution splits that side.
     """
     kind = edges.schema["src"].dataType.simpleString()
     links = edges.select(F.col("src").alias("at"), F.col("dst").alias("_next"))
-    hot = cut_lineage(heaviest_keys(links, "at"))
     front = roots.select(
         F.col("id").alias("start"), F.col("id").alias("at"), F.array("id").alias("path"),
         F.array().cast(f"array<struct<s:{kind},d:{kind}>>").alias("used"))
     levels: list[DataFrame] = []
     while max_hops is None or len(levels) < max_hops:
-        ahead = salted_join(links, front, "at", "_next", hot=hot)
+        ahead = links.join(front, "at")
         edge = F.struct(F.col("at").alias("s"), F.col("_next").alias("d"))
         level = (ahead.where(~F.array_contains("used", edge))
                  .select("start", F.col("_next").alias("at"),

@@ -10,7 +10,7 @@ question asks for the pairs themselves.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierwarden.functions.text import table_fqn
@@ -20,11 +20,9 @@ from tierwarden.operators import paths as P
 from tierwarden.operators.catalog import pivot_tags, tier_rank, union_all
 from tierwarden.operators.durable import cut_lineage
 from tierwarden.operators.secure import gate_records, project_for_role, secure
-from tierwarden.operators.skew import list_pages, salted_join
 
 DENIED = "ACCESS DENIED: Role does not have permission"
 GRANTED = "ACCESS GRANTED"
-PAGE = 10000  # longest list in one row; longer ones continue on further rows
 
 
 def _allowed(can_access: DataFrame, role: str, tier: str = "classification") -> DataFrame:
@@ -35,6 +33,12 @@ def _of_table(catalog: DataFrame, table: str | None) -> DataFrame:
     return catalog if table is None else catalog.where(F.col("table_name") == table)
 
 
+def _with_count(df: DataFrame, group: str, name: str) -> DataFrame:
+    """``df`` with the rows of each (non-null) group; counts are combined before the shuffle."""
+    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias(name))
+    return df.join(counts, group)
+
+
 def _first(df: DataFrame, limit: int | None, *order) -> DataFrame:
     """All rows, or the first ``limit`` in a total order."""
     return df if limit is None else df.orderBy(*order).limit(limit)
@@ -62,12 +66,12 @@ def roles_for_tier(roles: DataFrame, can_access: DataFrame, tier: str) -> DataFr
 def role_hierarchy(roles: DataFrame, inherits: DataFrame) -> DataFrame:
     """(role, parent): one row per INHERITS_FROM edge, and one with NULL for a role without any.
 
-    The role with most edges is cut up on the edge side; roles without an edge
-    are found against the distinct edge starts.
+    Edges are the side that adaptive execution may split when one role has most of
+    them; roles without an edge are found against the distinct edge starts.
     """
     links = inherits.select(F.col("parent").alias("role"), F.col("child").alias("parent"))
     names = roles.select(F.col("name").alias("role"))
-    linked = salted_join(links, names, "role", "parent").select("role", "parent")
+    linked = links.join(names, "role").select("role", "parent")
     alone = names.join(links.select("role").distinct(), "role", "left_anti")
     return linked.unionByName(alone.withColumn("parent", F.lit(None).cast("string")))
 
@@ -147,8 +151,8 @@ TRANSACTION_LIST = ["transaction_id", "merchant_name", "merchant_category", "fra
 
 
 def denied_sample(records: dict[str, DataFrame], keys: dict[str, str], can_access: DataFrame, role: str,
-                  limit: int | None = 10) -> DataFrame:
-    """(node_type, node_id, classification) of records the role sees; nothing for a role without access."""
+                  limit: int | None = None) -> DataFrame:
+    """(node_type, node_id, classification) of records the role sees, all or the first ``limit``; nothing without access."""
     rows = union_all([
         gate_records(df, can_access, role).select(
             F.lit(label).alias("node_type"), F.col(keys[label]).cast("string").alias("node_id"),
@@ -157,9 +161,10 @@ def denied_sample(records: dict[str, DataFrame], keys: dict[str, str], can_acces
     return _first(rows, limit, "node_type", "node_id")
 
 
-def masked_sample(df: DataFrame, table: str, role: str, columns: list[str], key: str, limit: int = 5) -> DataFrame:
-    """The first rows of a table as a role sees them: masking in action."""
-    return secure(df, table, role).select(columns).orderBy(key).limit(limit)
+def masked_sample(df: DataFrame, table: str, role: str, columns: list[str], key: str,
+                  limit: int | None = None) -> DataFrame:
+    """Rows of a table as a role sees them, all or the first ``limit`` by ``key``: masking in action."""
+    return _first(secure(df, table, role).select(columns), limit, key)
 
 
 HR_FIELDS = {"id": "employee_id", "first_name": "first_name", "last_name": "last_name", "email": "email",
@@ -210,7 +215,7 @@ def customer_access_audit(customers: DataFrame, transactions: DataFrame, can_acc
         made = made.where(F.col("customer_id") == customer_id)
     made = made.select("customer_id", "transaction_id", F.col("merchant_name").alias("merchant"),
                        F.col("merchant_category").alias("category"))
-    return (salted_join(made, seen, "customer_id", "transaction_id")
+    return (made.join(seen, "customer_id")
             .select(F.lit(role).alias("role"), "customer_id", "transaction_id", "merchant", "category",
                     F.lit(note).alias("amount_access"), "classification_granted"))
 
@@ -239,8 +244,7 @@ def management_paths(employees: DataFrame, max_hops: int = 3) -> DataFrame:
 
 def customer_transactions(transactions: DataFrame, customers: DataFrame, limit: int | None = None) -> DataFrame:
     """Customer -> transaction pairs of known customers."""
-    pairs = salted_join(transactions.select("customer_id", "transaction_id"),
-                        customers.select("customer_id"), "customer_id", "transaction_id", "left_semi")
+    pairs = transactions.join(customers.select("customer_id"), "customer_id", "left_semi")
     return _first(pairs.select("customer_id", "transaction_id"), limit, "customer_id", "transaction_id")
 
 
@@ -275,11 +279,11 @@ def accessible_columns(catalog: DataFrame, can_access: DataFrame, role: str, tab
 
 
 def accessible_column_lists(catalog: DataFrame, can_access: DataFrame, role: str,
-                            table: str | None = None, page_size: int = PAGE) -> DataFrame:
-    """The same as one list per table; a table of more columns continues on further pages."""
+                            table: str | None = None) -> DataFrame:
+    """The same with each table's number of such columns."""
     label = F.concat("column_name", F.lit(" ("), "classification", F.lit(")"))
-    return (list_pages(accessible_columns(catalog, can_access, role, table), "table_name", label, page_size)
-            .select(F.lit(role).alias("role"), "table_name", "page", F.col("items").alias("accessible_columns")))
+    return (_with_count(accessible_columns(catalog, can_access, role, table), "table_name", "accessible_column_count")
+            .select(F.lit(role).alias("role"), "table_name", label.alias("accessible_column"), "accessible_column_count"))
 
 
 def column_visibility(catalog: DataFrame, can_access: DataFrame, role: str, table: str | None = None) -> DataFrame:
@@ -306,8 +310,8 @@ def column_decisions(catalog: DataFrame, can_access: DataFrame, role: str, table
 
 
 def pii_exposure(catalog: DataFrame, tables: DataFrame | None = None,
-                 database: str = DATABASE, schema: str = SCHEMA, page_size: int = PAGE) -> DataFrame:
-    """PII columns per table; a table of more columns continues on further pages.
+                 database: str = DATABASE, schema: str = SCHEMA) -> DataFrame:
+    """(table_name, pii_column, pii_column_count): one row for each PII column, most exposed table first.
 
     With ``tables(fqn, ...)`` only tables known there count; they are matched on
     the name built from the column's table.
@@ -315,10 +319,9 @@ def pii_exposure(catalog: DataFrame, tables: DataFrame | None = None,
     pii = catalog.where(F.col("data_classification") == "PII")
     if tables is not None:
         pii = pii.withColumn("fqn", table_fqn("table_name", database, schema)).join(tables, "fqn", "left_semi")
-    return (list_pages(pii, "table_name", F.col("column_name"), page_size)
-            .select("table_name", "page", F.col("items").alias("pii_columns"),
-                    F.col("group_rows").alias("pii_column_count"))
-            .orderBy(F.col("pii_column_count").desc(), "table_name", "page"))
+    return (_with_count(pii.select("table_name", F.col("column_name").alias("pii_column")), "table_name", "pii_column_count")
+            .select("table_name", "pii_column", "pii_column_count")
+            .orderBy(F.col("pii_column_count").desc(), "table_name", "pii_column"))
 
 
 def encryption_gaps(catalog: DataFrame, null_is_gap: bool = False) -> DataFrame:
@@ -333,17 +336,15 @@ def encryption_gaps(catalog: DataFrame, null_is_gap: bool = False) -> DataFrame:
                     F.lit(text).alias("warning")))
 
 
-def owners(catalog: DataFrame, exclude_empty: bool = True, page_size: int = PAGE,
-           spread: Column | None = None) -> DataFrame:
-    """Columns per owner.  An owner of more than ``page_size`` columns continues on further pages."""
+def owners(catalog: DataFrame, exclude_empty: bool = True) -> DataFrame:
+    """(owner_team, owned_column, column_count): one row for each owned column, largest owner first."""
     owned = catalog.where(F.col("data_owner").isNotNull())
     if exclude_empty:
         owned = owned.where(F.col("data_owner") != "")
-    name = F.concat("table_name", F.lit("."), "column_name")
-    return (list_pages(owned, "data_owner", name, page_size, spread)
-            .select(F.col("data_owner").alias("owner_team"), F.col("group_rows").alias("column_count"),
-                    "page", F.col("items").alias("owned_columns"))
-            .orderBy(F.col("column_count").desc(), "owner_team", "page"))
+    named = owned.select(F.col("data_owner").alias("owner_team"),
+                         F.concat("table_name", F.lit("."), "column_name").alias("owned_column"))
+    return (_with_count(named, "owner_team", "column_count").select("owner_team", "owned_column", "column_count")
+            .orderBy(F.col("column_count").desc(), "owner_team", "owned_column"))
 
 
 def table_column_counts(catalog: DataFrame, database: str = DATABASE, schema: str = SCHEMA) -> DataFrame:
@@ -441,5 +442,3 @@ def encryption_columns(refs: DataFrame, tables: list[str] | None = None, literal
 def tag_listing(refs: DataFrame, table: str | None = None) -> DataFrame:
     return (_of_table(refs, table).select("table_name", "column_name", "tag_name", "tag_value")
             .orderBy("table_name", "column_name", "tag_name"))
-
-

@@ -261,8 +261,7 @@ TABLE_ID = f"'Table:'||{FQN}||table_name"
 TIER_IN = "('Restricted','PII','Internal','Public')"
 
 SQL: dict[str, str] = {}
-SQL["a01_capped_read"] = ("SELECT o_orderkey, o_custkey, o_orderstatus FROM "
-                          "(SELECT * FROM orders ORDER BY o_orderkey LIMIT 1000)")
+SQL["a01_entity_read"] = "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders"
 SQL["a02_tag_refs"] = _with(
     f"SELECT '{DATABASE}' AS tag_database, '{SCHEMA}' AS tag_schema, upper(tag_name) AS tag_name, tag_value, "
     f"'{DATABASE}' AS object_database, '{SCHEMA}' AS object_schema, table_name AS object_name, column_name, "
@@ -363,7 +362,7 @@ for _name, _t, _more in [
     SQL[_name] = _with(f"SELECT {_KEPT[_t]}, {_more} FROM {_source(_t)}", _source(_t))
 
 for _t, _r in [
-    ("CUSTOMERS", "DATA_ANALYST"), ("CUSTOMERS", "HR_MANAGER"), ("CUSTOMERS", "PUBLIC_USER"),
+    ("CUSTOMERS", "DATA_ANALYST"), ("CUSTOMERS", "HR_MANAGER"),
     ("EMPLOYEES", "DATA_ENGINEER"), ("EMPLOYEES", "HR_MANAGER"), ("EMPLOYEES", "DATA_ANALYST"),
     ("FINANCIAL_TRANSACTIONS", "DATA_ANALYST"), ("FINANCIAL_TRANSACTIONS", "FINANCE_ANALYST"),
     ("FINANCIAL_TRANSACTIONS", "GUEST"), ("AUDIT_LOGS", "SECURITY_AUDITOR"), ("AUDIT_LOGS", "FINANCE_ANALYST"),
@@ -479,6 +478,17 @@ SQL["j10_sync_result"] = _with(
     + ", ".join(f"coalesce(n.{f},o.{f}) AS {f}" for f in TAG_FIELDS)
     + f", CAST(CASE WHEN o.table_name IS NULL THEN 1 WHEN n.table_name IS NULL THEN 1 WHEN {_TOUCHED} THEN 2 ELSE 1 END "
       f"AS BIGINT) AS sync_version FROM stored o FULL JOIN incoming_filled n {_PAIR}", "stored", "incoming_filled")
+_BOTH = ("both_states AS (SELECT coalesce(o.table_name,n.table_name) AS table_name, coalesce(n.data_classification,"
+         f"o.data_classification) AS tier FROM stored o FULL JOIN incoming_filled n {_PAIR})")
+CTE["both_states"] = _BOTH
+NEEDS["both_states"] = ["stored", "incoming_filled"]
+SQL["j10_synced_edges"] = _with(
+    "SELECT 'CONTAINS_SCHEMA' AS type, 1 AS n UNION ALL SELECT 'CONTAINS_TABLE', count(DISTINCT table_name) FROM both_states "
+    f"UNION ALL SELECT 'HAS_COLUMN', count(*) FROM both_states UNION ALL "
+    f"SELECT 'CLASSIFIED_AS', count(*) FROM both_states WHERE tier IN {TIER_IN}", "both_states")
+SQL["j10_synced_chain"] = _with(
+    f"SELECT 'Database:{DATABASE}' AS id, 'Database' AS labels UNION ALL SELECT 'Schema:{DATABASE}.{SCHEMA}', 'Schema' "
+    f"UNION ALL SELECT DISTINCT {TABLE_ID}, 'Table' FROM both_states", "both_states")
 SQL["n01_stream_sync"] = _with(
     f"SELECT {FQN}||table_name||'.'||column_name AS fqn, data_classification, data_category, encryption_required, "
     "retention_policy, data_owner FROM catalog", "catalog")
@@ -530,7 +540,6 @@ def _gate(select: str, source: str, role: str, tier: str = "Restricted") -> str:
 
 _CUST = "customer_id, first_name, last_name, city, customer_tier, 'Restricted' AS data_classification"
 SQL["m06_customer_list"] = _gate(_CUST, "customers", "FINANCE_ANALYST")
-SQL["m06_customer_list_denied"] = _gate(_CUST, "customers", "DATA_ANALYST")
 SQL["m07_transaction_list"] = _gate(
     "transaction_id, merchant_name, merchant_category, fraud_flag, status, 'Restricted' AS data_classification",
     "transactions", "FINANCE_ANALYST")
@@ -544,25 +553,21 @@ CTE["nodes"] = _NODES
 
 def _sample(role: str) -> str:
     return _with(f"SELECT node_type, node_id, classification FROM nodes JOIN access USING (classification) "
-                 f"WHERE role='{role}' ORDER BY node_type, node_id LIMIT 10", "nodes", "access")
+                 f"WHERE role='{role}'", "nodes", "access")
 
 
-SQL["m08_denied_sample"] = _sample("PUBLIC_USER")
 SQL["m08_visible_sample"] = _sample("DATA_ANALYST")
 _REACH = "(SELECT classification FROM access WHERE role='{r}')"
 _HR = f"FROM catalog WHERE data_classification IN {_REACH.format(r='HR_MANAGER')}"
 SQL["m09_accessible_columns"] = _with(
     f"SELECT table_name, column_name, data_classification AS classification, data_owner {_HR}", "catalog", "access")
 SQL["m09_accessible_column_lists"] = _with(
-    "SELECT 'HR_MANAGER' AS role, table_name, 0 AS page, string_agg(column_name||' ('||data_classification||')', ',' "
-    f"ORDER BY column_name) AS accessible_columns {_HR} GROUP BY table_name", "catalog", "access")
+    "SELECT 'HR_MANAGER' AS role, table_name, column_name||' ('||data_classification||')' AS accessible_column, "
+    f"count(*) OVER (PARTITION BY table_name) AS accessible_column_count {_HR}", "catalog", "access")
 SQL["m10_column_visibility"] = _with(
     "SELECT table_name, column_name, data_classification AS classification, CASE WHEN data_classification IN "
     f"{_REACH.format(r='HR_MANAGER')} THEN 'VISIBLE' ELSE 'MASKED / NO ACCESS' END AS access_decision, "
     "'HR_MANAGER' AS role FROM catalog", "catalog", "access")
-SQL["m11_hr_employees"] = _gate(
-    "employee_id AS id, first_name, last_name, email, department, job_title, location_office AS location, "
-    "'[MASKED - Restricted]' AS salary, '[MASKED - Restricted]' AS ssn", "employees", "HR_MANAGER")
 SQL["m11_engineer_employees"] = _gate(
     "employee_id AS id, first_name, last_name, department, job_title, 'VISIBLE (Restricted)' AS salary_note, "
     "'VISIBLE (Restricted)' AS ssn_note", "employees", "DATA_ENGINEER")
@@ -585,16 +590,15 @@ SQL["m16_sensitive_lineage"] = _with(_LINEAGE.format(c="counts", t="'Restricted'
 SQL["m16_sensitive_lineage_row_tier"] = _with(_LINEAGE.format(c="row_counts", t="'Restricted','PII'"),
                                               "row_counts", "access")
 SQL["m17_pii_exposure"] = _with(
-    "SELECT table_name, 0 AS page, string_agg(column_name, ',' ORDER BY column_name) AS pii_columns, count(*) AS pii_column_count "
-    "FROM catalog WHERE data_classification='PII' GROUP BY table_name", "catalog")
+    "SELECT table_name, column_name AS pii_column, count(*) OVER (PARTITION BY table_name) AS pii_column_count "
+    "FROM catalog WHERE data_classification='PII'", "catalog")
 SQL["m17_pii_exposure_known_tables"] = _with(
-    "SELECT table_name, 0 AS page, string_agg(column_name, ',' ORDER BY column_name) AS pii_columns, count(*) AS pii_column_count "
+    "SELECT table_name, column_name AS pii_column, count(*) OVER (PARTITION BY table_name) AS pii_column_count "
     "FROM catalog WHERE data_classification='PII' AND table_name IN "
-    "(SELECT table_name FROM policy_refs WHERE policy_status='ACTIVE') GROUP BY table_name", "catalog", "policy_refs")
+    "(SELECT table_name FROM policy_refs WHERE policy_status='ACTIVE')", "catalog", "policy_refs")
 for _r in ("DATA_ENGINEER", "HR_MANAGER", "DATA_ANALYST"):
     SQL[f"m35_masked_sample_{_r.lower()}"] = (
-        f"SELECT employee_id, first_name, last_name, email, ssn, salary FROM ({_secured('EMPLOYEES', _r)}) "
-        "ORDER BY employee_id LIMIT 5")
+        f"SELECT employee_id, first_name, last_name, email, ssn, salary FROM ({_secured('EMPLOYEES', _r)})")
 _RISK = "SELECT table_name, column_name, data_classification AS classification, '{w}' AS warning FROM {s} WHERE " \
         "data_classification IN ('Restricted','PII') AND {c}"
 SQL["m18_encryption_gaps"] = _with(_RISK.format(
@@ -605,11 +609,8 @@ SQL["m18_encryption_gaps_null"] = _with(_RISK.format(
 
 
 def _owners(where: str) -> str:
-    return _with(
-        "SELECT data_owner AS owner_team, column_count, page, string_agg(item, ',' ORDER BY item) AS owned_columns FROM "
-        "(SELECT *, (CAST(substr(table_name,2,10) AS BIGINT)+ordinal_position) % CAST(ceil(column_count/50.0) AS BIGINT) "
-        "AS page FROM (SELECT data_owner, table_name, ordinal_position, table_name||'.'||column_name AS item, "
-        f"count(*) OVER (PARTITION BY data_owner) AS column_count FROM catalog WHERE {where})) GROUP BY ALL", "catalog")
+    return _with("SELECT data_owner AS owner_team, table_name||'.'||column_name AS owned_column, "
+                 f"count(*) OVER (PARTITION BY data_owner) AS column_count FROM catalog WHERE {where}", "catalog")
 
 
 SQL["m19_owners"] = _owners("data_owner<>''")

@@ -11,14 +11,9 @@ from tierwarden.model import (
 )
 
 
-def read_entity(spark: SparkSession, path: str, cap: int | None = None, key: str | None = None) -> DataFrame:
-    """Scan a stored table.  With ``cap`` the first rows in key order, a stable sample."""
-    df = spark.read.parquet(path)
-    if cap is None:
-        return df
-    if key is None:
-        raise ValueError("a capped read needs the key that orders it")
-    return df.orderBy(key).limit(cap)
+def read_entity(spark: SparkSession, path: str) -> DataFrame:
+    """Scan a stored table, whole."""
+    return spark.read.parquet(path)
 
 
 def _sql_type(dtype: T.DataType) -> tuple[str, int | None]:

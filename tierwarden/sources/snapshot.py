@@ -9,8 +9,9 @@ from pyspark.sql import types as T
 
 from tierwarden.model import EDGE_SCHEMA, PROPS, VERTEX_SCHEMA
 from tierwarden.operators.durable import scratch_path, write_through
-from tierwarden.operators.graph import distinct_edges, graph_summary, merge_edges, merge_vertices
-from tierwarden.operators.skew import heaviest_keys, salted_join
+from tierwarden.operators.graph import (
+    distinct_edges, distinct_vertices, graph_summary, merge_edges, merge_vertices,
+)
 
 NODE_FILE = T.StructType([T.StructField("id", T.StringType()),
                           T.StructField("labels", T.ArrayType(T.StringType())),
@@ -27,32 +28,21 @@ def edge_id() -> Column:
     return F.sha2(F.concat_ws("\u0001", "src", "type", "dst"), 256)
 
 
-def _first_label(end: str) -> Column:
-    """An id begins with its vertex's first label."""
-    return F.array(F.split_part(F.col(end), F.lit(":"), F.lit(1)))
-
-
 def snapshot_nodes(vertices: DataFrame) -> DataFrame:
     return vertices.select("id", "labels", F.col("props").alias("properties"))
 
 
 def snapshot_edges(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """Edges with the labels of both ends.
+    """Edges with the labels of both ends, from the vertices themselves.
 
-    Only vertices with further labels need a join, and usually there are none,
-    so that is looked up first.  Their edges may pile up on few ids, so the
-    heavy ids are cut up.
+    An end outside the graph has NULL labels.  Edges pile up on few ids (a tier holds
+    every record); they are the left side, which adaptive execution splits.
     """
-    more = vertices.where(F.size("labels") > 1).select("id", F.col("labels").alias("_more"))
-    labels = {"src": _first_label("src"), "dst": _first_label("dst")}
-    if not more.isEmpty():
-        for end, spread in (("src", "dst"), ("dst", "src")):
-            other = more.select(F.col("id").alias(end), F.col("_more").alias(f"_{end}"))
-            edges = salted_join(edges, other, end, spread, "left")
-            labels[end] = F.coalesce(f"_{end}", labels[end])
+    for end in ("src", "dst"):
+        edges = edges.join(vertices.select(F.col("id").alias(end), F.col("labels").alias(f"_{end}")), end, "left")
     return edges.select(edge_id().alias("id"), "type", F.col("src").alias("from_id"),
-                        labels["src"].alias("from_labels"), F.col("dst").alias("to_id"),
-                        labels["dst"].alias("to_labels"), F.col("props").alias("properties"))
+                        F.col("_src").alias("from_labels"), F.col("dst").alias("to_id"),
+                        F.col("_dst").alias("to_labels"), F.col("props").alias("properties"))
 
 
 def export_snapshot(vertices: DataFrame, edges: DataFrame, path: str) -> None:
@@ -124,29 +114,52 @@ def read_snapshot(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
 
 def keep_connected(edges: DataFrame, ids: DataFrame) -> DataFrame:
     """Edges whose two ends are both known.  Ends pile up on few ids (a tier holds
-    every record), so each side is joined with its heavy ids cut up."""
+    every record): the edges are the left side, which adaptive execution splits."""
     kept = edges
-    for end, spread in (("src", "dst"), ("dst", "src")):
-        kept = salted_join(kept, ids.select(F.col("id").alias(end)), end, spread, "left_semi",
-                           hot=heaviest_keys(edges, end))
+    for end in ("src", "dst"):
+        kept = kept.join(ids.select(F.col("id").alias(end)), end, "left_semi")
     return kept.select(edges.columns)
 
 
 def import_snapshot(spark: SparkSession, path: str,
                     existing: tuple[DataFrame, DataFrame] | None = None,
-                    wipe: bool = False) -> tuple[DataFrame, DataFrame]:
+                    wipe: bool = False, keys: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Snapshot merged into ``existing`` (vertices, edges); ``wipe`` starts from nothing.
 
-    Vertices are upserted by business key, extra labels are added, and an edge
-    with an end outside the snapshot is left out.
+    Repeated ids of the snapshot are folded into one vertex first.  With ``keys``
+    (label -> property) a vertex is the same as an existing one of that label and
+    value, whatever its id; its edges move to the existing id.  Extra labels are added,
+    and an edge with an end outside the snapshot is left out.
     """
     nodes, links = read_snapshot(spark, path)
-    # Parsed once: counting heavy ids and joining both ends read the edges again.
-    links = write_through(links, scratch_path(spark, "edges"))
-    links = distinct_edges(keep_connected(links, nodes.select("id")))
+    # Parsed once: folding, joining both ends and merging read the nodes again.
+    nodes = distinct_vertices(write_through(nodes, scratch_path(spark, "nodes")))
+    links = keep_connected(links, nodes.select("id"))
     if existing is None or wipe:
-        return nodes.select(VERTEX_SCHEMA.names), links.select(EDGE_SCHEMA.names)
-    return merge_vertices(existing[0], nodes), merge_edges(existing[1], links)
+        return nodes.select(VERTEX_SCHEMA.names), distinct_edges(links).select(EDGE_SCHEMA.names)
+    if keys:
+        nodes = write_through(nodes, scratch_path(spark, "folded"))
+        moved = remapped_ids(nodes, existing[0], keys)
+        nodes = distinct_vertices(nodes.join(moved, "id", "left")
+                                  .select(F.coalesce("_to", "id").alias("id"), "labels", "props"))
+        for end in ("src", "dst"):
+            links = (links.join(moved.withColumnRenamed("id", end), end, "left")
+                     .withColumn(end, F.coalesce("_to", end)).drop("_to"))
+    return merge_vertices(existing[0], nodes), merge_edges(existing[1], distinct_edges(links))
+
+
+def remapped_ids(nodes: DataFrame, existing: DataFrame, keys: dict[str, str]) -> DataFrame:
+    """(id, _to): snapshot ids whose label and business key are held by an existing vertex of another id."""
+    names = F.create_map(*[F.lit(x) for pair in keys.items() for x in pair])
+
+    def keyed(df: DataFrame) -> DataFrame:
+        rows = df.select("id", "props", F.explode("labels").alias("_label")).withColumn("_name", names[F.col("_label")])
+        return (rows.where(F.col("_name").isNotNull())
+                .select("id", "_label", F.col("props")[F.col("_name")].alias("_value")).where(F.col("_value").isNotNull()))
+
+    held = keyed(existing).groupBy("_label", "_value").agg(F.min("id").alias("_to"))
+    return (keyed(nodes).join(held, ["_label", "_value"]).groupBy("id").agg(F.min("_to").alias("_to"))
+            .where(F.col("id") != F.col("_to")))
 
 
 def replace_graph(vertices: DataFrame, edges: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
