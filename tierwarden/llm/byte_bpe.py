@@ -1,19 +1,20 @@
 """Byte-level BPE in DataFrame operations: ranked merges folded over the bytes of distinct words.
 
-A text is cut into pieces by the tokenizer's pattern. Bytes are written as the 256 Latin-1
-characters, so a piece's byte array is an array of one-character strings, a token is a string,
-and decoding joins the tokens' strings and encodes them back to binary. The rank file becomes
-one literal: an array of buckets (CRC-32 of the token), each a small map token -> rank.
-
-The merges of a piece are a fold (``aggregate``) whose state is the parts and the rank of every
-adjacent pair; each step joins the leftmost pair of lowest rank and looks up its two new
-neighbours. ``word_table`` runs that fold once for each of the ``words`` most common distinct
-pieces of the whole input; the result is a second literal of bounded size. ``encode`` looks
-pieces up there and folds only pieces it does not hold, so no text is shuffled and the table
-changes the cost of a row, never its ids.
+A text is cut into pieces by the tokenizer's pattern. A token of rank r is written as the one character
+of code point r + ``SHIFT``, so a piece's byte array is a string of single-byte tokens, and characters compare as
+their ranks do. The rank file becomes one literal: an array of buckets (CRC-32 of two tokens), each a small
+map from a pair of tokens to the token they make.
+
+The merges of a piece are a fold (``aggregate``). Its state is the string of parts and the string of
+what every adjacent pair makes; each step takes the least character of the latter, joins the leftmost such
+pair and looks up its two new neighbours. ``word_table`` runs that fold once for each of the ``words`` most
+common distinct pieces of the whole input; the result is a second literal of bounded size. ``encode``
+looks pieces up there and folds only pieces it does not hold, so no text is shuffled and the
+table changes the cost of a row, never its ids. Decoding joins the tokens' bytes, written as Latin-1
+characters, and encodes them back to binary.
 
 Defined results: null and empty texts give an empty id list; ids are those of greedy ranked
-merging without special tokens; a one-piece text of n bytes costs n steps over arrays of at
+merging without special tokens; a one-piece text of n bytes costs n steps over strings of at
 most n parts. Input columns are kept; ``ids`` replaces a column of that name.
 """
 
@@ -27,10 +28,11 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 8192
+BUCKETS = 1 << 15
 WORDS = 1 << 18
-PAD = "Ā"          # outside Latin-1: no token holds it, so no pair with it has a rank
-NO_RANK = 2**31 - 1
+SHIFT = 256        # code points below are those of the bytes
+NONE = "\uffff"    # no token; greater than every token
+MOST = 0xD800 - SHIFT
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -60,54 +62,67 @@ def _bind(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def merges(ranks: dict[bytes, int]) -> Iterable[tuple[str, str]]:
+    """Two tokens and the token that their bytes make, for all splits of all tokens."""
+    for token, rank in ranks.items():
+        for i in range(1, len(token)):
+            a, b = ranks.get(token[:i]), ranks.get(token[i:])
+            if a is not None and b is not None:
+                yield chr(a + SHIFT) + chr(b + SHIFT), chr(rank + SHIFT)
+
+
 class ByteBpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
+        if max(ranks.values()) >= MOST or any(bytes([b]) not in ranks for b in range(256)):
+            raise ValueError(f"ranks must lie below {MOST} and hold all single bytes")
         self.pattern = java_pattern(pattern)
-        chars = {token.decode("latin-1"): rank for token, rank in ranks.items()}
-        self.ranks = _buckets(chars.items(), BUCKETS, "int")
+        self.pairs = _buckets(merges(ranks), BUCKETS, "string")
+        self.bytes = "".join(map(chr, range(256)))
+        self.singles = "".join(chr(ranks[bytes([b])] + SHIFT) for b in range(256))
         by_rank = [""] * (max(ranks.values()) + 1)
-        for token, rank in chars.items():
-            by_rank[rank] = token
+        for token, rank in ranks.items():
+            by_rank[rank] = token.decode("latin-1")
         self.tokens = F.from_json(F.lit(json.dumps(by_rank)), "array<string>")
+        self.whole = _buckets(((t.decode("latin-1"), r) for t, r in ranks.items()), BUCKETS, "int")
 
     def pieces(self, text: Column) -> Column:
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(self.pattern), F.lit(0))
 
-    def _rank(self, token: Column) -> Column:
-        return _look_up(self.ranks, BUCKETS, token)
-
-    def _pair(self, a: Column, b: Column) -> Column:
-        return F.coalesce(self._rank(F.concat(a, b)), F.lit(NO_RANK))
-
-    def _step(self, state: Column, turn: Column) -> Column:
-        """Odd turns find the leftmost pair of lowest rank, even turns join it; no pair left: unchanged."""
-        parts, pairs, p = state["parts"], state["pairs"], state["p"]
-        token = F.concat(F.element_at(parts, p), F.element_at(parts, p + 1))
-        rest = F.size(parts)
-        ranked = F.transform(pairs, lambda rank, i: F.shiftleft(rank.cast("long"), 31) + i)
-        found = (F.array_min(ranked).bitwiseAND(2**31 - 1) + 1).cast("int")
-        merged = F.struct(
-            F.concat(F.slice(parts, 1, p - 1), F.array(token), F.slice(parts, p + 2, rest)).alias("parts"),
-            F.concat(F.slice(pairs, 1, p - 2),
-                     F.array(self._pair(F.element_at(parts, p - 1), token), self._pair(token, F.element_at(parts, p + 2))),
-                     F.slice(pairs, p + 2, rest)).alias("pairs"),
-            F.lit(0).alias("p"))
-        # the first pair holds the pad and never has a rank, so 1 means that no pair has one
-        return (F.when(p == 1, state)
-                .when(p == 0, F.struct(parts.alias("parts"), pairs.alias("pairs"), found.alias("p")))
-                .otherwise(merged))
+    def _made(self, two: Column) -> Column:
+        """The token made of two; ``NONE`` without one (also beyond the ends)."""
+        return F.coalesce(_look_up(self.pairs, BUCKETS, two), F.lit(NONE))
+
+    def _step(self, state: Column) -> Column:
+        """Joins the leftmost pair of lowest rank; a state without such a pair stays."""
+        parts, made = state["parts"], state["made"]
+
+        def join(token: Column) -> Column:
+            at = F.instr(made, token)
+            before, after = F.substring(parts, F.lit(1), at - 1), F.substring(parts, at + 2, F.length(parts))
+            return F.struct(
+                F.concat(before, token, after).alias("parts"),
+                F.concat(F.substring(made, F.lit(1), at - 2),
+                         F.when(at > 1, self._made(F.concat(F.substring(parts, at - 1, F.lit(1)), token))).otherwise(""),
+                         F.when(after != "", self._made(F.concat(token, F.substring(after, F.lit(1), F.lit(1))))).otherwise(""),
+                         F.substring(made, at + 2, F.length(parts))).alias("made"))
+
+        least = F.array_min(F.split(made, ""))
+        return F.when((made == "") | (least == NONE), state).otherwise(_bind(least, join))
 
     def fold(self, piece: Column) -> Column:
         """Ids of one piece."""
+        def merged(one: Column) -> Column:
+            places = F.sequence(F.lit(1), F.length(one) - 1)
+            made = F.array_join(F.transform(places, lambda i: self._made(F.substring(one, i, F.lit(2)))), "")
+            first = F.struct(one.alias("parts"), F.when(F.length(one) > 1, made).otherwise("").alias("made"))
+            return F.aggregate(F.split(one, ""), first, lambda s, _: self._step(s),
+                               lambda s: F.transform(F.split(s["parts"], ""), lambda c: F.ascii(c) - SHIFT))
+
         def split(chars: Column) -> Column:
-            whole = self._rank(chars)
-            one = F.split(chars, "")
-            padded = F.concat(F.array(F.lit(PAD)), one, F.array(F.lit(PAD)))
-            pairs = F.zip_with(F.slice(padded, 1, F.size(one) + 1), F.slice(padded, 2, F.size(one) + 1), self._pair)
-            first = F.struct(padded.alias("parts"), pairs.alias("pairs"), F.lit(0).alias("p"))
-            ids = F.aggregate(F.concat(one, one), first, self._step,
-                              lambda s: F.transform(F.slice(s["parts"], 2, F.size(s["parts"]) - 2), self._rank))
-            return F.when(whole.isNotNull(), F.array(whole)).otherwise(ids)
+            whole = _look_up(self.whole, BUCKETS, chars)
+            return (F.when(whole.isNotNull(), F.array(whole))
+                    .otherwise(_bind(F.translate(chars, self.bytes, self.singles), merged)))
+
         return _bind(F.decode(piece.cast("binary"), "ISO-8859-1"), split)
 
     def word_table(self, df: DataFrame, text: str = "text", words: int = WORDS) -> dict[str, list[int]]:
