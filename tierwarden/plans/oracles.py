@@ -343,6 +343,26 @@ def _source(table: str) -> str:
     return "transactions" if table == "financial_transactions" else table
 
 
+def _properties(columns: str) -> str:
+    pairs = {c.rpartition(" AS ")[2].strip(): c.rpartition(" AS ")[0].strip() or c.strip() for c in columns.split(",")}
+    return "concat_ws('|', " + ", ".join(f"'{k}='||CAST({pairs[k]} AS VARCHAR)" for k in sorted(pairs)) + ")"
+
+
+SQL["a10_entity_csvs"] = _with(" UNION ALL ".join(
+    f"SELECT '{label}' AS label, '{label}:'||{key} AS id, {_properties(_KEPT[t])} AS properties FROM {_source(t)}"
+    for label, key, t in [("Customer", "customer_id", "customers"), ("Employee", "employee_id", "employees"),
+                          ("Product", "product_id", "products"), ("Transaction", "transaction_id", "financial_transactions"),
+                          ("AuditLog", "log_id", "audit_logs")]),
+    "customers", "employees", "products", "transactions", "audit_logs")
+SQL["a11_snapshot_summary"] = f"SELECT rpad(kind||' '||name, 40, ' ')||CAST(n AS VARCHAR) AS line FROM ({_SUMMARY})"
+SQL["b06_normalised_refs"] = _with(
+    "SELECT upper(table_name) AS table_name, upper(column_name) AS column_name, upper(tag_name) AS tag_name, tag_value FROM assigned",
+    "assigned")
+SQL["c04_coerced_values"] = ("SELECT o_orderkey, TRY_CAST(substr(o_orderpriority,1,1) AS INT) AS level, "
+                             "TRY_CAST(o_orderstatus AS BIGINT) AS code FROM orders")
+SQL["c07_provenance"] = ("SELECT c_custkey AS customer_id, 'CUSTOMERS' AS source_table, 'warehouse' AS source_platform, "
+                         "'2024-07-01 00:00:00' AS ingested_at FROM customer")
+
 for _t, _cols in _KEPT.items():
     SQL[f"c06_minimise_{_t}"] = _with(f"SELECT {_cols} FROM {_source(_t)}", _source(_t))
 for _name, _t, _more in [

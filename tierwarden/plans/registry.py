@@ -22,7 +22,7 @@ from tierwarden.operators.sync import CatalogStore, DriftStore, sync_tags
 from tierwarden.plans import access as A
 from tierwarden.sources import inventory as I
 from tierwarden.sources import snapshot as S
-from tierwarden.sources.entities import Entities, minimise
+from tierwarden.sources.entities import Entities, coerce, minimise, with_provenance
 from tierwarden.sources.estate import ORDER, Estate, pick
 from tierwarden.streaming import streams as W
 
@@ -104,6 +104,29 @@ def _(spark, sf):
                 .csv(f"{path}/nodes_Employee")
 
 
+@query("a10_entity_csvs")
+def _(spark, sf):
+    """The vertices of all five governed tables as one CSV folder per label, read back as key=value text."""
+    path = scratch_path(spark, "csv")
+    typed = {LABEL_OF[t]: minimise(df, t) for t, df in Entities(spark, sf).all().items()}
+    frames = []
+    for label, columns in S.export_typed_csv(typed, path).items():
+        schema = ", ".join(f"`{c}` string" for c in columns)
+        back = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(f"{path}/nodes_{label}")
+        values = [F.concat(F.lit(f"{c}="), F.col(c)) for c in columns if c != "id"]
+        frames.append(back.select(F.lit(label).alias("label"), "id", F.concat_ws("|", *values).alias("properties")))
+    return C.union_all(frames)
+
+
+@query("a11_snapshot_summary")
+def _(spark, sf):
+    """The summary text written beside a snapshot, read back line by line."""
+    g = whole_graph(spark, sf)
+    path = scratch_path(spark, "summary")
+    S.export_summary(g.vertices, g.edges, path)
+    return spark.read.text(f"{path}/summary").select(F.col("value").alias("line"))
+
+
 @query("a12_snapshot_round_trip")
 def _(spark, sf):
     """Whole graph stored, exported as JSON Lines, imported again, and counted."""
@@ -166,8 +189,27 @@ def _(spark, sf):
         C.check_not_null(e.audit_logs, "AUDIT_LOGS", ["log_id", "user_email", "failure_reason"])])
 
 
+@query("b06_normalised_refs")
+def _(spark, sf):
+    return C.normalise_refs(Estate(spark, sf).assigned)
+
+
 # -- C: minimising projections -------------------------------------------------
 
+@query("c04_coerced_values")
+def _(spark, sf):
+    """Text columns cast to the model's types; what does not parse becomes NULL."""
+    e = Entities(spark, sf)
+    return coerce(e.raw("orders").select("o_orderkey", F.substring("o_orderpriority", 1, 1).alias("level"),
+                                         F.col("o_orderstatus").alias("code")), {"level": "int", "code": "long"})
+
+
+@query("c07_provenance")
+def _(spark, sf):
+    out = with_provenance(minimise(Entities(spark, sf).customers, "CUSTOMERS"), "customers", "warehouse", RUN_TS)
+    return out.select("customer_id", "source_table", "source_platform", F.col("ingested_at").cast("string").alias("ingested_at"))
+
+
 def _minimised(table: str) -> Query:
     return lambda spark, sf: minimise(Entities(spark, sf).table(table), table)
 

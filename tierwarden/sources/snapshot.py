@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from tierwarden.model import EDGE_SCHEMA, PROPS, VERTEX_SCHEMA
 from tierwarden.operators.durable import scratch_path, write_through
 from tierwarden.operators.graph import (
-    distinct_edges, distinct_vertices, graph_summary, merge_edges, merge_vertices,
+    as_vertices, distinct_edges, distinct_vertices, graph_summary, merge_edges, merge_vertices,
 )
 
 NODE_FILE = T.StructType([T.StructField("id", T.StringType()),
@@ -86,6 +86,20 @@ def export_label_csv(vertices: DataFrame, path: str) -> list[str]:
     return sorted(keys)
 
 
+def export_typed_csv(typed: dict[str, DataFrame], path: str) -> dict[str, list[str]]:
+    """One CSV folder per label, in id order; returns the columns of each.
+
+    Each label's frame is read once, and its columns come from its schema, so nothing is collected.
+    """
+    columns = {}
+    for label, df in typed.items():
+        keys = sorted(df.columns)
+        table = label_table(as_vertices(df, label), label, keys)
+        table.orderBy("id").write.mode("overwrite").option("header", True).csv(f"{path}/nodes_{label}")
+        columns[label] = table.columns
+    return columns
+
+
 def export_summary(vertices: DataFrame, edges: DataFrame, path: str) -> DataFrame:
     """Counts per label and type as text lines; returns the counts."""
     counts = graph_summary(vertices, edges)
