@@ -304,11 +304,11 @@ def bpe():
     return byte_bpe.ByteBpe(byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
 
 
-def check_bpe(spark, bpe, texts, table=None):
+def check_bpe(spark, bpe, texts, words=byte_bpe.WORDS):
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     frame = docs(spark, list(enumerate(texts)))
-    out = bpe.encode(frame, "text", table).withColumn("bytes", bpe.decode(F.col("ids"))).collect()
+    out = bpe.encode(frame, "text", words).withColumn("bytes", bpe.decode(F.col("ids"))).collect()
     assert len(out) == len(texts)
     for r in out:
         assert r["ids"] == plain.encode_ordinary(r["text"] or ""), r["text"]
@@ -320,10 +320,21 @@ def test_bpe_edges(spark, bpe):
              "ßẞ İ e\u0301 \ufeff", "tab\tx  \r\n ", "!!!???...", "word " * 3000, "\u200b\u2028 z"]
     check_bpe(spark, bpe, texts)
     frame = docs(spark, list(enumerate(texts)))
-    table = bpe.word_table(frame, words=50)
-    assert 0 < len(table) <= 50
-    check_bpe(spark, bpe, texts, table)
-    assert bpe.word_table(frame.limit(0)) == {} and bpe.encode(frame.limit(0)).count() == 0
+    check_bpe(spark, bpe, texts, 3)
+    assert 0 < len(bpe.word_table(frame, words=3)) <= 3
+    assert bpe.encode(frame.limit(0)).count() == 0
+
+
+def test_every_token_is_made_by_its_merges(spark, bpe):
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    whole = [(rank, token.decode()) for token, rank in ranks.items() if token.decode(errors="replace").encode() == token]
+    frame = spark.createDataFrame(whole, "rank int, piece string").repartition(8)
+    assert frame.select("rank", bpe.fold(F.col("piece")).alias("ids")).filter("ids <> array(rank)").count() == 0 and len(whole) > 49000
+
+
+def test_white_space_and_letters_of_all_planes(spark, bpe):
+    chars = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and c % 7 == 0 or c < 0x3100]
+    check_bpe(spark, bpe, ["".join(f"a{c}b {c} 1{c}{c}" for c in chars[i:i + 500]) for i in range(0, len(chars), 500)])
 
 
 def test_bpe_random_texts(spark, bpe):

@@ -1,4 +1,4 @@
-"""Byte-level BPE in DataFrame operations: ranked merges folded over the bytes of distinct words.
+"""Byte-level BPE: ranked merges folded over the bytes of distinct words with higher-order functions.
 
 A text is cut into pieces by the tokenizer's pattern. A token of rank r is written as the one character
 of code point r + ``SHIFT``, so a piece's byte array is a string of single-byte tokens, and characters compare as
@@ -7,11 +7,13 @@ map from a pair of tokens to the token they make.
 
 The merges of a piece are a fold (``aggregate``). Its state is the string of parts and the string of
 what every adjacent pair makes; each step takes the least character of the latter, joins the leftmost such
-pair and looks up its two new neighbours. ``word_table`` runs that fold once for each of the ``words`` most
-common distinct pieces of the whole input; the result is a second literal of bounded size. ``encode``
-looks pieces up there and folds only pieces it does not hold, so no text is shuffled and the
-table changes the cost of a row, never its ids. Decoding joins the tokens' bytes, written as Latin-1
-characters, and encodes them back to binary.
+pair and looks up its two new neighbours.
+
+``word_table`` runs the fold once for each of the ``words`` most common distinct pieces of the whole input.
+That table has a fixed bound and is broadcast. ``encode`` writes a text as numbers of table rows and a
+list of its distinct other pieces, folds only those, and puts the ids in order; texts stay where they
+are, nothing is shuffled, and the table changes the cost of a row, never its ids. Decoding joins the
+tokens' bytes, written as Latin-1 characters, and encodes them back to binary.
 
 Defined results: null and empty texts give an empty id list; ids are those of greedy ranked
 merging without special tokens; a one-piece text of n bytes costs n steps over strings of at
@@ -23,15 +25,21 @@ from __future__ import annotations
 import base64
 import json
 import zlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BUCKETS = 1 << 15
-WORDS = 1 << 18
+WORDS = 1 << 20
 SHIFT = 256        # code points below are those of the bytes
-NONE = "\uffff"    # no token; greater than every token
+END = "\u0001"     # before the first and after the last part; no pair holds it
+NONE = "￿"    # what a pair without a token makes; greater than every token
 MOST = 0xD800 - SHIFT
 
 
@@ -41,27 +49,6 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, filter(None, f.read().splitlines()))}
 
 
-def java_pattern(pattern: str) -> str:
-    """The pattern with Unicode classes, as tokenizers read it."""
-    return f"(?U){pattern}"
-
-
-def _buckets(entries: Iterable[tuple[str, object]], buckets: int, value: str) -> Column:
-    table: list[dict[str, object]] = [{} for _ in range(buckets)]
-    for key, x in entries:
-        table[zlib.crc32(key.encode()) % buckets][key] = x
-    return F.from_json(F.lit(json.dumps(table, separators=(",", ":"))), f"array<map<string,{value}>>")
-
-
-def _look_up(table: Column, buckets: int, key: Column) -> Column:
-    return F.element_at(F.element_at(table, (F.crc32(key.cast("binary")) % buckets).cast("int") + 1), key)
-
-
-def _bind(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` worked out once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def merges(ranks: dict[bytes, int]) -> Iterable[tuple[str, str]]:
     """Two tokens and the token that their bytes make, for all splits of all tokens."""
     for token, rank in ranks.items():
@@ -71,74 +58,127 @@ def merges(ranks: dict[bytes, int]) -> Iterable[tuple[str, str]]:
                 yield chr(a + SHIFT) + chr(b + SHIFT), chr(rank + SHIFT)
 
 
+def _bind(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _list(lists: pa.ListArray, numbers: bool = True) -> tuple[np.ndarray, np.ndarray | pa.Array]:
+    """Bounds and values of a list column."""
+    bounds = lists.offsets.to_numpy().astype(np.int64)
+    values = lists.flatten()
+    return bounds - bounds[0], values.to_numpy(zero_copy_only=False) if numbers else values
+
+
+def _char(text: Column, at: Column) -> Column:
+    return F.substring(text, at, F.lit(1))
+
+
 class ByteBpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         if max(ranks.values()) >= MOST or any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError(f"ranks must lie below {MOST} and hold all single bytes")
-        self.pattern = java_pattern(pattern)
-        self.pairs = _buckets(merges(ranks), BUCKETS, "string")
+        self.pattern = pattern
+        table: list[dict[str, str]] = [{} for _ in range(BUCKETS)]
+        for two, made in merges(ranks):
+            table[zlib.crc32(two.encode()) % BUCKETS][two] = made
+        self.pairs = F.from_json(F.lit(json.dumps(table, separators=(",", ":"), ensure_ascii=False)), "array<map<string,string>>")
         self.bytes = "".join(map(chr, range(256)))
         self.singles = "".join(chr(ranks[bytes([b])] + SHIFT) for b in range(256))
         by_rank = [""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             by_rank[rank] = token.decode("latin-1")
-        self.tokens = F.from_json(F.lit(json.dumps(by_rank)), "array<string>")
-        self.whole = _buckets(((t.decode("latin-1"), r) for t, r in ranks.items()), BUCKETS, "int")
+        self.tokens = F.from_json(F.lit(json.dumps(by_rank, ensure_ascii=False)), "array<string>")
 
     def pieces(self, text: Column) -> Column:
-        return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(self.pattern), F.lit(0))
+        """The pattern's matches, with Unicode classes as tokenizers read them."""
+        return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"(?U){self.pattern}"), F.lit(0))
 
     def _made(self, two: Column) -> Column:
-        """The token made of two; ``NONE`` without one (also beyond the ends)."""
-        return F.coalesce(_look_up(self.pairs, BUCKETS, two), F.lit(NONE))
+        bucket = F.element_at(self.pairs, (F.crc32(two.cast("binary")) % BUCKETS).cast("int") + 1)
+        return F.coalesce(F.element_at(bucket, two), F.lit(NONE))
 
     def _step(self, state: Column) -> Column:
-        """Joins the leftmost pair of lowest rank; a state without such a pair stays."""
+        """Joins the leftmost pair of lowest rank; without such a pair, nothing is left to make."""
         parts, made = state["parts"], state["made"]
 
         def join(token: Column) -> Column:
-            at = F.instr(made, token)
-            before, after = F.substring(parts, F.lit(1), at - 1), F.substring(parts, at + 2, F.length(parts))
+            at = F.instr(made, token)      # at least 2, since the first pair holds END
             return F.struct(
-                F.concat(before, token, after).alias("parts"),
-                F.concat(F.substring(made, F.lit(1), at - 2),
-                         F.when(at > 1, self._made(F.concat(F.substring(parts, at - 1, F.lit(1)), token))).otherwise(""),
-                         F.when(after != "", self._made(F.concat(token, F.substring(after, F.lit(1), F.lit(1))))).otherwise(""),
-                         F.substring(made, at + 2, F.length(parts))).alias("made"))
+                F.concat(F.substring(parts, F.lit(1), at - 1), token, F.substring(parts, at + 2, F.length(parts))).alias("parts"),
+                F.concat(F.substring(made, F.lit(1), at - 2), self._made(F.concat(_char(parts, at - 1), token)),
+                         self._made(F.concat(token, _char(parts, at + 2))), F.substring(made, at + 2, F.length(parts))).alias("made"))
 
-        least = F.array_min(F.split(made, ""))
-        return F.when((made == "") | (least == NONE), state).otherwise(_bind(least, join))
+        done = F.struct(parts.alias("parts"), F.lit("").alias("made"))
+        return F.when(made == "", state).otherwise(
+            _bind(F.array_min(F.split(made, "")), lambda token: F.when(token == NONE, done).otherwise(join(token))))
 
     def fold(self, piece: Column) -> Column:
-        """Ids of one piece."""
-        def merged(one: Column) -> Column:
-            places = F.sequence(F.lit(1), F.length(one) - 1)
-            made = F.array_join(F.transform(places, lambda i: self._made(F.substring(one, i, F.lit(2)))), "")
-            first = F.struct(one.alias("parts"), F.when(F.length(one) > 1, made).otherwise("").alias("made"))
-            return F.aggregate(F.split(one, ""), first, lambda s, _: self._step(s),
-                               lambda s: F.transform(F.split(s["parts"], ""), lambda c: F.ascii(c) - SHIFT))
-
-        def split(chars: Column) -> Column:
-            whole = _look_up(self.whole, BUCKETS, chars)
-            return (F.when(whole.isNotNull(), F.array(whole))
-                    .otherwise(_bind(F.translate(chars, self.bytes, self.singles), merged)))
-
-        return _bind(F.decode(piece.cast("binary"), "ISO-8859-1"), split)
-
-    def word_table(self, df: DataFrame, text: str = "text", words: int = WORDS) -> dict[str, list[int]]:
-        """The ids of the ``words`` most common distinct pieces; at most ``words`` rows reach the driver."""
+        """Ids of one piece that is not empty."""
+        def merged(parts: Column) -> Column:
+            places = F.sequence(F.lit(1), F.length(parts) - 1)
+            made = F.array_join(F.transform(places, lambda i: self._made(F.substring(parts, i, F.lit(2)))), "")
+            return F.aggregate(
+                F.split(parts, ""), F.struct(parts.alias("parts"), made.alias("made")), lambda s, _: self._step(s),
+                lambda s: F.transform(F.split(F.substring(s["parts"], F.lit(2), F.length(s["parts"]) - 2), ""), lambda c: F.ascii(c) - SHIFT))
+
+        chars = F.translate(F.decode(piece.cast("binary"), "ISO-8859-1"), self.bytes, self.singles)
+        return _bind(F.concat(F.lit(END), chars, F.lit(END)), merged)
+
+    def word_table(self, df: DataFrame, text: str = "text", words: int = WORDS) -> pd.DataFrame:
+        """piece, ids of the most common distinct pieces found more than once; at most ``words`` rows reach the driver."""
         common = (df.select(F.explode(self.pieces(F.col(text))).alias("piece")).groupBy("piece").count()
-                  .filter((F.col("count") > 1) & (F.length("piece") <= 64))
+                  .filter((F.col("count") > 1) & (F.octet_length("piece") <= 64))
                   .orderBy(F.desc("count"), "piece").limit(words))
-        rows = common.repartition(64, "piece").select("piece", self.fold(F.col("piece")).alias("ids")).collect()
-        return {r["piece"]: r["ids"] for r in rows}
+        spread = common.repartition(df.sparkSession.sparkContext.defaultParallelism * 4, "piece")
+        return spread.select("piece", self.fold(F.col("piece")).alias("ids")).toPandas()
 
-    def encode(self, df: DataFrame, text: str = "text", table: dict[str, list[int]] | None = None) -> DataFrame:
+    def encode(self, df: DataFrame, text: str = "text", words: int = WORDS) -> DataFrame:
         """``df`` with ``ids array<int>``."""
-        buckets = max(1, len(table or {}) // 4)
-        known = _buckets((table or {}).items(), buckets, "array<int>")
-        one = lambda piece: F.coalesce(_look_up(known, buckets, piece), self.fold(piece))
-        return df.withColumn("ids", F.flatten(F.transform(self.pieces(F.col(text)), one)))
+        table = self.word_table(df, text, words)
+        sizes = table["ids"].map(len).to_numpy(np.int64)
+        flat = np.concatenate([np.empty(0, np.int32), *table["ids"]]).astype(np.int32)
+        shared = df.sparkSession.sparkContext.broadcast((self.pattern, table["piece"].to_list(), sizes, flat))
+
+        @F.pandas_udf("codes array<int>, others array<string>")
+        def coded(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            pattern, known = regex.compile(shared.value[0]), {p: i for i, p in enumerate(shared.value[1])}
+            for texts in parts:
+                out = []
+                for x in texts:
+                    codes, others = [], {}
+                    for piece in pattern.findall(x or ""):
+                        code = known.get(piece)
+                        codes.append(~others.setdefault(piece, len(others)) if code is None else code)
+                    out.append((np.array(codes, np.int32), list(others)))
+                yield pd.DataFrame(out, columns=["codes", "others"])
+
+        def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            _, _, sizes, flat = shared.value
+            starts = np.cumsum(sizes) - sizes
+            for batch in batches:
+                of_text, codes = _list(batch.column(batch.num_columns - 2))
+                of_others, folded = _list(batch.column(batch.num_columns - 1), False)
+                of_piece, own = _list(folded)
+                text = np.repeat(np.arange(batch.num_rows), np.diff(of_text))
+                known = codes >= 0
+                other = of_others[text[~known]] + ~codes[~known]
+                n, start = np.empty(len(codes), np.int64), np.empty(len(codes), np.int64)
+                n[known], start[known] = sizes[codes[known]], starts[codes[known]]
+                n[~known], start[~known] = np.diff(of_piece)[other], of_piece[other]
+                ends = np.concatenate(([0], np.cumsum(n)))
+                place = np.arange(ends[-1]) + np.repeat(start - ends[:-1], n)
+                from_table = np.repeat(known, n)
+                ids = np.empty(len(place), np.int32)
+                ids[from_table], ids[~from_table] = flat[place[from_table]], own[place[~from_table]]
+                lists = pa.ListArray.from_arrays(pa.array(ends[of_text].astype(np.int32)), pa.array(ids))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-2], lists], names=[*batch.schema.names[:-2], "ids"])
+
+        names = [c for c in df.columns if c != "ids"]
+        step = df.select(*names, coded(F.col(text).cast("string")).alias("__coded"))
+        step = step.select(*names, F.col("__coded.codes").alias("__codes"), F.transform("__coded.others", self.fold).alias("__folded"))
+        # a plan node of its own: the optimizer would copy the fold into a Python call's arguments
+        return step.mapInArrow(ordered, T.StructType([*df.select(*names).schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
     def decode(self, ids: Column) -> Column:
         """The bytes of an id list."""
