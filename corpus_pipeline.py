@@ -47,7 +47,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and ids of every document, and whether they decode to its text."""
     bpe = byte_bpe.ByteBpe(byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
-    coded = bpe.encode(docs.select("doc_id", "text"), "text", bpe.word_table(docs, "text"))
+    coded = bpe.encode(docs.select("doc_id", "text"), "text")
     whole = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
                         (bpe.decode(F.col("ids")) == whole).alias("round_trip"))
