@@ -133,7 +133,7 @@ class SmallFixture:
 
     @cached_property
     def catalog(self):
-        tiers = {(t, c): tier for t, by in TIER_SHEET.items() for tier, names in by.items() for c in names.split()}
+        tiers = {(t, c): tier for t, by in TIER_SHEET.items() for tier, names in by.items() for c in names}
         rows = []
         for table, names in SMALL_COLUMNS.items():
             for i, c in enumerate(names.split(), 1):

@@ -142,59 +142,59 @@ ROW_BINDINGS = {
 # --------------------------------------------------------------------------
 TIER_SHEET = {
     "CUSTOMERS": {
-        "Restricted": "SSN",
-        "PII": "FIRST_NAME LAST_NAME EMAIL PHONE DATE_OF_BIRTH ADDRESS_LINE1 ADDRESS_LINE2",
-        "Internal": "CUSTOMER_ID CITY STATE ZIP_CODE CUSTOMER_TIER CREATED_AT IS_ACTIVE",
-        "Public": "COUNTRY",
+        "Restricted": ("SSN",),
+        "PII": ("FIRST_NAME", "LAST_NAME", "EMAIL", "PHONE", "DATE_OF_BIRTH", "ADDRESS_LINE1", "ADDRESS_LINE2"),
+        "Internal": ("CUSTOMER_ID", "CITY", "STATE", "ZIP_CODE", "CUSTOMER_TIER", "CREATED_AT", "IS_ACTIVE"),
+        "Public": ("COUNTRY",),
     },
     "FINANCIAL_TRANSACTIONS": {
-        "Restricted": "ACCOUNT_NUMBER ROUTING_NUMBER CARD_LAST_FOUR TRANSACTION_AMOUNT "
-                      "FRAUD_FLAG IP_ADDRESS DEVICE_FINGERPRINT",
-        "Internal": "TRANSACTION_ID CUSTOMER_ID TRANSACTION_TYPE MERCHANT_NAME "
-                    "TRANSACTION_DATE STATUS",
-        "Public": "MERCHANT_CATEGORY CURRENCY",
+        "Restricted": ("ACCOUNT_NUMBER", "ROUTING_NUMBER", "CARD_LAST_FOUR", "TRANSACTION_AMOUNT", "FRAUD_FLAG",
+                       "IP_ADDRESS", "DEVICE_FINGERPRINT"),
+        "Internal": ("TRANSACTION_ID", "CUSTOMER_ID", "TRANSACTION_TYPE", "MERCHANT_NAME", "TRANSACTION_DATE",
+                     "STATUS"),
+        "Public": ("MERCHANT_CATEGORY", "CURRENCY"),
     },
     "EMPLOYEES": {
-        "Restricted": "SSN SALARY BONUS BANK_ACCOUNT CLEARANCE_LEVEL",
-        "PII": "FIRST_NAME LAST_NAME EMAIL PERSONAL_EMAIL PHONE DATE_OF_BIRTH",
-        "Internal": "EMPLOYEE_ID EMPLOYEE_NUMBER HIRE_DATE TERMINATION_DATE DEPARTMENT "
-                    "JOB_TITLE MANAGER_ID PERFORMANCE_RATING REMOTE_WORK",
-        "Public": "LOCATION_OFFICE",
+        "Restricted": ("SSN", "SALARY", "BONUS", "BANK_ACCOUNT", "CLEARANCE_LEVEL"),
+        "PII": ("FIRST_NAME", "LAST_NAME", "EMAIL", "PERSONAL_EMAIL", "PHONE", "DATE_OF_BIRTH"),
+        "Internal": ("EMPLOYEE_ID", "EMPLOYEE_NUMBER", "HIRE_DATE", "TERMINATION_DATE", "DEPARTMENT",
+                     "JOB_TITLE", "MANAGER_ID", "PERFORMANCE_RATING", "REMOTE_WORK"),
+        "Public": ("LOCATION_OFFICE",),
     },
     "PRODUCTS": {
-        "Restricted": "COST_PRICE PROFIT_MARGIN",
-        "Internal": "PRODUCT_ID UNIT_PRICE STOCK_QUANTITY REORDER_THRESHOLD SUPPLIER_ID "
-                    "IS_ACTIVE LAST_MODIFIED",
-        "Public": "PRODUCT_SKU PRODUCT_NAME PRODUCT_DESCRIPTION CATEGORY SUBCATEGORY LAUNCH_DATE",
+        "Restricted": ("COST_PRICE", "PROFIT_MARGIN"),
+        "Internal": ("PRODUCT_ID", "UNIT_PRICE", "STOCK_QUANTITY", "REORDER_THRESHOLD", "SUPPLIER_ID",
+                     "IS_ACTIVE", "LAST_MODIFIED"),
+        "Public": ("PRODUCT_SKU", "PRODUCT_NAME", "PRODUCT_DESCRIPTION", "CATEGORY", "SUBCATEGORY", "LAUNCH_DATE"),
     },
     "AUDIT_LOGS": {
-        "Restricted": "SOURCE_IP SESSION_ID USER_AGENT",
-        "PII": "USER_EMAIL",
-        "Internal": "LOG_ID EVENT_TIMESTAMP USER_ID ACTION_TYPE RESOURCE_ACCESSED "
-                    "DATA_CLASSIFICATION SUCCESS_FLAG FAILURE_REASON RECORDS_ACCESSED QUERY_HASH",
+        "Restricted": ("SOURCE_IP", "SESSION_ID", "USER_AGENT"),
+        "PII": ("USER_EMAIL",),
+        "Internal": ("LOG_ID", "EVENT_TIMESTAMP", "USER_ID", "ACTION_TYPE", "RESOURCE_ACCESSED",
+                     "DATA_CLASSIFICATION", "SUCCESS_FLAG", "FAILURE_REASON", "RECORDS_ACCESSED", "QUERY_HASH"),
     },
 }
 EXTRA_TAGS = [
     # table, tag, value, columns
-    ("CUSTOMERS", "data_category", "Personal", "EMAIL"),
-    ("CUSTOMERS", "encryption_required", "Yes", "EMAIL SSN DATE_OF_BIRTH"),
-    ("CUSTOMERS", "retention_policy", "7_years", "SSN"),
-    ("CUSTOMERS", "data_owner", "Customer Success Team", "EMAIL"),
-    ("CUSTOMERS", "data_owner", "Compliance Team", "SSN"),
-    ("FINANCIAL_TRANSACTIONS", "encryption_required", "Yes", "ACCOUNT_NUMBER"),
-    ("FINANCIAL_TRANSACTIONS", "retention_policy", "7_years", "ACCOUNT_NUMBER"),
-    ("FINANCIAL_TRANSACTIONS", "data_category", "Financial", "TRANSACTION_AMOUNT"),
-    ("FINANCIAL_TRANSACTIONS", "data_owner", "Risk & Fraud Team", "FRAUD_FLAG"),
-    ("FINANCIAL_TRANSACTIONS", "data_category", "Personal", "IP_ADDRESS"),
-    ("EMPLOYEES", "encryption_required", "Yes", "SSN SALARY BANK_ACCOUNT"),
-    ("EMPLOYEES", "retention_policy", "7_years", "SSN SALARY"),
-    ("EMPLOYEES", "data_owner", "HR Team", "SSN"),
-    ("EMPLOYEES", "data_owner", "Finance Team", "SALARY"),
-    ("EMPLOYEES", "data_owner", "Security Team", "CLEARANCE_LEVEL"),
-    ("PRODUCTS", "data_owner", "Finance Team", "COST_PRICE PROFIT_MARGIN"),
-    ("PRODUCTS", "data_category", "Financial", "COST_PRICE PROFIT_MARGIN"),
-    ("AUDIT_LOGS", "retention_policy", "1_year", "SOURCE_IP SESSION_ID"),
-    ("AUDIT_LOGS", "data_owner", "Security Team", "SOURCE_IP"),
+    ("CUSTOMERS", "data_category", "Personal", ("EMAIL",)),
+    ("CUSTOMERS", "encryption_required", "Yes", ("EMAIL", "SSN", "DATE_OF_BIRTH")),
+    ("CUSTOMERS", "retention_policy", "7_years", ("SSN",)),
+    ("CUSTOMERS", "data_owner", "Customer Success Team", ("EMAIL",)),
+    ("CUSTOMERS", "data_owner", "Compliance Team", ("SSN",)),
+    ("FINANCIAL_TRANSACTIONS", "encryption_required", "Yes", ("ACCOUNT_NUMBER",)),
+    ("FINANCIAL_TRANSACTIONS", "retention_policy", "7_years", ("ACCOUNT_NUMBER",)),
+    ("FINANCIAL_TRANSACTIONS", "data_category", "Financial", ("TRANSACTION_AMOUNT",)),
+    ("FINANCIAL_TRANSACTIONS", "data_owner", "Risk & Fraud Team", ("FRAUD_FLAG",)),
+    ("FINANCIAL_TRANSACTIONS", "data_category", "Personal", ("IP_ADDRESS",)),
+    ("EMPLOYEES", "encryption_required", "Yes", ("SSN", "SALARY", "BANK_ACCOUNT")),
+    ("EMPLOYEES", "retention_policy", "7_years", ("SSN", "SALARY")),
+    ("EMPLOYEES", "data_owner", "HR Team", ("SSN",)),
+    ("EMPLOYEES", "data_owner", "Finance Team", ("SALARY",)),
+    ("EMPLOYEES", "data_owner", "Security Team", ("CLEARANCE_LEVEL",)),
+    ("PRODUCTS", "data_owner", "Finance Team", ("COST_PRICE", "PROFIT_MARGIN")),
+    ("PRODUCTS", "data_category", "Financial", ("COST_PRICE", "PROFIT_MARGIN")),
+    ("AUDIT_LOGS", "retention_policy", "1_year", ("SOURCE_IP", "SESSION_ID")),
+    ("AUDIT_LOGS", "data_owner", "Security Team", ("SOURCE_IP",)),
 ]
 
 # --------------------------------------------------------------------------
@@ -217,14 +217,15 @@ KEY_OF = {
 # An audit record is Internal although three of its columns are Restricted.
 TIER_OVERRIDES = {"AUDIT_LOGS": "Internal"}
 KEPT_COLUMNS = {
-    "CUSTOMERS": "customer_id first_name last_name email city state country customer_tier is_active",
-    "EMPLOYEES": "employee_id employee_number first_name last_name email department job_title "
-                 "location_office remote_work is_active",
-    "PRODUCTS": "product_id product_sku product_name category subcategory unit_price is_active",
-    "FINANCIAL_TRANSACTIONS": "transaction_id customer_id transaction_type merchant_name "
-                              "merchant_category currency status fraud_flag",
-    "AUDIT_LOGS": "log_id user_id action_type resource_accessed data_classification_accessed "
-                  "success_flag failure_reason",
+    "CUSTOMERS": ("customer_id", "first_name", "last_name", "email", "city", "state", "country",
+                  "customer_tier", "is_active"),
+    "EMPLOYEES": ("employee_id", "employee_number", "first_name", "last_name", "email", "department",
+                  "job_title", "location_office", "remote_work", "is_active"),
+    "PRODUCTS": ("product_id", "product_sku", "product_name", "category", "subcategory", "unit_price", "is_active"),
+    "FINANCIAL_TRANSACTIONS": ("transaction_id", "customer_id", "transaction_type", "merchant_name",
+                               "merchant_category", "currency", "status", "fraud_flag"),
+    "AUDIT_LOGS": ("log_id", "user_id", "action_type", "resource_accessed", "data_classification_accessed",
+                   "success_flag", "failure_reason"),
 }
 # Values of kept columns that a source does not have at all.
 ABSENT_DEFAULTS = {"is_active": True, "success_flag": True, "remote_work": False, "fraud_flag": False,
@@ -236,11 +237,11 @@ UNIQUE_KEYS = {
     "Transaction": "transaction_id", "AuditLog": "log_id",
 }
 REQUIRED = {
-    "CUSTOMERS": "customer_id first_name last_name email",
-    "FINANCIAL_TRANSACTIONS": "transaction_id customer_id account_number transaction_amount",
-    "EMPLOYEES": "employee_id employee_number first_name last_name email",
-    "PRODUCTS": "product_id product_sku product_name",
-    "AUDIT_LOGS": "log_id event_timestamp",
+    "CUSTOMERS": ("customer_id", "first_name", "last_name", "email"),
+    "FINANCIAL_TRANSACTIONS": ("transaction_id", "customer_id", "account_number", "transaction_amount"),
+    "EMPLOYEES": ("employee_id", "employee_number", "first_name", "last_name", "email"),
+    "PRODUCTS": ("product_id", "product_sku", "product_name"),
+    "AUDIT_LOGS": ("log_id", "event_timestamp"),
 }
 NOW = object()  # placeholder for "time of the run" in INSERT_DEFAULTS
 INSERT_DEFAULTS = {
@@ -356,9 +357,9 @@ def sheet_assignments() -> list[tuple[str, str, str, str]]:
     """(table, column, tag, value) for the five governed tables."""
     out = [(table, column, CLASSIFICATION, tier)
            for table, by_tier in TIER_SHEET.items()
-           for tier, names in by_tier.items() for column in names.split()]
+           for tier, names in by_tier.items() for column in names]
     out += [(table, column, tag, value)
-            for table, tag, value, names in EXTRA_TAGS for column in names.split()]
+            for table, tag, value, names in EXTRA_TAGS for column in names]
     return out
 
 

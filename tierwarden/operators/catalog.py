@@ -136,7 +136,7 @@ def check_unique(df: DataFrame, key: str) -> DataFrame:
 
 def check_not_null(df: DataFrame, table: str, required: list[str] | None = None) -> DataFrame:
     """NULLs per required column, in one pass; only offending columns are returned."""
-    names = [c for c in required or REQUIRED[table.upper()].split() if c in df.columns]
+    names = [c for c in required or REQUIRED[table.upper()] if c in df.columns]
     counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in names])
     return (counted.unpivot([], names, "column_name", "null_rows")
             .where(F.col("null_rows") > 0)

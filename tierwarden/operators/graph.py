@@ -131,7 +131,7 @@ def masks(policy_refs: DataFrame, columns: DataFrame, policies: DataFrame) -> Da
 
 def sheet_tiers(table: str) -> dict[str, str]:
     """column (lower case) -> tier for one of the five governed tables."""
-    return {c.lower(): tier for tier, names in TIER_SHEET[table.upper()].items() for c in names.split()}
+    return {c.lower(): tier for tier, names in TIER_SHEET[table.upper()].items() for c in names}
 
 
 def table_tier(table: str, tiers: dict[str, str], overrides: dict[str, str] | None = None) -> str:

@@ -2,10 +2,35 @@
 
 from __future__ import annotations
 
-from tierwarden.model import (
-    DATABASE, MASK_BINDINGS, POLICIES, RANKS, ROLE_NAMES, ROLE_TIERS, ROLES, SCHEMA, TAG_FIELDS, TAXONOMY,
-    TIER_SHEET,
-)
+from tierwarden.model import POLICIES, ROLES, TAXONOMY
+
+# Fixed values, written out here so that a wrong constant of the library does not pass both sides.
+DATABASE, SCHEMA = "SECURITY_DEMO_DB", "DEMO_SCHEMA"
+RANKS = {"Restricted": 1, "PII": 2, "Internal": 3, "Public": 4}
+TAG_FIELDS = ("data_classification", "data_category", "encryption_required", "retention_policy", "data_owner")
+ROLE_NAMES = ["DATA_GOVERNANCE_ADMIN", "DATA_ENGINEER", "FINANCE_ANALYST", "HR_MANAGER", "SECURITY_AUDITOR",
+              "DATA_ANALYST", "PUBLIC_USER"]
+ROLE_TIERS = {
+    "DATA_GOVERNANCE_ADMIN": ["Public", "Internal", "PII", "Restricted"],
+    "DATA_ENGINEER": ["Public", "Internal", "PII", "Restricted"],
+    "FINANCE_ANALYST": ["Public", "Internal", "Restricted"],
+    "HR_MANAGER": ["Public", "Internal", "PII"],
+    "SECURITY_AUDITOR": ["Public", "Internal"],
+    "DATA_ANALYST": ["Public", "Internal"],
+    "PUBLIC_USER": ["Public"],
+}
+MASKS = ["ACCOUNT_MASKING_POLICY", "AMOUNT_MASKING_POLICY", "EMAIL_MASKING_POLICY", "IP_MASKING_POLICY",
+         "SALARY_MASKING_POLICY", "SSN_MASKING_POLICY"]
+FIELD_LISTS = {
+    ("CUSTOMERS", "Restricted"): "ssn",
+    ("CUSTOMERS", "PII"): "address_line1,address_line2,date_of_birth,email,first_name,last_name,phone",
+    ("EMPLOYEES", "Restricted"): "bank_account,bonus,clearance_level,salary,ssn",
+    ("EMPLOYEES", "PII"): "date_of_birth,email,first_name,last_name,personal_email,phone",
+    ("PRODUCTS", "Public"): "category,launch_date,product_description,product_name,product_sku,subcategory",
+    ("PRODUCTS", "Restricted"): "cost_price,profit_margin",
+    ("FINANCIAL_TRANSACTIONS", "Restricted"): "account_number,card_last_four,device_fingerprint,fraud_flag,ip_address,"
+                                              "routing_number,transaction_amount",
+}
 
 PRIV = "'DATA_ENGINEER','DATA_GOVERNANCE_ADMIN','ACCOUNTADMIN'"
 READERS = ROLE_NAMES + ["ACCOUNTADMIN", "GUEST"]
@@ -38,7 +63,6 @@ PART_COLUMN = f"'C'||{_pad('p_partkey%16', 2)}"
 LINE_TABLE = f"'T'||{_pad('l_partkey//16', 10)}"
 LINE_COLUMN = f"'C'||{_pad('l_partkey%16', 2)}"
 QTY = "CAST(floor(l_quantity) AS INT)"
-MASKS = sorted({p for cols in MASK_BINDINGS.values() for p in cols.values()})
 RULES = ["CUSTOMER_ROW_POLICY", "EMPLOYEE_ROW_POLICY", "TRANSACTION_FRAUD_POLICY"]
 
 CTE: dict[str, str] = {}
@@ -253,7 +277,7 @@ def _totals(table: str, source: str, mask: str, col: str) -> str:
 
 
 def _fields(table: str, tier: str) -> str:
-    return ",".join(sorted(TIER_SHEET[table][tier].lower().split()))
+    return FIELD_LISTS[table, tier]
 
 
 COLUMN_ID = f"'Column:'||{FQN}||table_name||'.'||column_name"

@@ -227,7 +227,7 @@ def minimise(df: DataFrame, table: str) -> DataFrame:
             return (F.lit(None).cast("string") if value is None else F.lit(value)).alias(column)
         return or_false(column).alias(column) if have[column] == "boolean" else F.col(column)
 
-    return df.select([kept(c) for c in KEPT_COLUMNS[name].split()])
+    return df.select([kept(c) for c in KEPT_COLUMNS[name]])
 
 
 def with_provenance(df: DataFrame, table: str, platform: str, run_ts) -> DataFrame:
