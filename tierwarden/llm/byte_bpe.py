@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BUCKETS = 1 << 15
-WORDS = 1 << 20
+WORDS = 1 << 19
 SHIFT = 256        # code points below are those of the bytes
 END = "\u0001"     # before the first and after the last part; no pair holds it
 NONE = "￿"    # what a pair without a token makes; greater than every token
@@ -65,7 +65,7 @@ def _bind(value: Column, body) -> Column:
 
 def _list(lists: pa.ListArray, numbers: bool = True) -> tuple[np.ndarray, np.ndarray | pa.Array]:
     """Bounds and values of a list column."""
-    bounds = lists.offsets.to_numpy().astype(np.int64)
+    bounds = lists.offsets.to_numpy().astype(np.int64) if len(lists) else np.zeros(1, np.int64)
     values = lists.flatten()
     return bounds - bounds[0], values.to_numpy(zero_copy_only=False) if numbers else values
 
@@ -125,24 +125,24 @@ class ByteBpe:
         chars = F.translate(F.decode(piece.cast("binary"), "ISO-8859-1"), self.bytes, self.singles)
         return _bind(F.concat(F.lit(END), chars, F.lit(END)), merged)
 
-    def word_table(self, df: DataFrame, text: str = "text", words: int = WORDS) -> pd.DataFrame:
+    def word_table(self, df: DataFrame, text: str = "text", words: int = WORDS) -> pa.Table:
         """piece, ids of the most common distinct pieces found more than once; at most ``words`` rows reach the driver."""
         common = (df.select(F.explode(self.pieces(F.col(text))).alias("piece")).groupBy("piece").count()
                   .filter((F.col("count") > 1) & (F.octet_length("piece") <= 64))
                   .orderBy(F.desc("count"), "piece").limit(words))
         spread = common.repartition(df.sparkSession.sparkContext.defaultParallelism * 4, "piece")
-        return spread.select("piece", self.fold(F.col("piece")).alias("ids")).toPandas()
+        return spread.select("piece", self.fold(F.col("piece")).alias("ids")).toArrow()
 
     def encode(self, df: DataFrame, text: str = "text", words: int = WORDS) -> DataFrame:
         """``df`` with ``ids array<int>``."""
         table = self.word_table(df, text, words)
-        sizes = table["ids"].map(len).to_numpy(np.int64)
-        flat = np.concatenate([np.empty(0, np.int32), *table["ids"]]).astype(np.int32)
-        shared = df.sparkSession.sparkContext.broadcast((self.pattern, table["piece"].to_list(), sizes, flat))
+        pieces = table["piece"].cast(pa.string()).combine_chunks()
+        bounds, flat = _list(table["ids"].cast(pa.list_(pa.int32())).combine_chunks())
+        shared = df.sparkSession.sparkContext.broadcast((self.pattern, pieces, bounds, flat))
 
         @F.pandas_udf("codes array<int>, others array<string>")
         def coded(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            pattern, known = regex.compile(shared.value[0]), {p: i for i, p in enumerate(shared.value[1])}
+            pattern, known = regex.compile(shared.value[0]), {p: i for i, p in enumerate(shared.value[1].to_pylist())}
             for texts in parts:
                 out = []
                 for x in texts:
@@ -154,8 +154,8 @@ class ByteBpe:
                 yield pd.DataFrame(out, columns=["codes", "others"])
 
         def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            _, _, sizes, flat = shared.value
-            starts = np.cumsum(sizes) - sizes
+            _, _, bounds, flat = shared.value
+            starts, sizes = bounds[:-1], np.diff(bounds)
             for batch in batches:
                 of_text, codes = _list(batch.column(batch.num_columns - 2))
                 of_others, folded = _list(batch.column(batch.num_columns - 1), False)
