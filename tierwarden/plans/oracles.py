@@ -497,7 +497,7 @@ SQL["j04_tag_changes"] = _with(_changes("tags", "old_tags"), "tags", "old_tags")
 SQL["j11_pending_changes"] = _with(
     f"SELECT table_name, column_name, tag_field, old_value, new_value FROM ({_changes('tags', 'old_tags')})",
     "tags", "old_tags")
-SQL["n02_stream_drift"] = _with(_changes("tags", None), "tags")
+SQL["n02_stream_drift"] = _with(f"SELECT table_name, column_name, tag_field, new_value FROM ({_changes('tags', None)})", "tags")
 SQL["j05_snapshot_refresh"] = _with(
     "SELECT coalesce(o.table_name,t.table_name) AS table_name, coalesce(o.column_name,t.column_name) AS column_name, "
     + ", ".join(f"CASE WHEN t.table_name IS NOT NULL THEN t.{f} ELSE o.{f} END AS {f}" for f in TAG_FIELDS)

@@ -729,25 +729,30 @@ def _(spark, sf):
 
 # -- N: streaming --------------------------------------------------------------
 
+def _in_files(spark: SparkSession, sf: str, path: str, files: int) -> DataFrame:
+    """SET TAG statements as a stream of several files, one for each micro-batch."""
+    lines = Estate(spark, sf).raw("lineitem")
+    lines.repartition(files, "l_orderkey").write.parquet(f"{path}/statements")
+    return Estate.history_of(W.read_files(spark, f"{path}/statements", lines.schema, files_per_batch=1))
+
+
 @query("n01_stream_sync")
 def _(spark, sf):
     """SET TAG statements streamed into the catalog store; the stored catalog afterwards."""
-    s = Estate(spark, sf)
     path = scratch_path(spark, "stream-sync")
-    lines = W.read_files(spark, sf, s.raw("lineitem").schema, "lineitem.parquet")
-    W.stream_tag_sync(Estate.history_of(lines), path, ORDER, s.inventory).awaitTermination()
+    W.stream_tag_sync(_in_files(spark, sf, path, 3), path, ORDER, Estate(spark, sf).inventory).awaitTermination()
     return CatalogStore(spark, path).catalog.read().select(
         "fqn", "data_classification", "data_category", "encryption_required", "retention_policy", "data_owner")
 
 
 @query("n02_stream_drift")
 def _(spark, sf):
-    """SET TAG statements streamed into the drift job; the change log afterwards."""
-    s = Estate(spark, sf)
+    """SET TAG statements streamed into the drift job; the newest change of every column and tag that is still set."""
     path = scratch_path(spark, "stream-drift")
-    lines = W.read_files(spark, sf, s.raw("lineitem").schema, "lineitem.parquet")
-    W.stream_detect_changes(Estate.history_of(lines), path, ORDER).awaitTermination()
-    return DriftStore(spark, path).log.read().select(*C.KEY, "tag_field", "old_value", "new_value", "sync_status")
+    W.stream_detect_changes(_in_files(spark, sf, path, 3), path, ORDER).awaitTermination()
+    log = DriftStore(spark, path).log.read()
+    newest = log.groupBy(*C.KEY, "tag_field").agg(F.max(F.struct("changed_at", "new_value")).alias("last"))
+    return newest.select(*C.KEY, "tag_field", F.col("last.new_value").alias("new_value")).where("new_value <> ''")
 
 
 @query("n03_stream_secure")
