@@ -28,7 +28,6 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
@@ -70,6 +69,13 @@ def _list(lists: pa.ListArray, numbers: bool = True) -> tuple[np.ndarray, np.nda
     return bounds - bounds[0], values.to_numpy(zero_copy_only=False) if numbers else values
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows, so that what is worked out for a batch stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _char(text: Column, at: Column) -> Column:
     return F.substring(text, at, F.lit(1))
 
@@ -133,30 +139,39 @@ class ByteBpe:
         spread = common.repartition(df.sparkSession.sparkContext.defaultParallelism * 4, "piece")
         return spread.select("piece", self.fold(F.col("piece")).alias("ids")).toArrow()
 
-    def encode(self, df: DataFrame, text: str = "text", words: int = WORDS) -> DataFrame:
-        """``df`` with ``ids array<int>``."""
+    def encode(self, df: DataFrame, text: str = "text", words: int = WORDS, keep: list[str] | None = None) -> DataFrame:
+        """``df``, or its columns ``keep``, with ``ids array<int>``."""
         table = self.word_table(df, text, words)
         pieces = table["piece"].cast(pa.string()).combine_chunks()
         bounds, flat = _list(table["ids"].cast(pa.list_(pa.int32())).combine_chunks())
         shared = df.sparkSession.sparkContext.broadcast((self.pattern, pieces, bounds, flat))
 
-        @F.pandas_udf("codes array<int>, others array<string>")
-        def coded(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        names = [c for c in (df.columns if keep is None else keep) if c != "ids"]
+        fields = df.select(*names).schema.fields
+
+        def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pattern, known = regex.compile(shared.value[0]), {p: i for i, p in enumerate(shared.value[1].to_pylist())}
-            for texts in parts:
-                out = []
-                for x in texts:
-                    codes, others = [], {}
-                    for piece in pattern.findall(x or ""):
-                        code = known.get(piece)
-                        codes.append(~others.setdefault(piece, len(others)) if code is None else code)
-                    out.append((np.array(codes, np.int32), list(others)))
-                yield pd.DataFrame(out, columns=["codes", "others"])
+            for batch in _slices(batches):
+                codes, of_text, others, of_others = [], [0], [], [0]
+                for x in batch.column(batch.num_columns - 1).to_pylist():
+                    pieces = pattern.findall(x or "")
+                    own = list(map(known.get, pieces))
+                    if None in own:
+                        new: dict[str, int] = {}
+                        own = [~new.setdefault(p, len(new)) if c is None else c for p, c in zip(pieces, own, strict=True)]
+                        others += new
+                    codes += own
+                    of_text.append(len(codes))
+                    of_others.append(len(others))
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:-1], pa.ListArray.from_arrays(pa.array(of_text, pa.int32()), pa.array(codes, pa.int32())),
+                     pa.ListArray.from_arrays(pa.array(of_others, pa.int32()), pa.array(others, pa.string()))],
+                    names=[*batch.schema.names[:-1], "__codes", "__others"])
 
         def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             _, _, bounds, flat = shared.value
             starts, sizes = bounds[:-1], np.diff(bounds)
-            for batch in batches:
+            for batch in _slices(batches):
                 of_text, codes = _list(batch.column(batch.num_columns - 2))
                 of_others, folded = _list(batch.column(batch.num_columns - 1), False)
                 of_piece, own = _list(folded)
@@ -174,11 +189,10 @@ class ByteBpe:
                 lists = pa.ListArray.from_arrays(pa.array(ends[of_text].astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-2], lists], names=[*batch.schema.names[:-2], "ids"])
 
-        names = [c for c in df.columns if c != "ids"]
-        step = df.select(*names, coded(F.col(text).cast("string")).alias("__coded"))
-        step = step.select(*names, F.col("__coded.codes").alias("__codes"), F.transform("__coded.others", self.fold).alias("__folded"))
-        # a plan node of its own: the optimizer would copy the fold into a Python call's arguments
-        return step.mapInArrow(ordered, T.StructType([*df.select(*names).schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+        step = df.select(*names, F.col(text).cast("string").alias("__text")).mapInArrow(coded, T.StructType(
+            [*fields, T.StructField("__codes", T.ArrayType(T.IntegerType())), T.StructField("__others", T.ArrayType(T.StringType()))]))
+        step = step.select(*names, "__codes", F.transform("__others", self.fold).alias("__folded"))
+        return step.mapInArrow(ordered, T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
     def decode(self, ids: Column) -> Column:
         """The bytes of an id list."""

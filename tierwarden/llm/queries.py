@@ -81,7 +81,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     bpe = byte_bpe.ByteBpe(byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.encode(docs, "text").select("doc_id", "ids")
+    coded = bpe.encode(docs, "text", keep=["doc_id"])
 
     @F.pandas_udf("string")
     def packed(lists: pd.Series) -> pd.Series:
