@@ -12,8 +12,8 @@ pair and looks up its two new neighbours.
 ``word_table`` runs the fold once for each of the ``words`` most common distinct pieces of the whole input.
 That table has a fixed bound and is broadcast. ``encode`` writes a text as numbers of table rows and a
 list of its distinct other pieces, folds only those, and puts the ids in order; texts stay where they
-are, nothing is shuffled, and the table changes the cost of a row, never its ids. Decoding joins the
-tokens' bytes, written as Latin-1 characters, and encodes them back to binary.
+are, nothing is shuffled, and the table changes the cost of a row, never its ids. Decoding concatenates
+the tokens' binary pieces.
 
 Defined results: null and empty texts give an empty id list; ids are those of greedy ranked
 merging without special tokens; a one-piece text of n bytes costs n steps over strings of at
@@ -28,8 +28,9 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,10 +92,7 @@ class ByteBpe:
         self.pairs = F.from_json(F.lit(json.dumps(table, separators=(",", ":"), ensure_ascii=False)), "array<map<string,string>>")
         self.bytes = "".join(map(chr, range(256)))
         self.singles = "".join(chr(ranks[bytes([b])] + SHIFT) for b in range(256))
-        by_rank = [""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            by_rank[rank] = token.decode("latin-1")
-        self.tokens = F.from_json(F.lit(json.dumps(by_rank, ensure_ascii=False)), "array<string>")
+        self.tokens = {rank: token for token, rank in ranks.items()}
 
     def pieces(self, text: Column) -> Column:
         """The pattern's matches, with Unicode classes as tokenizers read them."""
@@ -144,24 +142,23 @@ class ByteBpe:
         table = self.word_table(df, text, words)
         pieces = table["piece"].cast(pa.string()).combine_chunks()
         bounds, flat = _list(table["ids"].cast(pa.list_(pa.int32())).combine_chunks())
-        shared = df.sparkSession.sparkContext.broadcast((self.pattern, pieces, bounds, flat))
+        shared = df.sparkSession.sparkContext.broadcast((pieces, bounds, flat))
 
         names = [c for c in (df.columns if keep is None else keep) if c != "ids"]
         fields = df.select(*names).schema.fields
 
         def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            pattern, known = regex.compile(shared.value[0]), {p: i for i, p in enumerate(shared.value[1].to_pylist())}
-            for batch in _slices(batches):
-                codes, of_text, others, of_others = [], [0], [], [0]
-                for x in batch.column(batch.num_columns - 1).to_pylist():
-                    pieces = pattern.findall(x or "")
-                    own = list(map(known.get, pieces))
-                    if None in own:
-                        new: dict[str, int] = {}
-                        own = [~new.setdefault(p, len(new)) if c is None else c for p, c in zip(pieces, own, strict=True)]
-                        others += new
-                    codes += own
-                    of_text.append(len(codes))
+            for batch in batches:
+                of_text, found = _list(batch.column(batch.num_columns - 1), False)
+                codes = pc.index_in(found, value_set=shared.value[0].cast(found.type)).fill_null(-1).to_numpy(zero_copy_only=False).copy()
+                missed = np.flatnonzero(codes < 0)
+                of_missed = np.searchsorted(missed, of_text)
+                pieces, others, of_others = found.take(pa.array(missed)).to_pylist(), [], [0]
+                for i in range(batch.num_rows):
+                    new: dict[str, int] = {}
+                    at = slice(of_missed[i], of_missed[i + 1])
+                    codes[missed[at]] = [~new.setdefault(p, len(new)) for p in pieces[at]]
+                    others += new
                     of_others.append(len(others))
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[:-1], pa.ListArray.from_arrays(pa.array(of_text, pa.int32()), pa.array(codes, pa.int32())),
@@ -169,7 +166,7 @@ class ByteBpe:
                     names=[*batch.schema.names[:-1], "__codes", "__others"])
 
         def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            _, _, bounds, flat = shared.value
+            _, bounds, flat = shared.value
             starts, sizes = bounds[:-1], np.diff(bounds)
             for batch in _slices(batches):
                 of_text, codes = _list(batch.column(batch.num_columns - 2))
@@ -189,11 +186,17 @@ class ByteBpe:
                 lists = pa.ListArray.from_arrays(pa.array(ends[of_text].astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-2], lists], names=[*batch.schema.names[:-2], "ids"])
 
-        step = df.select(*names, F.col(text).cast("string").alias("__text")).mapInArrow(coded, T.StructType(
+        step = df.select(*names, self.pieces(F.col(text).cast("string")).alias("__pieces")).mapInArrow(coded, T.StructType(
             [*fields, T.StructField("__codes", T.ArrayType(T.IntegerType())), T.StructField("__others", T.ArrayType(T.StringType()))]))
         step = step.select(*names, "__codes", F.transform("__others", self.fold).alias("__folded"))
         return step.mapInArrow(ordered, T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
     def decode(self, ids: Column) -> Column:
-        """The bytes of an id list."""
-        return F.encode(F.array_join(F.transform(ids, lambda i: F.element_at(self.tokens, i + 1)), ""), "ISO-8859-1")
+        """The bytes of an id list: its tokens' binary pieces one after the other."""
+        tokens = self.tokens
+
+        @F.pandas_udf("binary")
+        def joined(lists: pd.Series) -> pd.Series:
+            return lists.map(lambda x: b"".join(map(tokens.__getitem__, x.tolist())))
+
+        return joined(ids)
