@@ -31,12 +31,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BUCKETS = 1 << 15
-WORDS = 1 << 19
+WORDS = 1 << 20
 SHIFT = 256        # code points below are those of the bytes
 END = "\u0001"     # before the first and after the last part; no pair holds it
 NONE = "￿"    # what a pair without a token makes; greater than every token
@@ -77,6 +77,12 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
+def long_texts(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most ``rows`` from now on: a batch of the usual 10,000 texts is large for a Python worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, str(min(rows, int(spark.conf.get(key)))))
+
+
 def _char(text: Column, at: Column) -> Column:
     return F.substring(text, at, F.lit(1))
 
