@@ -41,7 +41,7 @@ OP3 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
 d AS (
   SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, min(page_id) OVER (PARTITION BY hex) AS first,
-         array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
            CAST(1 + ((CAST('0x' || substr(hex, CAST(1 + 5 * (i // 4) AS INT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31) AS INT), 1)), '')
          AS payload_digest
   FROM p)
@@ -76,10 +76,10 @@ OP6 = f"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {AZ}), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
 s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
-        ELSE list_transform(range(1, len(words) - 1), i -> array_to_string(words[i:i + 2], ' ')) END) AS shingle FROM w),
+        ELSE list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' ')) END) AS shingle FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
-l AS (SELECT i.a, i.b FROM i JOIN n x ON x.doc_id = i.a JOIN n y ON y.doc_id = i.b WHERE 100 * both >= 85 * (x.n + y.n - both)),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT i.a, i.b FROM i JOIN n x ON x.doc_id = i.a JOIN n y ON y.doc_id = i.b WHERE 100 * n_both >= 85 * (x.n + y.n - n_both)),
 reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a),
 c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
@@ -89,11 +89,11 @@ FROM documents d JOIN c ON c.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 OP9 = """
 WITH i AS (SELECT item_id, regexp_extract_all(lower(text), '[a-z0-9\\x{80}-\\x{10FFFF}]+') AS words FROM benchmark),
 z AS (SELECT item_id, words, least(5, len(words)) AS width FROM i WHERE len(words) > 0),
-si AS (SELECT DISTINCT item_id, width, unnest(list_transform(range(1, len(words) - width + 2), k -> array_to_string(words[k:k + width - 1], ' '))) AS shingle FROM z),
+si AS (SELECT DISTINCT item_id, width, unnest(list_transform(range(1, len(words) - width + 2), lambda k: array_to_string(words[k:k + width - 1], ' '))) AS shingle FROM z),
 ni AS (SELECT item_id, count(*) AS n_item FROM si GROUP BY item_id),
 d AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9\\x{80}-\\x{10FFFF}]+') AS words FROM documents),
 q AS (SELECT doc_id, words, width FROM d JOIN (SELECT DISTINCT width FROM z) ON len(words) >= width),
-sd AS (SELECT DISTINCT doc_id, width, unnest(list_transform(range(1, len(words) - width + 2), k -> array_to_string(words[k:k + width - 1], ' '))) AS shingle FROM q),
+sd AS (SELECT DISTINCT doc_id, width, unnest(list_transform(range(1, len(words) - width + 2), lambda k: array_to_string(words[k:k + width - 1], ' '))) AS shingle FROM q),
 m AS (SELECT sd.doc_id, si.item_id, count(*) AS n_shared FROM sd JOIN si ON si.shingle = sd.shingle AND si.width = sd.width GROUP BY ALL)
 SELECT m.doc_id, m.item_id, m.n_shared, ni.n_item, m.n_shared / ni.n_item AS containment
 FROM m JOIN ni USING (item_id) WHERE m.n_shared >= 0.8 * ni.n_item
