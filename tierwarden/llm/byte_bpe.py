@@ -148,7 +148,9 @@ class ByteBpe:
         table = self.word_table(df, text, words)
         pieces = table["piece"].cast(pa.string()).combine_chunks()
         bounds, flat = _list(table["ids"].cast(pa.list_(pa.int32())).combine_chunks())
-        shared = df.sparkSession.sparkContext.broadcast((pieces, bounds, flat))
+        context = df.sparkSession.sparkContext
+        known_pieces = context.broadcast(pieces)
+        known_ids = context.broadcast((bounds.astype(np.int32), flat.astype(np.uint16 if MOST <= 1 << 16 else np.int32)))
 
         names = [c for c in (df.columns if keep is None else keep) if c != "ids"]
         fields = df.select(*names).schema.fields
@@ -156,7 +158,13 @@ class ByteBpe:
         def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 of_text, found = _list(batch.column(batch.num_columns - 1), False)
-                codes = pc.index_in(found, value_set=shared.value[0].cast(found.type)).fill_null(-1).to_numpy(zero_copy_only=False).copy()
+                distinct = found.dictionary_encode()
+                # the small side is hashed: where each table row stands among the batch's distinct pieces, if it does
+                place = pc.index_in(known_pieces.value, value_set=distinct.dictionary.cast(pa.string()))
+                rows = np.flatnonzero(place.is_valid().to_numpy(zero_copy_only=False))
+                code_of = np.full(len(distinct.dictionary), -1, np.int32)
+                code_of[place.drop_null().to_numpy()] = rows
+                codes = code_of[distinct.indices.to_numpy()]
                 missed = np.flatnonzero(codes < 0)
                 of_missed = np.searchsorted(missed, of_text)
                 pieces, others, of_others = found.take(pa.array(missed)).to_pylist(), [], [0]
@@ -172,7 +180,7 @@ class ByteBpe:
                     names=[*batch.schema.names[:-1], "__codes", "__others"])
 
         def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            _, bounds, flat = shared.value
+            bounds, flat = known_ids.value
             starts, sizes = bounds[:-1], np.diff(bounds)
             for batch in _slices(batches):
                 of_text, codes = _list(batch.column(batch.num_columns - 2))
