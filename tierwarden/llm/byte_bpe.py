@@ -25,7 +25,7 @@ from __future__ import annotations
 import base64
 import json
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BUCKETS = 1 << 15
-WORDS = 1 << 20
+WORDS = 3 << 18
 SHIFT = 256        # code points below are those of the bytes
 END = "\u0001"     # before the first and after the last part; no pair holds it
 NONE = "￿"    # what a pair without a token makes; greater than every token
@@ -143,8 +143,13 @@ class ByteBpe:
         spread = common.repartition(df.sparkSession.sparkContext.defaultParallelism * 4, "piece")
         return spread.select("piece", self.fold(F.col("piece")).alias("ids")).toArrow()
 
-    def encode(self, df: DataFrame, text: str = "text", words: int = WORDS, keep: list[str] | None = None) -> DataFrame:
-        """``df``, or its columns ``keep``, with ``ids array<int>``."""
+    def encode(self, df: DataFrame, text: str = "text", words: int = WORDS, keep: list[str] | None = None,
+               then: tuple[Callable[[pa.RecordBatch], pa.RecordBatch], str] | None = None) -> DataFrame:
+        """``df``, or its columns ``keep``, with ``ids array<int>``.
+
+        ``then`` is a function of the result's Arrow batches and the schema it gives: what is to be
+        derived from the ids in the same Python pass, without sending them to another one.
+        """
         table = self.word_table(df, text, words)
         pieces = table["piece"].cast(pa.string()).combine_chunks()
         bounds, flat = _list(table["ids"].cast(pa.list_(pa.int32())).combine_chunks())
@@ -198,19 +203,26 @@ class ByteBpe:
                 ids = np.empty(len(place), np.int32)
                 ids[from_table], ids[~from_table] = flat[place[from_table]], own[place[~from_table]]
                 lists = pa.ListArray.from_arrays(pa.array(ends[of_text].astype(np.int32)), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-2], lists], names=[*batch.schema.names[:-2], "ids"])
+                done = pa.RecordBatch.from_arrays([*batch.columns[:-2], lists], names=[*batch.schema.names[:-2], "ids"])
+                yield done if then is None else then[0](done)
 
         step = df.select(*names, self.pieces(F.col(text).cast("string")).alias("__pieces")).mapInArrow(coded, T.StructType(
             [*fields, T.StructField("__codes", T.ArrayType(T.IntegerType())), T.StructField("__others", T.ArrayType(T.StringType()))]))
         step = step.select(*names, "__codes", F.transform("__others", self.fold).alias("__folded"))
-        return step.mapInArrow(ordered, T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+        whole = T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
+        return step.mapInArrow(ordered, whole if then is None else then[1])
 
-    def decode(self, ids: Column) -> Column:
-        """The bytes of an id list: its tokens' binary pieces one after the other."""
+    def decoder(self) -> Callable[[Iterable[int]], bytes]:
+        """A function from ids to bytes: the tokens' binary pieces one after the other."""
         tokens = self.tokens
+        return lambda ids: b"".join(map(tokens.__getitem__, ids))
+
+    def decode(self, ids: Column) -> Column:
+        """The bytes of an id list."""
+        one = self.decoder()
 
         @F.pandas_udf("binary")
         def joined(lists: pd.Series) -> pd.Series:
-            return lists.map(lambda x: b"".join(map(tokens.__getitem__, x.tolist())))
+            return lists.map(lambda x: one(x.tolist()))
 
         return joined(ids)

@@ -5,9 +5,9 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,14 +82,16 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     byte_bpe.long_texts(spark)
     bpe = byte_bpe.ByteBpe(byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.encode(docs, "text", keep=["doc_id"])
+    decode = bpe.decoder()
 
-    @F.pandas_udf("string")
-    def packed(lists: pd.Series) -> pd.Series:
-        return lists.map(lambda x: hashlib.sha256(np.asarray(x, "<u4").tobytes()).hexdigest())
+    def digests(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lists = [x.values.to_numpy() for x in batch.column("ids")]
+        return pa.RecordBatch.from_pydict({
+            "doc_id": batch.column("doc_id"), "n_tokens": pa.array([len(x) for x in lists], pa.int64()),
+            "ids_sha256": [hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in lists],
+            "decoded_sha256": [hashlib.sha256(decode(x.tolist())).hexdigest() for x in lists]})
 
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), packed("ids").alias("ids_sha256"),
-                        F.sha2(bpe.decode(F.col("ids")), 256).alias("decoded_sha256"))
+    return bpe.encode(docs, "text", keep=["doc_id"], then=(digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"))
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
