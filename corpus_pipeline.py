@@ -7,6 +7,7 @@ and read back as the next one's input. All but the last return the columns of do
 from __future__ import annotations
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,10 +49,16 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and ids of every document, and whether they decode to its text."""
     byte_bpe.long_texts(spark)
     bpe = byte_bpe.ByteBpe(byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
-    coded = bpe.encode(docs.select("doc_id", "text"), "text")
-    whole = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
-                        (bpe.decode(F.col("ids")) == whole).alias("round_trip"))
+    decode = bpe.decoder()
+
+    def checked(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lists = [x.values.to_numpy() for x in batch.column("ids")]
+        same = [decode(x.tolist()) == (t or "").encode() for x, t in zip(lists, batch.column("text").to_pylist(), strict=True)]
+        return pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "n_tokens": pa.array([len(x) for x in lists], pa.int64()),
+                                           "ids": batch.column("ids"), "round_trip": pa.array(same, pa.bool_())})
+
+    return bpe.encode(docs.select(F.col("doc_id").cast("long"), "text"), "text",
+                      then=(checked, "doc_id long, n_tokens long, ids array<int>, round_trip boolean"))
 
 
 STAGES = [("toxicity", drop_toxic), ("line_dedup", drop_lines), ("minhash_near_dedup", drop_near_copies),
