@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
+from typing import Any
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,3 +36,15 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int
     source = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
     # at most 2 * per_class rows
     return source.join(F.broadcast(chosen), "id").dropDuplicates(["id"]).select("id", "label", "text")
+
+
+def fitted(rows: DataFrame, fit: Callable[[pd.DataFrame], Any]) -> Any:
+    """``fit`` of the bounded ``rows`` (id, label, features), in id order, in one task; only the model reaches the driver."""
+    columns = rows.columns
+
+    def one(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        frames = list(parts)
+        sample = pd.concat(frames).sort_values("id") if frames else pd.DataFrame(columns=columns)
+        yield pd.DataFrame({"model": [pickle.dumps(fit(sample))]})
+
+    return pickle.loads(rows.repartition(1).mapInPandas(one, "model binary").first()["model"])

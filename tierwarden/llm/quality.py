@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwarden.llm.labels import training_rows
+from tierwarden.llm.labels import fitted, training_rows
 
 HASH_BITS, SIZE, GRAMS = 16, 10, (3, 4)
 _ODD = np.uint32(0x9E3779B1)
@@ -117,14 +117,14 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 12, rate:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = 2000, text: str = "text",
           doc_id: str = "doc_id") -> SubwordClassifier:
-    """A model from at most ``2 * per_class`` rows; what reaches the driver is their counted hashes."""
+    """A model from at most ``2 * per_class`` rows."""
     @F.pandas_udf("found binary, part binary")
     def hashed(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([[a.tobytes() for a in counted(x)] for x in texts], columns=["found", "part"])
 
-    rows = training_rows(docs, labels, label, per_class, text, doc_id).select("id", "label", hashed("text").alias("x")).collect()
-    return fit([(np.frombuffer(r["x"]["found"], np.int32), np.frombuffer(r["x"]["part"], np.float32), r["label"])
-                for r in sorted(rows, key=lambda r: r["id"])])
+    rows = training_rows(docs, labels, label, per_class, text, doc_id).select("id", "label", hashed("text").alias("x"))
+    return fitted(rows.select("id", "label", "x.found", "x.part"), lambda r: fit(
+        [(np.frombuffer(a, np.int32), np.frombuffer(b, np.float32), y) for a, b, y in zip(r["found"], r["part"], r["label"], strict=True)]))
 
 
 def scored(docs: DataFrame, model: SubwordClassifier, text: str = "text") -> DataFrame:

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwarden.llm.labels import training_rows
+from tierwarden.llm.labels import fitted, training_rows
 from tierwarden.llm.shingles import bounds, run_hashes
 
 HASH_BITS, FACTORS, PREFIXES = 20, 6, (4, 5)
@@ -116,13 +116,13 @@ def fit(rows: list[tuple[np.ndarray, int]], min_df: int = 5, epochs: int = 16, r
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 4000, text: str = "text",
           doc_id: str = "doc_id") -> FactorizationMachine:
-    """A model from at most ``2 * per_class`` rows; what reaches the driver is their hashed terms."""
+    """A model from at most ``2 * per_class`` rows."""
     @F.pandas_udf("binary")
     def hashed(texts: pd.Series) -> pd.Series:
         return texts.map(lambda x: terms(x).tobytes())
 
-    rows = training_rows(docs, labels, label, per_class, text, doc_id).select("id", "label", hashed("text").alias("x")).collect()
-    return fit([(np.frombuffer(r["x"], np.int32), r["label"]) for r in sorted(rows)])
+    rows = training_rows(docs, labels, label, per_class, text, doc_id).select("id", "label", hashed("text").alias("x"))
+    return fitted(rows, lambda r: fit([(np.frombuffer(x, np.int32), y) for x, y in zip(r["x"], r["label"], strict=True)]))
 
 
 def scored(docs: DataFrame, model: FactorizationMachine, text: str = "text") -> DataFrame:
