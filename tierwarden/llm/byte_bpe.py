@@ -104,11 +104,12 @@ class ByteBpe:
         """The pattern's matches, with Unicode classes as tokenizers read them."""
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"(?U){self.pattern}"), F.lit(0))
 
-    def _made(self, two: Column) -> Column:
-        bucket = F.element_at(self.pairs, (F.crc32(two.cast("binary")) % BUCKETS).cast("int") + 1)
+    @staticmethod
+    def _made(pairs: Column, two: Column) -> Column:
+        bucket = F.element_at(pairs, (F.crc32(two.cast("binary")) % BUCKETS).cast("int") + 1)
         return F.coalesce(F.element_at(bucket, two), F.lit(NONE))
 
-    def _step(self, state: Column) -> Column:
+    def _step(self, pairs: Column, state: Column) -> Column:
         """Joins the leftmost pair of lowest rank; without such a pair, nothing is left to make."""
         parts, made = state["parts"], state["made"]
 
@@ -116,8 +117,8 @@ class ByteBpe:
             at = F.instr(made, token)      # at least 2, since the first pair holds END
             return F.struct(
                 F.concat(F.substring(parts, F.lit(1), at - 1), token, F.substring(parts, at + 2, F.length(parts))).alias("parts"),
-                F.concat(F.substring(made, F.lit(1), at - 2), self._made(F.concat(_char(parts, at - 1), token)),
-                         self._made(F.concat(token, _char(parts, at + 2))), F.substring(made, at + 2, F.length(parts))).alias("made"))
+                F.concat(F.substring(made, F.lit(1), at - 2), self._made(pairs, F.concat(_char(parts, at - 1), token)),
+                         self._made(pairs, F.concat(token, _char(parts, at + 2))), F.substring(made, at + 2, F.length(parts))).alias("made"))
 
         done = F.struct(parts.alias("parts"), F.lit("").alias("made"))
         return F.when(made == "", state).otherwise(
@@ -125,15 +126,16 @@ class ByteBpe:
 
     def fold(self, piece: Column) -> Column:
         """Ids of one piece that is not empty."""
-        def merged(parts: Column) -> Column:
+        def merged(pairs: Column, parts: Column) -> Column:
             places = F.sequence(F.lit(1), F.length(parts) - 1)
-            made = F.array_join(F.transform(places, lambda i: self._made(F.substring(parts, i, F.lit(2)))), "")
+            made = F.array_join(F.transform(places, lambda i: self._made(pairs, F.substring(parts, i, F.lit(2)))), "")
             return F.aggregate(
-                F.split(parts, ""), F.struct(parts.alias("parts"), made.alias("made")), lambda s, _: self._step(s),
+                F.split(parts, ""), F.struct(parts.alias("parts"), made.alias("made")), lambda s, _: self._step(pairs, s),
                 lambda s: F.transform(F.split(F.substring(s["parts"], F.lit(2), F.length(s["parts"]) - 2), ""), lambda c: F.ascii(c) - SHIFT))
 
         chars = F.translate(F.decode(piece.cast("binary"), "ISO-8859-1"), self.bytes, self.singles)
-        return _bind(F.concat(F.lit(END), chars, F.lit(END)), merged)
+        # the literal stands in the plan once; every look-up goes through one variable
+        return _bind(self.pairs, lambda pairs: _bind(F.concat(F.lit(END), chars, F.lit(END)), lambda parts: merged(pairs, parts)))
 
     def word_table(self, df: DataFrame, text: str = "text", words: int = WORDS) -> pa.Table:
         """piece, ids of the most common distinct pieces found more than once; at most ``words`` rows reach the driver."""
