@@ -35,8 +35,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierwarden.llm.storage import stored
+
 BUCKETS = 1 << 15
-WORDS = 3 << 18
+WORDS = 1 << 18
 SHIFT = 256        # code points below are those of the bytes
 END = "\u0001"     # before the first and after the last part; no pair holds it
 NONE = "￿"    # what a pair without a token makes; greater than every token
@@ -92,9 +94,10 @@ class ByteBpe:
         if max(ranks.values()) >= MOST or any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError(f"ranks must lie below {MOST} and hold all single bytes")
         self.pattern = pattern
-        table: list[dict[str, str]] = [{} for _ in range(BUCKETS)]
+        table: list[dict[str, str] | None] = [None] * BUCKETS
         for two, made in merges(ranks):
-            table[zlib.crc32(two.encode()) % BUCKETS][two] = made
+            bucket = zlib.crc32(two.encode()) % BUCKETS
+            table[bucket] = (table[bucket] or {}) | {two: made}
         self.pairs = F.from_json(F.lit(json.dumps(table, separators=(",", ":"), ensure_ascii=False)), "array<map<string,string>>")
         self.bytes = "".join(map(chr, range(256)))
         self.singles = "".join(chr(ranks[bytes([b])] + SHIFT) for b in range(256))
@@ -142,7 +145,8 @@ class ByteBpe:
         common = (df.select(F.explode(self.pieces(F.col(text))).alias("piece")).groupBy("piece").count()
                   .filter((F.col("count") > 1) & (F.octet_length("piece") <= 64))
                   .orderBy(F.desc("count"), "piece").limit(words))
-        spread = common.repartition(df.sparkSession.sparkContext.defaultParallelism * 4, "piece")
+        # stored first, so that the plan that holds the pair table has no exchange and is not planned anew
+        spread = stored(common.repartition(df.sparkSession.sparkContext.defaultParallelism * 4, "piece"), "words")
         return spread.select("piece", self.fold(F.col("piece")).alias("ids")).toArrow()
 
     def encode(self, df: DataFrame, text: str = "text", words: int = WORDS, keep: list[str] | None = None,
