@@ -41,8 +41,8 @@ def test_query_matches_sql(spark, duck, name):
     assert got == table(cur.fetchall(), columns)
 
 
-def test_eleven_queries():
-    assert [f"op{n}" for n in range(1, 11)] + ["pipeline"] == [q.split("_")[0] for q in queries.QUERIES]
+def test_all_queries_and_stages():
+    assert [f"op{n}" for n in range(1, 14)] + ["pipeline"] == [q.split("_")[0] for q in queries.QUERIES]
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "minhash_near_dedup", "decontamination", "byte_bpe"]
 
 

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tierwarden.llm import (byte_bpe, chat, circulant_minhash, decontamination, embedding_dedup, line_dedup, quality, toxicity,
-                            url_filter, warc)
+from tierwarden.llm import (byte_bpe, chat, circulant_minhash, decontamination, embedding_dedup, hard_negatives, line_dedup, periodic_runs, quality,
+                            quality_rules, toxicity, url_filter, warc)
 from tierwarden.llm.labels import held_out
 from tierwarden.llm.oracles import SQL  # noqa: F401
 from tierwarden.operators.durable import scratch_path
@@ -104,6 +104,31 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predictions(quality.scored(docs, model), 0.3)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = (_table(spark, sf_dir, "embeddings")
+            .withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))))
+    return hard_negatives.mined(rows, anchors=F.col("vec_id") % 50 == 0, scale=256, positives=5, negatives=3, low=50, high=95)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    top = periodic_runs.longest("runs")
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return (periodic_runs.runs_of(docs, least=12, spread=periodic_runs.planted)
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), top.alias("top"),
+                    F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")).alias("lines"), "collapsed")
+            .select("doc_id", "n_runs", "top.start", "top.length", "top.period",
+                    F.floor(F.col("top.length") * 1000 / F.col("top.period")).alias("exponent_milli"),
+                    F.sha2(F.col("lines").cast("binary"), 256).alias("runs_sha256"),
+                    F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = _table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id")))      # a fifth is left to measure the guarantee on
+    return (quality_rules.judged(_table(spark, sf_dir, "documents"), labels)
+            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"))
+
+
 def _predictions(scored: DataFrame, least: float) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= least).cast("int").alias("predicted"))
@@ -111,5 +136,6 @@ def _predictions(scored: DataFrame, least: float) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_chat_formatting, op2_url_filters, op3_warc, op4_embedding_near_dedup, op5_line_dedup,
-                            op6_minhash_near_dedup, op7_toxicity, op8_byte_bpe, op9_decontamination, op10_quality)
+                            op6_minhash_near_dedup, op7_toxicity, op8_byte_bpe, op9_decontamination, op10_quality,
+                            op11_hard_negatives, op12_periodic_runs, op13_quality_rules)
 } | {"pipeline": corpus_pipeline.run}
