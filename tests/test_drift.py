@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tierwarden.operators import sync
 from tierwarden.operators.sync import CatalogStore, DriftStore, record_drift, sync_tags
-from tierwarden.sources.state import VersionedTable
+from tierwarden.sources.merged import Keyed, MergedTable
 
 QUIET = {"data_classification": "Unclassified", "encryption_required": "No"}
 T1, T2, T3 = datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 1, 3)
@@ -184,13 +184,13 @@ def test_a_crash_publishes_nothing_and_the_next_run_writes_all(spark, fixture, t
 
 
 def test_two_writers_of_one_version(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), T.StructType([T.StructField("x", T.LongType())]))
-    table.commit(spark.range(3).toDF("x"))
+    table = MergedTable(spark, str(tmp_path / "t"), Keyed(T.StructType([T.StructField("x", T.LongType())]), ("x",)))
+    table.upsert(spark.range(3).toDF("x"))
     table.store.version = lambda before=None: None      # a second writer that saw no commit yet
     with pytest.raises(Exception):
-        table.commit(spark.range(5).toDF("x"))
+        table.upsert(spark.range(5).toDF("x"))
     assert table.read().count() == 3
-    table.commit(spark.range(4).toDF("x"), 0)           # a replay names its version
+    table.upsert(spark.range(4).toDF("x"), 0)           # a replay names its version
     assert table.read().count() == 4
 
 

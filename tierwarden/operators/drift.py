@@ -89,6 +89,12 @@ def detect_tag_changes(current: DataFrame, snapshot: DataFrame, run_ts=None,
         F.lit(None).cast("timestamp").alias("synced_at"))
 
 
+def snapshot_rows(current: DataFrame, run_ts=None, fields: tuple[str, ...] = TAG_FIELDS) -> DataFrame:
+    """Snapshot rows of the current columns."""
+    stamp = (F.current_timestamp() if run_ts is None else F.lit(run_ts)).cast("timestamp")
+    return current.select(F.xxhash64(*KEY).alias("snapshot_id"), *KEY, *fields, stamp.alias("captured_at"))
+
+
 def merge_snapshot(snapshot: DataFrame, current: DataFrame, run_ts=None,
                    fields: tuple[str, ...] = TAG_FIELDS) -> DataFrame:
     """Refreshed snapshot: current columns updated or added, all others kept as they are."""

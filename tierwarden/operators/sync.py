@@ -14,54 +14,66 @@ from tierwarden.model import (
     local_df, tiers_df,
 )
 from tierwarden.operators import drift
-from tierwarden.operators.catalog import fill_tag_defaults
+from tierwarden.operators.catalog import fill_tag_defaults, union_all
 from tierwarden.operators.durable import scratch_path, write_through
-from tierwarden.operators.graph import catalog_edges, classified_as, ensure_chain, merge_edges, replace_edges
-from tierwarden.sources.state import BatchLog, VersionedStore, VersionedTable
+from tierwarden.operators.graph import as_vertices, catalog_edges, classified_as, databases_frame, schemas_frame, tables_frame
+from tierwarden.sources.merged import Keyed, MergedStore, MergedTable
+from tierwarden.sources.state import BatchLog
 
 STORED_SCHEMA = T.StructType(
     [T.StructField("fqn", T.StringType())] + CATALOG_SCHEMA.fields
     + [T.StructField("sync_version", T.LongType()), T.StructField("last_tag_sync", T.TimestampType())])
+EDGE_KEYS = ("src", "dst", "type")
 
 
 @dataclass
 class CatalogStore:
-    """Stored catalog with its graph (chain vertices and edges) and sync runs, published together."""
+    """Stored catalog with its graph (chain vertices and edges) and sync runs, published together.
+
+    A sync adds the rows it touches as small parts, so it costs what it changes, not what is stored.
+    """
 
     spark: SparkSession
     path: str
 
     def __post_init__(self):
-        schemas = {"catalog": STORED_SCHEMA, "vertices": VERTEX_SCHEMA, "edges": EDGE_SCHEMA, "sync_run": SYNC_RUN_SCHEMA}
-        self.store = VersionedStore(self.spark, self.path, schemas)
+        tables = {"catalog": Keyed(STORED_SCHEMA, ("fqn",)), "vertices": Keyed(VERTEX_SCHEMA, ("id",)),
+                  "edges": Keyed(EDGE_SCHEMA, EDGE_KEYS),
+                  "sync_run": Keyed(T.StructType([T.StructField("version", T.LongType()), *SYNC_RUN_SCHEMA.fields]), ("version",))}
+        self.store = MergedStore(self.spark, self.path, tables)
         self.catalog, self.vertices, self.edges = (
-            VersionedTable(self.spark, self.path, schemas[n], self.store, n) for n in ("catalog", "vertices", "edges"))
+            MergedTable(self.spark, self.path, tables[n], self.store, n) for n in ("catalog", "vertices", "edges"))
 
     def runs(self) -> DataFrame:
         """One row for each published sync."""
-        return self.store.read_all("sync_run")
+        return self.store.read("sync_run").drop("version")
+
 
+def chain_vertices(columns: DataFrame, run_ts, platform: str = "warehouse") -> DataFrame:
+    """Database, Schema and Table vertices above ``columns(table_name, ...)``."""
+    spark = columns.sparkSession
+    return union_all([as_vertices(databases_frame(spark, platform, run_ts), "Database"), as_vertices(schemas_frame(spark), "Schema"),
+                      as_vertices(tables_frame(columns, run_ts, platform), "Table")])
 
-def catalog_graph(catalog: DataFrame, vertices: DataFrame, edges: DataFrame, run_ts,
-                  platform: str = "warehouse") -> tuple[DataFrame, DataFrame]:
-    """Stored chain and edges brought up to ``catalog``: missing Database, Schema and Table vertices and
-    CONTAINS_* / HAS_COLUMN edges are added, CLASSIFIED_AS is derived anew."""
-    spark = catalog.sparkSession
-    vertices, edges = ensure_chain(vertices, edges, catalog, platform, run_ts)
-    columns = catalog_edges(spark, catalog).where(F.col("type") == "HAS_COLUMN")
-    return vertices, replace_edges(merge_edges(edges, columns), "CLASSIFIED_AS", classified_as(catalog, tiers_df(spark)))
+
+def edge_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Edges that the written columns ``after`` need, and those to be removed (``_gone``).
+
+    The chain edges above the columns are needed; CLASSIFIED_AS is derived anew from what the columns were and are.
+    """
+    spark = after.sparkSession
+    needed = catalog_edges(spark, after).unionByName(classified_as(after, tiers_df(spark)))
+    was = classified_as(before.join(after.select("fqn"), "fqn", "left_semi"), tiers_df(spark))
+    gone = was.join(needed.select(*EDGE_KEYS), list(EDGE_KEYS), "left_anti")
+    return needed.withColumn("_gone", F.lit(False)).unionByName(gone.withColumn("_gone", F.lit(True)).select(*needed.columns, "_gone"))
 
 
-def merge_catalog(stored: DataFrame, written: DataFrame, run_ts) -> DataFrame:
-    """Stored rows with the written ones updated or added; a written row's version goes up by one."""
-    values = [f.name for f in CATALOG_SCHEMA.fields]
-    old = stored.select("fqn", *[F.col(v).alias(f"o_{v}") for v in values], "sync_version", "last_tag_sync")
-    new = written.select("fqn", *values, F.lit(True).alias("_new"))
-    fresh = F.col("_new").isNotNull()
-    return old.join(new, "fqn", "full_outer").select(
-        "fqn", *[F.when(fresh, F.col(v)).otherwise(F.col(f"o_{v}")).alias(v) for v in values],
-        F.when(fresh, F.coalesce("sync_version", F.lit(0)) + 1).otherwise(F.col("sync_version")).alias("sync_version"),
-        F.when(fresh, F.lit(run_ts)).otherwise(F.col("last_tag_sync")).alias("last_tag_sync"))
+def written_rows(stored: DataFrame, rows: DataFrame, run_ts) -> DataFrame:
+    """Source rows as they are stored; the version of a column goes up by one each time it is written."""
+    old = stored.select("fqn", F.col("sync_version").alias("_before"))
+    return rows.join(old, "fqn", "left").select(
+        "fqn", *[f.name for f in CATALOG_SCHEMA.fields], (F.coalesce("_before", F.lit(0)) + 1).cast("long").alias("sync_version"),
+        F.lit(run_ts).cast("timestamp").alias("last_tag_sync"))
 
 
 def sync_tags(source: DataFrame, store: CatalogStore, dry_run: bool = False, changed_only: bool = False,
@@ -70,7 +82,7 @@ def sync_tags(source: DataFrame, store: CatalogStore, dry_run: bool = False, cha
     """One sync cycle: diff ``source`` against the store, apply it, return the counts.
 
     ``source`` is a column catalog as pivoted from tag references (an empty one
-    is fine).  Nothing is written on a dry run, not even working copies, or when nothing
+    is fine), of all columns or just of those that may have changed.  Nothing is written on a dry run, not even working copies, or when nothing
     differs.  When something differs all source columns are rewritten, or with
     ``changed_only`` just the new and changed ones.  Catalog, graph and run are
     published by one commit, so a crash leaves all of them as they were.
@@ -78,12 +90,12 @@ def sync_tags(source: DataFrame, store: CatalogStore, dry_run: bool = False, cha
     """
     run_ts = run_ts or datetime.now(timezone.utc)
     spark = source.sparkSession
-    stored = store.catalog.read(before=version)
     source = drift.with_fqn(source)
     if not dry_run:
         # Both are stored once: diff, counts and rewrite must see the same source, and
         # none of them should pivot the tag references again.
         source = write_through(source, scratch_path(spark, "source"))
+    stored = store.catalog.read(before=version, near=source)
     diff = drift.diff_tags(source, stored, TAG_FIELDS, empty_equivalents)
     if not dry_run:
         diff = write_through(diff, scratch_path(spark, "diff"))
@@ -97,15 +109,21 @@ def sync_tags(source: DataFrame, store: CatalogStore, dry_run: bool = False, cha
             keys = diff.where(F.col("status").isin("new", "changed")).select("fqn")
             rows = rows.join(keys, "fqn", "left_semi")
         written = counts["new"] + counts["touched"] if changed_only else source_columns
-    summary = Row(sync_ts=run_ts, source_columns=source_columns, catalog_columns=stored.count(),
+    summary = Row(sync_ts=run_ts, source_columns=source_columns, catalog_columns=store.store.total("catalog", before=version),
                   new=counts["new"], changed=counts["changed"], unchanged=counts["unchanged"], written=written)
     if written:
-        old = store.vertices.read(before=version), store.edges.read(before=version)
+        after = write_through(written_rows(stored, rows, run_ts), scratch_path(spark, "written"))
+        edges = edge_changes(stored, after)
+        chain = chain_vertices(after, run_ts)
+        known = store.edges.read(before=version, near=edges).select(*EDGE_KEYS, F.lit(True).alias("_known"))
+        number = version if version is not None else (-1 if (last := store.store.version()) is None else last) + 1
+        run = local_df(spark, [(number, *summary)], store.store.tables["sync_run"].schema)
         store.store.commit({
-            "catalog": merge_catalog(stored, rows, run_ts),
-            "vertices": lambda done: catalog_graph(done["catalog"], *old, run_ts)[0],
-            "edges": lambda done: catalog_graph(done["catalog"], *old, run_ts)[1],
-            "sync_run": local_df(spark, [tuple(summary)], SYNC_RUN_SCHEMA)}, version)
+            "catalog": after,
+            # what exists keeps its properties
+            "vertices": chain.join(store.vertices.read(before=version, near=chain).select("id"), "id", "left_anti"),
+            "edges": edges.join(known, list(EDGE_KEYS), "left").where("_gone or _known is null"),
+            "sync_run": run}, version, totals={"catalog": summary.catalog_columns + counts["new"]})
     return summary
 
 
@@ -117,7 +135,7 @@ class DriftStore:
     path: str
 
     def __post_init__(self):
-        self.snapshot = VersionedTable(self.spark, f"{self.path}/tag_snapshot", TAG_SNAPSHOT_SCHEMA)
+        self.snapshot = MergedTable(self.spark, f"{self.path}/tag_snapshot", Keyed(TAG_SNAPSHOT_SCHEMA, tuple(drift.KEY)))
         self.log = BatchLog(self.spark, f"{self.path}/tag_change_log", CHANGE_LOG_SCHEMA)
 
 
@@ -125,16 +143,17 @@ def record_drift(current: DataFrame, store: DriftStore, run_ts: datetime | None
                  version: int | None = None) -> int:
     """Log the changes since the last snapshot, then refresh the snapshot; returns the rows logged.
 
-    The log is stored before the snapshot moves, and both are keyed by version,
+    ``current`` holds all columns or just those that may have changed: others are neither looked at nor
+    rewritten, so a run costs what it is given. The log is stored before the snapshot moves, and both are keyed by version,
     so a repeated run of one version replaces its own output.
     """
     run_ts = run_ts or datetime.now(timezone.utc)
     if version is None:
         last = store.snapshot.version()
         version = 0 if last is None else last + 1
-    before = store.snapshot.read(before=version)
     current = write_through(current, scratch_path(store.spark, "current"))
+    before = store.snapshot.read(before=version, near=current)
     store.log.append(drift.detect_tag_changes(current, before, run_ts), version)
     logged = store.spark.read.parquet(f"{store.log.path}/batch_id={version}").count()
-    store.snapshot.commit(drift.merge_snapshot(before, current, run_ts), version)
+    store.snapshot.upsert(drift.snapshot_rows(current, run_ts), version)
     return logged

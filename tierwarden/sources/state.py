@@ -1,27 +1,13 @@
-"""State tables kept as whole Parquet versions.
-
-Plain Parquet has no MERGE, and a path must not be overwritten while a query
-reads it.  So every refresh writes new folders, one for each table of the store, and
-then publishes them together with one commit file written last; readers take the
-folders the newest commit names.  A job that dies half-way leaves folders nobody
-reads.  Each attempt has folders of its own, so two writers never share one, and
-of two that publish the same new version the second fails.
-"""
+"""Logs with one folder for each batch."""
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierwarden.model import local_df
 
-_COMMITS = "version long, attempt string, committed_at timestamp"
-
 
 def exists_or_none(read):
     """Result of ``read()``, or None when the path is not there yet."""
@@ -33,89 +19,6 @@ def exists_or_none(read):
         raise
 
 
-class VersionedStore:
-    """Tables whose versions are published together."""
-
-    def __init__(self, spark: SparkSession, path: str, schemas: dict[str, T.StructType]):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.schemas = schemas
-
-    def commits(self) -> DataFrame | None:
-        return exists_or_none(lambda: self.spark.read.schema(_COMMITS).json(f"{self.path}/commits/*"))
-
-    def _newest(self, before: int | None = None) -> tuple[int, str] | None:
-        commits = self.commits()
-        if commits is None:
-            return None
-        if before is not None:
-            commits = commits.where(F.col("version") < before)
-        row = commits.agg(F.max(F.struct("version", "committed_at", "attempt")).alias("top")).first()["top"]
-        return None if row is None else (row["version"], row["attempt"])
-
-    def version(self, before: int | None = None) -> int | None:
-        """Newest committed version, optionally older than ``before``."""
-        found = self._newest(before)
-        return None if found is None else found[0]
-
-    def _rows(self, name: str, attempt: str) -> DataFrame:
-        return self.spark.read.schema(self.schemas[name]).parquet(f"{self.path}/{name}/{attempt}")
-
-    def read(self, name: str, before: int | None = None) -> DataFrame:
-        """Newest committed rows of one table; an empty frame with its schema when there are none."""
-        found = self._newest(before)
-        return local_df(self.spark, [], self.schemas[name]) if found is None else self._rows(name, found[1])
-
-    def read_all(self, name: str) -> DataFrame:
-        """Rows of every committed version of one table (a log with a few rows for each version)."""
-        commits = self.commits()
-        if commits is None:
-            return local_df(self.spark, [], self.schemas[name])
-        newest = commits.groupBy("version").agg(F.max(F.struct("committed_at", "attempt")).alias("top"))
-        paths = [f"{self.path}/{name}/{r[0]}" for r in newest.select("top.attempt").collect()]
-        return self.spark.read.schema(self.schemas[name]).parquet(*paths)
-
-    def commit(self, frames: dict[str, DataFrame | Callable[[dict[str, DataFrame]], DataFrame]],
-               version: int | None = None) -> int:
-        """Store one frame for each table as a new version (or redo the given one) and publish them.
-
-        A frame may be a function of the tables stored before it in this commit.
-        """
-        replay = version is not None
-        if version is None:
-            last = self.version()
-            version = 0 if last is None else last + 1
-        attempt = f"{version}-{uuid.uuid4().hex}"
-        done: dict[str, DataFrame] = {}
-        for name, frame in frames.items():
-            df = frame(done) if callable(frame) else frame
-            df.select(self.schemas[name].names).write.parquet(f"{self.path}/{name}/{attempt}")
-            done[name] = self._rows(name, attempt)
-        (self.spark.range(0, 1, 1, 1).select(F.lit(version).cast("long").alias("version"), F.lit(attempt).alias("attempt"),
-                                             F.current_timestamp().alias("committed_at"))
-         .write.mode("overwrite" if replay else "error").json(f"{self.path}/commits/{version}"))
-        return version
-
-
-class VersionedTable:
-    """One table of a store (its only one unless ``store`` is given)."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType,
-                 store: VersionedStore | None = None, name: str = "rows"):
-        self.schema = schema
-        self.name = name
-        self.store = VersionedStore(spark, path, {name: schema}) if store is None else store
-
-    def version(self, before: int | None = None) -> int | None:
-        return self.store.version(before)
-
-    def read(self, before: int | None = None) -> DataFrame:
-        return self.store.read(self.name, before)
-
-    def commit(self, df: DataFrame, version: int | None = None) -> int:
-        return self.store.commit({self.name: df}, version)
-
-
 class BatchLog:
     """Append-only table with one folder per batch, so a replayed batch replaces itself."""
 

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tierwarden.operators.catalog import column_catalog, pivot_tags
+from tierwarden.operators.catalog import column_catalog, current_tags
 from tierwarden.operators.secure import secure
 from tierwarden.operators.sync import CatalogStore, DriftStore, record_drift, sync_tags
-from tierwarden.sources.state import VersionedTable
 
 
 def read_files(spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet",
@@ -22,56 +23,46 @@ def read_files(spark: SparkSession, folder: str, schema: T.StructType, pattern:
     return reader.parquet(folder)
 
 
-def _start(stream: DataFrame, on_batch, checkpoint: str, every: str | None) -> StreamingQuery:
-    writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+def _start(stream: DataFrame, on_batch, checkpoint: str, every: str | None, mode: str = "append") -> StreamingQuery:
+    writer = stream.writeStream.outputMode(mode).foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
     return writer.start()
 
 
-def _assignments(spark: SparkSession, path: str, stream: DataFrame, order: list[str]) -> VersionedTable:
-    names = ["table_name", "column_name", "tag_name", *order, "tag_value"]
-    return VersionedTable(spark, f"{path}/assignments", T.StructType([stream.schema[n] for n in names]))
-
-
-def _advance(state: VersionedTable, batch: DataFrame, order: list[str], batch_id: int) -> DataFrame:
-    """Fold a batch of SET TAG statements into the stored latest ones; returns wide tags.
+def latest_tags(stream: DataFrame, order: list[str]) -> DataFrame:
+    """Wide tags of the columns whose statements arrive (to be written in update mode).
 
-    The order columns are stored with each value, so the outcome does not depend
-    on how the statements were cut into batches.
+    The last statement of every column and tag is keyed state of the stream, so a batch reads and
+    writes the state of its own columns. The order columns are part of the state: how the
+    statements are cut into batches, or that one comes late, does not change the outcome.
+    The state has one row for each column; give the session the RocksDB state store where that exceeds executor memory.
     """
-    rows = state.read(before=batch_id).unionByName(batch.select(state.schema.names))
-    keys = ["table_name", "column_name", "tag_name"]
-    last = rows.groupBy(*keys).agg(F.max(F.struct(*order, "tag_value")).alias("_last"))
-    state.commit(last.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in [*order, "tag_value"]]), batch_id)
-    return pivot_tags(state.read(before=batch_id + 1))
+    return current_tags(stream, order)
 
 
 def stream_detect_changes(stream: DataFrame, path: str, order: list[str],
-                          every: str | None = None) -> StreamingQuery:
+                          every: str | None = None, run_ts: Callable[[int], datetime] | None = None) -> StreamingQuery:
     """Drift detection on arriving SET TAG statements; ``every`` None drains what is there.
 
     Batches are numbered by the engine and every output is keyed by that number,
     so a batch replayed after a failure replaces what its first attempt left.
+    ``run_ts`` gives a batch's time stamp from its number (the present time by default).
     """
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        current = _advance(_assignments(spark, path, batch, order), batch, order, batch_id)
-        record_drift(current, DriftStore(spark, path), version=batch_id)
+    def on_batch(touched: DataFrame, batch_id: int) -> None:
+        record_drift(touched, DriftStore(touched.sparkSession, path), None if run_ts is None else run_ts(batch_id), version=batch_id)
 
-    return _start(stream, on_batch, f"{path}/checkpoint", every)
+    return _start(latest_tags(stream, order), on_batch, f"{path}/checkpoint", every, "update")
 
 
 def stream_tag_sync(stream: DataFrame, path: str, order: list[str], inventory: DataFrame,
                     every: str | None = None, changed_only: bool = False,
                     empty_equivalents: dict[str, str] | None = None) -> StreamingQuery:
-    """Catalog sync on arriving SET TAG statements."""
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        current = _advance(_assignments(spark, path, batch, order), batch, order, batch_id)
-        sync_tags(column_catalog(current, inventory), CatalogStore(spark, path), changed_only=changed_only,
+    """Catalog sync on arriving SET TAG statements: the columns they touch are compared and, as ``changed_only`` says, written."""
+    def on_batch(touched: DataFrame, batch_id: int) -> None:
+        sync_tags(column_catalog(touched, inventory), CatalogStore(touched.sparkSession, path), changed_only=changed_only,
                   empty_equivalents=empty_equivalents, version=batch_id)
 
-    return _start(stream, on_batch, f"{path}/checkpoint", every)
+    return _start(latest_tags(stream, order), on_batch, f"{path}/checkpoint", every, "update")
 
 
 def stream_secure(stream: DataFrame, table: str, role: str, out: str, checkpoint: str,
