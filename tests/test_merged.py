@@ -43,7 +43,7 @@ def test_a_batch_writes_its_own_rows(spark, tmp_path):
     table = MergedTable(spark, path, ROWS, MergedStore(spark, path, {"rows": ROWS}, keep=3))
     table.upsert(spark.range(20000).select(F.col("id").alias("k"), F.lit("x").alias("part"), F.lit("base").alias("v")))
     base = files(path)
-    assert len(base) <= 16
+    assert len(base) <= 8
     written = 0
     for batch in range(20):
         rows = spark.range(100).select((F.col("id") * 150 + batch * 7).alias("k"), F.lit("x").alias("part"), F.lit(f"b{batch}").alias("v"))
@@ -69,7 +69,7 @@ def test_only_touched_buckets_are_opened(spark, tmp_path):
     near = spark.createDataFrame([(7, "x")], "k long, part string")
     opened = table.read(near=near).select(F.input_file_name()).distinct().count()
     assert opened == 1 and table.read(near=near).where("k = 7").count() == 1
-    assert table.read().select(F.input_file_name()).distinct().count() == 16
+    assert table.read().select(F.input_file_name()).distinct().count() == 8
 
 
 def test_tables_of_a_store_are_published_together(spark, tmp_path):

@@ -497,7 +497,16 @@ SQL["j04_tag_changes"] = _with(_changes("tags", "old_tags"), "tags", "old_tags")
 SQL["j11_pending_changes"] = _with(
     f"SELECT table_name, column_name, tag_field, old_value, new_value FROM ({_changes('tags', 'old_tags')})",
     "tags", "old_tags")
-SQL["n02_stream_drift"] = _with(f"SELECT table_name, column_name, tag_field, new_value FROM ({_changes('tags', None)})", "tags")
+# the state of a column and tag after each delivery that names it is the last statement of all deliveries so far
+SQL["n02_stream_drift"] = _with(
+    "SELECT strftime(TIMESTAMP '2024-07-01' + to_minutes(CAST(delivery AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS changed_at, table_name, column_name, "
+    "upper(tag_name) AS tag_field, was.v AS old_value, now.v AS new_value, 'PENDING' AS sync_status FROM ("
+    "SELECT *, max(e) OVER (so_far ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS now, "
+    "max(e) OVER (so_far ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS was FROM ("
+    "SELECT table_name, column_name, tag_name, statement_id % 20 AS delivery, "
+    "max({'a': assigned_at, 's': statement_id, 'l': line, 'v': tag_value}) AS e FROM history GROUP BY 1, 2, 3, 4) "
+    "WINDOW so_far AS (PARTITION BY table_name, column_name, tag_name ORDER BY delivery)) "
+    "WHERE coalesce(was.v,'')<>coalesce(now.v,'')", "history")
 SQL["j05_snapshot_refresh"] = _with(
     "SELECT coalesce(o.table_name,t.table_name) AS table_name, coalesce(o.column_name,t.column_name) AS column_name, "
     + ", ".join(f"CASE WHEN t.table_name IS NOT NULL THEN t.{f} ELSE o.{f} END AS {f}" for f in TAG_FIELDS)

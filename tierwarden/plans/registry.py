@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tierwarden.functions.policies import MASKS, ROW_RULES
 from tierwarden.model import (
@@ -729,30 +730,36 @@ def _(spark, sf):
 
 # -- N: streaming --------------------------------------------------------------
 
-def _in_files(spark: SparkSession, sf: str, path: str, files: int) -> DataFrame:
-    """SET TAG statements as a stream of several files, one for each micro-batch."""
+BATCHES = 20
+
+
+def _arriving(spark: SparkSession, sf: str, path: str, start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """SET TAG statements arriving as ``BATCHES`` deliveries (by order number, so many come late), each drained by a restarted stream."""
     lines = Estate(spark, sf).raw("lineitem")
-    lines.repartition(files, "l_orderkey").write.parquet(f"{path}/statements")
-    return Estate.history_of(W.read_files(spark, f"{path}/statements", lines.schema, files_per_batch=1))
+    split = f"{path}/split"
+    lines.withColumn("delivery", F.col("l_orderkey") % BATCHES).write.partitionBy("delivery").parquet(split)
+    for n in range(BATCHES):
+        spark.read.schema(lines.schema).parquet(f"{split}/delivery={n}").write.mode("append").parquet(f"{path}/statements")
+        start(Estate.history_of(W.read_files(spark, f"{path}/statements", lines.schema))).awaitTermination()
 
 
 @query("n01_stream_sync")
 def _(spark, sf):
     """SET TAG statements streamed into the catalog store; the stored catalog afterwards."""
-    path = scratch_path(spark, "stream-sync")
-    W.stream_tag_sync(_in_files(spark, sf, path, 3), path, ORDER, Estate(spark, sf).inventory).awaitTermination()
+    path, inventory = scratch_path(spark, "stream-sync"), Estate(spark, sf).inventory
+    _arriving(spark, sf, path, lambda statements: W.stream_tag_sync(statements, path, ORDER, inventory))
     return CatalogStore(spark, path).catalog.read().select(
         "fqn", "data_classification", "data_category", "encryption_required", "retention_policy", "data_owner")
 
 
 @query("n02_stream_drift")
 def _(spark, sf):
-    """SET TAG statements streamed into the drift job; the newest change of every column and tag that is still set."""
+    """SET TAG statements streamed into the drift job; the whole change log, removed tags included."""
     path = scratch_path(spark, "stream-drift")
-    W.stream_detect_changes(_in_files(spark, sf, path, 3), path, ORDER).awaitTermination()
-    log = DriftStore(spark, path).log.read()
-    newest = log.groupBy(*C.KEY, "tag_field").agg(F.max(F.struct("changed_at", "new_value")).alias("last"))
-    return newest.select(*C.KEY, "tag_field", F.col("last.new_value").alias("new_value")).where("new_value <> ''")
+    _arriving(spark, sf, path, lambda statements: W.stream_detect_changes(
+        statements, path, ORDER, run_ts=lambda batch: RUN_TS + timedelta(minutes=batch)))
+    return DriftStore(spark, path).log.read().select(
+        F.col("changed_at").cast("string").alias("changed_at"), *C.KEY, "tag_field", "old_value", "new_value", "sync_status")
 
 
 @query("n03_stream_secure")

@@ -22,7 +22,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,20 +48,17 @@ def _same(a: str, b: str, keys: tuple[str, ...]) -> Column:
 class MergedStore:
     """Keyed tables whose states are published together."""
 
-    def __init__(self, spark: SparkSession, path: str, tables: dict[str, Keyed], buckets: int = 16, keep: int = 10):
+    def __init__(self, spark: SparkSession, path: str, tables: dict[str, Keyed], buckets: int = 8, keep: int = 10):
         self.spark, self.path, self.tables, self.buckets, self.keep = spark, path.rstrip("/"), tables, buckets, max(2, keep)
 
     # -- commits
 
-    def _commits(self, before: int | None) -> list:
+    def _commits(self) -> list:
         found = exists_or_none(lambda: self.spark.read.schema(_COMMITS).json(f"{self.path}/commits/*"))
-        if found is None:
-            return []
-        rows = found if before is None else found.where(F.col("version") < before)
-        return sorted(rows.collect(), key=lambda r: r["version"])      # at most ``keep`` + 1, the others are deleted
+        return [] if found is None else sorted(found.collect(), key=lambda r: r["version"])      # at most ``keep`` + 1, the others are deleted
 
     def _newest(self, before: int | None = None):
-        found = self._commits(before)
+        found = [c for c in self._commits() if before is None or c["version"] < before]
         return found[-1] if found else None
 
     def version(self, before: int | None = None) -> int | None:
@@ -120,8 +117,9 @@ class MergedStore:
         out = rows.select(*self.tables[name].schema.names, F.coalesce("_gone", F.lit(False)).alias("_gone"), self._bucket(name).alias("bucket"))
         target = f"{self.path}/{name}/{folder}"
         # few files for each bucket; adaptive execution splits what is large
-        out.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(target)
-        return {"folder": folder, "rows": self._part(name, folder).count()}
+        counted = Observation()
+        out.hint("rebalance", "bucket").observe(counted, F.count(F.lit(1)).alias("rows")).write.partitionBy("bucket").parquet(target)
+        return {"folder": folder, "rows": counted.get["rows"]}
 
     def commit(self, upserts: dict[str, DataFrame | Callable[[], DataFrame]], version: int | None = None,
                totals: dict[str, int] | None = None, merge: bool = True) -> int:
@@ -129,12 +127,10 @@ class MergedStore:
 
         A row replaces the one of its key, or removes it where its column ``_gone`` is true. Keys of one frame are unique.
         """
-        replay = version is not None
+        replay, newest = version is not None, self._newest(version)
         if version is None:
-            last = self.version()
-            version = 0 if last is None else last + 1
+            version = 0 if newest is None else newest["version"] + 1
         attempt = f"{version}-{uuid.uuid4().hex}"
-        newest = self._newest(version if replay else None)
         parts = {n: [p.asDict() for p in (newest["parts"].get(n) or [])] if newest else [] for n in self.tables}
         for name, frame in upserts.items():
             rows = frame() if callable(frame) else frame
@@ -148,7 +144,8 @@ class MergedStore:
                        "version long, attempt string, totals map<string,long>, parts map<string,array<struct<folder:string,rows:bigint>>>")
         (row.select("version", "attempt", F.current_timestamp().alias("committed_at"), "totals", "parts")
          .coalesce(1).write.mode("overwrite" if replay else "error").json(f"{self.path}/commits/{version}"))
-        self.expire()
+        if version >= self.keep:
+            self.expire()
         return version
 
     def _tiered(self, name: str, parts: list[dict], attempt: str) -> list[dict]:
@@ -164,7 +161,7 @@ class MergedStore:
 
     def expire(self, keep: int | None = None) -> None:
         """Delete all but the newest commits, and parts that none of those names."""
-        commits = self._commits(None)
+        commits = self._commits()
         old, kept = commits[:-(keep or self.keep)], commits[-(keep or self.keep):]
         if not old:
             return
