@@ -7,13 +7,17 @@ coordinates come from these two permutations, without one hash function for each
 Texts of equal shingle sets form a class and only its smallest id goes on. Bands of coordinates
 are bucket keys. Every bucket has a centre, its member with the most bucket mates over all bands, and members are
 first compared with the centre only; verified links are closed to components. Buckets whose
-members are then of one component are done. In the others, let A(x) be what x has and the centre
-lacks, R(x) the reverse. |x ^ y| = |A(x) ^ A(y)| + |R(x) ^ R(y)| (symmetric differences), so two members can be linked only
-if they share an element of A, or if |A(x)| + |A(y)| + ||R(x)| - |R(y)|| is within the difference that the
-threshold allows. The first kind is found by an equi-join on the elements of A (a prefix of it, as long
-as the threshold asks for), the second by their sizes alone. So a group of near copies costs one comparison
-for each member instead of all pairs, and no link that joins two components is left out. Every
-link is confirmed on the full sets: 100 * intersection >= percent * union.
+members are then of one component are done.
+
+In the others let D(x) be the symmetric difference of x and the centre c, u(x) the number of its elements that can be shared
+with another component, and, for a link at p percent, w(x) = (100 + p) |D(x)| - (100 - p) |x|. Then
+x and y are linked just if 2 (100 + p) |D(x) ^ D(y)| >= w(x) + w(y), counting common elements. Unless both
+are linked to c, the right side is positive: a link between components shows in a common element of D. So members are joined on the
+elements of D, the rarest first and no more than the threshold asks for (prefix filter), if the sums above can be reached with u(x)
+and with the best of the others. A group that shares an element and is still small gives its pairs that pass the filters; a larger one is
+treated as a bucket in its turn, with a centre of its own, until none is left: a group never contains the
+centre it came from, so it gets smaller. So a group of near copies costs comparisons with a few centres instead of all pairs, and no link that joins two
+components is left out. Every link is confirmed on the full sets: 100 * intersection >= percent * union.
 
 Defined results: null and empty texts have no shingles and link with nothing; fewer words than
 ``width`` make one shingle; repeated rows belong to one class and each keeps its row; rows of one id with
@@ -26,13 +30,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierwarden.llm.shingles import ascii_words, mix64, shingle_hashes
 from tierwarden.llm.storage import components, stored
 
 BANDS, ROWS = 32, 5
+PAIRED = 128         # members of a group that are compared with each other
 STEP = np.uint32(0x9E3779B1)      # distance of neighbouring shifts on the circle
 
 
@@ -114,37 +119,80 @@ def linked(measured: DataFrame, percent: int) -> DataFrame:
     return measured.filter(F.col("n_shared") * 100 >= percent * (F.col("n_a") + F.col("n_b") - F.col("n_shared"))).select("a", "b")
 
 
-def across(star: DataFrame, measured: DataFrame, sets: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of two components that share a centre and may be linked."""
+def with_centres(groups: DataFrame) -> DataFrame:
+    """(grp, doc_id) with the centre of each group: its member with the most mates in all groups, of equals the smallest id."""
+    sized = groups.join(groups.groupBy("grp").agg(F.count("*").alias("mates")).filter("mates > 1"), "grp")
+    weight = sized.groupBy("doc_id").agg(F.sum("mates").alias("weight"))
+    centres = (sized.join(weight, "doc_id").groupBy("grp").agg(F.max(F.struct("weight", (-F.col("doc_id")).alias("id"))).alias("top"))
+               .select("grp", (-F.col("top.id")).alias("centre")))
+    return sized.select("grp", "doc_id").join(centres, "grp")
+
+
+def united(of: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, component) with what the new ``links`` connect made one; only components they join are worked on."""
+    if of is None:
+        return stored(components(links), "grouped")
+    named = [of.select(F.col("node").alias(end), F.col("component").alias(f"c_{end}")) for end in ("a", "b")]
+    between = stored(links.join(named[0], "a", "left").join(named[1], "b", "left")
+                     .select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b")).filter("a <> b").distinct(), "between")
+    if between.isEmpty():
+        return of
+    more = stored(components(between), "united")
+    moved = of.join(more.select(F.col("node").alias("component"), F.col("component").alias("now")), "component", "left")
+    return stored(moved.select("node", F.coalesce("now", "component").alias("component"))
+                  .union(more.join(of.select("node"), "node", "left_anti").select("node", "component")), "grouped")
+
+
+def across(star: DataFrame, measured: DataFrame, sets: DataFrame, grouped: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """What may still link two components: pairs (a, b), and groups (grp, doc_id) too large for pairs."""
+    both, room, no = 100 + percent, 100 - percent, F.lit(False)
     of = grouped.select(F.col("node").alias("doc_id"), "component")
     placed = star.join(of, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    members = (placed.join(mixed.select("bucket"), "bucket", "left_semi").filter("doc_id <> centre")
+    mixed = placed.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+    members = (placed.join(mixed.select("grp"), "grp", "left_semi").filter("doc_id <> centre")
                .select("centre", "doc_id", "component").distinct())
-    home = of.select(F.col("doc_id").alias("centre"), F.col("component").alias("home"))
-    # symmetric difference d of a linked pair of sizes m, n: (100 + percent) d <= (100 - percent) (m + n)
-    most = F.floor((100 - percent) * (F.col("n_b") + F.floor(F.col("n_b") * 100 / percent)) / (100 + percent)).cast("int")
+    differs = F.col("n_a") + F.col("n_b") - 2 * F.col("n_shared")
     rest = (members.join(measured, (F.col("a") == F.col("centre")) & (F.col("b") == F.col("doc_id")))
-            .select("centre", "doc_id", "component", F.col("n_b").alias("n"), (F.col("n_b") - F.col("n_shared")).alias("added"),
-                    (F.col("n_a") - F.col("n_shared")).alias("removed"), most.alias("most"))
-            .join(home, "centre", "left")
-            .withColumn("outside", F.col("component") != F.coalesce("home", "centre")).drop("home"))
-    rest = stored(rest, "rest")
-    x, y = rest.filter("outside").alias("x"), rest.alias("y")
-    other = F.col("x.component") != F.col("y.component")
-    room = (100 - percent) * (F.col("x.n") + F.col("y.n"))
-    apart = F.abs(F.col("x.removed") - F.col("y.removed"))
-    pair = (F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
-    by_size = (x.filter("added <= most").join(y.filter("added <= most"), (F.col("x.centre") == F.col("y.centre")) & other
-               & ((100 + percent) * (F.col("x.added") + F.col("y.added") + apart) <= room)).select(*pair))
+            .select("centre", "doc_id", "component", (both * differs - room * F.col("n_b")).cast("long").alias("w"),
+                    (room * F.col("n_a")).cast("long").alias("z")).withColumn("outside", F.col("w") > F.col("z")))
     own = sets.select("doc_id", "shingles")
-    elements = (rest.join(own, "doc_id").join(own.select(F.col("doc_id").alias("centre"), F.col("shingles").alias("of_centre")), "centre")
-                .select(*rest.columns, F.explode(F.slice(F.array_except("shingles", "of_centre"), 1, F.col("most") + 1)).alias("element")))
-    elements = stored(elements, "elements")
-    x, y = elements.filter("outside").alias("x"), elements.alias("y")
-    by_element = (x.join(y, (F.col("x.element") == F.col("y.element")) & (F.col("x.centre") == F.col("y.centre")) & other
-                         & ((100 + percent) * (F.abs(F.col("x.added") - F.col("y.added")) + apart) <= room)).select(*pair))
-    return by_size.union(by_element).distinct()
+    apart = F.concat(F.array_except("shingles", "of_centre"), F.array_except("of_centre", "shingles"))
+    # a centre without unlinked members needs no second look
+    open_ = rest.groupBy("centre").agg(F.max("outside").alias("some")).filter("some").select("centre")
+    elements = stored(rest.join(open_, "centre", "left_semi").join(own, "doc_id")
+                      .join(own.select(F.col("doc_id").alias("centre"), F.col("shingles").alias("of_centre")), "centre")
+                      .select(*rest.columns, F.explode(apart).alias("element")), "elements")
+    # elements that two components share, an unlinked member among them
+    held = (elements.groupBy("centre", "element").agg(F.count("*").alias("holders"), F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                                      F.max("outside").alias("some")).filter("lo < hi and some").select("centre", "element", "holders"))
+    useful = elements.join(held, ["centre", "element"])
+    own_row = ["centre", "doc_id"]
+    u = useful.groupBy(*own_row).agg(F.count("*").alias("u"), F.first("w").alias("w"))
+    reach = 2 * both * F.col("u") - F.col("w")
+    best = u.groupBy("centre").agg(F.max(reach).alias("most_reach"), F.min("w").alias("least_w"))
+    able = u.join(best, "centre").filter((F.col("w") <= F.col("most_reach")) & (reach >= F.col("least_w"))).select(*own_row, "u", "least_w")
+    nth = F.row_number().over(Window.partitionBy(*own_row).orderBy("holders", "element"))      # at most the elements of two texts
+    ranked = useful.join(able, own_row).withColumn("nth", nth)
+    # least overlaps with an unlinked partner, and of an unlinked one with a linked partner
+    near = F.greatest(F.lit(1), F.ceil((F.col("w") + F.col("z") + 1) / (2 * both)))
+    far = F.greatest(F.lit(1), F.ceil((F.col("w") - F.col("z")) / 200), F.ceil((F.col("w") + F.col("least_w")) / (2 * both)))
+    ranked = (ranked.withColumn("near", F.col("nth") <= F.col("u") - near + 1)
+              .withColumn("far", F.when(F.col("outside"), F.col("nth") <= F.col("u") - far + 1).otherwise(no)).filter("near or far"))
+    ranked = stored(ranked.select(F.xxhash64("centre", "element").alias("grp"), "doc_id", "component", "w", "u", "outside", "near", "far"), "ranked")
+    reach = 2 * both * F.col("u") - F.col("w")
+    groups = (ranked.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("outside").alias("some"),
+                                        F.max(reach).alias("most_reach"), F.min("w").alias("least_w"))
+              .filter("lo < hi and some").select("grp", "most_reach", "least_w"))
+    left = ranked.join(groups, "grp").filter((F.col("w") <= F.col("most_reach")) & (reach >= F.col("least_w"))).drop("most_reach", "least_w")
+    sizes = left.groupBy("grp").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                    F.max("outside").alias("some")).filter("lo < hi and some").select("grp", "size")
+    left = stored(left.join(sizes, "grp"), "left")
+    x, y = left.filter(f"size <= {PAIRED} and outside").alias("x"), left.filter(f"size <= {PAIRED}").alias("y")
+    fits = 2 * both * F.least("x.u", "y.u") >= F.col("x.w") + F.col("y.w")
+    role = F.when(F.col("y.outside"), F.col("x.near") & F.col("y.near") & (F.col("x.doc_id") < F.col("y.doc_id"))).otherwise(F.col("x.far") & F.col("y.near"))
+    pairs = (x.join(y, (F.col("x.grp") == F.col("y.grp")) & (F.col("x.component") != F.col("y.component")) & fits & role)
+             .select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct())
+    return pairs, left.filter(f"size > {PAIRED}").select("grp", "doc_id").distinct()
 
 
 def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
@@ -156,24 +204,23 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, bands: int
     reps = (docs.select("doc_id", "name", "bands")
             .join(classes.select(F.col("rep").alias("doc_id"), "name"), ["doc_id", "name"])
             .select("doc_id", "name", "bands").dropDuplicates(["doc_id", "name"]))
-    buckets = stored(reps.select("doc_id", F.explode("bands").alias("bucket")).distinct(), "buckets")
-    shared = stored(buckets.join(buckets.groupBy("bucket").agg(F.count("*").alias("mates")).filter("mates > 1"), "bucket"), "shared")
-    weight = shared.groupBy("doc_id").agg(F.sum("mates").alias("weight"))
-    centres = (shared.join(weight, "doc_id").groupBy("bucket")
-               .agg(F.max(F.struct("weight", (-F.col("doc_id")).alias("id"))).alias("top"))
-               .select("bucket", (-F.col("top.id")).alias("centre")))
-    star = stored(shared.select("bucket", "doc_id").join(centres, "bucket"), "star")
+    buckets = stored(reps.select(F.explode("bands").alias("grp"), "doc_id").distinct(), "buckets")
+    star = stored(with_centres(buckets), "star")
     source = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     candidates = source.join(star.select("doc_id").distinct(), "doc_id", "left_semi")
     sets = stored(sets_of(candidates, width).dropDuplicates(["doc_id", "name"]), "sets")
 
-    first = star.filter("doc_id <> centre").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
-    measured = stored(overlaps(first, sets), "measured")
-    links = linked(measured, percent)
-    grouped = stored(components(links), "grouped")
-    more = linked(overlaps(across(star, measured, sets, grouped, percent), sets), percent)
-    final = components(links.union(more))
-    named = (classes.join(final, classes.rep == final.node, "left")
+    of = None
+    while True:
+        first = star.filter("doc_id <> centre").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
+        measured = stored(overlaps(first, sets), "measured")
+        of = united(of, linked(measured, percent))
+        pairs, groups = across(star, measured, sets, of, percent)
+        of = united(of, linked(overlaps(pairs, sets), percent))
+        star = stored(with_centres(groups), "star")
+        if star.isEmpty():
+            break
+    named = (classes.join(of, classes.rep == of.node, "left")
              .select(F.col("name"), F.coalesce("component", "rep").alias("component")))
     return (docs.select("doc_id", "n_shingles", "name").join(named, "name", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

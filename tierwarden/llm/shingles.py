@@ -1,8 +1,9 @@
-"""Hashed words and shingles of UTF-8 texts, worked out on whole byte arrays with numpy.
+"""Hashed words and shingles of UTF-8 texts, worked out on whole arrays with numpy.
 
-A text is normalised to its words joined by single spaces. With random 64-bit values for the
-bytes and powers of an odd base, prefix sums give the hash of any run of bytes in constant
-time (arithmetic modulo 2**64); a finalizer then mixes value and length.
+A shingle's hash is chained from its words' 64-bit SipHash values, with a bijective finalizer after every
+word, so no arithmetic of the words carries over to the shingle. ``run_hashes`` is cheaper and only for
+feature hashing: prefix sums of random values of the bytes times powers of an odd base (modulo 2**64), which
+some long texts made for it can defeat.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 from functools import cache
 
 import numpy as np
+from pandas.util import hash_array
 
 BASE = 0x9E3779B97F4A7C15 | 1
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))   # A-Z to a-z, all else as it is
@@ -61,6 +63,11 @@ def shingle_hashes(words: list[bytes], width: int, short: bool = True) -> np.nda
     n = len(words)
     if not n or (n < width and not short):
         return np.empty(0, np.uint64)
-    starts, ends = bounds(words)
     width = min(width, n)
-    return run_hashes(b" ".join(words), starts[:n - width + 1], ends[width - 1:])
+    own = np.empty(n, object)
+    own[:] = words
+    hashes = hash_array(own, categorize=False)
+    out = mix64(hashes[:n - width + 1] + np.uint64(width))
+    for i in range(1, width):
+        out = mix64(out * np.uint64(BASE) + hashes[i:n - width + 1 + i])
+    return out
