@@ -1,22 +1,26 @@
 """Byte-level BPE: ranked merges folded over the bytes of distinct words with higher-order functions.
 
-A text is cut into pieces by the tokenizer's pattern. A token of rank r is written as the one character
-of code point r + ``SHIFT``, so a piece's byte array is a string of single-byte tokens, and characters compare as
+A text is cut into pieces by the tokenizer's pattern. A token is written as one character (``char_of`` its
+rank), so a piece's byte array is a string of single-byte tokens, and characters compare as
 their ranks do. The rank file becomes one literal: an array of buckets (CRC-32 of two tokens), each a small
-map from a pair of tokens to the token they make.
+map from a pair of tokens to the token they make. Each token has one such pair: the last two parts when its own
+bytes are merged. No other pair of the same bytes can ever stand side by side, since both its ends would have been bounds all along.
 
 The merges of a piece are a fold (``aggregate``). Its state is the string of parts and the string of
 what every adjacent pair makes; each step takes the least character of the latter, joins the leftmost such
-pair and looks up its two new neighbours.
+pair and looks up its two new neighbours. Where every token's rank lies above those of its two parts, as training gives
+them, ranks are joined in order, and a long piece (over ``LONG`` bytes) is folded the other way round: over the ranked merges whose
+token its bytes hold, each replacing all its pairs from left to right, in time linear in the piece.
 
-``word_table`` runs the fold once for each of the ``words`` most common distinct pieces of the whole input.
-That table has a fixed bound and is broadcast. ``encode`` writes a text as numbers of table rows and a
+``word_table`` runs the fold once for each of the most common distinct pieces of the whole input, those
+whose count reaches a threshold taken from a histogram of counts.
+That table has a fixed bound (``words``) and is broadcast. ``encode`` writes a text as numbers of table rows and a
 list of its distinct other pieces, folds only those, and puts the ids in order; texts stay where they
 are, nothing is shuffled, and the table changes the cost of a row, never its ids. Decoding concatenates
 the tokens' binary pieces.
 
 Defined results: null and empty texts give an empty id list; ids are those of greedy ranked
-merging without special tokens; a one-piece text of n bytes costs n steps over strings of at
+merging without special tokens; a piece of n bytes up to ``LONG`` costs n steps over strings of at
 most n parts. Input columns are kept; ``ids`` replaces a column of that name.
 """
 
@@ -26,11 +30,13 @@ import base64
 import json
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,11 +44,23 @@ from pyspark.sql import types as T
 from tierwarden.llm.storage import stored
 
 BUCKETS = 1 << 15
-WORDS = 1 << 18
+WORDS = 3 << 18
+LONG = 512         # bytes
 SHIFT = 256        # code points below are those of the bytes
 END = "\u0001"     # before the first and after the last part; no pair holds it
-NONE = "￿"    # what a pair without a token makes; greater than every token
-MOST = 0xD800 - SHIFT
+NONE = "\U0010ffff"    # what a pair without a token makes; greater than every token
+MOST = 0x10ffff - 0x800 - SHIFT
+
+
+def char_of(rank: int) -> str:
+    """A character for each rank, in the order of ranks, past those of the bytes and the surrogates."""
+    code = rank + SHIFT
+    return chr(code if code < 0xD800 else code + 0x800)
+
+
+def _rank_of(char: Column) -> Column:
+    code = F.ascii(char)
+    return code - F.when(code < 0xD800, F.lit(SHIFT)).otherwise(F.lit(SHIFT + 0x800))
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -51,13 +69,30 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, filter(None, f.read().splitlines()))}
 
 
-def merges(ranks: dict[bytes, int]) -> Iterable[tuple[str, str]]:
-    """Two tokens and the token that their bytes make, for all splits of all tokens."""
+def merges(ranks: dict[bytes, int]) -> Iterable[tuple[int, int, int]]:
+    """The ranks of the two parts a token is joined from, and its own; tokens that are never reached are left out."""
     for token, rank in ranks.items():
-        for i in range(1, len(token)):
-            a, b = ranks.get(token[:i]), ranks.get(token[i:])
-            if a is not None and b is not None:
-                yield chr(a + SHIFT) + chr(b + SHIFT), chr(rank + SHIFT)
+        parts = [token[i:i + 1] for i in range(len(token))]
+        while len(parts) > 2:
+            least, at = min((ranks.get(parts[i] + parts[i + 1], MOST), i) for i in range(len(parts) - 1))
+            if least == MOST:
+                break
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        if len(parts) == 2:
+            yield ranks[parts[0]], ranks[parts[1]], rank
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for what runs inside, as they were afterwards."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def _bind(value: Column, body) -> Column:
@@ -79,10 +114,8 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
-def long_texts(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches of at most ``rows`` from now on: a batch of the usual 10,000 texts is large for a Python worker."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    spark.conf.set(key, str(min(rows, int(spark.conf.get(key)))))
+def _literal(value: object, kind: str) -> Column:
+    return F.from_json(F.lit(json.dumps(value, separators=(",", ":"), ensure_ascii=False)), kind)
 
 
 def _char(text: Column, at: Column) -> Column:
@@ -95,12 +128,17 @@ class ByteBpe:
             raise ValueError(f"ranks must lie below {MOST} and hold all single bytes")
         self.pattern = pattern
         table: list[dict[str, str] | None] = [None] * BUCKETS
-        for two, made in merges(ranks):
+        joins = sorted(merges(ranks), key=lambda x: x[2])
+        for left, right, rank in joins:
+            two = char_of(left) + char_of(right)
             bucket = zlib.crc32(two.encode()) % BUCKETS
-            table[bucket] = (table[bucket] or {}) | {two: made}
-        self.pairs = F.from_json(F.lit(json.dumps(table, separators=(",", ":"), ensure_ascii=False)), "array<map<string,string>>")
+            table[bucket] = (table[bucket] or {}) | {two: char_of(rank)}
+        self.pairs = _literal(table, "array<map<string,string>>")
+        self.in_order = all(max(left, right) < rank for left, right, rank in joins)
+        spelled = {rank: "".join(char_of(ranks[bytes([b])]) for b in token) for token, rank in ranks.items()}
+        self.joins = _literal([[spelled[rank], char_of(left) + char_of(right), char_of(rank)] for left, right, rank in joins], "array<array<string>>")
         self.bytes = "".join(map(chr, range(256)))
-        self.singles = "".join(chr(ranks[bytes([b])] + SHIFT) for b in range(256))
+        self.singles = "".join(char_of(ranks[bytes([b])]) for b in range(256))
         self.tokens = {rank: token for token, rank in ranks.items()}
 
     def pieces(self, text: Column) -> Column:
@@ -134,35 +172,57 @@ class ByteBpe:
             made = F.array_join(F.transform(places, lambda i: self._made(pairs, F.substring(parts, i, F.lit(2)))), "")
             return F.aggregate(
                 F.split(parts, ""), F.struct(parts.alias("parts"), made.alias("made")), lambda s, _: self._step(pairs, s),
-                lambda s: F.transform(F.split(F.substring(s["parts"], F.lit(2), F.length(s["parts"]) - 2), ""), lambda c: F.ascii(c) - SHIFT))
+                lambda s: F.transform(F.split(F.substring(s["parts"], F.lit(2), F.length(s["parts"]) - 2), ""), _rank_of))
+
+        def by_rank(chars: Column) -> Column:
+            held = F.filter(self.joins, lambda join: F.contains(chars, F.get(join, F.lit(0))))
+            whole = F.aggregate(held, chars, lambda state, join: F.replace(state, F.get(join, F.lit(1)), F.get(join, F.lit(2))))
+            return F.transform(F.split(whole, ""), _rank_of)
 
         chars = F.translate(F.decode(piece.cast("binary"), "ISO-8859-1"), self.bytes, self.singles)
         # the literal stands in the plan once; every look-up goes through one variable
-        return _bind(self.pairs, lambda pairs: _bind(F.concat(F.lit(END), chars, F.lit(END)), lambda parts: merged(pairs, parts)))
+        step_by_step = _bind(self.pairs, lambda pairs: _bind(F.concat(F.lit(END), chars, F.lit(END)), lambda parts: merged(pairs, parts)))
+        return F.when(F.octet_length(piece) > LONG, _bind(chars, by_rank)).otherwise(step_by_step) if self.in_order else step_by_step
 
     def word_table(self, df: DataFrame, text: str = "text", words: int = WORDS) -> pa.Table:
         """piece, ids of the most common distinct pieces found more than once; at most ``words`` rows reach the driver."""
-        common = (df.select(F.explode(self.pieces(F.col(text))).alias("piece")).groupBy("piece").count()
-                  .filter((F.col("count") > 1) & (F.octet_length("piece") <= 64))
-                  .orderBy(F.desc("count"), "piece").limit(words))
-        # stored first, so that the plan that holds the pair table has no exchange and is not planned anew
-        spread = stored(common.repartition(df.sparkSession.sparkContext.defaultParallelism * 4, "piece"), "words")
-        return spread.select("piece", self.fold(F.col("piece")).alias("ids")).toArrow()
+        counts = stored(df.select(F.explode(self.pieces(F.col(text))).alias("piece")).groupBy("piece").count()
+                        .filter((F.col("count") > 1) & (F.octet_length("piece") <= 64)), "counts")
+        # the least count whose words fit, to a tenth of a power of two: at most some hundred rows
+        step = F.floor(F.log2(F.col("count").cast("double")) * 10).cast("int")
+        least, taken = 0, 0
+        for at, n in sorted((r[0], r[1]) for r in counts.groupBy(step.alias("step")).agg(F.count("*")).collect())[::-1]:
+            taken += n
+            if taken > words:
+                least = at + 1
+                break
+        common = counts.filter(step >= least).select("piece").repartition(df.sparkSession.sparkContext.defaultParallelism * 4, "piece")
+        return common.select("piece", self.fold(F.col("piece")).alias("ids")).toArrow()
 
     def encode(self, df: DataFrame, text: str = "text", words: int = WORDS, keep: list[str] | None = None,
-               then: tuple[Callable[[pa.RecordBatch], pa.RecordBatch], str] | None = None) -> DataFrame:
+               then: tuple[Callable[[pa.RecordBatch], pa.RecordBatch], str] | None = None, rows: int = 1000) -> DataFrame:
         """``df``, or its columns ``keep``, with ``ids array<int>``.
 
         ``then`` is a function of the result's Arrow batches and the schema it gives: what is to be
-        derived from the ids in the same Python pass, without sending them to another one.
+        derived from the ids in the same Python pass, without sending them to another one. The result is
+        stored, so that the word table and the literals are dropped; Arrow batches have at most ``rows`` texts.
         """
-        table = self.word_table(df, text, words)
-        pieces = table["piece"].cast(pa.string()).combine_chunks()
-        bounds, flat = _list(table["ids"].cast(pa.list_(pa.int32())).combine_chunks())
-        context = df.sparkSession.sparkContext
-        known_pieces = context.broadcast(pieces)
-        known_ids = context.broadcast((bounds.astype(np.int32), flat.astype(np.uint16 if MOST <= 1 << 16 else np.int32)))
-
+        spark = df.sparkSession
+        # a batch of the usual 10,000 texts is large for a Python worker, and nobody reads a plan that holds the literals
+        batch = min(rows, int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")))
+        with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(batch), "spark.sql.maxPlanStringLength": "10000"}):
+            table = self.word_table(df, text, words)
+            pieces = table["piece"].cast(pa.string()).combine_chunks()
+            bounds, flat = _list(table["ids"].cast(pa.list_(pa.int32())).combine_chunks())
+            known_pieces = spark.sparkContext.broadcast(pieces)
+            known_ids = spark.sparkContext.broadcast((bounds.astype(np.int32), flat.astype(np.uint16 if flat.max(initial=0) < 1 << 16 else np.int32)))
+            done = stored(self._encoded(df, text, keep, then, known_pieces, known_ids), "encoded")
+        known_pieces.destroy()
+        known_ids.destroy()
+        return done
+
+    def _encoded(self, df: DataFrame, text: str, keep: list[str] | None, then: tuple[Callable[[pa.RecordBatch], pa.RecordBatch], str] | None,
+                 known_pieces: Broadcast, known_ids: Broadcast) -> DataFrame:
         names = [c for c in (df.columns if keep is None else keep) if c != "ids"]
         fields = df.select(*names).schema.fields
 

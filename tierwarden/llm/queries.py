@@ -79,7 +79,6 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    byte_bpe.long_texts(spark)
     bpe = byte_bpe.ByteBpe(byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     decode = bpe.decoder()
