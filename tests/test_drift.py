@@ -200,3 +200,43 @@ def test_dry_run_writes_nowhere(spark, fixture, tmp_path, monkeypatch):
     monkeypatch.setattr(sync, "write_through", None)
     assert sync_tags(fixture.raw_catalog, store, dry_run=True, run_ts=T1).new == 81
     assert not (tmp_path / "store").exists()
+
+
+def test_intervals_and_catalog_at(spark):
+    from datetime import datetime as at
+    day = [at(2024, 1, d) for d in range(1, 9)]
+    rows = [("T", "a", "DATA_OWNER", "x", day[1], 1), ("T", "a", "DATA_OWNER", "y", day[1], 2), ("T", "a", "DATA_OWNER", "y", day[2], 3),
+            ("T", "a", "DATA_OWNER", None, day[3], 4), ("T", "a", "DATA_OWNER", "y", day[5], 5), ("T", "a", "DATA_CATEGORY", "p", day[4], 6),
+            ("T", "b", "DATA_OWNER", None, day[2], 7)]
+    statements = local_df(spark, rows, "table_name string, column_name string, tag_field string, value string, time timestamp, n int")
+    found = D.tag_intervals(statements, ["time", "n"])
+    assert {(r.column_name, r.tag_field, r.value, r.valid_from.day, r.valid_to and r.valid_to.day) for r in found.collect()} == {
+        ("a", "DATA_OWNER", "y", 2, 4), ("a", "DATA_OWNER", None, 4, 6), ("a", "DATA_OWNER", "y", 6, None),
+        ("a", "DATA_CATEGORY", "p", 5, None), ("b", "DATA_OWNER", None, 3, None)}
+    moments = local_df(spark, [("T", c, d) for c in "abc" for d in day], "table_name string, column_name string, moment timestamp")
+    got = {(r.column_name, r.moment.day): (r.data_owner, r.data_category) for r in D.catalog_at(found, moments.union(moments)).collect()}
+    want = {}
+    for c in "abc":
+        for d in day:
+            last = {}
+            for _, column, field, value, time, _ in sorted(rows, key=lambda r: (r[4], r[5])):
+                if column == c and time <= d:
+                    last[field] = value
+            want[c, d.day] = (last.get("DATA_OWNER"), last.get("DATA_CATEGORY"))
+    assert got == want
+    log = D.detect_tag_changes(local_df(spark, [("T", "a", "PII", None, None, None, None)], "table_name string, column_name string, "
+                               + WIDE.replace("fqn string, ", "")), local_df(spark, [], TAG_SNAPSHOT_SCHEMA), T1)
+    assert [(r.tag_field, r.value, r.valid_to) for r in D.log_intervals(log).collect()] == [("DATA_CLASSIFICATION", "PII", None)]
+
+
+def test_both_states_in_one_pass(spark):
+    rows = [("T", "a", "data_owner", "x", 1), ("T", "a", "data_owner", "y", 5), ("T", "b", "data_owner", "z", 6), ("T", "c", "data_category", None, 2)]
+    statements = spark.createDataFrame(rows, "table_name string, column_name string, tag_name string, tag_value string, seq int")
+    both = C.tags_before(statements, ["seq"], F.col("seq") < 5)
+    now, was = C.current_tags(statements, ["seq"]), C.current_tags(statements.where("seq < 5"), ["seq"])
+    assert rows_of(both.select(now.columns)) == rows_of(now)
+    assert rows_of(both.where("known").select(*C.KEY, *[F.col(f"was_{f}").alias(f) for f in now.columns[2:]])) == rows_of(was)
+
+
+def rows_of(df):
+    return sorted(map(str, df.collect()))

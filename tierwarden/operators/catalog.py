@@ -67,6 +67,19 @@ def current_tags(assignments: DataFrame, order: list[str], keys: list[str] = KEY
             .select(*keys, *[F.col(f"_{f}.tag_value").alias(f) for f in fields]))
 
 
+def tags_before(assignments: DataFrame, order: list[str], cut: Column, keys: list[str] = KEY,
+                fields: tuple[str, ...] = TAG_FIELDS) -> DataFrame:
+    """``current_tags`` of all assignments (``fields``) and of those where ``cut`` holds (``was_`` + field), in one pass.
+
+    ``known`` tells whether the column had any assignment before the cut.
+    """
+    tag, entry = F.upper("tag_name"), F.struct(*order, "tag_value")
+    last = [F.max(F.when((tag == f.upper()) & test, entry)).alias(f"_{name}{f}")
+            for f in fields for name, test in (("", F.lit(True)), ("was_", cut))]
+    return (grouped(assignments, keys).agg(*last, F.max(F.coalesce(cut, F.lit(False))).alias("known"))
+            .select(*keys, "known", *[F.col(f"_{n}{f}.tag_value").alias(f"{n}{f}") for n in ("", "was_") for f in fields]))
+
+
 def column_catalog(tags: DataFrame, inventory: DataFrame, schema_name: str | None = None) -> DataFrame:
     """Pivoted tags joined with the column inventory; columns missing on either side drop out."""
     known = inventory if schema_name is None else inventory.where(F.col("table_schema") == schema_name)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierwarden.functions.text import blank_if_null, column_fqn, strip
 from tierwarden.model import TAG_FIELDS, UNCLASSIFIED
+from tierwarden.operators.catalog import grouped
 
 KEY = ["table_name", "column_name"]
 STORED_EMPTY = {"data_classification": UNCLASSIFIED}
@@ -130,5 +131,39 @@ def column_history(log: DataFrame, table: str, column: str) -> DataFrame:
             .orderBy(F.col("changed_at").desc(), "tag_field"))
 
 
+def tag_intervals(changes: DataFrame, order: list[str], key: tuple[str, ...] = (*KEY, "tag_field")) -> DataFrame:
+    """When each value of a column's tag held: the key, value, valid_from, valid_to (exclusive, NULL while it holds).
+
+    ``changes`` has the key, ``value`` and the ``order`` columns, the first of which is the time; of several values at one
+    time only the last one held. A value set again without another in between continues its interval.
+    """
+    at = order[0]
+    last = (grouped(changes, [*key, at]).agg(F.max(F.struct(*order[1:], "value")).alias("_last"))
+            .select(*key, at, F.col("_last.value").alias("value")))
+    history = Window.partitionBy(*key).orderBy(at)      # the statements on one tag of one column, one row for each time
+    before = last.withColumn("_first", F.row_number().over(history) == 1).withColumn("_before", F.lag("value").over(history))
+    starts = before.where(F.col("_first") | ~F.col("value").eqNullSafe(F.col("_before")))
+    return starts.select(*key, "value", F.col(at).alias("valid_from"), F.lead(at).over(history).alias("valid_to"))
+
+
+def log_intervals(log: DataFrame) -> DataFrame:
+    """``tag_intervals`` of a change log."""
+    return tag_intervals(log.withColumnRenamed("new_value", "value"), ["changed_at", "change_id"])
+
+
+def catalog_at(intervals: DataFrame, moments: DataFrame, fields: tuple[str, ...] = TAG_FIELDS) -> DataFrame:
+    """Wide tags of the columns at the moments asked for: an as-of join of ``moments`` (table_name, column_name, moment).
+
+    One row for each moment of a column, with NULL for tags without a value then. The equi-join is on the column, so that a column
+    with a long history or many questions is split by adaptive execution; at most one interval of each tag fits.
+    """
+    ask, held = moments.select(*KEY, "moment").distinct().alias("m"), intervals.alias("i")
+    fits = (F.col("m.moment") >= F.col("i.valid_from")) & (F.col("i.valid_to").isNull() | (F.col("m.moment") < F.col("i.valid_to")))
+    same = [F.col(f"m.{k}") == F.col(f"i.{k}") for k in KEY]
+    both = ask.join(held, (same[0]) & (same[1]) & fits, "left")
+    return (both.groupBy(*[F.col(f"m.{k}").alias(k) for k in KEY], F.col("m.moment").alias("moment"))
+            .agg(*[F.max(F.when(F.col("i.tag_field") == f.upper(), F.col("i.value"))).alias(f) for f in fields]))
+
+
 def change_message(count: int) -> str:
     return f"OK: {count} tag changes logged."

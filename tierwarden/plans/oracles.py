@@ -513,6 +513,23 @@ SQL["j05_snapshot_refresh"] = _with(
     + ", t.table_name IS NOT NULL AS refreshed FROM old_tags o FULL JOIN "
       "(SELECT tags.* FROM tags SEMI JOIN live USING (table_name, column_name)) t "
       "ON o.table_name=t.table_name AND o.column_name=t.column_name", "old_tags", "tags", "live")
+CTE["intervals"] = """intervals AS (
+  SELECT table_name, column_name, tag_field, value, since AS valid_from, lead(since) OVER (PARTITION BY table_name, column_name, tag_field ORDER BY since) AS valid_to
+  FROM (SELECT *, lag(value) OVER w AS was, row_number() OVER w AS nth FROM (
+      SELECT table_name, column_name, upper(tag_name) AS tag_field, assigned_at AS since, arg_max({'v': tag_value}, [statement_id, line]).v AS value
+      FROM history GROUP BY 1, 2, 3, 4) WINDOW w AS (PARTITION BY table_name, column_name, tag_field ORDER BY since))
+  WHERE nth=1 OR value IS DISTINCT FROM was)"""
+NEEDS["intervals"] = ["history"]
+_TIME = "strftime({}, '%Y-%m-%d %H:%M:%S')"
+SQL["j11_column_history"] = _with(
+    f"SELECT table_name, column_name, tag_field, value, {_TIME.format('valid_from')} AS valid_from, {_TIME.format('valid_to')} AS valid_to FROM intervals",
+    "intervals")
+SQL["j11_catalog_at"] = _with(
+    f"SELECT m.table_name, m.column_name, {_TIME.format('m.moment')} AS moment, "
+    + ", ".join(f"max(CASE WHEN tag_field='{f.upper()}' THEN value END) AS {f}" for f in TAG_FIELDS)
+    + f" FROM (SELECT DISTINCT {LINE_TABLE} AS table_name, {LINE_COLUMN} AS column_name, date_trunc('quarter', l_shipdate) AS moment FROM lineitem) m "
+      "LEFT JOIN intervals i ON m.table_name=i.table_name AND m.column_name=i.column_name AND m.moment>=i.valid_from "
+      "AND (i.valid_to IS NULL OR m.moment<i.valid_to) GROUP BY ALL", "intervals")
 _PAIR = "ON o.table_name=n.table_name AND o.column_name=n.column_name"
 _ID = (f"'Column:'||{FQN}||coalesce(o.table_name,n.table_name)||'.'||coalesce(o.column_name,n.column_name)")
 SQL["j06_merged_vertices"] = _with(

@@ -24,7 +24,7 @@ from tierwarden.plans import access as A
 from tierwarden.sources import inventory as I
 from tierwarden.sources import snapshot as S
 from tierwarden.sources.entities import Entities, coerce, minimise, with_provenance
-from tierwarden.sources.estate import ORDER, Estate, pick
+from tierwarden.sources.estate import ORDER, Drifting, Estate, column_of, table_of, pick
 from tierwarden.streaming import streams as W
 
 RUN_TS = datetime(2024, 7, 1)
@@ -333,14 +333,14 @@ def _(spark, sf):
 
 @query("j03_tag_diff")
 def _(spark, sf):
-    s = Estate(spark, sf)
+    s = Drifting(spark, sf)
     return D.diff_tags(D.with_fqn(s.incoming_catalog), D.with_fqn(s.stored_catalog))
 
 
 @query("j03_tag_diff_full")
 def _(spark, sf):
     """No false encryption changes, and removed columns reported."""
-    s = Estate(spark, sf)
+    s = Drifting(spark, sf)
     return D.diff_tags(D.with_fqn(s.incoming_catalog), D.with_fqn(s.stored_catalog),
                        empty_equivalents={"data_classification": "Unclassified", "encryption_required": "No"},
                        include_removed=True)
@@ -348,7 +348,7 @@ def _(spark, sf):
 
 @query("j03_diff_summary")
 def _(spark, sf):
-    s = Estate(spark, sf)
+    s = Drifting(spark, sf)
     return D.diff_summary(D.diff_tags(D.with_fqn(s.incoming_catalog), D.with_fqn(s.stored_catalog),
                                       include_removed=True))
 
@@ -360,24 +360,26 @@ def _snapshot(s: Estate) -> DataFrame:
 
 @query("j04_tag_changes")
 def _(spark, sf):
-    s = Estate(spark, sf)
+    s = Drifting(spark, sf)
     return D.detect_tag_changes(s.tags, _snapshot(s), RUN_TS).select(
         *C.KEY, "tag_field", "old_value", "new_value", "sync_status")
 
 
 @query("j05_snapshot_refresh")
 def _(spark, sf):
-    s = Estate(spark, sf)
+    """The stored snapshot refreshed with what is live now: the new rows are added as a part, and the table is merged as it is read."""
+    s = Drifting(spark, sf)
+    table = DriftStore(spark, scratch_path(spark, "drift")).snapshot
+    table.upsert(_snapshot(s))
     live = s.tags.join(s.live_inventory.select(C.KEY), C.KEY, "left_semi")
-    merged = D.merge_snapshot(_snapshot(s), live, RUN_TS)
-    return merged.withColumn("refreshed", F.col("captured_at") == F.lit(RUN_TS)) \
-                 .drop("snapshot_id", "captured_at")
+    table.upsert(D.snapshot_rows(live, RUN_TS), merge=False)
+    return table.read().withColumn("refreshed", F.col("captured_at") == F.lit(RUN_TS)).drop("snapshot_id", "captured_at")
 
 
 @query("j06_merged_vertices")
 def _(spark, sf):
     """Stored column vertices upserted with the incoming ones; the version counter rises by one."""
-    s = Estate(spark, sf)
+    s = Drifting(spark, sf)
 
     def columns(catalog: DataFrame) -> DataFrame:
         return G.as_vertices(D.with_fqn(catalog).select("fqn", "data_classification", "data_owner"), "Column")
@@ -392,7 +394,7 @@ def _(spark, sf):
 @query("j07_merged_edges")
 def _(spark, sf):
     """CLASSIFIED_AS edges of the stored catalog merged with those of the incoming one."""
-    s, tiers = Estate(spark, sf), tiers_df(spark)
+    s, tiers = Drifting(spark, sf), tiers_df(spark)
 
     def edges(catalog: DataFrame) -> DataFrame:
         return G.classified_as(G.columns_frame(catalog, RUN_TS), tiers)
@@ -403,7 +405,7 @@ def _(spark, sf):
 
 def _synced(spark: SparkSession, sf: str) -> CatalogStore:
     """A store after two sync cycles: snapshot state, then now."""
-    s = Estate(spark, sf)
+    s = Drifting(spark, sf)
     store = CatalogStore(spark, scratch_path(spark, "store"))
     sync_tags(C.column_catalog(s.old_tags, s.inventory), store, run_ts=SNAP_TS)
     sync_tags(s.incoming_catalog, store, changed_only=True, run_ts=RUN_TS,
@@ -433,12 +435,33 @@ def _(spark, sf):
 @query("j11_pending_changes")
 def _(spark, sf):
     """Pending changes of a log whose older half has been marked as synced."""
-    s = Estate(spark, sf)
+    s = Drifting(spark, sf)
     old = D.mark_synced(D.detect_tag_changes(s.old_tags, _snapshot(s).limit(0), SNAP_TS), SNAP_TS)
     log = old.unionByName(D.detect_tag_changes(s.tags, _snapshot(s), RUN_TS))
     return D.pending_changes(log).drop("changed_at")
 
 
+@query("j11_column_history")
+def _(spark, sf):
+    """When each value of every column's tags held, from the statements."""
+    s = Estate(spark, sf)
+    return (D.tag_intervals(_statements(s), ORDER)
+            .withColumns({c: F.col(c).cast("string") for c in ("valid_from", "valid_to")}))
+
+
+@query("j11_catalog_at")
+def _(spark, sf):
+    """The tags of every column as they were when each delivery of its part was received."""
+    s = Estate(spark, sf)
+    moments = s.raw("lineitem").select(table_of("l_partkey").alias("table_name"), column_of("l_partkey").alias("column_name"),
+                                       F.date_trunc("quarter", F.col("l_shipdate")).cast("timestamp_ntz").alias("moment"))
+    return D.catalog_at(D.tag_intervals(_statements(s), ORDER), moments).withColumn("moment", F.col("moment").cast("string"))
+
+
+def _statements(s: Estate) -> DataFrame:
+    return s.history.select(*C.KEY, F.upper("tag_name").alias("tag_field"), F.col("tag_value").alias("value"), *ORDER)
+
+
 # -- K: graph construction -----------------------------------------------------
 
 @query("k11_graph_summary")

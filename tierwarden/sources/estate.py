@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwarden.model import (
-    MASK_BINDINGS, RANKS, ROLE_NAMES, ROLE_TIERS, ROLES, SCHEMA, local_df,
+    MASK_BINDINGS, RANKS, ROLE_NAMES, ROLE_TIERS, ROLES, SCHEMA, TAG_FIELDS, local_df,
 )
 from tierwarden.operators import catalog as C
+from tierwarden.operators.durable import scratch_path, write_through
 from tierwarden.sources.raw import read_raw
 
 WIDTH = 16                       # columns per derived table
@@ -33,11 +34,11 @@ def pick(index: Column, values: list[str | None]) -> Column:
     return out
 
 
-def _table_of(key: str) -> Column:
+def table_of(key: str) -> Column:
     return F.concat(F.lit("T"), F.lpad(F.floor(F.col(key) / WIDTH).cast("string"), 10, "0"))
 
 
-def _column_of(key: str) -> Column:
+def column_of(key: str) -> Column:
     return F.concat(F.lit("C"), F.lpad((F.col(key) % WIDTH).cast("string"), 2, "0"))
 
 
@@ -61,7 +62,7 @@ class Estate:
                 .when(F.col("p_type") == "STANDARD", "TIMESTAMP_NTZ").otherwise(""))
         return part.select(
             F.lit(SCHEMA).alias("table_schema"),
-            _table_of("p_partkey").alias("table_name"), _column_of("p_partkey").alias("column_name"),
+            table_of("p_partkey").alias("table_name"), column_of("p_partkey").alias("column_name"),
             kind.alias("data_type"),
             F.when(F.col("p_size") % 2 == 0, "NO").when(F.col("p_size") % 5 != 0, "YES").alias("is_nullable"),
             (F.col("p_partkey") % WIDTH + 1).cast("int").alias("ordinal_position"))
@@ -90,7 +91,7 @@ class Estate:
                  .when(n == 6, pick(qty % 5, ["30_days", "1_year", "7_years", "Indefinite", ""]))
                  .otherwise(pick(qty % 7, TEAMS + ["", None])))
         return lineitem.select(
-            _table_of("l_partkey").alias("table_name"), _column_of("l_partkey").alias("column_name"),
+            table_of("l_partkey").alias("table_name"), column_of("l_partkey").alias("column_name"),
             tag.alias("tag_name"), value.alias("tag_value"),
             F.col("l_shipdate").alias("assigned_at"), F.col("l_orderkey").alias("statement_id"),
             n.alias("line"))
@@ -133,7 +134,7 @@ class Estate:
         rules = ["CUSTOMER_ROW_POLICY", "EMPLOYEE_ROW_POLICY", "TRANSACTION_FRAUD_POLICY"]
         size = F.col("p_size")
         return self.raw("part").where(size <= 27).select(
-            _table_of("p_partkey").alias("table_name"), _column_of("p_partkey").alias("column_name"),
+            table_of("p_partkey").alias("table_name"), column_of("p_partkey").alias("column_name"),
             F.when(size <= 24, pick(size % 6, names)).otherwise(pick(size - 25, rules)).alias("policy_name"),
             F.when(size <= 24, "MASKING_POLICY").otherwise("ROW_ACCESS_POLICY").alias("policy_kind"),
             F.when(size % 8 == 0, "INACTIVE").otherwise("ACTIVE").alias("policy_status"))
@@ -182,3 +183,23 @@ class Estate:
             F.col("event_id").alias("request_id"),
             pick(F.col("user_id") % 8, ROLE_NAMES + ["GUEST"]).alias("role"),
             tier.alias("classification"))
+
+
+class Drifting(Estate):
+    """The estate for questions about both states: now and at the last snapshot.
+
+    The statements are read once for the two, and the states are stored.
+    """
+
+    @cached_property
+    def _states(self) -> DataFrame:
+        cut = F.col("assigned_at") < F.lit(SNAPSHOT_CUT).cast("timestamp_ntz")
+        return write_through(C.tags_before(self.history, ORDER, cut), scratch_path(self.spark, "states"))
+
+    @cached_property
+    def tags(self) -> DataFrame:
+        return self._states.select(*C.KEY, *TAG_FIELDS)
+
+    @cached_property
+    def old_tags(self) -> DataFrame:
+        return self._states.where("known").select(*C.KEY, *[F.col(f"was_{f}").alias(f) for f in TAG_FIELDS])

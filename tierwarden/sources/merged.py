@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierwarden.model import local_df
-from tierwarden.sources.state import exists_or_none
 
 _COMMITS = ("version long, attempt string, committed_at timestamp, totals map<string,long>, "
             "parts map<string,array<struct<folder:string,rows:bigint>>>")
@@ -54,8 +53,17 @@ class MergedStore:
     # -- commits
 
     def _commits(self) -> list:
-        found = exists_or_none(lambda: self.spark.read.schema(_COMMITS).json(f"{self.path}/commits/*"))
-        return [] if found is None else sorted(found.collect(), key=lambda r: r["version"])      # at most ``keep`` + 1, the others are deleted
+        folder = f"{self.path}/commits"
+        if not self._files(folder).exists(self._path(folder)):
+            return []
+        found = self.spark.read.schema(_COMMITS).option("recursiveFileLookup", True).json(folder)
+        return sorted(found.collect(), key=lambda r: r["version"])      # at most ``keep`` + 1, the others are deleted
+
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(name)
+
+    def _files(self, name: str):
+        return self._path(name).getFileSystem(self.spark._jsc.hadoopConfiguration())
 
     def _newest(self, before: int | None = None):
         found = [c for c in self._commits() if before is None or c["version"] < before]
@@ -168,8 +176,7 @@ class MergedStore:
         used = {(n, p["folder"]) for c in kept for n, ps in c["parts"].items() for p in ps}
         unused = {(n, p["folder"]) for c in old for n, ps in c["parts"].items() for p in ps} - used
         for name in [f"commits/{c['version']}" for c in old] + [f"{n}/{f}" for n, f in sorted(unused)]:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self._files(self.path).delete(self._path(f"{self.path}/{name}"), True)
 
 
 class MergedTable:
