@@ -76,6 +76,18 @@ def test_url_rules(spark):
     assert url_filter.judge(df, rules.limit(0)).filter("verdict = 'allow' and rule is null").count() == len(want) + 1
 
 
+def test_long_urls_and_hosts(spark):
+    """Many labels and segments, alone and together; rules at several depths of one host."""
+    rules = [("net", "/", "block"), ("x.net", "/a/b/", "allow"), ("x.net", "/a/b/c", "block"), ("deep.org", "/s" * 300 + "/", "block"), ("l.l", "", "block")]
+    urls = {"http://" + "l." * 200 + "x.net/a/b/" + "s/" * 2000: ("x.net/a/b/", "allow"), "http://x.net/a/b/cd": ("x.net/a/b/c", "block"),
+            "http://x.net" + "/s" * 5000: ("net/", "block"), "http://deep.org" + "/s" * 5000: ("deep.org" + "/s" * 300 + "/", "block"),
+            "http://deep.org" + "/s" * 300: (None, "allow"), "http://" + "l." * 3000 + "l": ("l.l", "block"), "http://x.net/a/b": ("net/", "block"),
+            "http://" + "y" * 10000 + ".net?" + "z/" * 5000: (None, "allow")}
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    got = url_filter.judge(df, spark.createDataFrame(rules, "host string, path string, verdict string")).collect()
+    assert {r["url"]: (r["rule"], r["verdict"]) for r in got} == urls
+
+
 # ---- WARC
 
 def test_warc_round_trip(spark, tmp_path):
@@ -93,8 +105,11 @@ def test_warc_round_trip(spark, tmp_path):
             assert (by[k]["record_type"], by[k]["refers_to"], by[k]["payload_bytes"], by[k]["payload"]) == ("revisit", 1, 1, None)
     assert by[4, "u"]["record_type"] == "response" and by[5, "u"]["refers_to"] == 4 and by[4, "u"]["payload_digest"] == warc.base32_sha1(b"")
     assert by[9, "big"]["payload"].decode() == big
-    for path in (tmp_path / "a").glob("part-*"):      # plain concatenated gzip
-        assert gzip.decompress(path.read_bytes()).startswith(b"WARC/1.1\r\n")
+    members = 0
+    for path in (tmp_path / "a").glob("part-*"):      # plain concatenated gzip, a member for each record
+        assert not path.stat().st_size or gzip.decompress(path.read_bytes()).startswith(b"WARC/1.1\r\n")
+        members += path.read_bytes().count(warc.MEMBER)
+    assert members == len(rows)
     warc.write_archives(df, str(tmp_path / "b"), min_revisit=2)
     assert warc.read_archives(spark, str(tmp_path / "b")).filter("record_type = 'revisit'").count() == 0
     warc.write_archives(df.limit(0), str(tmp_path / "c"))
@@ -102,16 +117,44 @@ def test_warc_round_trip(spark, tmp_path):
 
 
 def test_warc_reader_notices_damage():
-    member = warc.to_member("1", None, b"abc", warc.base32_sha1(b"abc"), None, "2000-01-01T00:00:00Z") + b"\0"
+    member = warc.to_member("1", None, b"abc", warc.base32_sha1(b"abc"), None, "2000-01-01T00:00:00Z")
     assert [r.verified for r in warc.Reader().feed(member)] == [True]
     changed = gzip.compress(gzip.decompress(member).replace(b"abc\r\n", b"abd\r\n"))
     assert [r.verified for r in warc.Reader().feed(changed)] == [False]
     with pytest.raises(ValueError):
         list(warc.Reader().feed(gzip.compress(gzip.decompress(member)[:-3])))
-    half = warc.Reader()
-    assert list(half.feed(member[:150])) == []
-    with pytest.raises(ValueError):
-        half.close()
+    for end in range(1, len(member) * 2):      # cut anywhere but between members
+        reader = warc.Reader()
+        got = list(reader.feed((member * 2)[:end]))
+        assert len(got) == end // len(member)
+        if end % len(member):
+            with pytest.raises(ValueError):
+                reader.close()
+        else:
+            reader.close()
+
+
+def test_truncated_and_foreign_archives(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"http://a/{i}", f"text {i} " * (i % 40)) for i in range(400)], "page_id long, url string, html string")
+    warc.write_archives(df.coalesce(1), str(tmp_path / "a"), records_per_file=250)
+    files = sorted(p for p in (tmp_path / "a").glob("part-*"))
+    assert len(files) == 2
+    data = files[0].read_bytes()
+    assert data.startswith(warc.MEMBER) and data.count(warc.MEMBER) == 250
+    both = [warc.read_archives(spark, str(tmp_path / "a"), whole=w) for w in (False, True)]
+    assert both[0].count() == 400 and both[0].exceptAll(both[1]).count() == 0
+    for i, cut in enumerate((len(data) - 1, len(data) - 20, data.index(warc.MEMBER, 10) + 1, data.index(warc.MEMBER, 10) + 12)):
+        (tmp_path / f"cut{i}").mkdir()
+        (tmp_path / f"cut{i}" / "a").write_bytes(data[:cut])
+        (tmp_path / f"cut{i}" / "b").write_bytes(files[1].read_bytes())
+        for w in (False, True):
+            with pytest.raises(Exception, match="ends inside|incorrect|invalid|not a WARC|length is"):
+                warc.read_archives(spark, str(tmp_path / f"cut{i}"), whole=w).count()
+    # another writer's members: other header bytes, many records in one archive
+    (tmp_path / "foreign").mkdir()
+    members = [gzip.compress(gzip.decompress(warc.MEMBER + m), 9) for m in data.split(warc.MEMBER)[1:]]
+    (tmp_path / "foreign" / "x.warc.gz").write_bytes(b"".join(members))
+    assert warc.read_archives(spark, str(tmp_path / "foreign"), whole=True).filter("verified").count() == 250
 
 
 # ---- vectors

@@ -1,9 +1,10 @@
 """URL rules by hashed host-suffix and path-prefix expressions.
 
 A rule is (host, path, verdict) and fits its host and all subdomains where the url's path starts
-with the rule's. Each distinct url is expanded to expressions host suffix + path prefix, prefixes
-ending after each '/', and each rule is filed under its host + path up to the last '/'. Both sides meet
-in an equi-join on the first 4 bytes of the SHA-256 digest; a hit counts only if the full digests are equal
+with the rule's. Each distinct host is expanded to its suffixes, which meet the rules' hosts in an equi-join on the
+first 4 bytes of the SHA-256 digest; the full digests decide. Urls of hosts that hit are expanded to host suffix + path
+prefix, prefixes ending after a '/', at the depths that the rules of that host have; each rule is filed under its host + path up to the last '/'.
+Both sides meet in the same way, and a hit counts only if the full digests are equal
 and the whole rule path starts the url's path. The longest rule wins; of equally long ones, the
 longer host, then ``block``. No list of hosts or rules is collected, and the size of either side is
 left to the join.
@@ -12,8 +13,8 @@ Host: after the first ``://`` up to '/', '?', '#' or the end, A-Z in lower case;
 '?', '#' or the end. Defined results: null urls and urls without ``://`` have empty host and path; no
 rule fits an empty host unless its own is empty; rules with null host or verdict are ignored, a null
 path is empty; repeated urls are judged once and each row keeps its result. Other columns are kept;
-host, path, rule and verdict replace columns of those names. Expressions grow with labels times
-path segments of a url.
+host, path, rule and verdict replace columns of those names. A host of n labels costs n suffixes; a path costs one prefix for each
+depth of the rules that its host meets, however long it is.
 """
 
 from __future__ import annotations
@@ -33,12 +34,14 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return host, F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
-def expressions(host: Column, path: Column) -> Column:
-    """All host suffixes, each with '' and every path prefix that ends after a '/'."""
-    labels, parts = F.split(host, r"\."), F.split(path, "/")
-    suffixes = F.transform(labels, lambda x, i: F.array_join(F.slice(labels, i + 1, F.size(labels)), "."))
-    cuts = F.transform(parts, lambda x, i: F.when(i == 0, F.lit("")).otherwise(F.concat(F.array_join(F.slice(parts, 1, i), "/"), F.lit("/"))))
-    return F.flatten(F.transform(suffixes, lambda s: F.transform(cuts, lambda c: F.concat(s, F.lit("\n"), c))))
+def suffixes(host: Column) -> Column:
+    """The host without its first 0, 1, ... labels."""
+    return F.transform(F.sequence(F.lit(1), F.size(F.split(host, r"\."))), lambda n: F.call_function("substring_index", host, F.lit("."), -n))
+
+
+def _digest(df: DataFrame, expression: Column, name: str) -> DataFrame:
+    """``df`` with the digest of an expression, and ``short``, the part of it that is joined on."""
+    return df.withColumn(name, F.unhex(F.sha2(expression, 256))).withColumn("short", F.substring(name, 1, 4))
 
 
 def judge(df: DataFrame, rules: DataFrame, default: str = "allow", url: str = "url") -> DataFrame:
@@ -47,16 +50,21 @@ def judge(df: DataFrame, rules: DataFrame, default: str = "allow", url: str = "u
     host, path = split_url(F.col("__url"))
     urls = (df.select(F.col(url).cast("string").alias("__url")).filter("__url is not null").distinct()
             .withColumn("host", host).withColumn("path", path))
-    asked = (urls.select("__url", "path", F.explode(expressions(F.col("host"), F.col("path"))).alias("e"))
-             .select("__url", F.col("path").alias("whole"), F.unhex(F.sha2("e", 256)).alias("digest"))
-             .withColumn("short", F.substring("digest", 1, 4)))
     rule_path = F.coalesce(F.col("path"), F.lit(""))
     filed = (rules.filter("host is not null and verdict is not null")
              .select(F.translate("host", UPPER, LOWER).alias("rule_host"), rule_path.alias("rule_path"), F.col("verdict").alias("found"))
              .distinct()
-             .withColumn("e", F.concat("rule_host", F.lit("\n"), F.regexp_extract("rule_path", r"^(?s)(.*/)?", 0)))
-             .select("rule_host", "rule_path", "found", F.unhex(F.sha2("e", 256)).alias("rule_digest"))
-             .withColumn("short", F.substring("rule_digest", 1, 4)))
+             .withColumn("front", F.regexp_extract("rule_path", r"^(?s)(.*/)?", 0)))
+    depth = F.length("front") - F.length(F.replace("front", F.lit("/"), F.lit("")))
+    places = _digest(filed.select("rule_host", depth.alias("depth")).distinct(), F.col("rule_host"), "rule_digest")
+    hosts = _digest(urls.select("host").distinct().withColumn("suffix", F.explode(suffixes(F.col("host")))), F.col("suffix"), "digest")
+    met = hosts.join(places, "short").filter(F.col("digest") == F.col("rule_digest")).select("host", "rule_host", "depth")
+    front = F.when(F.col("depth") > 0, F.concat(F.expr("substring_index(path, '/', depth)"), F.lit("/"))).otherwise("")
+    asked = urls.join(met, "host").withColumn("front", front).filter(F.col("path").startswith(F.col("front")))
+    asked = (_digest(asked, F.concat("rule_host", F.lit("\n"), "front"), "digest")
+             .select("__url", F.col("path").alias("whole"), "digest", "short"))
+    filed = (_digest(filed, F.concat("rule_host", F.lit("\n"), "front"), "rule_digest")
+             .select("rule_host", "rule_path", "found", "rule_digest", "short"))
     order = F.struct((F.length("rule_host") + F.length("rule_path")).alias("size"), F.length("rule_host").alias("of_host"),
                      (F.col("found") == "block").alias("blocks"), F.concat("rule_host", "rule_path").alias("rule"),
                      F.col("found").alias("verdict"))

@@ -1,26 +1,29 @@
 """WARC archives on shared storage: a Spark writer and a sequential reader.
 
-Each record is one gzip member. The writer is Spark's text sink: it adds a separator after each row,
+Each record is one gzip member, whatever its size. The writer is Spark's text sink: it adds a separator after each row,
 and a member's last byte is the highest byte of the little-endian length of its content, zero below
-16 MiB. So that byte is left out and the separator, a zero byte, puts it back; larger records
-are followed by an empty member, which ends in a zero byte too. The files are plain concatenated gzip,
+16 MiB. So that byte is left out and the separator puts it back; the few larger records go to archives of
+their own, one write for each value of that byte. The files are plain concatenated gzip,
 written under Spark's commit protocol, so a lost executor leaves no half archive.
 
 Records of equal payloads of at least ``min_revisit`` bytes: the one of the smallest id is a response, the others
 revisit it and carry only the HTTP head. The minimum is combined before the shuffle; payloads move once.
 
-``Reader`` takes chunks of any size, inflates them incrementally, frames records by Content-Length and
-verifies block and payload digests; its memory is one record.
+All members start with the same ten bytes, and archives are read as text separated by them: Spark cuts large
+archives between members, and a task goes through its members in order. ``Reader`` takes chunks of any size, inflates them
+incrementally, frames records by Content-Length and verifies block and payload digests; its memory is one record. (Those ten bytes inside a
+member are put back before the next chunk, so they do no harm.) Archives of other writers are read whole, up to 2 GB each, with ``whole=True``.
 
 Defined results: a null payload is empty; a null url has no target; a null id is written as
-``null``, is never referred to and reads back as null; repeated rows each have a record.
+``null``, is never referred to and reads back as null; repeated rows each have a record; an archive that ends inside
+a member, or holds anything but WARC records, raises.
 """
 
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,8 +33,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierwarden.llm.storage import stored
+
 NEW_LINE = b"\r\n"
-EMPTY_MEMBER = gzip.compress(b"", mtime=0)
+MEMBER = b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\xff"      # gzip, deflate, no flags, no time, no level, no system
 LIMIT = 1 << 24
 
 
@@ -48,7 +53,7 @@ class Record:
 
 
 def to_member(page_id: str, url: str | None, payload: bytes, digest: str, refers_to: str | None, date: str) -> bytes:
-    """The gzip member of a record, without its last byte, which is zero."""
+    """The gzip member of a record."""
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = head if refers_to is not None else head + payload
     lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <urn:page:{page_id}>",
@@ -60,30 +65,31 @@ def to_member(page_id: str, url: str | None, payload: bytes, digest: str, refers
                   f"WARC-Refers-To: <urn:page:{refers_to}>"]
     lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}", "", ""]
     record = "\r\n".join(lines).encode() + block + NEW_LINE * 2
-    member = gzip.compress(record, 6, mtime=0)
-    return (member if len(record) < LIMIT else member + EMPTY_MEMBER)[:-1]
+    deflated = zlib.compressobj(6, zlib.DEFLATED, -15)
+    body = deflated.compress(record) + deflated.flush()
+    return MEMBER + body + struct.pack("<II", zlib.crc32(record), len(record) & 0xFFFFFFFF)
 
 
 class Reader:
     """Records of one archive, from its bytes in order."""
 
     def __init__(self) -> None:
-        self.inflater = zlib.decompressobj(31)
-        self.text = bytearray()
+        self.inflater, self.text, self.begun = zlib.decompressobj(31), bytearray(), False
 
     def feed(self, chunk: bytes) -> Iterator[Record]:
         while chunk:
+            self.begun = True
             self.text += self.inflater.decompress(chunk)
             chunk = b""
             if self.inflater.eof:
                 chunk = self.inflater.unused_data
                 if self.text:      # an empty member holds no record
                     yield self._record(bytes(self.text))
-                self.inflater, self.text = zlib.decompressobj(31), bytearray()
+                self.inflater, self.text, self.begun = zlib.decompressobj(31), bytearray(), False
 
     def close(self) -> None:
-        if self.text:
-            raise ValueError("the archive ends inside a record")
+        if self.begun:
+            raise ValueError("the archive ends inside a member")
 
     @staticmethod
     def _record(data: bytes) -> Record:
@@ -111,34 +117,57 @@ def write_archives(df: DataFrame, path: str, page_id: str = "page_id", url: str
         return pd.Series([to_member(i, u, b, base64.b32encode(bytes.fromhex(d)).decode(), r, date)
                           for i, u, b, d, r in zip(ids, urls, bodies, digests, refers, strict=True)], dtype=object)
 
+    def write(members: DataFrame, last: int, mode: str) -> None:
+        # the separator is the last byte of every member
+        (members.select(F.expr("substring(member, 1, octet_length(member) - 1)").cast("string")).write.mode(mode)
+         .option("encoding", "ISO-8859-1").option("lineSep", chr(last)).option("compression", "none")
+         .option("maxRecordsPerFile", records_per_file).text(path))
+
     rows = df.select(F.col(page_id).cast("long").alias("id"), F.col(url).cast("string").alias("url"),
                      F.coalesce(F.col(payload).cast("string").cast("binary"), F.lit(b"")).alias("body")).withColumn("digest", F.sha1("body"))
     first = rows.groupBy("digest").agg(F.min("id").alias("first"))
     refers = F.when((F.octet_length("body") >= min_revisit) & F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first")),
                     F.col("first").cast("string"))
-    (rows.join(first, "digest")
-     .select(member(F.coalesce(F.col("id").cast("string"), F.lit("null")), "url", "body", "digest", refers).cast("string"))
-     .write.option("lineSep", "\0").option("compression", "none").option("maxRecordsPerFile", records_per_file).text(path))
-
-
-def read_archives(spark: SparkSession, path: str, payloads: bool = True, chunk: int = 1 << 16) -> DataFrame:
+    joined = rows.join(first, "digest").withColumn("refers", refers)
+    made = member(F.coalesce(F.col("id").cast("string"), F.lit("null")), "url", "body", "digest", "refers")
+    # headers are far below 4,096 bytes and a quoted url; the others are as long as they are
+    carried = F.when(F.col("refers").isNull(), F.octet_length("body")).otherwise(0)
+    surely = carried + 3 * F.coalesce(F.octet_length("url"), F.lit(0)) + 4096 < LIMIT
+    write(joined.filter(surely).select(made.alias("member")), 0, "error")
+    if rows.filter(F.octet_length("body") + 3 * F.coalesce(F.octet_length("url"), F.lit(0)) + 4096 >= LIMIT).isEmpty():
+        return
+    large = stored(joined.filter(~surely).select(made.alias("member")), "large-members")
+    last = F.conv(F.hex(F.expr("substring(member, octet_length(member), 1)")), 16, 10).cast("int")
+    for r in large.select(last.alias("last")).distinct().collect():      # at most 256 values
+        write(large.filter(last == r["last"]), r["last"], "append")
+
+
+def read_archives(spark: SparkSession, path: str, payloads: bool = True, chunk: int = 1 << 16, whole: bool = False) -> DataFrame:
     """page_id, url, record_type, refers_to, payload_bytes and payload_digest (of the full payload), verified, payload (null for revisits)."""
-    def each(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            for content in part["content"]:
-                reader, rows, held = Reader(), [], 0
-                for at in range(0, len(content), chunk):
-                    for r in reader.feed(content[at:at + chunk]):
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader, rows, held = Reader(), [], 0
+        for batch in batches:
+            for part in batch["content"]:
+                if whole or not len(part):      # an archive begins with the separator: an empty row
+                    reader.close()
+                data = part if whole or not len(part) else MEMBER + part
+                for at in range(0, len(data), chunk):
+                    for r in reader.feed(data[at:at + chunk]):
                         rows.append(_row(r, payloads))
                         held += len(r.payload) if payloads else 1
                         if len(rows) >= 2000 or held > 1 << 24:
                             yield pd.DataFrame(rows, columns=COLUMNS)
                             rows, held = [], 0
-                reader.close()
-                yield pd.DataFrame(rows, columns=COLUMNS)
+        reader.close()
+        yield pd.DataFrame(rows, columns=COLUMNS)
 
     # files in hidden folders of an unfinished write are not listed
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(
+    if whole:
+        members = spark.read.format("binaryFile").load(path).select("content")
+    else:
+        members = (spark.read.option("encoding", "ISO-8859-1").option("lineSep", MEMBER.decode("latin-1")).text(path)
+                   .select(F.col("value").cast("binary").alias("content")))
+    return members.mapInPandas(
         each, "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, "
               "verified boolean, payload binary")
 
