@@ -2,8 +2,8 @@
 
 A text is cut into pieces by the tokenizer's pattern. A token is written as one character (``char_of`` its
 rank), so a piece's byte array is a string of single-byte tokens, and characters compare as
-their ranks do. The rank file becomes one literal: an array of buckets (CRC-32 of two tokens), each a small
-map from a pair of tokens to the token they make. Each token has one such pair: the last two parts when its own
+their ranks do. The rank file becomes one literal: an array of buckets (CRC-32 of two tokens), each a string of
+entries: a mark, two tokens and the token they make. Each token has one such pair: the last two parts when its own
 bytes are merged. No other pair of the same bytes can ever stand side by side, since both its ends would have been bounds all along.
 
 The merges of a piece are a fold (``aggregate``). Its state is the string of parts and the string of
@@ -27,7 +27,6 @@ most n parts. Input columns are kept; ``ids`` replaces a column of that name.
 from __future__ import annotations
 
 import base64
-import json
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
@@ -44,10 +43,11 @@ from pyspark.sql import types as T
 from tierwarden.llm.storage import stored
 
 BUCKETS = 1 << 15
-WORDS = 3 << 18
+WORDS = 1 << 19
 LONG = 512         # bytes
 SHIFT = 256        # code points below are those of the bytes
 END = "\u0001"     # before the first and after the last part; no pair holds it
+MARK, LINE = "\u0002", "\u0003"      # before every entry of the literals, between buckets
 NONE = "\U0010ffff"    # what a pair without a token makes; greater than every token
 MOST = 0x10ffff - 0x800 - SHIFT
 
@@ -114,10 +114,6 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
-def _literal(value: object, kind: str) -> Column:
-    return F.from_json(F.lit(json.dumps(value, separators=(",", ":"), ensure_ascii=False)), kind)
-
-
 def _char(text: Column, at: Column) -> Column:
     return F.substring(text, at, F.lit(1))
 
@@ -127,16 +123,16 @@ class ByteBpe:
         if max(ranks.values()) >= MOST or any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError(f"ranks must lie below {MOST} and hold all single bytes")
         self.pattern = pattern
-        table: list[dict[str, str] | None] = [None] * BUCKETS
         joins = sorted(merges(ranks), key=lambda x: x[2])
+        self.in_order = all(max(left, right) < rank for left, right, rank in joins)
+        # a look-up that finds nothing ends at the third character
+        buckets = [END * 2 + NONE] * BUCKETS
         for left, right, rank in joins:
             two = char_of(left) + char_of(right)
-            bucket = zlib.crc32(two.encode()) % BUCKETS
-            table[bucket] = (table[bucket] or {}) | {two: char_of(rank)}
-        self.pairs = _literal(table, "array<map<string,string>>")
-        self.in_order = all(max(left, right) < rank for left, right, rank in joins)
+            buckets[zlib.crc32(two.encode()) % BUCKETS] += MARK + two + char_of(rank)
+        self.pairs = F.split(F.lit(LINE.join(buckets)), LINE)
         spelled = {rank: "".join(char_of(ranks[bytes([b])]) for b in token) for token, rank in ranks.items()}
-        self.joins = _literal([[spelled[rank], char_of(left) + char_of(right), char_of(rank)] for left, right, rank in joins], "array<array<string>>")
+        self.joins = LINE.join(MARK.join((spelled[rank], char_of(left) + char_of(right), char_of(rank))) for left, right, rank in joins)
         self.bytes = "".join(map(chr, range(256)))
         self.singles = "".join(char_of(ranks[bytes([b])]) for b in range(256))
         self.tokens = {rank: token for token, rank in ranks.items()}
@@ -148,7 +144,7 @@ class ByteBpe:
     @staticmethod
     def _made(pairs: Column, two: Column) -> Column:
         bucket = F.element_at(pairs, (F.crc32(two.cast("binary")) % BUCKETS).cast("int") + 1)
-        return F.coalesce(F.element_at(bucket, two), F.lit(NONE))
+        return F.substring(bucket, F.instr(bucket, F.concat(F.lit(MARK), two)) + 3, F.lit(1))
 
     def _step(self, pairs: Column, state: Column) -> Column:
         """Joins the leftmost pair of lowest rank; without such a pair, nothing is left to make."""
@@ -175,7 +171,9 @@ class ByteBpe:
                 lambda s: F.transform(F.split(F.substring(s["parts"], F.lit(2), F.length(s["parts"]) - 2), ""), _rank_of))
 
         def by_rank(chars: Column) -> Column:
-            held = F.filter(self.joins, lambda join: F.contains(chars, F.get(join, F.lit(0))))
+            # cut up only where a long piece is found: the literal is one string, not 50,000 arrays in every task
+            entries = F.split(F.concat(F.lit(self.joins), F.substring(chars, 1, 0)), LINE)
+            held = F.filter(F.transform(entries, lambda join: F.split(join, MARK)), lambda join: F.contains(chars, F.get(join, F.lit(0))))
             whole = F.aggregate(held, chars, lambda state, join: F.replace(state, F.get(join, F.lit(1)), F.get(join, F.lit(2))))
             return F.transform(F.split(whole, ""), _rank_of)
 
@@ -211,16 +209,20 @@ class ByteBpe:
         # a batch of the usual 10,000 texts is large for a Python worker, and nobody reads a plan that holds the literals
         batch = min(rows, int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")))
         with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(batch), "spark.sql.maxPlanStringLength": "10000"}):
-            table = self.word_table(df, text, words)
-            pieces = table["piece"].cast(pa.string()).combine_chunks()
-            bounds, flat = _list(table["ids"].cast(pa.list_(pa.int32())).combine_chunks())
-            known_pieces = spark.sparkContext.broadcast(pieces)
-            known_ids = spark.sparkContext.broadcast((bounds.astype(np.int32), flat.astype(np.uint16 if flat.max(initial=0) < 1 << 16 else np.int32)))
+            known_pieces, known_ids = self._shared(spark, self.word_table(df, text, words))
+            pa.default_memory_pool().release_unused()
             done = stored(self._encoded(df, text, keep, then, known_pieces, known_ids), "encoded")
         known_pieces.destroy()
         known_ids.destroy()
         return done
 
+    @staticmethod
+    def _shared(spark: SparkSession, table: pa.Table) -> tuple[Broadcast, Broadcast]:
+        """The pieces, and bounds and values of their ids, for all tasks; the driver keeps neither."""
+        bounds, flat = _list(table["ids"].cast(pa.list_(pa.int32())).combine_chunks())
+        ids = bounds.astype(np.int32), flat.astype(np.uint16 if flat.max(initial=0) < 1 << 16 else np.int32)
+        return spark.sparkContext.broadcast(table["piece"].cast(pa.string()).combine_chunks()), spark.sparkContext.broadcast(ids)
+
     def _encoded(self, df: DataFrame, text: str, keep: list[str] | None, then: tuple[Callable[[pa.RecordBatch], pa.RecordBatch], str] | None,
                  known_pieces: Broadcast, known_ids: Broadcast) -> DataFrame:
         names = [c for c in (df.columns if keep is None else keep) if c != "ids"]
