@@ -141,10 +141,10 @@ def table_tier(table: str, tiers: dict[str, str], overrides: dict[str, str] | No
 
 
 def records(df: DataFrame, table: str, tiers: dict[str, str] | None = None,
-            platform: str | None = None, run_ts=None, field_lists: bool = True) -> DataFrame:
-    """Record vertices of one entity: safe columns, tier, field lists, provenance."""
+            platform: str | None = None, run_ts=None, field_lists: bool = True, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Record vertices of one entity: safe columns, tier, field lists, provenance; ``extra`` columns of the entity beside them."""
     tiers = sheet_tiers(table) if tiers is None else tiers
-    out = minimise(df, table).withColumn("data_classification", F.lit(table_tier(table, tiers)))
+    out = minimise(df, table, extra).withColumn("data_classification", F.lit(table_tier(table, tiers)))
     if field_lists:
         wanted = {"CUSTOMERS": ("PII", "Restricted"), "EMPLOYEES": ("PII", "Restricted"),
                   "PRODUCTS": ("Public", "Restricted"), "FINANCIAL_TRANSACTIONS": ("Restricted",),
@@ -186,18 +186,21 @@ def made_transaction(transactions: DataFrame, customers: DataFrame) -> DataFrame
 
 # -- generic form ------------------------------------------------------------
 
+def property_text(field: T.StructField) -> Column:
+    """A property as text; nested values as JSON."""
+    nested = isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType))
+    return F.to_json(field.name) if nested else F.col(field.name).cast("string")
+
+
+def _props(schema: T.StructType) -> Column:
+    pairs = [c for f in schema.fields for c in (F.lit(f.name), property_text(f))]
+    return F.map_filter(F.create_map(*pairs), lambda k, v: v.isNotNull())
+
+
 def as_vertices(df: DataFrame, label: str, key: str | None = None) -> DataFrame:
     """Typed frame -> (id, labels, props); NULL properties are left out."""
     key = UNIQUE_KEYS.get(label, "name") if key is None else key
-
-    def text(field: T.StructField) -> Column:
-        nested = isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType))
-        return F.to_json(field.name) if nested else F.col(field.name).cast("string")
-
-    pairs = [c for f in df.schema.fields for c in (F.lit(f.name), text(f))]
-    props = F.map_filter(F.create_map(*pairs), lambda k, v: v.isNotNull())
-    return df.select(vertex_id(label, key).alias("id"), F.array(F.lit(label)).alias("labels"),
-                     props.alias("props"))
+    return df.select(vertex_id(label, key).alias("id"), F.array(F.lit(label)).alias("labels"), _props(df.schema).alias("props"))
 
 
 def from_vertices(vertices: DataFrame, label: str, schema: T.StructType) -> DataFrame:
@@ -249,6 +252,89 @@ def build_graph(spark: SparkSession, catalog: DataFrame, entities: dict[str, Dat
     return Graph(typed, union_all(edges))
 
 
+# -- one pass over each source ------------------------------------------------
+
+def _vertex(schema: T.StructType, label: str, properties: bool, key: str | None = None) -> Column:
+    none = F.lit(None).cast("string")
+    return F.struct(vertex_id(label, UNIQUE_KEYS.get(label, "name") if key is None else key).alias("id"), F.array(F.lit(label)).alias("labels"),
+                    none.alias("src"), none.alias("dst"), none.alias("type"), (_props(schema) if properties else _no_props()).alias("props"))
+
+
+def _edge(src: Column, dst: Column, kind: str, exists: Column | None = None) -> Column:
+    row = F.struct(F.lit(None).cast("string").alias("id"), F.lit(None).cast("array<string>").alias("labels"), src.alias("src"), dst.alias("dst"),
+                   F.lit(kind).alias("type"), _no_props().alias("props"))
+    return row if exists is None else F.when(exists, row)
+
+
+def emitted(df: DataFrame, *rows: Column) -> DataFrame:
+    """The graph rows that every row of ``df`` gives: its vertex and its edges."""
+    return df.select(F.explode(F.array_compact(F.array(*rows))).alias("_row")).select("_row.*")
+
+
+def graph_rows(spark: SparkSession, catalog: DataFrame, entities: dict[str, DataFrame],
+               policy_refs: DataFrame, run_ts, platform: str = "warehouse",
+               database: str = DATABASE, schema: str = SCHEMA,
+               can_access: DataFrame | None = None, inherits: DataFrame | None = None,
+               tiers: dict[str, dict[str, str]] | None = None, properties: bool = True) -> DataFrame:
+    """The graph of ``build_graph`` as one frame (id, labels, src, dst, type, props): vertices have no type, edges no id.
+
+    A source row gives its vertex and its edges in one pass, so every fact is read once. ``properties=False`` leaves the
+    property maps empty, for questions about the graph's shape.
+    """
+    tier_rows = tiers_df(spark)
+    known = tier_rows.select(F.col("name").alias("_tier"))
+
+    def with_tier(df: DataFrame) -> DataFrame:
+        return df.join(known, df["data_classification"] == F.col("_tier"), "left")
+
+    def vertices_of(df: DataFrame, label: str) -> DataFrame:
+        return emitted(df, _vertex(df.schema, label, properties))
+
+    config = local_df(spark, [("DEFAULT", "role -> CAN_ACCESS -> Classification <- HAS_CLASSIFICATION <- record", "1.0")],
+                      "name string, check_pattern string, version string").withColumn("created_at", F.lit(run_ts))
+    policies = policies_df(spark)
+    fixed = [vertices_of(databases_frame(spark, platform, run_ts, database), "Database"), vertices_of(schemas_frame(spark, database, schema), "Schema"),
+             vertices_of(tier_rows, "Classification"), vertices_of(roles_df(spark), "Role"), vertices_of(config, "AccessControlConfig"),
+             vertices_of(policies.withColumn("source_platform", F.lit(platform)), "Policy")]
+
+    columns = columns_frame(catalog, run_ts, database, schema)
+    tables = tables_frame(catalog, run_ts, platform, database, schema)
+    schema_id, table_id, column_id = F.lit(f"Schema:{database}.{schema}"), vertex_id("Table", "fqn"), vertex_id("Column", "fqn")
+    above = vertex_id("Table", table_fqn("table_name", database, schema))
+    tier_id = vertex_id("Classification", "data_classification")
+    out = [*fixed,
+           emitted(tables, _vertex(tables.schema, "Table", properties), _edge(schema_id, table_id, "CONTAINS_TABLE")),
+           emitted(with_tier(columns), _vertex(columns.schema, "Column", properties), _edge(above, column_id, "HAS_COLUMN"),
+                   _edge(column_id, tier_id, "CLASSIFIED_AS", F.col("_tier").isNotNull() & (F.col("data_classification") != UNCLASSIFIED)))]
+    for table, df in entities.items():
+        label, key = LABEL_OF[table.upper()], KEY_OF[table.upper()]
+        recs = records(df, table, (tiers or {}).get(table.upper()), platform, run_ts)
+        shape, own = recs.schema, vertex_id(label, key)
+        rows = [_vertex(shape, label, properties, key), _edge(own, tier_id, "HAS_CLASSIFICATION", F.col("_tier").isNotNull())]
+        if table.upper() == "EMPLOYEES":
+            # one manager may have a third of all employees: adaptive execution splits that key
+            managers = df.select(F.col("employee_id").alias("_manager")).distinct()
+            recs = records(df, table, (tiers or {}).get(table.upper()), platform, run_ts, extra=("manager_id",)).join(
+                managers, F.col("manager_id") == F.col("_manager"), "left")
+            rows.append(_edge(own, vertex_id("Employee", "_manager"), "REPORTS_TO", F.col("_manager").isNotNull()))
+        if table.upper() == "FINANCIAL_TRANSACTIONS" and "CUSTOMERS" in entities:
+            customers = entities["CUSTOMERS"].select(F.col("customer_id").alias("_customer")).distinct()
+            recs = recs.join(customers, F.col("customer_id") == F.col("_customer"), "left")
+            rows.append(_edge(vertex_id("Customer", "_customer"), own, "MADE_TRANSACTION", F.col("_customer").isNotNull()))
+        out.append(emitted(with_tier(recs), *rows))
+    edges = [catalog_edges(spark, catalog.limit(0), database, schema).where(F.col("type") == "CONTAINS_SCHEMA"),
+             role_edges(can_access_df(spark) if can_access is None else can_access, inherits_df(spark) if inherits is None else inherits),
+             masks(policy_refs, columns, policies)]
+    out += [emitted(e, F.struct(F.lit(None).cast("string").alias("id"), F.lit(None).cast("array<string>").alias("labels"), "src", "dst", "type", "props"))
+            for e in edges]
+    return union_all(out)
+
+
+def split_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(vertices, edges) of graph rows."""
+    return rows.where("type is null").select("id", "labels", "props"), rows.where("type is not null").select("src", "dst", "type", "props")
+
+
 # -- merge and summary -------------------------------------------------------
 
 def merge_vertices(existing: DataFrame, incoming: DataFrame, create_only: tuple[str, ...] = (),
@@ -363,5 +449,18 @@ def graph_summary(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     return rows.groupBy("kind", "name").agg(F.sum("n").alias("n"))
 
 
+def row_summary(rows: DataFrame) -> DataFrame:
+    """``graph_summary`` of graph rows, in one pass."""
+    def entry(kind: str, name: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), name.alias("name"))
+
+    counted = rows.groupBy("labels", "type").agg(F.count(F.lit(1)).alias("n"))
+    names = F.when(F.col("type").isNull(), F.array_append(F.transform("labels", lambda x: entry("label", x)), entry("total", F.lit("vertices")))) \
+             .otherwise(F.array(entry("type", F.col("type")), entry("total", F.lit("edges"))))
+    none = local_df(rows.sparkSession, [("total", "vertices", 0), ("total", "edges", 0)], "kind string, name string, n long")
+    every = counted.select(F.explode(names).alias("e"), "n").select("e.kind", "e.name", "n").unionByName(none)
+    return every.groupBy("kind", "name").agg(F.sum("n").alias("n"))
+
+
 def empty_edges(spark: SparkSession) -> DataFrame:
     return local_df(spark, [], EDGE_SCHEMA)

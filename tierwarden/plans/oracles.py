@@ -19,6 +19,12 @@ ROLE_TIERS = {
     "DATA_ANALYST": ["Public", "Internal"],
     "PUBLIC_USER": ["Public"],
 }
+INHERITS = [("DATA_GOVERNANCE_ADMIN", "DATA_ENGINEER"),
+            ("DATA_ENGINEER", "DATA_ANALYST"),
+            ("DATA_ANALYST", "HR_MANAGER"),
+            ("DATA_ANALYST", "FINANCE_ANALYST"),
+            ("DATA_ANALYST", "SECURITY_AUDITOR"),
+            ("DATA_ANALYST", "PUBLIC_USER")]
 MASKS = ["ACCOUNT_MASKING_POLICY", "AMOUNT_MASKING_POLICY", "EMAIL_MASKING_POLICY", "IP_MASKING_POLICY",
          "SALARY_MASKING_POLICY", "SSN_MASKING_POLICY"]
 FIELD_LISTS = {
@@ -378,6 +384,78 @@ SQL["a10_entity_csvs"] = _with(" UNION ALL ".join(
                           ("Product", "product_id", "products"), ("Transaction", "transaction_id", "financial_transactions"),
                           ("AuditLog", "log_id", "audit_logs")]),
     "customers", "employees", "products", "transactions", "audit_logs")
+_TYPED = [("Customer", "customer_id", "customers"), ("Employee", "employee_id", "employees"), ("Product", "product_id", "products"),
+          ("Transaction", "transaction_id", "financial_transactions"), ("AuditLog", "log_id", "audit_logs")]
+
+
+def _header(columns: str) -> str:
+    return ",".join(["id", *sorted(c.rpartition(" AS ")[2].strip() for c in columns.split(","))])
+
+
+_COLUMN_PROPS = (f"{FQN}||table_name||'.'||column_name AS fqn, column_name AS name, table_name, data_type, is_nullable, ordinal_position, "
+                 + ", ".join(TAG_FIELDS) + ", 'true' AS tagged, '2024-07-01 00:00:00' AS ingested_at")
+_TABLE_PROPS = (f"{FQN}||table_name AS fqn, table_name AS name, '{SCHEMA}' AS schema_name, '{DATABASE}' AS database_name, "
+                "'warehouse' AS source_platform, '2024-07-01 00:00:00' AS ingested_at")
+_SCHEMA_PROPS = f"'{DATABASE}.{SCHEMA}' AS fqn, '{SCHEMA}' AS name, '{DATABASE}' AS database_name"
+_DATABASE_PROPS = (f"'{DATABASE}' AS fqn, '{DATABASE}' AS name, 'warehouse' AS platform, 'Production' AS environment, "
+                   "'2024-07-01 00:00:00' AS created_at")
+_NAMED = {"Classification": (list(RANKS), "access_roles,color,description,name,requires_encryption,sensitivity_rank"),
+          "Role": (ROLE_NAMES, "can_manage_policies,description,hierarchy_level,name"),
+          "Policy": (MASKS + RULES, "applies_to,description,name,source_platform,type"),
+          "AccessControlConfig": (["DEFAULT"], "check_pattern,created_at,name,version")}
+SQL["a10_graph_csvs"] = _with(" UNION ALL ".join(
+    [f"SELECT '{label}' AS label, '{label}:'||{key} AS id, '{_header(_KEPT[t])}' AS header, {_properties(_KEPT[t])} AS properties FROM {_source(t)}"
+     for label, key, t in _TYPED]
+    + [f"SELECT '{label}', '{label}:'||{key}, '{_header(p)}', {_properties(p)} FROM {t}" for label, key, p, t in [
+        ("Column", f"{FQN}||table_name||'.'||column_name", _COLUMN_PROPS,
+         "(SELECT * REPLACE (" + ", ".join(f"nullif({f},'') AS {f}" for f in TAG_FIELDS) + ") FROM catalog)"),      # Spark reads empty text of a CSV as NULL
+        ("Table", f"{FQN}||table_name", _TABLE_PROPS, "(SELECT DISTINCT table_name FROM catalog)"),
+        ("Schema", f"'{DATABASE}.{SCHEMA}'", _SCHEMA_PROPS, "(SELECT 1)"), ("Database", f"'{DATABASE}'", _DATABASE_PROPS, "(SELECT 1)")]]
+    + [f"SELECT '{label}', '{label}:'||unnest({names}), 'id,{header}', CAST(NULL AS VARCHAR)" for label, (names, header) in _NAMED.items()]),
+    "customers", "employees", "products", "transactions", "audit_logs", "catalog")
+_VERTEX_IDS = " UNION ALL ".join(
+    [f"SELECT '{label}:'||{key} AS id, '{label}' AS labels, {{none}} FROM {_source(t)}" for label, key, t in _TYPED]
+    + [f"SELECT {COLUMN_ID}, 'Column', data_classification, data_owner, CAST(ordinal_position AS VARCHAR) FROM catalog",
+       f"SELECT DISTINCT {TABLE_ID}, 'Table', {{none}} FROM catalog",
+       f"SELECT 'Schema:{DATABASE}.{SCHEMA}', 'Schema', {{none}}", f"SELECT 'Database:{DATABASE}', 'Database', {{none}}"]
+    + [f"SELECT '{label}:'||unnest({names}), '{label}', {{none}}" for label, (names, _) in _NAMED.items()])
+_NONE = ("CAST(NULL AS VARCHAR) AS data_classification, CAST(NULL AS VARCHAR) AS data_owner, CAST(NULL AS VARCHAR) AS ordinal_position")
+SQL["a12_round_trip_vertices"] = _with(_VERTEX_IDS.format(none=_NONE), "customers", "employees", "products", "transactions", "audit_logs", "catalog")
+_TIER_OF = {"Customer": "Restricted", "Employee": "Restricted", "Product": "Restricted", "Transaction": "Restricted", "AuditLog": "Internal"}
+SQL["a12_round_trip_edges"] = _with("SELECT src, dst, type, 0 AS n_props FROM (" + " UNION ALL ".join(
+    [f"SELECT '{label}:'||{key} AS src, 'Classification:{_TIER_OF[label]}' AS dst, 'HAS_CLASSIFICATION' AS type FROM {_source(t)}" for label, key, t in _TYPED]
+    + [f"SELECT {TABLE_ID}, {COLUMN_ID}, 'HAS_COLUMN' FROM catalog",
+       f"SELECT DISTINCT 'Schema:{DATABASE}.{SCHEMA}', {TABLE_ID}, 'CONTAINS_TABLE' FROM catalog",
+       f"SELECT 'Database:{DATABASE}', 'Schema:{DATABASE}.{SCHEMA}', 'CONTAINS_SCHEMA'",
+       f"SELECT {COLUMN_ID}, 'Classification:'||data_classification, 'CLASSIFIED_AS' FROM catalog WHERE data_classification IN {TIER_IN}",
+       f"SELECT 'Policy:'||policy_name, {COLUMN_ID}, 'MASKS' FROM policy_refs JOIN catalog USING (table_name, column_name) WHERE policy_kind='MASKING_POLICY'",
+       "SELECT 'Employee:'||e.employee_id, 'Employee:'||m.employee_id, 'REPORTS_TO' FROM employees e JOIN employees m ON e.manager_id=m.employee_id",
+       "SELECT 'Customer:'||c_custkey, 'Transaction:'||transaction_id, 'MADE_TRANSACTION' FROM transactions JOIN customer ON customer_id=c_custkey"]
+    + [f"SELECT 'Role:{r}', 'Classification:{t}', 'CAN_ACCESS'" for r, ts in ROLE_TIERS.items() for t in ts]
+    + [f"SELECT 'Role:{a}', 'Role:{b}', 'INHERITS_FROM'" for a, b in INHERITS]) + ")",
+    "customers", "employees", "products", "transactions", "audit_logs", "catalog", "policy_refs")
+
+# customers k and k + 1 are one where an order of k in 61 gives both; r holds the least reachable id of every customer
+_IDENTITY = """WITH RECURSIVE l AS (
+  SELECT DISTINCT o_custkey AS a, o_custkey+1 AS b FROM orders WHERE o_orderkey%61=0 AND EXISTS (SELECT 1 FROM customer WHERE c_custkey=o_custkey)
+    AND EXISTS (SELECT 1 FROM customer WHERE c_custkey=o_custkey+1)),
+reach(a, b) AS (SELECT c_custkey, c_custkey FROM customer
+  UNION SELECT reach.a, x.t FROM reach JOIN (SELECT a AS f, b AS t FROM l UNION ALL SELECT b, a FROM l) x ON reach.b=x.f),
+r AS (SELECT a AS k, min('Customer:'||b) AS id FROM reach GROUP BY a),
+said AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey%61=0 OR o_orderkey%3=0 THEN CAST(o_custkey AS VARCHAR) END AS customer_id,
+  CASE WHEN o_orderkey%61=0 THEN 'c'||(o_custkey+1)||'@mail' WHEN o_orderkey%3=1 THEN 'c'||o_custkey||'@mail' END AS email,
+  CASE WHEN o_orderkey%61<>0 AND o_orderkey%3=2 THEN '+'||lpad(CAST(o_custkey AS VARCHAR),12,'0') END AS phone,
+  lpad(CAST(o_orderkey AS VARCHAR),12,'0') AS contact FROM orders)
+"""
+SQL["j12_resolved_vertices"] = _IDENTITY + """, n AS (SELECT r.id, max(customer_id) AS customer_id, max(email) AS email, max(phone) AS phone, max(contact) AS contact
+  FROM said JOIN r ON r.k=o_custkey GROUP BY r.id)
+SELECT s.id, CASE WHEN n.id IS NULL THEN 'Customer' ELSE 'Customer,Contact' END AS labels, coalesce(n.customer_id, CAST(c_custkey AS VARCHAR)) AS customer_id,
+  coalesce(n.email, 'c'||c_custkey||'@mail') AS email, coalesce(n.phone, '+'||lpad(CAST(c_custkey AS VARCHAR),12,'0')) AS phone,
+  c_mktsegment AS segment, n.contact
+FROM (SELECT DISTINCT id FROM r) s JOIN customer ON s.id='Customer:'||c_custkey LEFT JOIN n ON n.id=s.id"""
+SQL["j12_resolved_edges"] = _IDENTITY + """
+SELECT DISTINCT r.id AS src, 'Nation:'||c_nationkey AS dst, 'LIVES_IN' AS type FROM customer JOIN r ON r.k=c_custkey
+UNION ALL SELECT r.id, 'order:'||o_orderkey, 'PLACED' FROM orders JOIN r ON r.k=o_custkey"""
 SQL["a11_snapshot_summary"] = f"SELECT rpad(kind||' '||name, 40, ' ')||CAST(n AS VARCHAR) AS line FROM ({_SUMMARY})"
 SQL["b06_normalised_refs"] = _with(
     "SELECT upper(table_name) AS table_name, upper(column_name) AS column_name, upper(tag_name) AS tag_name, tag_value FROM assigned",

@@ -60,10 +60,11 @@ def row_tier_records(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
             for t, df in Entities(spark, sf).all().items()}
 
 
-def whole_graph(spark: SparkSession, sf: str) -> G.Graph:
+def whole_graph(spark: SparkSession, sf: str, properties: bool = True) -> DataFrame:
+    """The rows of the whole governance graph."""
     e, s = Entities(spark, sf), Estate(spark, sf)
     catalog = write_through(s.catalog, scratch_path(spark, "catalog"))
-    return G.build_graph(spark, catalog, e.all(), s.policy_refs, RUN_TS)
+    return G.graph_rows(spark, catalog, e.all(), s.policy_refs, RUN_TS, properties=properties)
 
 
 KEYS = {LABEL_OF[t]: k for t, k in KEY_OF.items()}
@@ -122,19 +123,112 @@ def _(spark, sf):
 @query("a11_snapshot_summary")
 def _(spark, sf):
     """The summary text written beside a snapshot, read back line by line."""
-    g = whole_graph(spark, sf)
     path = scratch_path(spark, "summary")
-    S.export_summary(g.vertices, g.edges, path)
+    S.write_summary(G.row_summary(whole_graph(spark, sf, properties=False)), path)
     return spark.read.text(f"{path}/summary").select(F.col("value").alias("line"))
 
 
+def _round_trip(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The whole graph stored, exported as JSON Lines, and imported again."""
+    path = scratch_path(spark, "snapshot")
+    S.export_snapshot(*S.store_rows(whole_graph(spark, sf), f"{path}/graph"), path)
+    return S.import_snapshot(spark, path)
+
+
+@query("a12_round_trip_edges")
+def _(spark, sf):
+    """The edges that come back, row by row."""
+    return _round_trip(spark, sf)[1].select("src", "dst", "type", F.size("props").alias("n_props"))
+
+
+@query("a12_round_trip_vertices")
+def _(spark, sf):
+    """The vertices that come back, row by row, with their catalog properties."""
+    props = F.col("props")
+    return _round_trip(spark, sf)[0].select("id", F.array_join("labels", ",").alias("labels"), *[
+        F.when(F.array_contains("labels", "Column"), props[f]).alias(f) for f in ("data_classification", "data_owner", "ordinal_position")])
+
+
+@query("a10_graph_csvs")
+def _(spark, sf):
+    """All thirteen labels of the graph as CSV from one job, read back: header, id and, for catalog labels and records, all values."""
+    e, s = Entities(spark, sf), Estate(spark, sf)
+    catalog = write_through(s.catalog, scratch_path(spark, "catalog"))
+    typed = G.build_graph(spark, catalog, {}, s.policy_refs, RUN_TS).typed | {
+        LABEL_OF[t]: minimise(df, t) for t, df in e.all().items()}
+    path, frames = scratch_path(spark, "csv"), []
+    for label, columns in S.export_graph_csv(typed, path).items():
+        schema = ", ".join(f"`{c}` string" for c in columns)
+        back = (spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("recursiveFileLookup", True)
+                .csv(f"{path}/label={label}"))
+        values = F.concat_ws("|", *[F.concat(F.lit(f"{c}="), F.col(c)) for c in columns if c != "id"])
+        shown = label in ("Column", "Table", "Schema", "Database", *LABEL_OF.values())
+        frames.append(back.select(F.lit(label).alias("label"), "id", F.lit(",".join(columns)).alias("header"),
+                                  (values if shown else F.lit(None).cast("string")).alias("properties")))
+    return C.union_all(frames)
+
+
+def _contacts(spark: SparkSession, sf: str) -> tuple[tuple[DataFrame, DataFrame], str]:
+    """A stored graph of customers, and the snapshot of another one that names them by one of three business keys.
+
+    One order in 61 gives the number of its customer and the mail of the next one, so that the two turn out to be the same.
+    """
+    raw = Estate(spark, sf).raw
+    c, o, k = raw("customer"), raw("orders"), F.col("o_custkey")
+
+    def text(x):
+        return x.cast("string")
+
+    def mail(x):
+        return F.concat(F.lit("c"), text(x), F.lit("@mail"))
+
+    def phone(x):
+        return F.concat(F.lit("+"), F.lpad(text(x), 12, "0"))
+
+    own = F.col("c_custkey")
+    stored = c.select(F.concat(F.lit("Customer:"), text(own)).alias("id"), F.array(F.lit("Customer")).alias("labels"),
+                      F.create_map(F.lit("customer_id"), text(own), F.lit("email"), mail(own), F.lit("phone"), phone(own),
+                                   F.lit("segment"), F.col("c_mktsegment")).alias("props"))
+    edges = c.select(F.concat(F.lit("Customer:"), text(own)).alias("src"), F.concat(F.lit("Nation:"), text(F.col("c_nationkey"))).alias("dst"),
+                     F.lit("LIVES_IN").alias("type"), F.create_map().cast("map<string,string>").alias("props"))
+    n, both = F.col("o_orderkey"), F.col("o_orderkey") % 61 == 0
+    props = F.map_filter(F.create_map(
+        F.lit("customer_id"), F.when(both | (n % 3 == 0), text(k)), F.lit("email"), F.when(both, mail(k + 1)).when(n % 3 == 1, mail(k)),
+        F.lit("phone"), F.when(~both & (n % 3 == 2), phone(k)), F.lit("contact"), F.lpad(text(n), 12, "0")), lambda _, v: v.isNotNull())
+    there = o.select(F.concat(F.lit("crm:"), text(n)).alias("id"), F.array(F.lit("Customer"), F.lit("Contact")).alias("labels"), props.alias("props"))
+    orders = o.select(F.concat(F.lit("order:"), text(n)).alias("id"), F.array(F.lit("Order")).alias("labels"),
+                      F.create_map(F.lit("status"), F.col("o_orderstatus")).alias("props"))
+    placed = o.select(F.concat(F.lit("crm:"), text(n)).alias("src"), F.concat(F.lit("order:"), text(n)).alias("dst"), F.lit("PLACED").alias("type"),
+                      F.create_map().cast("map<string,string>").alias("props"))
+    path = scratch_path(spark, "contacts")
+    S.export_snapshot(there.unionByName(orders), placed, path)
+    return (stored, edges), path
+
+
+IDENTITY = {"Customer": ["customer_id", "email", ("phone",)]}
+
+
+@query("j12_resolved_vertices")
+def _(spark, sf):
+    """A snapshot of another graph imported by business keys: the customers that are left, and their values."""
+    existing, path = _contacts(spark, sf)
+    vertices, _ = S.import_snapshot(spark, path, existing, keys=IDENTITY)
+    return vertices.where(F.array_contains("labels", "Customer")).select(
+        "id", F.array_join("labels", ",").alias("labels"),
+        *[F.col("props")[p].alias(p) for p in ("customer_id", "email", "phone", "segment", "contact")])
+
+
+@query("j12_resolved_edges")
+def _(spark, sf):
+    """The edges of both graphs at the surviving customers."""
+    existing, path = _contacts(spark, sf)
+    return S.import_snapshot(spark, path, existing, keys=IDENTITY)[1].select("src", "dst", "type")
+
+
 @query("a12_snapshot_round_trip")
 def _(spark, sf):
     """Whole graph stored, exported as JSON Lines, imported again, and counted."""
-    g = whole_graph(spark, sf)
-    path = scratch_path(spark, "snapshot")
-    S.export_snapshot(*S.replace_graph(g.vertices, g.edges, f"{path}/graph"), path)
-    return G.graph_summary(*S.import_snapshot(spark, path))
+    return G.graph_summary(*_round_trip(spark, sf))
 
 
 @query("a12_snapshot_typed")
@@ -466,8 +560,7 @@ def _statements(s: Estate) -> DataFrame:
 
 @query("k11_graph_summary")
 def _(spark, sf):
-    g = whole_graph(spark, sf)
-    return G.graph_summary(g.vertices, g.edges)
+    return G.row_summary(whole_graph(spark, sf, properties=False))
 
 
 @query("k01_catalog_edges")

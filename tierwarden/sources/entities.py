@@ -207,12 +207,12 @@ class Entities:
         return {name: self.table(name) for name in LABEL_OF}
 
 
-def minimise(df: DataFrame, table: str) -> DataFrame:
+def minimise(df: DataFrame, table: str, extra: tuple[str, ...] = ()) -> DataFrame:
     """The data-minimising projection of an entity: its safe subset of columns.
 
     The employee's active flag and the audit record's renamed tier are derived
     first.  A column the source lacks takes its default, else NULL; a NULL boolean
-    becomes false.
+    becomes false. ``extra`` columns are kept as they are.
     """
     name = table.upper()
     if name == "EMPLOYEES" and "termination_date" in df.columns:
@@ -227,7 +227,7 @@ def minimise(df: DataFrame, table: str) -> DataFrame:
             return (F.lit(None).cast("string") if value is None else F.lit(value)).alias(column)
         return or_false(column).alias(column) if have[column] == "boolean" else F.col(column)
 
-    return df.select([kept(c) for c in KEPT_COLUMNS[name]])
+    return df.select([kept(c) for c in KEPT_COLUMNS[name]] + [F.col(c) for c in extra])
 
 
 def with_provenance(df: DataFrame, table: str, platform: str, run_ts) -> DataFrame:

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierwarden.model import EDGE_SCHEMA, PROPS, VERTEX_SCHEMA
+from tierwarden.model import EDGE_SCHEMA, PROPS, UNIQUE_KEYS, VERTEX_SCHEMA
+from tierwarden.operators.catalog import grouped, union_all
 from tierwarden.operators.durable import scratch_path, write_through
 from tierwarden.operators.graph import (
-    as_vertices, distinct_edges, distinct_vertices, graph_summary, merge_edges, merge_vertices,
+    EDGE_KEY, as_vertices, distinct_edges, distinct_vertices, graph_summary, merge_edges, merge_vertices, property_text, split_rows, vertex_id,
 )
+from tierwarden.operators.identity import Keys, merged_vertices, moved_edges, survivors
 
 NODE_FILE = T.StructType([T.StructField("id", T.StringType()),
                           T.StructField("labels", T.ArrayType(T.StringType())),
@@ -45,20 +47,21 @@ def snapshot_edges(vertices: DataFrame, edges: DataFrame) -> DataFrame:
                         F.col("_dst").alias("to_labels"), F.col("props").alias("properties"))
 
 
-def export_snapshot(vertices: DataFrame, edges: DataFrame, path: str) -> None:
-    """Write nodes by label and edges by type as JSON Lines, each in id order.
+def _in_ranges(df: DataFrame, part: str) -> DataFrame:
+    """Rows dealt by ``part`` and a hash of their id, in id order inside every file.
 
-    Range partitioning on (label, id) cuts a label holding most of the graph
-    into many tasks and files; the files together are in order.  The split points
-    are sampled in a pass of their own, so hand in a stored graph
-    (``replace_graph``), not one still to be computed.
+    A label that holds most of the graph is spread over all ranges, and no pass over the data looks for split points.
     """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(F.col(part), F.pmod(F.xxhash64("id"), F.lit(ranges))).sortWithinPartitions(part, "id")
+
+
+def export_snapshot(vertices: DataFrame, edges: DataFrame, path: str) -> None:
+    """Write nodes by label and edges by type as JSON Lines; every file is in id order."""
     nodes = snapshot_nodes(vertices).withColumn("label", F.element_at("labels", 1))
-    (nodes.repartitionByRange("label", "id").sortWithinPartitions("label", "id")
-     .write.mode("overwrite").partitionBy("label").json(f"{path}/nodes"))
+    _in_ranges(nodes, "label").write.mode("overwrite").partitionBy("label").json(f"{path}/nodes")
     links = snapshot_edges(vertices, edges).withColumn("edge_type", F.col("type"))
-    (links.repartitionByRange("edge_type", "id").sortWithinPartitions("edge_type", "id")
-     .write.mode("overwrite").partitionBy("edge_type").json(f"{path}/relationships"))
+    _in_ranges(links, "edge_type").write.mode("overwrite").partitionBy("edge_type").json(f"{path}/relationships")
 
 
 def property_keys(vertices: DataFrame) -> dict[str, list[str]]:
@@ -100,9 +103,35 @@ def export_typed_csv(typed: dict[str, DataFrame], path: str) -> dict[str, list[s
     return columns
 
 
+def export_graph_csv(typed: dict[str, DataFrame], path: str, ranges: int | None = None) -> dict[str, list[str]]:
+    """CSV of all labels from one job: ``path/label=.../range=...``, each file with its label's header and in id order.
+
+    Columns come from the frames' schemas. Rows are dealt by label and a hash of the id, so a label that holds most
+    of the graph is written by many tasks; a label without rows has no file. Returns the columns of each label.
+    """
+    columns, lines = {}, []
+    for label, df in typed.items():
+        names = sorted(c for c in df.columns if c != "id")
+        flat = df.select(vertex_id(label, UNIQUE_KEYS.get(label, "name")).alias("id"), *[property_text(df.schema[c]).alias(c) for c in names])
+        columns[label] = flat.columns
+        head = F.to_csv(F.struct(*[F.lit(c).alias(c) for c in flat.columns]))
+        lines.append(flat.select(F.lit(label).alias("label"), "id", head.alias("head"), F.to_csv(F.struct(*flat.columns)).alias("line")))
+    rows = union_all(lines)
+    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) if ranges is None else ranges
+    rows = rows.withColumn("range", F.pmod(F.xxhash64("id"), F.lit(ranges)).cast("int"))
+    first = F.row_number().over(Window.partitionBy("label", "range").orderBy("id")) == 1
+    (rows.select("label", "range", F.when(first, F.concat("head", F.lit("\n"), "line")).otherwise(F.col("line")).alias("value"))
+     .write.mode("overwrite").partitionBy("label", "range").text(path))
+    return columns
+
+
 def export_summary(vertices: DataFrame, edges: DataFrame, path: str) -> DataFrame:
     """Counts per label and type as text lines; returns the counts."""
-    counts = graph_summary(vertices, edges)
+    return write_summary(graph_summary(vertices, edges), path)
+
+
+def write_summary(counts: DataFrame, path: str) -> DataFrame:
+    """Counts (kind, name, n) as text lines; returns the counts."""
     line = F.concat(F.rpad(F.concat_ws(" ", "kind", "name"), 40, " "), F.col("n").cast("string"))
     (counts.orderBy("kind", F.col("n").desc(), "name").select(line.alias("value"))
      .write.mode("overwrite").text(f"{path}/summary"))
@@ -137,43 +166,31 @@ def keep_connected(edges: DataFrame, ids: DataFrame) -> DataFrame:
 
 def import_snapshot(spark: SparkSession, path: str,
                     existing: tuple[DataFrame, DataFrame] | None = None,
-                    wipe: bool = False, keys: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+                    wipe: bool = False, keys: Keys | None = None) -> tuple[DataFrame, DataFrame]:
     """Snapshot merged into ``existing`` (vertices, edges); ``wipe`` starts from nothing.
 
-    Repeated ids of the snapshot are folded into one vertex first.  With ``keys``
-    (label -> property) a vertex is the same as an existing one of that label and
-    value, whatever its id; its edges move to the existing id.  Extra labels are added,
-    and an edge with an end outside the snapshot is left out.
+    Repeated ids of the snapshot are folded into one vertex first.  With ``keys`` (label -> property, or a list of
+    properties and tuples of them) vertices of one label that agree in a business key are one, whatever their ids and
+    through however many others (``identity``): nothing of any of them is lost, and edges move to the survivor.
+    Extra labels are added, and an edge with an end outside the snapshot is left out.
     """
     nodes, links = read_snapshot(spark, path)
-    # Parsed once: folding, joining both ends and merging read the nodes again.
-    nodes = distinct_vertices(write_through(nodes, scratch_path(spark, "nodes")))
-    links = keep_connected(links, nodes.select("id"))
+    # Parsed once: folding, joining both ends and merging read them again.
+    nodes = _once(write_through(nodes, scratch_path(spark, "nodes")), ["id"], distinct_vertices)
+    links = _once(write_through(keep_connected(links, nodes.select("id")), scratch_path(spark, "links")), EDGE_KEY, distinct_edges)
     if existing is None or wipe:
-        return nodes.select(VERTEX_SCHEMA.names), distinct_edges(links).select(EDGE_SCHEMA.names)
+        return nodes.select(VERTEX_SCHEMA.names), links.select(EDGE_SCHEMA.names)
     if keys:
-        nodes = write_through(nodes, scratch_path(spark, "folded"))
-        moved = remapped_ids(nodes, existing[0], keys)
-        nodes = distinct_vertices(nodes.join(moved, "id", "left")
-                                  .select(F.coalesce("_to", "id").alias("id"), "labels", "props"))
-        for end in ("src", "dst"):
-            links = (links.join(moved.withColumnRenamed("id", end), end, "left")
-                     .withColumn(end, F.coalesce("_to", end)).drop("_to"))
-    return merge_vertices(existing[0], nodes), merge_edges(existing[1], distinct_edges(links))
+        moved = write_through(survivors(existing[0], nodes, keys), scratch_path(spark, "moved"))
+        return (merged_vertices(existing[0], nodes, moved),
+                merge_edges(distinct_edges(moved_edges(existing[1], moved)), distinct_edges(moved_edges(links, moved))))
+    return merge_vertices(existing[0], nodes), merge_edges(existing[1], links)
 
 
-def remapped_ids(nodes: DataFrame, existing: DataFrame, keys: dict[str, str]) -> DataFrame:
-    """(id, _to): snapshot ids whose label and business key are held by an existing vertex of another id."""
-    names = F.create_map(*[F.lit(x) for pair in keys.items() for x in pair])
-
-    def keyed(df: DataFrame) -> DataFrame:
-        rows = df.select("id", "props", F.explode("labels").alias("_label")).withColumn("_name", names[F.col("_label")])
-        return (rows.where(F.col("_name").isNotNull())
-                .select("id", "_label", F.col("props")[F.col("_name")].alias("_value")).where(F.col("_value").isNotNull()))
-
-    held = keyed(existing).groupBy("_label", "_value").agg(F.min("id").alias("_to"))
-    return (keyed(nodes).join(held, ["_label", "_value"]).groupBy("id").agg(F.min("_to").alias("_to"))
-            .where(F.col("id") != F.col("_to")))
+def _once(rows: DataFrame, key: list[str], fold) -> DataFrame:
+    """``rows`` with one row for each key; they are folded only if some key repeats."""
+    repeated = grouped(rows, key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return rows if repeated.isEmpty() else fold(rows)
 
 
 def replace_graph(vertices: DataFrame, edges: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
@@ -185,3 +202,13 @@ def replace_graph(vertices: DataFrame, edges: DataFrame, path: str) -> tuple[Dat
     spark = vertices.sparkSession
     return (spark.read.schema(VERTEX_SCHEMA).parquet(f"{path}/vertices").select(VERTEX_SCHEMA.names),
             spark.read.schema(EDGE_SCHEMA).parquet(f"{path}/edges").select(EDGE_SCHEMA.names))
+
+
+def store_rows(rows: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """``replace_graph`` of graph rows, by one job: vertices by label and edges by type; returns the stored frames."""
+    part = F.coalesce("type", F.element_at("labels", 1))
+    (rows.withColumn("kind", F.when(F.col("type").isNull(), "vertex").otherwise("edge")).withColumn("part", part)
+     .write.mode("overwrite").partitionBy("kind", "part").parquet(path))
+    schema = T.StructType([*rows.schema.fields, T.StructField("kind", T.StringType()), T.StructField("part", T.StringType())])
+    back = rows.sparkSession.read.schema(schema).parquet(path)
+    return split_rows(back.where("kind = 'vertex'"))[0], split_rows(back.where("kind = 'edge'"))[1]
