@@ -5,7 +5,6 @@ import random
 import public_tokenizers
 import pytest
 import tiktoken
-from pyspark.sql import functions as F
 
 from tierwarden.llm import byte_bpe
 
@@ -17,7 +16,7 @@ def ranks():
 
 def folded(spark, bpe, pieces):
     frame = spark.createDataFrame([(i, p) for i, p in enumerate(pieces)], "i int, piece string").repartition(8)
-    return {r["i"]: r["ids"] for r in frame.select("i", bpe.fold(F.col("piece")).alias("ids")).collect()}
+    return {r["i"]: r["ids"] for r in bpe.folded(frame, "piece", "ids").collect()}
 
 
 def test_long_pieces(spark, ranks, monkeypatch):
@@ -47,8 +46,16 @@ def test_ranks_beyond_the_surrogates(spark):
     assert folded(spark, bpe, pieces) == {i: plain._encode_single_piece(p) for i, p in enumerate(pieces)}
 
 
+def test_rules_stand_in_the_plan_once(spark, ranks):
+    """One projection with the subquery in it: the rules are no column of the rows, and the plan's text is short."""
+    bpe = byte_bpe.ByteBpe(ranks, public_tokenizers.PATTERN)
+    df = spark.createDataFrame([(1, ["two", "words"])], "i int, others array<string>").repartition(2)
+    plan = bpe.folded(df, "others", "ids", many=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Subquery subquery#" in plan and byte_bpe.RULES not in plan and len(plan) < 20_000
+
+
 def test_session_settings_stay(spark, ranks):
-    keys = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.maxPlanStringLength"]
+    keys = ["spark.sql.execution.arrow.maxRecordsPerBatch"]
     before = [spark.conf.get(k, None) for k in keys]
     bpe = byte_bpe.ByteBpe(ranks, public_tokenizers.PATTERN)
     df = spark.createDataFrame([(1, "two words"), (2, None)], "doc_id long, text string")

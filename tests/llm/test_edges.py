@@ -372,7 +372,7 @@ def test_every_token_is_made_by_its_merges(spark, bpe):
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     whole = [(rank, token.decode()) for token, rank in ranks.items() if token.decode(errors="replace").encode() == token]
     frame = spark.createDataFrame(whole, "rank int, piece string").repartition(8)
-    assert frame.select("rank", bpe.fold(F.col("piece")).alias("ids")).filter("ids <> array(rank)").count() == 0 and len(whole) > 49000
+    assert bpe.folded(frame, "piece", "ids").filter("ids <> array(rank)").count() == 0 and len(whole) > 49000
 
 
 def test_white_space_and_letters_of_all_planes(spark, bpe):

@@ -2,7 +2,7 @@
 
 A text is cut into pieces by the tokenizer's pattern. A token is written as one character (``char_of`` its
 rank), so a piece's byte array is a string of single-byte tokens, and characters compare as
-their ranks do. The rank file becomes one literal: an array of buckets (CRC-32 of two tokens), each a string of
+their ranks do. The rank file becomes one constant of the plan: an array of buckets (CRC-32 of two tokens), each a string of
 entries: a mark, two tokens and the token they make. Each token has one such pair: the last two parts when its own
 bytes are merged. No other pair of the same bytes can ever stand side by side, since both its ends would have been bounds all along.
 
@@ -44,10 +44,11 @@ from tierwarden.llm.storage import stored
 
 BUCKETS = 1 << 15
 WORDS = 1 << 19
+RULES = "__rules"
 LONG = 512         # bytes
 SHIFT = 256        # code points below are those of the bytes
 END = "\u0001"     # before the first and after the last part; no pair holds it
-MARK, LINE = "\u0002", "\u0003"      # before every entry of the literals, between buckets
+MARK, LINE = "\u0002", "\u0003"      # before every entry and between entries of the rules
 NONE = "\U0010ffff"    # what a pair without a token makes; greater than every token
 MOST = 0x10ffff - 0x800 - SHIFT
 
@@ -126,17 +127,33 @@ class ByteBpe:
         joins = sorted(merges(ranks), key=lambda x: x[2])
         self.in_order = all(max(left, right) < rank for left, right, rank in joins)
         # a look-up that finds nothing ends at the third character
-        buckets = [END * 2 + NONE] * BUCKETS
+        self.buckets = buckets = [END * 2 + NONE] * BUCKETS
         for left, right, rank in joins:
             two = char_of(left) + char_of(right)
             buckets[zlib.crc32(two.encode()) % BUCKETS] += MARK + two + char_of(rank)
-        self.pairs = F.split(F.lit(LINE.join(buckets)), LINE)
         spelled = {rank: "".join(char_of(ranks[bytes([b])]) for b in token) for token, rank in ranks.items()}
         self.joins = LINE.join(MARK.join((spelled[rank], char_of(left) + char_of(right), char_of(rank))) for left, right, rank in joins)
         self.bytes = "".join(map(chr, range(256)))
         self.singles = "".join(char_of(ranks[bytes([b])]) for b in range(256))
         self.tokens = {rank: token for token, rank in ranks.items()}
 
+    def rules(self, spark: SparkSession) -> Column:
+        """The pair table and the ranked merges, as a constant of the plan.
+
+        A scalar subquery on a stored row: its value is one compact block in every task, and the plan's text names it only.
+        To be added to a frame as the column ``RULES``, and used once, in ``folded``: the optimizer then puts the constant there.
+        """
+        row = pa.table({"pairs": pa.array([self.buckets], pa.list_(pa.string())), "joins": pa.array([self.joins], pa.string())})
+        return stored(spark.createDataFrame(row), "rules").select(F.struct("pairs", "joins")).scalar()
+
+    def folded(self, df: DataFrame, column: str, name: str, many: bool = False) -> DataFrame:
+        """``df`` with the ids of the pieces in ``column`` (with ``many``, of each of a list's pieces) in its place, as ``name``."""
+        def fold(rules: Column) -> Column:
+            return F.transform(column, lambda piece: self.fold(rules, piece)) if many else self.fold(rules, F.col(column))
+
+        rest = [c for c in df.columns if c != column]
+        return df.withColumn(RULES, self.rules(df.sparkSession)).select(*rest, _bind(F.col(RULES), fold).alias(name))
+
     def pieces(self, text: Column) -> Column:
         """The pattern's matches, with Unicode classes as tokenizers read them."""
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"(?U){self.pattern}"), F.lit(0))
@@ -161,7 +178,7 @@ class ByteBpe:
         return F.when(made == "", state).otherwise(
             _bind(F.array_min(F.split(made, "")), lambda token: F.when(token == NONE, done).otherwise(join(token))))
 
-    def fold(self, piece: Column) -> Column:
+    def fold(self, rules: Column, piece: Column) -> Column:
         """Ids of one piece that is not empty."""
         def merged(pairs: Column, parts: Column) -> Column:
             places = F.sequence(F.lit(1), F.length(parts) - 1)
@@ -171,15 +188,13 @@ class ByteBpe:
                 lambda s: F.transform(F.split(F.substring(s["parts"], F.lit(2), F.length(s["parts"]) - 2), ""), _rank_of))
 
         def by_rank(chars: Column) -> Column:
-            # cut up only where a long piece is found: the literal is one string, not 50,000 arrays in every task
-            entries = F.split(F.concat(F.lit(self.joins), F.substring(chars, 1, 0)), LINE)
-            held = F.filter(F.transform(entries, lambda join: F.split(join, MARK)), lambda join: F.contains(chars, F.get(join, F.lit(0))))
+            # cut up only where a long piece is found
+            held = F.filter(F.transform(F.split(rules["joins"], LINE), lambda join: F.split(join, MARK)), lambda join: F.contains(chars, F.get(join, F.lit(0))))
             whole = F.aggregate(held, chars, lambda state, join: F.replace(state, F.get(join, F.lit(1)), F.get(join, F.lit(2))))
             return F.transform(F.split(whole, ""), _rank_of)
 
         chars = F.translate(F.decode(piece.cast("binary"), "ISO-8859-1"), self.bytes, self.singles)
-        # the literal stands in the plan once; every look-up goes through one variable
-        step_by_step = _bind(self.pairs, lambda pairs: _bind(F.concat(F.lit(END), chars, F.lit(END)), lambda parts: merged(pairs, parts)))
+        step_by_step = _bind(rules["pairs"], lambda pairs: _bind(F.concat(F.lit(END), chars, F.lit(END)), lambda parts: merged(pairs, parts)))
         return F.when(F.octet_length(piece) > LONG, _bind(chars, by_rank)).otherwise(step_by_step) if self.in_order else step_by_step
 
     def word_table(self, df: DataFrame, text: str = "text", words: int = WORDS) -> pa.Table:
@@ -194,8 +209,9 @@ class ByteBpe:
             if taken > words:
                 least = at + 1
                 break
-        common = counts.filter(step >= least).select("piece").repartition(df.sparkSession.sparkContext.defaultParallelism * 4, "piece")
-        return common.select("piece", self.fold(F.col("piece")).alias("ids")).toArrow()
+        common = counts.filter(step >= least).select("piece", F.col("piece").alias("folded"))
+        spread = common.repartition(df.sparkSession.sparkContext.defaultParallelism * 4, "piece")
+        return self.folded(spread, "folded", "ids").toArrow()
 
     def encode(self, df: DataFrame, text: str = "text", words: int = WORDS, keep: list[str] | None = None,
                then: tuple[Callable[[pa.RecordBatch], pa.RecordBatch], str] | None = None, rows: int = 1000) -> DataFrame:
@@ -203,12 +219,12 @@ class ByteBpe:
 
         ``then`` is a function of the result's Arrow batches and the schema it gives: what is to be
         derived from the ids in the same Python pass, without sending them to another one. The result is
-        stored, so that the word table and the literals are dropped; Arrow batches have at most ``rows`` texts.
+        stored, so that the word table can be dropped; Arrow batches have at most ``rows`` texts.
         """
         spark = df.sparkSession
-        # a batch of the usual 10,000 texts is large for a Python worker, and nobody reads a plan that holds the literals
+        # a batch of the usual 10,000 texts is large for a Python worker
         batch = min(rows, int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")))
-        with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(batch), "spark.sql.maxPlanStringLength": "10000"}):
+        with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(batch)}):
             known_pieces, known_ids = self._shared(spark, self.word_table(df, text, words))
             pa.default_memory_pool().release_unused()
             done = stored(self._encoded(df, text, keep, then, known_pieces, known_ids), "encoded")
@@ -276,7 +292,7 @@ class ByteBpe:
 
         step = df.select(*names, self.pieces(F.col(text).cast("string")).alias("__pieces")).mapInArrow(coded, T.StructType(
             [*fields, T.StructField("__codes", T.ArrayType(T.IntegerType())), T.StructField("__others", T.ArrayType(T.StringType()))]))
-        step = step.select(*names, "__codes", F.transform("__others", self.fold).alias("__folded"))
+        step = self.folded(step, "__others", "__folded", many=True)
         whole = T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
         return step.mapInArrow(ordered, whole if then is None else then[1])
 
