@@ -144,3 +144,13 @@ def test_sources(spark, fixture, tmp_path):
     assert I.list_tags(spark).count() == 5
     assert fixture.inventory.count() == 81
     assert len(sheet_assignments()) == 108
+
+
+def test_declared_lengths_are_in_the_inventory(spark):
+    from pyspark.sql import types as T
+    frame = spark.createDataFrame([("a", "b", "c")], T.StructType([
+        T.StructField("code", T.StringType(), True, {"__CHAR_VARCHAR_TYPE_STRING": "char(3)"}),
+        T.StructField("name", T.StringType(), True, {"__CHAR_VARCHAR_TYPE_STRING": "varchar(120)"}), T.StructField("free", T.StringType())]))
+    from tierwarden.sources.inventory import catalog_from_schemas
+    got = {r.column_name: r.character_maximum_length for r in catalog_from_schemas(spark, {"t": frame}).collect()}
+    assert got == {"CODE": 3, "NAME": 120, "FREE": None}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,12 @@ def read_entity(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _char_length(field: T.StructField) -> int | None:
+    """Declared length of a char or varchar column, which Spark reads as text and notes in the field's metadata."""
+    found = re.fullmatch(r"(?:var)?char\((\d+)\)", str(field.metadata.get("__CHAR_VARCHAR_TYPE_STRING", "")))
+    return int(found[1]) if found else None
+
+
 def _sql_type(dtype: T.DataType) -> tuple[str, int | None]:
     """Warehouse type name and numeric precision of a Spark type."""
     if isinstance(dtype, T.DecimalType):
@@ -35,7 +43,7 @@ def catalog_from_schemas(spark: SparkSession, frames: dict[str, DataFrame],
         given = (defaults or {}).get(table.upper(), {})
         for position, field in enumerate(df.schema.fields, 1):
             kind, precision = _sql_type(field.dataType)
-            rows.append((SCHEMA, table.upper(), field.name.upper(), kind, None, precision,
+            rows.append((SCHEMA, table.upper(), field.name.upper(), kind, _char_length(field), precision,
                          "YES" if field.nullable else "NO", given.get(field.name), position))
     return local_df(spark, rows, "table_schema string, table_name string, column_name string, "
                                  "data_type string, character_maximum_length int, numeric_precision int, "
