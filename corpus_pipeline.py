@@ -2,10 +2,18 @@
 
 ``run`` applies ``STAGES`` to documents. Each stage's rows are written as Parquet under the shared folder
 and read back as the next one's input. All but the last return the columns of documents.
+
+Stages run with Arrow batches of at most ``BATCH`` texts, since a Python worker keeps the memory that its largest batch took; a
+stage that ends in a Python function is stored inside, under that setting, which is then as it was.
+
+Null and empty texts, repeated rows and null ids pass every stage as its operator's docstring says; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +23,16 @@ from tierwarden.llm import byte_bpe, circulant_minhash, decontamination, line_de
 from tierwarden.llm.storage import stored
 
 
+BATCH = 1000
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    with byte_bpe.settings(spark, {key: str(min(BATCH, int(spark.conf.get(key))))}):
+        yield
+
+
 def _columns(df: DataFrame, like: DataFrame) -> DataFrame:
     """The columns of ``like``; the characters of a text are counted anew."""
     if "n_chars" in like.columns:
@@ -24,25 +42,29 @@ def _columns(df: DataFrame, like: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below 0.5 by a model fitted on the labels of the given documents."""
-    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.scored(docs, model).filter("score < 0.5").select(*docs.columns)
+    with small_batches(spark):
+        model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+        return stored(toxicity.scored(docs, model).filter("score < 0.5").select(*docs.columns), "not-toxic")
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of 20 characters or more found in three documents or more stay only in the one of the largest id."""
-    return _columns(line_dedup.dedup_lines(docs, min_chars=20, min_docs=3), docs)
+    with small_batches(spark):
+        return stored(_columns(line_dedup.dedup_lines(docs, min_chars=20, min_docs=3), docs), "without-lines")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group linked by five-word shingles at Jaccard 0.8 or more."""
-    extra = circulant_minhash.near_duplicates(docs, width=5, percent=80).filter("not kept").select("doc_id").distinct()
+    with small_batches(spark):
+        extra = circulant_minhash.near_duplicates(docs, width=5, percent=80).filter("not kept").select("doc_id").distinct()
     return docs.join(extra, "doc_id", "left_anti").select(*docs.columns)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold less than 0.8 of every benchmark item's five-word shingles."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontamination.decontaminate(docs, items).select(*docs.columns)
+    with small_batches(spark):
+        return decontamination.decontaminate(docs, items).select(*docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
