@@ -4,7 +4,7 @@ import hashlib
 import itertools
 import re
 
-from tierwarden.llm.shingles import LOWER
+LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))      # A-Z to a-z
 
 
 def az(text):

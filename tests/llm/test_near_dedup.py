@@ -49,3 +49,22 @@ def test_mixed_buckets_against_brute_force(spark, monkeypatch, paired, width, pe
     got = circulant_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width, percent, bands=60, rows=3).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
     assert len({c for _, c in want.values()}) > 5
+
+
+def test_stages_on_odd_tables(spark):
+    """Nulls, repeated rows, an empty table and clashing names pass every stage."""
+    import corpus_pipeline
+    sf = "/root/testdata/sf0.001"
+    schema = "doc_id long, text string, lang string, score double, component_id string, n_lines int"
+    rows = [(1, None), (2, ""), (2, ""), (None, "no id " * 30), (3, "x " * 20000), (4, "a word\n" * 5), (4, "another text of the same id")]
+    df = spark.createDataFrame([(*r, None, None, "y", None) for r in rows], schema)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    for docs in (df, df.limit(0)):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, sf)
+            assert out.columns == docs.columns and out.count() <= docs.count()
+            docs = out
+        last = corpus_pipeline.tokenize(spark, docs, sf)
+        assert last.filter("not round_trip").count() == 0 and last.count() == docs.count()
+    assert spark.conf.get(key) == before

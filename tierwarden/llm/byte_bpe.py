@@ -43,7 +43,7 @@ from pyspark.sql import types as T
 from tierwarden.llm.storage import stored
 
 BUCKETS = 1 << 15
-WORDS = 1 << 19
+WORDS = 3 << 18
 RULES = "__rules"
 LONG = 512         # bytes
 SHIFT = 256        # code points below are those of the bytes

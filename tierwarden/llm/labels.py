@@ -47,4 +47,5 @@ def fitted(rows: DataFrame, fit: Callable[[pd.DataFrame], Any]) -> Any:
         sample = pd.concat(frames).sort_values("id") if frames else pd.DataFrame(columns=columns)
         yield pd.DataFrame({"model": [pickle.dumps(fit(sample))]})
 
-    return pickle.loads(rows.repartition(1).mapInPandas(one, "model binary").first()["model"])
+    found = rows.repartition(1).mapInPandas(one, "model binary").first()      # nothing runs on a plan known to be empty
+    return fit(pd.DataFrame(columns=columns)) if found is None else pickle.loads(found["model"])
