@@ -3,8 +3,8 @@
 ``run`` applies ``STAGES`` to documents. Each stage's rows are written as Parquet under the shared folder
 and read back as the next one's input. All but the last return the columns of documents.
 
-Stages run with Arrow batches of at most ``BATCH`` texts, since a Python worker keeps the memory that its largest batch took; a
-stage that ends in a Python function is stored inside, under that setting, which is then as it was.
+What a stage stores on its way is worked out with Arrow batches of at most ``BATCH`` texts, since a Python worker keeps the
+memory that its largest batch took; the session's setting is then as it was.
 
 Null and empty texts, repeated rows and null ids pass every stage as its operator's docstring says; an empty table gives an empty table.
 """
@@ -44,13 +44,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below 0.5 by a model fitted on the labels of the given documents."""
     with small_batches(spark):
         model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-        return stored(toxicity.scored(docs, model).filter("score < 0.5").select(*docs.columns), "not-toxic")
+    return toxicity.scored(docs, model).filter("score < 0.5").select(*docs.columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of 20 characters or more found in three documents or more stay only in the one of the largest id."""
     with small_batches(spark):
-        return stored(_columns(line_dedup.dedup_lines(docs, min_chars=20, min_docs=3), docs), "without-lines")
+        return _columns(line_dedup.dedup_lines(docs, min_chars=20, min_docs=3), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
