@@ -581,7 +581,7 @@ SQL["n02_stream_drift"] = _with(
     "upper(tag_name) AS tag_field, was.v AS old_value, now.v AS new_value, 'PENDING' AS sync_status FROM ("
     "SELECT *, max(e) OVER (so_far ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS now, "
     "max(e) OVER (so_far ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS was FROM ("
-    "SELECT table_name, column_name, tag_name, statement_id % 20 AS delivery, "
+    "SELECT table_name, column_name, tag_name, statement_id % 10 AS delivery, "
     "max({'a': assigned_at, 's': statement_id, 'l': line, 'v': tag_value}) AS e FROM history GROUP BY 1, 2, 3, 4) "
     "WINDOW so_far AS (PARTITION BY table_name, column_name, tag_name ORDER BY delivery)) "
     "WHERE coalesce(was.v,'')<>coalesce(now.v,'')", "history")

@@ -846,15 +846,12 @@ def _(spark, sf):
 
 # -- N: streaming --------------------------------------------------------------
 
-BATCHES = 20
-
-
-def _arriving(spark: SparkSession, sf: str, path: str, start: Callable[[DataFrame], StreamingQuery]) -> None:
-    """SET TAG statements arriving as ``BATCHES`` deliveries (by order number, so many come late), each drained by a restarted stream."""
+def _arriving(spark: SparkSession, sf: str, path: str, deliveries: int, start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """SET TAG statements arriving as so many ``deliveries`` (by order number, so many come late), each drained by a restarted stream."""
     lines = Estate(spark, sf).raw("lineitem")
     split = f"{path}/split"
-    lines.withColumn("delivery", F.col("l_orderkey") % BATCHES).write.partitionBy("delivery").parquet(split)
-    for n in range(BATCHES):
+    lines.withColumn("delivery", F.col("l_orderkey") % deliveries).write.partitionBy("delivery").parquet(split)
+    for n in range(deliveries):
         spark.read.schema(lines.schema).parquet(f"{split}/delivery={n}").write.mode("append").parquet(f"{path}/statements")
         start(Estate.history_of(W.read_files(spark, f"{path}/statements", lines.schema))).awaitTermination()
 
@@ -863,7 +860,7 @@ def _arriving(spark: SparkSession, sf: str, path: str, start: Callable[[DataFram
 def _(spark, sf):
     """SET TAG statements streamed into the catalog store; the stored catalog afterwards."""
     path, inventory = scratch_path(spark, "stream-sync"), Estate(spark, sf).inventory
-    _arriving(spark, sf, path, lambda statements: W.stream_tag_sync(statements, path, ORDER, inventory))
+    _arriving(spark, sf, path, 5, lambda statements: W.stream_tag_sync(statements, path, ORDER, inventory))
     return CatalogStore(spark, path).catalog.read().select(
         "fqn", "data_classification", "data_category", "encryption_required", "retention_policy", "data_owner")
 
@@ -872,7 +869,7 @@ def _(spark, sf):
 def _(spark, sf):
     """SET TAG statements streamed into the drift job; the whole change log, removed tags included."""
     path = scratch_path(spark, "stream-drift")
-    _arriving(spark, sf, path, lambda statements: W.stream_detect_changes(
+    _arriving(spark, sf, path, 10, lambda statements: W.stream_detect_changes(
         statements, path, ORDER, run_ts=lambda batch: RUN_TS + timedelta(minutes=batch)))
     return DriftStore(spark, path).log.read().select(
         F.col("changed_at").cast("string").alias("changed_at"), *C.KEY, "tag_field", "old_value", "new_value", "sync_status")
