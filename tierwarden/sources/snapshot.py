@@ -25,11 +25,40 @@ EDGE_FILE = T.StructType([T.StructField("id", T.StringType()), T.StructField("ty
                           T.StructField("to_labels", T.ArrayType(T.StringType())),
                           T.StructField("properties", PROPS)])
 
+TRACKED, SLICES = 64, 64      # ids whose edges are dealt to several keys, and to how many
+# Lines are compressed: they repeat every name. Compressed files are not split, so their length is bounded.
+LINES = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": 500_000}
+
 
 def edge_id() -> Column:
     return F.sha2(F.concat_ws("\u0001", "src", "type", "dst"), 256)
 
 
+def _crowded(edges: DataFrame, ends: tuple[str, ...]) -> dict[str, list[str]]:
+    """The ids that hold a large share of the edges, for each end: at most ``TRACKED`` of them, from one pass that keeps a few counters a task."""
+    found = edges.agg(F.count(F.lit(1)).alias("n"), *[F.expr(f"approx_top_k({end}, {TRACKED}, {TRACKED * 16})").alias(end) for end in ends]).first()
+    return {end: [x["item"] for x in found[end] or [] if x["item"] is not None and x["count"] * TRACKED > found["n"]] for end in ends}
+
+
+def _with_labels(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+    """``edges`` with the labels of both ends as ``_src`` and ``_dst``.
+
+    Edges pile up on few ids (a tier holds every record). Rows of such an id compress so well that adaptive execution does not see
+    a large partition, so they are dealt to ``SLICES`` keys each, and their vertices are given once for each of these.
+    """
+    crowded = _crowded(edges, ("src", "dst"))
+    for end, other in (("src", "dst"), ("dst", "src")):
+        ids = vertices.select(F.col("id").alias(end), F.col("labels").alias(f"_{end}"))
+        on = [end]
+        if crowded[end]:
+            hot, one = F.col(end).isin(crowded[end]), F.array(F.lit(0))
+            ids = ids.withColumn("_slice", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(SLICES - 1))).otherwise(one)))
+            edges = edges.withColumn("_slice", F.when(hot, F.pmod(F.xxhash64(other), F.lit(SLICES)).cast("int")).otherwise(F.lit(0)))
+            on.append("_slice")
+        edges = edges.join(ids, on, "left").drop("_slice")
+    return edges
+
+
 def snapshot_nodes(vertices: DataFrame) -> DataFrame:
     return vertices.select("id", "labels", F.col("props").alias("properties"))
 
@@ -37,31 +66,35 @@ def snapshot_nodes(vertices: DataFrame) -> DataFrame:
 def snapshot_edges(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Edges with the labels of both ends, from the vertices themselves.
 
-    An end outside the graph has NULL labels.  Edges pile up on few ids (a tier holds
-    every record); they are the left side, which adaptive execution splits.
+    An end outside the graph has NULL labels.
     """
-    for end in ("src", "dst"):
-        edges = edges.join(vertices.select(F.col("id").alias(end), F.col("labels").alias(f"_{end}")), end, "left")
-    return edges.select(edge_id().alias("id"), "type", F.col("src").alias("from_id"),
-                        F.col("_src").alias("from_labels"), F.col("dst").alias("to_id"),
-                        F.col("_dst").alias("to_labels"), F.col("props").alias("properties"))
+    return _link_rows(_with_labels(vertices, edges))
+
 
+def _link_rows(labelled: DataFrame) -> DataFrame:
+    return labelled.select(edge_id().alias("id"), "type", F.col("src").alias("from_id"),
+                           F.col("_src").alias("from_labels"), F.col("dst").alias("to_id"),
+                           F.col("_dst").alias("to_labels"), F.col("props").alias("properties"))
 
-def _in_ranges(df: DataFrame, part: str) -> DataFrame:
-    """Rows dealt by ``part`` and a hash of their id, in id order inside every file.
+
+def _in_ranges(df: DataFrame, part: str, *key: str) -> DataFrame:
+    """Rows dealt by ``part`` and a hash of their ``key``.
 
     A label that holds most of the graph is spread over all ranges, and no pass over the data looks for split points.
     """
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(F.col(part), F.pmod(F.xxhash64("id"), F.lit(ranges))).sortWithinPartitions(part, "id")
+    return df.repartition(F.col(part), F.pmod(F.xxhash64(*key), F.lit(ranges)))
 
 
 def export_snapshot(vertices: DataFrame, edges: DataFrame, path: str) -> None:
     """Write nodes by label and edges by type as JSON Lines; every file is in id order."""
     nodes = snapshot_nodes(vertices).withColumn("label", F.element_at("labels", 1))
-    _in_ranges(nodes, "label").write.mode("overwrite").partitionBy("label").json(f"{path}/nodes")
-    links = snapshot_edges(vertices, edges).withColumn("edge_type", F.col("type"))
-    _in_ranges(links, "edge_type").write.mode("overwrite").partitionBy("edge_type").json(f"{path}/relationships")
+    (_in_ranges(nodes, "label", "id").sortWithinPartitions("label", "id")
+     .write.mode("overwrite").partitionBy("label").options(**LINES).json(f"{path}/nodes"))
+    # the digest is made after the rows are dealt: it does not compress, and would be most of what is shuffled
+    links = _link_rows(_in_ranges(_with_labels(vertices, edges), "type", "src", "dst")).withColumn("edge_type", F.col("type"))
+    (links.sortWithinPartitions("edge_type", "id")
+     .write.mode("overwrite").partitionBy("edge_type").options(**LINES).json(f"{path}/relationships"))
 
 
 def property_keys(vertices: DataFrame) -> dict[str, list[str]]:
@@ -156,12 +189,19 @@ def read_snapshot(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
 
 
 def keep_connected(edges: DataFrame, ids: DataFrame) -> DataFrame:
-    """Edges whose two ends are both known.  Ends pile up on few ids (a tier holds
-    every record): the edges are the left side, which adaptive execution splits."""
-    kept = edges
+    """Edges whose two ends are both known, of stored ``edges``.
+
+    Ends pile up on few ids (a tier holds every record), so distinct ends are looked up, which are combined before the shuffle.
+    Edges themselves move only if some end is not known.
+    """
+    whole = edges.where("src is not null and dst is not null")
+    ends = whole.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    unknown = write_through(ends.join(ids.select("id"), "id", "left_anti"), scratch_path(edges.sparkSession, "unknown"))
+    if unknown.isEmpty():
+        return whole
     for end in ("src", "dst"):
-        kept = kept.join(ids.select(F.col("id").alias(end)), end, "left_semi")
-    return kept.select(edges.columns)
+        whole = whole.join(unknown.select(F.col("id").alias(end)), end, "left_anti")
+    return whole.select(edges.columns)
 
 
 def import_snapshot(spark: SparkSession, path: str,
@@ -177,22 +217,40 @@ def import_snapshot(spark: SparkSession, path: str,
     nodes, links = read_snapshot(spark, path)
     # Parsed once: folding, joining both ends and merging read them again.
     nodes = _once(write_through(nodes, scratch_path(spark, "nodes")), ["id"], distinct_vertices)
-    links = _once(write_through(keep_connected(links, nodes.select("id")), scratch_path(spark, "links")), EDGE_KEY, distinct_edges)
+    links = keep_connected(write_through(links, scratch_path(spark, "links")), nodes.select("id"))
+    links = _once(links, EDGE_KEY, distinct_edges)
     if existing is None or wipe:
         return nodes.select(VERTEX_SCHEMA.names), links.select(EDGE_SCHEMA.names)
     if keys:
         moved = write_through(survivors(existing[0], nodes, keys), scratch_path(spark, "moved"))
-        return (merged_vertices(existing[0], nodes, moved),
-                merge_edges(distinct_edges(moved_edges(existing[1], moved)), distinct_edges(moved_edges(links, moved))))
+        mine, theirs = (write_through(moved_edges(e, moved), scratch_path(spark, "moved-edges")) for e in (existing[1], links))
+        return merged_vertices(existing[0], nodes, moved), _merged_edges(mine, theirs)
     return merge_vertices(existing[0], nodes), merge_edges(existing[1], links)
 
 
 def _once(rows: DataFrame, key: list[str], fold) -> DataFrame:
-    """``rows`` with one row for each key; they are folded only if some key repeats."""
+    """``rows`` with one row for each key; they are folded only if some key repeats.
+
+    Equal keys have equal hashes, so keys are compared only if a hash repeats: a pass over numbers settles most tables.
+    """
+    if _hashes_differ(rows, key):
+        return rows
     repeated = grouped(rows, key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return rows if repeated.isEmpty() else fold(rows)
 
 
+def _hashes_differ(rows: DataFrame, key: list[str]) -> bool:
+    return rows.groupBy(F.xxhash64(*key).alias("hash")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+
+
+def _merged_edges(mine: DataFrame, theirs: DataFrame) -> DataFrame:
+    """``merge_edges`` of stored edges that may repeat; where no edge comes twice there is nothing to fold."""
+    both = mine.unionByName(theirs)
+    if _hashes_differ(both, EDGE_KEY):
+        return both.withColumn("props", F.coalesce("props", F.create_map().cast(PROPS)))
+    return merge_edges(distinct_edges(mine), distinct_edges(theirs))
+
+
 def replace_graph(vertices: DataFrame, edges: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     """Replace-all load of the generic graph, stored by label and type; returns the stored frames."""
     (vertices.withColumn("label", F.element_at("labels", 1))
