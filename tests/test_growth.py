@@ -35,3 +35,16 @@ def test_export_compresses_lines_and_spreads_a_crowded_end(spark, tmp_path):
         (s, str(d), str(labels.get(s)), str(labels.get(d))) for s, d, _, _ in edges)
     back = S.import_snapshot(spark, str(tmp_path))
     assert back[0].count() == 301 and {r.src for r in back[1].collect()} == {f"N:{i}" for i in range(300)} and back[1].count() == 300
+
+
+def test_large_keyed_tables_are_not_broadcast(spark, tmp_path):
+    table = MergedTable(spark, str(tmp_path / "t"), ROWS)
+    for n, v in ((150_000, "base"), (60_000, "new")):
+        table.upsert(spark.range(n).select(F.col("id").alias("k"), F.lit("x").alias("part"), F.lit(v).alias("v")))
+    assert table.store.most("rows") == 210_000
+    rows = table.read()
+    assert rows.groupBy("v").count().collect() and "Broadcast" not in rows._jdf.queryExecution().executedPlan().toString()
+    tags = local_df(spark, [("T", "a", *[None] * 5)], "table_name string, column_name string, " + ", ".join(f"{f} string" for f in TAG_FIELDS))
+    known = local_df(spark, [("S", "T", "a", 1)], "table_schema string, table_name string, column_name string, ordinal_position int")
+    found = C.column_catalog(tags, known)
+    assert found.count() == 1 and "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()

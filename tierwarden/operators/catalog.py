@@ -81,11 +81,14 @@ def tags_before(assignments: DataFrame, order: list[str], cut: Column, keys: lis
 
 
 def column_catalog(tags: DataFrame, inventory: DataFrame, schema_name: str | None = None) -> DataFrame:
-    """Pivoted tags joined with the column inventory; columns missing on either side drop out."""
+    """Pivoted tags joined with the column inventory; columns missing on either side drop out.
+
+    Both have a row for each column, and files of names are far smaller than their rows: neither is collected to be broadcast.
+    """
     known = inventory if schema_name is None else inventory.where(F.col("table_schema") == schema_name)
     known = known.drop("table_schema")
     rest = [c for c in known.columns if c not in KEY]
-    return known.join(tags, KEY).select(*KEY, *rest, *TAG_FIELDS)
+    return known.join(tags.hint("merge"), KEY).select(*KEY, *rest, *TAG_FIELDS)
 
 
 def fill_tag_defaults(catalog: DataFrame, trim: bool = False) -> DataFrame:

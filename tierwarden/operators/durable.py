@@ -45,3 +45,15 @@ def write_through(df: DataFrame, path: str) -> DataFrame:
     """Store ``df`` as Parquet and return a frame that reads the stored rows."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+BROADCAST_ROWS = 50_000
+
+
+def keyed(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` as the right side of a join, of so many ``rows``: with many, both sides are sorted and merged.
+
+    Alike names make Parquet files a small part of their rows, so the planner, going by file sizes, would
+    collect millions of them on the driver and send them to every executor.
+    """
+    return df.hint("merge") if rows > BROADCAST_ROWS else df

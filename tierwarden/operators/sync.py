@@ -15,7 +15,7 @@ from tierwarden.model import (
 )
 from tierwarden.operators import drift
 from tierwarden.operators.catalog import fill_tag_defaults, union_all
-from tierwarden.operators.durable import scratch_path, write_through
+from tierwarden.operators.durable import keyed, scratch_path, write_through
 from tierwarden.operators.graph import as_vertices, catalog_edges, classified_as, databases_frame, schemas_frame, tables_frame
 from tierwarden.sources.merged import Keyed, MergedStore, MergedTable
 from tierwarden.sources.state import BatchLog
@@ -56,15 +56,16 @@ def chain_vertices(columns: DataFrame, run_ts, platform: str = "warehouse") -> D
                       as_vertices(tables_frame(columns, run_ts, platform), "Table")])
 
 
-def edge_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+def edge_changes(before: DataFrame, after: DataFrame, rows: int = 0) -> DataFrame:
     """Edges that the written columns ``after`` need, and those to be removed (``_gone``).
 
     The chain edges above the columns are needed; CLASSIFIED_AS is derived anew from what the columns were and are.
+    ``rows`` is the number of columns written, where it is known.
     """
     spark = after.sparkSession
     needed = catalog_edges(spark, after).unionByName(classified_as(after, tiers_df(spark)))
-    was = classified_as(before.join(after.select("fqn"), "fqn", "left_semi"), tiers_df(spark))
-    gone = was.join(needed.select(*EDGE_KEYS), list(EDGE_KEYS), "left_anti")
+    was = classified_as(before.join(keyed(after.select("fqn"), rows), "fqn", "left_semi"), tiers_df(spark))
+    gone = was.join(keyed(needed.select(*EDGE_KEYS), rows), list(EDGE_KEYS), "left_anti")
     return needed.withColumn("_gone", F.lit(False)).unionByName(gone.withColumn("_gone", F.lit(True)).select(*needed.columns, "_gone"))
 
 
@@ -95,7 +96,8 @@ def sync_tags(source: DataFrame, store: CatalogStore, dry_run: bool = False, cha
         # Both are stored once: diff, counts and rewrite must see the same source, and
         # none of them should pivot the tag references again.
         source = write_through(source, scratch_path(spark, "source"))
-    stored = store.catalog.read(before=version, near=source)
+    known = store.store.most("catalog", before=version)
+    stored = keyed(store.catalog.read(before=version, near=source), known)
     diff = drift.diff_tags(source, stored, TAG_FIELDS, empty_equivalents)
     if not dry_run:
         diff = write_through(diff, scratch_path(spark, "diff"))
@@ -107,21 +109,24 @@ def sync_tags(source: DataFrame, store: CatalogStore, dry_run: bool = False, cha
         rows = fill_tag_defaults(source, trim=True)
         if changed_only:
             keys = diff.where(F.col("status").isin("new", "changed")).select("fqn")
-            rows = rows.join(keys, "fqn", "left_semi")
+            rows = rows.join(keyed(keys, counts["new"] + counts["changed"]), "fqn", "left_semi")
         written = counts["new"] + counts["touched"] if changed_only else source_columns
     summary = Row(sync_ts=run_ts, source_columns=source_columns, catalog_columns=store.store.total("catalog", before=version),
                   new=counts["new"], changed=counts["changed"], unchanged=counts["unchanged"], written=written)
     if written:
         after = write_through(written_rows(stored, rows, run_ts), scratch_path(spark, "written"))
-        edges = edge_changes(stored, after)
-        chain = chain_vertices(after, run_ts)
-        known = store.edges.read(before=version, near=edges).select(*EDGE_KEYS, F.lit(True).alias("_known"))
+        # looked through for buckets, then joined and written
+        edges = write_through(edge_changes(stored, after, written), scratch_path(spark, "edges"))
+        chain = write_through(chain_vertices(after, run_ts), scratch_path(spark, "chain"))
+        above = keyed(store.vertices.read(before=version, near=chain).select("id"), store.store.most("vertices", before=version))
+        known = keyed(store.edges.read(before=version, near=edges).select(*EDGE_KEYS, F.lit(True).alias("_known")),
+                      store.store.most("edges", before=version))
         number = version if version is not None else (-1 if (last := store.store.version()) is None else last) + 1
         run = local_df(spark, [(number, *summary)], store.store.tables["sync_run"].schema)
         store.store.commit({
             "catalog": after,
             # what exists keeps its properties
-            "vertices": chain.join(store.vertices.read(before=version, near=chain).select("id"), "id", "left_anti"),
+            "vertices": chain.join(above, "id", "left_anti"),
             "edges": edges.join(known, list(EDGE_KEYS), "left").where("_gone or _known is null"),
             "sync_run": run}, version, totals={"catalog": summary.catalog_columns + counts["new"]})
     return summary

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierwarden.model import local_df
+from tierwarden.operators.durable import keyed
 
 _COMMITS = ("version long, attempt string, committed_at timestamp, totals map<string,long>, "
             "parts map<string,array<struct<folder:string,rows:bigint>>>")
@@ -82,6 +83,11 @@ class MergedStore:
         stated = (newest["totals"] or {}).get(name)
         return self._merged(name, newest["parts"].get(name) or []).count() if stated is None else stated
 
+    def most(self, name: str, before: int | None = None) -> int:
+        """Rows of a table's parts: no fewer than the table has."""
+        newest = self._newest(before)
+        return 0 if newest is None else sum(p["rows"] for p in newest["parts"].get(name) or [])
+
     # -- reading
 
     def _bucket(self, name: str) -> Column:
@@ -92,21 +98,21 @@ class MergedStore:
         rows = self.spark.read.schema(schema).parquet(f"{self.path}/{name}/{folder}")
         return (rows if only is None else rows.where(F.col("bucket").isin(only))).drop("bucket")
 
-    def _folded(self, name: str, frames: list[DataFrame]) -> DataFrame:
-        """Each key's row of the last frame that has it; removed keys stay marked."""
+    def _folded(self, name: str, parts: list, only: list[int] | None = None) -> DataFrame:
+        """Each key's row of the last part that has it; removed keys stay marked."""
         keys = self.tables[name].keys
-        rows = frames[-1]
-        for older in reversed(frames[:-1]):
-            newer = rows
-            untouched = older.alias("o").join(newer.select(*keys).alias("n"), _same("o", "n", keys), "left_anti")
-            rows = untouched.unionByName(newer)
+        rows, above = self._part(name, parts[-1]["folder"], only), parts[-1]["rows"]
+        for part in reversed(parts[:-1]):
+            newer = keyed(rows.select(*keys), above).alias("n")
+            untouched = self._part(name, part["folder"], only).alias("o").join(newer, _same("o", "n", keys), "left_anti")
+            rows, above = untouched.unionByName(rows), above + part["rows"]
         return rows
 
     def _merged(self, name: str, parts: list, only: list[int] | None = None) -> DataFrame:
         schema = self.tables[name].schema
         if not parts or only == []:
             return local_df(self.spark, [], schema)
-        rows = self._folded(name, [self._part(name, p["folder"], only) for p in parts])
+        rows = self._folded(name, parts, only)
         return rows.where("not _gone").select(schema.names)
 
     def read(self, name: str, before: int | None = None, near: DataFrame | None = None) -> DataFrame:
@@ -164,7 +170,7 @@ class MergedStore:
             rows += parts[first]["rows"]
         if first == len(parts) - 1:
             return parts
-        whole = self._folded(name, [self._part(name, p["folder"]) for p in parts[first:]])
+        whole = self._folded(name, parts[first:])
         return [*parts[:first], self._write(name, f"{attempt}-merged", whole if first else whole.where("not _gone"))]
 
     def expire(self, keep: int | None = None) -> None:
