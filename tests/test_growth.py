@@ -48,3 +48,17 @@ def test_large_keyed_tables_are_not_broadcast(spark, tmp_path):
     known = local_df(spark, [("S", "T", "a", 1)], "table_schema string, table_name string, column_name string, ordinal_position int")
     found = C.column_catalog(tags, known)
     assert found.count() == 1 and "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rounds_see_only_nodes_that_connect(spark, monkeypatch):
+    """Two hundred nodes with one claim hang on it without taking part; one smaller than all others becomes the root."""
+    seen, real = [], I._connected
+
+    def counted(held):
+        seen.append(held.count())
+        return real(held)
+    monkeypatch.setattr(I, "_connected", counted)
+    claims = [(f"n{i:04}", "x") for i in range(200)] + [("m", "x"), ("m", "y"), ("z", "y"), ("z", "w"), ("a", "w"), ("q1", "own"), ("q2", "own")]
+    got = {r.node: r.root for r in I.resolved(spark.createDataFrame(claims, "node string, claim string")).collect()}
+    assert got == {**{f"n{i:04}": "a" for i in range(200)}, "m": "a", "z": "a", "q2": "q1"}
+    assert seen == [5]

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierwarden.model import PROPS
+from tierwarden.operators.catalog import grouped
 from tierwarden.operators.durable import scratch_path, write_through
 
 Keys = dict[str, str | list[str | tuple[str, ...]]]
@@ -47,13 +48,13 @@ def _roots(parents: DataFrame) -> DataFrame:
     found = stored(parents.select("node", F.col("parent").alias("root")))
     while True:
         up = found.select(F.col("node").alias("root"), F.col("root").alias("above"))
-        nearer = found.join(up, "root", "left")
+        nearer = found.join(up.hint("merge"), "root", "left")
         if nearer.where("above is not null").isEmpty():
             return found
         found = stored(nearer.select("node", F.coalesce("above", "root").alias("root")))
 
 
-def resolved(held: DataFrame) -> DataFrame:
+def _connected(held: DataFrame) -> DataFrame:
     """(node, root) of the nodes that are not their own root, from (node, claim): the smallest node connected by claims.
 
     Every round hangs each node below the smallest node of its claims, follows the chains to their ends and moves the
@@ -68,28 +69,55 @@ def resolved(held: DataFrame) -> DataFrame:
     while True:
         least = (pairs.groupBy("claim").agg(F.min("node").alias("least"), F.max("node").alias("most"))
                  .where("least < most").select("claim", "least"))
-        shared = pairs.join(least, "claim")
+        shared = pairs.join(least.hint("merge"), "claim")
         parents = stored(shared.groupBy("node").agg(F.min("least").alias("parent")).where("parent < node"), "parents")
         if parents.isEmpty():
             break
         roots = _roots(parents)
         # claims of nodes without a mate are settled and need not move on
-        pairs = stored(shared.select("node", "claim").join(roots, "node", "left")
+        pairs = stored(shared.select("node", "claim").join(roots.hint("merge"), "node", "left")
                        .select(F.coalesce("root", "node").alias("node"), "claim").distinct(), "claims")
         if of is None:
             of = roots
             continue
-        moved = of.join(roots.select(F.col("node").alias("root"), F.col("root").alias("now")), "root", "left")
+        moved = of.join(roots.select(F.col("node").alias("root"), F.col("root").alias("now")).hint("merge"), "root", "left")
         of = stored(moved.select("node", F.coalesce("now", "root").alias("root"))
-                    .unionByName(roots.join(of.select("node"), "node", "left_anti")), "resolved")
+                    .unionByName(roots.join(of.select("node").hint("merge"), "node", "left_anti")), "resolved")
     return held.select("node", F.col("node").alias("root")).limit(0) if of is None else of
 
 
+def resolved(held: DataFrame) -> DataFrame:
+    """``_connected`` of all nodes, whose rounds see only the nodes that can connect claims: those with several.
+
+    A node with one claim belongs where its claim does. It takes part in the rounds only where it is the smallest of its claim,
+    and so may be a root; a claim that only such nodes hold is settled at once.
+    """
+    spark = held.sparkSession
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        return write_through(df, scratch_path(spark, name))
+
+    pairs = stored(held.select("node", "claim"), "held")
+    several = stored(pairs.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("node"), "several").hint("merge")
+    linked = stored(pairs.join(several, "node", "left_semi").distinct(), "linked")
+    lone = stored(pairs.join(several, "node", "left_anti"), "lone")
+    first = lone.groupBy("claim").agg(F.min("node").alias("first"))
+    holder = linked.groupBy("claim").agg(F.min("node").alias("holder"))
+    claims = stored(first.join(holder.hint("merge"), "claim", "left"), "firsts")
+    rooted = claims.where("first < holder").select(F.col("first").alias("node"), "claim")
+    of = _connected(linked.unionByName(rooted))
+    least = claims.select("claim", F.least("first", "holder").alias("least"))
+    settled = (least.join(of.select(F.col("node").alias("least"), "root").hint("merge"), "least", "left")
+               .select("claim", F.coalesce("root", "least").alias("root")))
+    return (of.join(rooted.select("node").hint("merge"), "node", "left_anti").select("node", "root")
+            .unionByName(lone.join(settled.hint("merge"), "claim").where("node <> root").select("node", "root")))
+
+
 def survivors(stored: DataFrame, incoming: DataFrame, keys: Keys) -> DataFrame:
     """(id, survivor) of the vertices, stored or incoming, that another one stands for."""
     known = stored.select("id", F.lit("0").alias("_age"))
     mine = claims(stored, keys).withColumn("_age", F.lit("0"))
-    theirs = claims(incoming, keys).join(known, "id", "left").withColumn("_age", F.coalesce("_age", F.lit("1")))
+    theirs = claims(incoming, keys).join(known.hint("merge"), "id", "left").withColumn("_age", F.coalesce("_age", F.lit("1")))
     # stored ids sort before incoming ones
     held = mine.unionByName(theirs).select(F.concat("_age", "id").alias("node"), "claim")
     return resolved(held).select(F.expr("substring(node, 2)").alias("id"), F.expr("substring(root, 2)").alias("survivor"))
@@ -101,17 +129,18 @@ def folded(rows: DataFrame) -> DataFrame:
     Labels come in the order of ``first`` (least first), then of their place. Only ids with several rows are worked on.
     """
     spark = rows.sparkSession
-    repeated = write_through(rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id"), scratch_path(spark, "repeated"))
+    # stored once: they are joined, and read for the count, the labels, the values and the rest
+    rows = write_through(rows, scratch_path(spark, "placed"))
+    repeated = write_through(rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id"),
+                             scratch_path(spark, "repeated")).hint("merge")
     many = rows.join(repeated, "id", "left_semi")
-    named = (many.select("id", "first", F.posexplode("labels").alias("place", "label"))
-             .groupBy("id", "label").agg(F.min(F.struct("first", "place")).alias("at"))
+    named = (grouped(many.select("id", "first", F.posexplode("labels").alias("place", "label")), ["id", "label"]).agg(F.min(F.struct("first", "place")).alias("at"))
              .groupBy("id").agg(F.sort_array(F.collect_list(F.struct("at", "label"))).alias("found"))      # as many as there are labels
              .select("id", F.transform("found", lambda x: x["label"]).alias("labels")))
-    values = (many.select("id", "age", F.explode("props").alias("key", "value"))
-              .groupBy("id", "key").agg(F.max(F.struct("age", "value")).alias("last"))
+    values = (grouped(many.select("id", "age", F.explode("props").alias("key", "value")), ["id", "key"]).agg(F.max(F.struct("age", "value")).alias("last"))
               .groupBy("id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("key", "last.value")))).alias("props")))
     none = F.create_map().cast(PROPS)
-    ids = repeated.join(named, "id", "left").join(values, "id", "left")
+    ids = repeated.join(named.hint("merge"), "id", "left").join(values.hint("merge"), "id", "left")
     return (rows.join(repeated, "id", "left_anti").select("id", "labels", "props")
             .unionByName(ids.select("id", F.coalesce("labels", F.array().cast("array<string>")).alias("labels"),
                                     F.coalesce("props", none).alias("props"))))
@@ -120,7 +149,7 @@ def folded(rows: DataFrame) -> DataFrame:
 def merged_vertices(stored: DataFrame, incoming: DataFrame, moved: DataFrame) -> DataFrame:
     """Both graphs' vertices under their survivors. An incoming value wins over a stored one, the survivor's own over another stored one's."""
     def placed(df: DataFrame, own: int, other: int, first: Column) -> DataFrame:
-        there = df.join(moved, "id", "left").withColumn("moved", F.col("survivor").isNotNull())
+        there = df.join(moved.hint("merge"), "id", "left").withColumn("moved", F.col("survivor").isNotNull())
         return there.select(F.coalesce("survivor", "id").alias("id"), "labels", "props",
                             F.when(F.col("moved"), F.lit(other)).otherwise(F.lit(own)).alias("age"), first.alias("first"))
 
@@ -131,6 +160,6 @@ def merged_vertices(stored: DataFrame, incoming: DataFrame, moved: DataFrame) ->
 def moved_edges(edges: DataFrame, moved: DataFrame) -> DataFrame:
     """Edges with both ends at their survivors; a hot end's partition is split adaptively, the edges being the left side."""
     for end in ("src", "dst"):
-        there = moved.select(F.col("id").alias(end), "survivor")
+        there = moved.select(F.col("id").alias(end), "survivor").hint("merge")
         edges = edges.join(there, end, "left").withColumn(end, F.coalesce("survivor", end)).drop("survivor")
     return edges.select("src", "dst", "type", "props")
