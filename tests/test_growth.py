@@ -62,3 +62,21 @@ def test_rounds_see_only_nodes_that_connect(spark, monkeypatch):
     got = {r.node: r.root for r in I.resolved(spark.createDataFrame(claims, "node string, claim string")).collect()}
     assert got == {**{f"n{i:04}": "a" for i in range(200)}, "m": "a", "z": "a", "q2": "q1"}
     assert seen == [5]
+
+
+def test_deliveries_are_stored_once(spark, tmp_path):
+    sf, path = tmp_path / "sf", tmp_path / "out"
+    rows = spark.range(40).select(
+        F.when(F.col("id") > 0, F.col("id")).alias("l_orderkey"), F.col("id").alias("l_partkey"), F.col("id").alias("l_suppkey"), F.lit(1).alias("l_linenumber"),
+        F.lit(1.0).alias("l_quantity"), F.lit(1.0).alias("l_extendedprice"), F.lit(0.0).alias("l_discount"), F.lit(0.0).alias("l_tax"),
+        F.lit("N").alias("l_returnflag"), F.lit("O").alias("l_linestatus"), F.lit(datetime(2000, 1, 1)).cast("timestamp_ntz").alias("l_shipdate"))
+    rows.write.parquet(f"{sf}/lineitem.parquet")
+    seen = []
+
+    class Drained:
+        def awaitTermination(self):
+            seen.append(spark.read.parquet(f"{path}/statements").count())
+    R._arriving(spark, str(sf), str(path), 4, lambda statements: Drained())
+    assert seen == [9, 19, 29, 39]      # the row without an order is in no delivery
+    assert [p.name for p in Path(path).iterdir()] == ["statements"]
+    assert spark.read.parquet(f"{path}/statements").columns == ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate"]

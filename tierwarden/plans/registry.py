@@ -848,11 +848,9 @@ def _(spark, sf):
 
 def _arriving(spark: SparkSession, sf: str, path: str, deliveries: int, start: Callable[[DataFrame], StreamingQuery]) -> None:
     """SET TAG statements arriving as so many ``deliveries`` (by order number, so many come late), each drained by a restarted stream."""
-    lines = Estate(spark, sf).raw("lineitem")
-    split = f"{path}/split"
-    lines.withColumn("delivery", F.col("l_orderkey") % deliveries).write.partitionBy("delivery").parquet(split)
+    lines = Estate(spark, sf).raw("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")      # what a statement is made of
     for n in range(deliveries):
-        spark.read.schema(lines.schema).parquet(f"{split}/delivery={n}").write.mode("append").parquet(f"{path}/statements")
+        lines.where(F.col("l_orderkey") % deliveries == n).write.mode("append").parquet(f"{path}/statements")
         start(Estate.history_of(W.read_files(spark, f"{path}/statements", lines.schema))).awaitTermination()
 
 
