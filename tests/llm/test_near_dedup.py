@@ -51,6 +51,43 @@ def test_mixed_buckets_against_brute_force(spark, monkeypatch, paired, width, pe
     assert len({c for _, c in want.values()}) > 5
 
 
+def test_members_without_a_partner_are_left_out(spark, monkeypatch):
+    """Edits of one text, few of them linked: few members are joined on shared elements, and no group is left for another round."""
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(60)]
+    base = [rng.choice(words) for _ in range(200)]
+    rows = [(i, " ".join(rng.choice(words) if rng.random() < share else w for w in base))
+            for i, share in enumerate(rng.uniform(0, 0.1) for _ in range(500))]
+    made, stored = {}, circulant_minhash.stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        made.setdefault(name, []).append(out.count())
+        return out
+    monkeypatch.setattr(circulant_minhash, "stored", counted)
+    monkeypatch.setattr(circulant_minhash, "PAIRED", 16)
+    got = circulant_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == near_documents(rows, 3, 85)
+    assert made["elements"][0] > 100_000 and made["ranked"][0] < 2_000 and made["star"][1:] == [0], made
+
+
+def test_partners_against_all_pairs(spark):
+    rng = random.Random(3)
+    both = 180
+    rows = [(c, i, u, rng.randrange(-2000, 360 * u), rng.random() < 0.6) for c in range(4) for i in range(60 * c) for u in [rng.randrange(1, 150)]]
+    got = {(r["centre"], r["doc_id"]): r for r in circulant_minhash.partnered(
+        spark.createDataFrame(rows, "centre long, doc_id long, u long, w long, outside boolean"), "centre", both).collect()}
+    left_out = 0
+    for c, i, u, w, outside in rows:
+        fit = [y for y in rows if y[0] == c and y[1] != i and 2 * both * min(u, y[2]) >= w + y[3] and (outside or y[4])]
+        if fit:
+            assert got[c, i]["least_w"] <= min(y[3] for y in fit)
+            unlinked = [y[3] for y in fit if y[4]]
+            assert not unlinked or got[c, i]["least_out"] <= min(unlinked)
+        left_out += (c, i) not in got
+    assert left_out and len(got) == len(rows) - left_out
+
+
 def test_stages_on_odd_tables(spark):
     """Nulls, repeated rows, an empty table and clashing names pass every stage."""
     import corpus_pipeline

@@ -14,9 +14,10 @@ with another component, and, for a link at p percent, w(x) = (100 + p) |D(x)| -
 x and y are linked just if 2 (100 + p) |D(x) ^ D(y)| >= w(x) + w(y), counting common elements. Unless both
 are linked to c, the right side is positive: a link between components shows in a common element of D. So members are joined on the
 elements of D, the rarest first and no more than the threshold asks for (prefix filter), if the sums above can be reached with u(x)
-and with the best of the others. A group that shares an element and is still small gives its pairs that pass the filters; a larger one is
-treated as a bucket in its turn, with a centre of its own, until none is left: a group never contains the
-centre it came from, so it gets smaller. So a group of near copies costs comparisons with a few centres instead of all pairs, and no link that joins two
+by a partner that reaches x in its turn (``partnered``); the elements of those that have none are taken out of the others' u. In a group
+that shares an element, the first that a pair shares, u counts from there on, and those without a partner go once more. A group that is
+then small gives its pairs that pass the filters; a larger one is treated as a bucket in its turn, with a centre of its own, until
+none is left: a group never contains the centre it came from, so it gets smaller. So a group of near copies costs comparisons with a few centres instead of all pairs, and no link that joins two
 components is left out. Every link is confirmed on the full sets: 100 * intersection >= percent * union.
 
 Defined results: null and empty texts have no shingles and link with nothing; fewer words than
@@ -143,6 +144,23 @@ def united(of: DataFrame | None, links: DataFrame) -> DataFrame:
                   .union(more.join(of.select("node"), "node", "left_anti").select("node", "component")), "grouped")
 
 
+def partnered(members: DataFrame, by: str, both: int) -> DataFrame:
+    """``members`` (u, w, outside) of the groups ``by`` that can have a partner there, with the least w of those, and of unlinked ones.
+
+    With at most u(x) common elements the reach of x is 2 ``both`` u(x) - w(x). A partner's w is within x's reach, and x's w within
+    the partner's, so the least w among the members that reach x decides. They are compared in steps of 2 ``both``, which lets in some more.
+    """
+    step = 2 * both
+    members = members.withColumn("reach", step * F.col("u") - F.col("w")).withColumn("at", F.floor(F.col("w") / step))
+    reached = (members.groupBy(by, F.floor(F.col("reach") / step).alias("at"))
+               .agg(F.min("w").alias("least_w"), F.min(F.when(F.col("outside"), F.col("w"))).alias("least_out")))
+    asked = members.select(by, "at", F.lit(None).cast("long").alias("least_w"), F.lit(None).cast("long").alias("least_out")).distinct()
+    up = Window.partitionBy(by).orderBy(F.desc("at"))      # a row for each step, whatever the number of members
+    least = (reached.union(asked).groupBy(by, "at").agg(F.min("least_w").alias("least_w"), F.min("least_out").alias("least_out"))
+             .select(by, "at", F.min("least_w").over(up).alias("least_w"), F.min("least_out").over(up).alias("least_out")))
+    return members.join(least, [by, "at"]).filter(F.when(F.col("outside"), F.col("least_w")).otherwise(F.col("least_out")) <= F.col("reach"))
+
+
 def across(star: DataFrame, measured: DataFrame, sets: DataFrame, grouped: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """What may still link two components: pairs (a, b), and groups (grp, doc_id) too large for pairs."""
     both, room, no = 100 + percent, 100 - percent, F.lit(False)
@@ -162,28 +180,31 @@ def across(star: DataFrame, measured: DataFrame, sets: DataFrame, grouped: DataF
     elements = stored(rest.join(open_, "centre", "left_semi").join(own, "doc_id")
                       .join(own.select(F.col("doc_id").alias("centre"), F.col("shingles").alias("of_centre")), "centre")
                       .select(*rest.columns, F.explode(apart).alias("element")), "elements")
-    # elements that two components share, an unlinked member among them
-    held = (elements.groupBy("centre", "element").agg(F.count("*").alias("holders"), F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                                      F.max("outside").alias("some")).filter("lo < hi and some").select("centre", "element", "holders"))
-    useful = elements.join(held, ["centre", "element"])
     own_row = ["centre", "doc_id"]
-    u = useful.groupBy(*own_row).agg(F.count("*").alias("u"), F.first("w").alias("w"))
-    reach = 2 * both * F.col("u") - F.col("w")
-    best = u.groupBy("centre").agg(F.max(reach).alias("most_reach"), F.min("w").alias("least_w"))
-    able = u.join(best, "centre").filter((F.col("w") <= F.col("most_reach")) & (reach >= F.col("least_w"))).select(*own_row, "u", "least_w")
+
+    def useful_to(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Of ``rows``, elements that two components share, an unlinked member among them; and the members that can have a partner by them."""
+        held = (rows.groupBy("centre", "element").agg(F.count("*").alias("holders"), F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                                      F.max("outside").alias("some")).filter("lo < hi and some").select("centre", "element", "holders"))
+        useful = rows.join(held, ["centre", "element"])
+        return useful, partnered(useful.groupBy(*own_row).agg(F.count("*").alias("u"), F.min("w").alias("w"), F.max("outside").alias("outside")), "centre", both)
+
+    # those without a partner take elements from the others' sums
+    able = stored(useful_to(elements)[1].select(*own_row), "able")
+    useful, able = useful_to(elements.join(able, own_row, "left_semi"))
     nth = F.row_number().over(Window.partitionBy(*own_row).orderBy("holders", "element"))      # at most the elements of two texts
-    ranked = useful.join(able, own_row).withColumn("nth", nth)
+    ranked = useful.join(able.select(*own_row, "u", "least_w", "least_out"), own_row).withColumn("nth", nth)
     # least overlaps with an unlinked partner, and of an unlinked one with a linked partner
-    near = F.greatest(F.lit(1), F.ceil((F.col("w") + F.col("z") + 1) / (2 * both)))
+    near = F.greatest(F.lit(1), F.ceil((F.col("w") + F.greatest(F.col("z") + 1, F.col("least_out"))) / (2 * both)))
     far = F.greatest(F.lit(1), F.ceil((F.col("w") - F.col("z")) / 200), F.ceil((F.col("w") + F.col("least_w")) / (2 * both)))
-    ranked = (ranked.withColumn("near", F.col("nth") <= F.col("u") - near + 1)
+    ranked = (ranked.withColumn("near", F.col("least_out").isNotNull() & (F.col("nth") <= F.col("u") - near + 1))
               .withColumn("far", F.when(F.col("outside"), F.col("nth") <= F.col("u") - far + 1).otherwise(no)).filter("near or far"))
-    ranked = stored(ranked.select(F.xxhash64("centre", "element").alias("grp"), "doc_id", "component", "w", "u", "outside", "near", "far"), "ranked")
-    reach = 2 * both * F.col("u") - F.col("w")
-    groups = (ranked.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("outside").alias("some"),
-                                        F.max(reach).alias("most_reach"), F.min("w").alias("least_w"))
-              .filter("lo < hi and some").select("grp", "most_reach", "least_w"))
-    left = ranked.join(groups, "grp").filter((F.col("w") <= F.col("most_reach")) & (reach >= F.col("least_w"))).drop("most_reach", "least_w")
+    # where an element is the first that two share, the elements after it are all that they can share besides
+    ranked = stored(ranked.select(F.xxhash64("centre", "element").alias("grp"), "doc_id", "component", "w", (F.col("u") - F.col("nth") + 1).alias("u"),
+                                  "outside", "near", "far"), "ranked")
+    groups = (ranked.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("outside").alias("some"))
+              .filter("lo < hi and some").select("grp"))
+    left = stored(partnered(ranked.join(groups, "grp", "left_semi"), "grp", both).drop("reach", "at", "least_w", "least_out"), "partners")
     sizes = left.groupBy("grp").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi"),
                                     F.max("outside").alias("some")).filter("lo < hi and some").select("grp", "size")
     left = stored(left.join(sizes, "grp"), "left")
