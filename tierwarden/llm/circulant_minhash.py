@@ -14,9 +14,8 @@ with another component, and, for a link at p percent, w(x) = (100 + p) |D(x)| -
 x and y are linked just if 2 (100 + p) |D(x) ^ D(y)| >= w(x) + w(y), counting common elements. Unless both
 are linked to c, the right side is positive: a link between components shows in a common element of D. So members are joined on the
 elements of D, the rarest first and no more than the threshold asks for (prefix filter), if the sums above can be reached with u(x)
-by a partner that reaches x in its turn (``partnered``); the elements of those that have none are taken out of the others' u. In a group
-that shares an element, the first that a pair shares, u counts from there on, and those without a partner go once more. A group that is
-then small gives its pairs that pass the filters; a larger one is treated as a bucket in its turn, with a centre of its own, until
+by a partner that reaches x in its turn (``partnered``). In a group that shares an element, the first that a pair shares, u counts
+from there on, and those without a partner go once more. A group that is then small gives its pairs that pass the filters; a larger one is treated as a bucket in its turn, with a centre of its own, until
 none is left: a group never contains the centre it came from, so it gets smaller. So a group of near copies costs comparisons with a few centres instead of all pairs, and no link that joins two
 components is left out. Every link is confirmed on the full sets: 100 * intersection >= percent * union.
 
@@ -180,20 +179,15 @@ def across(star: DataFrame, measured: DataFrame, sets: DataFrame, grouped: DataF
     elements = stored(rest.join(open_, "centre", "left_semi").join(own, "doc_id")
                       .join(own.select(F.col("doc_id").alias("centre"), F.col("shingles").alias("of_centre")), "centre")
                       .select(*rest.columns, F.explode(apart).alias("element")), "elements")
-    own_row = ["centre", "doc_id"]
-
-    def useful_to(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Of ``rows``, elements that two components share, an unlinked member among them; and the members that can have a partner by them."""
-        held = (rows.groupBy("centre", "element").agg(F.count("*").alias("holders"), F.min("component").alias("lo"), F.max("component").alias("hi"),
+    # elements that two components share, an unlinked member among them
+    held = (elements.groupBy("centre", "element").agg(F.count("*").alias("holders"), F.min("component").alias("lo"), F.max("component").alias("hi"),
                                                       F.max("outside").alias("some")).filter("lo < hi and some").select("centre", "element", "holders"))
-        useful = rows.join(held, ["centre", "element"])
-        return useful, partnered(useful.groupBy(*own_row).agg(F.count("*").alias("u"), F.min("w").alias("w"), F.max("outside").alias("outside")), "centre", both)
-
-    # those without a partner take elements from the others' sums
-    able = stored(useful_to(elements)[1].select(*own_row), "able")
-    useful, able = useful_to(elements.join(able, own_row, "left_semi"))
+    useful = elements.join(held, ["centre", "element"])
+    own_row = ["centre", "doc_id"]
+    u = useful.groupBy(*own_row).agg(F.count("*").alias("u"), F.min("w").alias("w"), F.max("outside").alias("outside"))
+    able = stored(partnered(u, "centre", both).select(*own_row, "u", "least_w", "least_out"), "able")
     nth = F.row_number().over(Window.partitionBy(*own_row).orderBy("holders", "element"))      # at most the elements of two texts
-    ranked = useful.join(able.select(*own_row, "u", "least_w", "least_out"), own_row).withColumn("nth", nth)
+    ranked = useful.withColumn("nth", nth).join(able, own_row)
     # least overlaps with an unlinked partner, and of an unlinked one with a linked partner
     near = F.greatest(F.lit(1), F.ceil((F.col("w") + F.greatest(F.col("z") + 1, F.col("least_out"))) / (2 * both)))
     far = F.greatest(F.lit(1), F.ceil((F.col("w") - F.col("z")) / 200), F.ceil((F.col("w") + F.col("least_w")) / (2 * both)))
